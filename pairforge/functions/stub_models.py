@@ -1,0 +1,91 @@
+"""Deterministic stand-ins for the judge, teacher and evaluated systems.
+
+They let every query run end to end on the driver tables without model weights, and are
+written with the same literals in the DuckDB oracle.  The judge is a length heuristic: the
+longest candidate is "best", the shortest "worst" (first on ties).  Its reply text cycles
+through ten shapes by ``id % 10`` so that the strict parser sees clean JSON, prose around
+JSON, quoted numbers, fractions, out-of-range indices, two objects, no JSON, extra keys,
+single quotes and duplicate keys.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+from pairforge import constants as C
+from pairforge.operators.infer import ExpressionModel
+
+STUB_JUDGE_ID = "stub/length-judge"
+STUB_TEACHER_ID = "stub/echo-teacher"
+
+
+def longest_index(responses: Column) -> Column:
+    lens = F.transform(responses, lambda x: F.length(x))
+    return F.array_position(lens, F.array_max(lens)).cast("int")
+
+
+def shortest_index(responses: Column) -> Column:
+    lens = F.transform(responses, lambda x: F.length(x))
+    return F.array_position(lens, F.array_min(lens)).cast("int")
+
+
+def _s(c: Column) -> Column:
+    return c.cast("string")
+
+
+def best_reply(key: Column, responses: Column) -> Column:
+    """Judge reply to the single-best prompt."""
+    b, w = _s(longest_index(responses)), _s(shortest_index(responses))
+    k = F.pmod(key, F.lit(10))
+    lit = F.lit
+    return (
+        F.when(k == 0, F.concat(lit('{"best": '), b, lit(', "reason": "most complete answer"}')))
+        .when(k == 1, F.concat(lit('After reading all candidates: {"best": '), b, lit(', "reason": "clearest"} Done.')))
+        .when(k == 2, F.concat(lit('{"best": "'), b, lit('", "reason": "quoted index"}')))
+        .when(k == 3, F.concat(lit('{"best": '), b, lit('.7, "reason": "fractional index"}')))
+        .when(k == 4, lit('{"best": 9, "reason": "out of range"}'))
+        .when(k == 5, F.concat(lit('{"best": '), b, lit('} and {"best": 1}')))
+        .when(k == 6, lit("I cannot decide between these responses."))
+        .when(k == 7, F.concat(lit('{"best": '), b, lit(', "worst": '), w, lit(', "reason": "both ends"}')))
+        .when(k == 8, F.concat(lit("{'best': "), b, lit(", 'reason': 'single quotes'}")))
+        .otherwise(F.concat(lit('{"best": 1, "best": '), b, lit(', "reason": "second key wins"}')))
+    )
+
+
+def best_worst_reply(key: Column, responses: Column) -> Column:
+    """Judge reply to the best/worst prompt."""
+    b, w = _s(longest_index(responses)), _s(shortest_index(responses))
+    k = F.pmod(key, F.lit(10))
+    lit = F.lit
+    return (
+        F.when(k == 0, F.concat(lit('{"best": '), b, lit(', "worst": '), w, lit(', "reason": "most and least complete"}')))
+        .when(k == 1, F.concat(lit('Verdict: {"best": '), b, lit(', "worst": '), w, lit(', "reason": "clear"} end')))
+        .when(k == 2, F.concat(lit('{"best": "'), b, lit('", "worst": "'), w, lit('", "reason": "quoted"}')))
+        .when(k == 3, F.concat(lit('{"best": '), b, lit('.7, "worst": '), w, lit('.2, "reason": "fractional"}')))
+        .when(k == 4, F.concat(lit('{"best": '), b, lit(', "worst": 9, "reason": "worst out of range"}')))
+        .when(k == 5, F.concat(lit('{"best": '), b, lit(', "worst": '), w, lit('} and {"best": 1, "worst": 2}')))
+        .when(k == 6, lit("No verdict."))
+        .when(k == 7, F.concat(lit('{"best": '), b, lit(', "worst": '), b, lit(', "reason": "same index"}')))
+        .when(k == 8, F.concat(lit('{"best": '), b, lit(', "reason": "worst missing"}')))
+        .otherwise(F.concat(lit('{"best": '), w, lit(', "worst": '), w, lit(', "best": '), b, lit(', "reason": "duplicate key"}')))
+    )
+
+
+def teacher_reply(key: Column, reference_output: Column) -> Column:
+    """Teacher answer: the reference output, in three wrappings that exercise W1 and P3."""
+    k = F.pmod(key, F.lit(3))
+    return (
+        F.when(k == 0, reference_output)
+        .when(k == 1, F.concat(F.lit("  " + C.ASSISTANT_PREFIX + "  "), reference_output, F.lit("\n")))
+        .otherwise(F.concat(F.lit(C.ASSISTANT_PREFIX + " " + C.ASSISTANT_PREFIX + " "), reference_output))
+    )
+
+
+def stub_judge(mode: str = C.MODE_TEACHER, key: str = "example_id", responses: str = "responses") -> ExpressionModel:
+    reply = best_reply if mode == C.MODE_TEACHER else best_worst_reply
+    return ExpressionModel(STUB_JUDGE_ID, lambda _prompt: reply(F.col(key), F.col(responses)))
+
+
+def stub_teacher(key: str = "example_id", reference: str = "output") -> ExpressionModel:
+    return ExpressionModel(STUB_TEACHER_ID, lambda _prompt: teacher_reply(F.col(key), F.col(reference)))
