@@ -89,3 +89,48 @@ def stub_judge(mode: str = C.MODE_TEACHER, key: str = "example_id", responses: s
 
 def stub_teacher(key: str = "example_id", reference: str = "output") -> ExpressionModel:
     return ExpressionModel(STUB_TEACHER_ID, lambda _prompt: teacher_reply(F.col(key), F.col(reference)))
+
+
+# ---- evaluated systems and the blind ranking judge ------------------------------------------
+
+STUB_RANK_JUDGE_ID = "stub/length-ranker"
+
+
+def stub_systems(instruction: str = "instruction", reference: str = "reference_output") -> dict[str, ExpressionModel]:
+    """Three systems of increasing answer length: a prompt parrot, a clipped answer, the full answer."""
+    return {
+        "pretrained": ExpressionModel("stub/pretrained", lambda _p: F.substr(F.col(instruction), F.lit(1), F.lit(60))),
+        "sft": ExpressionModel("stub/sft", lambda _p: F.substr(F.col(reference), F.lit(1), F.lit(160))),
+        "dpo": ExpressionModel("stub/dpo", lambda _p: F.col(reference)),
+    }
+
+
+def length_order(labelled: Column) -> Column:
+    """Labels 1..n ordered by response length, longest first (ties: lower label first)."""
+    n = F.size(labelled)
+    keyed = F.transform(
+        F.sequence(F.lit(1), n), lambda lab: F.struct((-F.length(F.get(labelled, lab - 1))).alias("k"), lab.alias("l"))
+    )
+    return F.transform(F.array_sort(keyed), lambda x: x["l"].cast("string"))
+
+
+def ranking_reply(key: Column, labelled: Column) -> Column:
+    """Judge reply to the blind prompt (P9), cycling through eight shapes by ``key % 8``."""
+    o = length_order(labelled)
+    a, b, c = F.get(o, 0), F.get(o, 1), F.get(o, 2)
+    k = F.pmod(key, F.lit(8))
+    lit = F.lit
+    return (
+        F.when(k == 0, F.concat(lit('{"ranking": ['), a, lit(", "), b, lit(", "), c, lit('], "reason": "longest first"}')))
+        .when(k == 1, F.concat(lit('Ranking: {"ranking": ["'), a, lit('", "'), b, lit('", "'), c, lit('"], "reason": "strings"} done')))
+        .when(k == 2, F.concat(lit('{"ranking": "'), a, b, c, lit('", "reason": "compact"}')))
+        .when(k == 3, F.concat(lit('{"ranking": {"'), a, lit('": 0, "'), b, lit('": 0, "'), c, lit('": 0}, "reason": "object keys"}')))
+        .when(k == 4, F.concat(lit('{"ranking": ['), a, lit(", "), a, lit(", "), c, lit('], "reason": "repeated"}')))
+        .when(k == 5, F.concat(lit('{"ranking": ['), a, lit(", "), b, lit('], "reason": "short"}')))
+        .when(k == 6, lit("The first one is best."))
+        .otherwise(F.concat(lit('{"ranking": ['), a, lit(".0, "), b, lit(", "), c, lit('], "reason": "float"}')))
+    )
+
+
+def stub_rank_judge(key: str = "eval_id", labelled: str = "labelled_responses") -> ExpressionModel:
+    return ExpressionModel(STUB_RANK_JUDGE_ID, lambda _prompt: ranking_reply(F.col(key), F.col(labelled)))
