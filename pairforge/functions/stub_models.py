@@ -34,9 +34,10 @@ def _s(c: Column) -> Column:
     return c.cast("string")
 
 
-def best_reply(key: Column, responses: Column) -> Column:
+def best_reply(key: Column, responses: Column | None, best: Column | None = None, worst: Column | None = None) -> Column:
     """Judge reply to the single-best prompt."""
-    b, w = _s(longest_index(responses)), _s(shortest_index(responses))
+    b = _s(best if best is not None else longest_index(responses))
+    w = _s(worst if worst is not None else shortest_index(responses))
     k = F.pmod(key, F.lit(10))
     lit = F.lit
     return (
@@ -53,9 +54,10 @@ def best_reply(key: Column, responses: Column) -> Column:
     )
 
 
-def best_worst_reply(key: Column, responses: Column) -> Column:
+def best_worst_reply(key: Column, responses: Column | None, best: Column | None = None, worst: Column | None = None) -> Column:
     """Judge reply to the best/worst prompt."""
-    b, w = _s(longest_index(responses)), _s(shortest_index(responses))
+    b = _s(best if best is not None else longest_index(responses))
+    w = _s(worst if worst is not None else shortest_index(responses))
     k = F.pmod(key, F.lit(10))
     lit = F.lit
     return (
@@ -84,7 +86,18 @@ def teacher_reply(key: Column, reference_output: Column) -> Column:
 
 def stub_judge(mode: str = C.MODE_TEACHER, key: str = "example_id", responses: str = "responses") -> ExpressionModel:
     reply = best_reply if mode == C.MODE_TEACHER else best_worst_reply
-    return ExpressionModel(STUB_JUDGE_ID, lambda _prompt: reply(F.col(key), F.col(responses)))
+
+    def prepare(df):
+        return df.withColumns(
+            {"__stub_b": longest_index(F.col(responses)), "__stub_w": shortest_index(F.col(responses))}
+        )
+
+    return ExpressionModel(
+        STUB_JUDGE_ID,
+        lambda _prompt: reply(F.col(key), None, F.col("__stub_b"), F.col("__stub_w")),
+        prepare=prepare,
+        cleanup=["__stub_b", "__stub_w"],
+    )
 
 
 def stub_teacher(key: str = "example_id", reference: str = "output") -> ExpressionModel:
@@ -114,9 +127,9 @@ def length_order(labelled: Column) -> Column:
     return F.transform(F.array_sort(keyed), lambda x: x["l"].cast("string"))
 
 
-def ranking_reply(key: Column, labelled: Column) -> Column:
+def ranking_reply(key: Column, labelled: Column | None, order: Column | None = None) -> Column:
     """Judge reply to the blind prompt (P9), cycling through eight shapes by ``key % 8``."""
-    o = length_order(labelled)
+    o = order if order is not None else length_order(labelled)
     a, b, c = F.get(o, 0), F.get(o, 1), F.get(o, 2)
     k = F.pmod(key, F.lit(8))
     lit = F.lit
@@ -133,4 +146,9 @@ def ranking_reply(key: Column, labelled: Column) -> Column:
 
 
 def stub_rank_judge(key: str = "eval_id", labelled: str = "labelled_responses") -> ExpressionModel:
-    return ExpressionModel(STUB_RANK_JUDGE_ID, lambda _prompt: ranking_reply(F.col(key), F.col(labelled)))
+    return ExpressionModel(
+        STUB_RANK_JUDGE_ID,
+        lambda _prompt: ranking_reply(F.col(key), None, F.col("__stub_order")),
+        prepare=lambda df: df.withColumn("__stub_order", length_order(F.col(labelled))),
+        cleanup=["__stub_order"],
+    )

@@ -138,3 +138,56 @@ def is_valid_json(text) -> Column:
     """F7 content check: the whole text is one JSON document of any type (``json.loads`` succeeds)."""
     arr = F.from_json(F.concat(F.lit("["), _c(text), F.lit("]")), "array<variant>", _STRICT)
     return F.coalesce(F.size(arr) == 1, F.lit(False))
+
+
+# ---- DataFrame-level forms ---------------------------------------------------------------
+# Column expressions are trees: a sub-expression referenced k times is evaluated (and
+# code-generated) k times.  These helpers materialise the span, the parsed object and each
+# converted field as their own projection; Catalyst keeps a non-cheap producer such as
+# ``from_json`` in its own Project instead of inlining it into every consumer.
+
+def _n(num):
+    return F.lit(num) if isinstance(num, int) else _c(num)
+
+
+def with_best(df, text: str, num, out: str = "verdict"):
+    """``df`` + ``out`` = J1p verdict struct ``{best, reason}`` or NULL."""
+    s = df.withColumn("__v_span", json_span(text)).withColumn("__v_obj", strict_object(F.col("__v_span")))
+    s = s.withColumn("__v_best", json_int(F.col("__v_obj.best"))).withColumn("__v_reason", json_reason(F.col("__v_obj.reason")))
+    ok = F.col("__v_obj").isNotNull() & F.col("__v_best").between(F.lit(1), _n(num))
+    s = s.withColumn(out, F.when(F.coalesce(ok, F.lit(False)), F.struct(F.col("__v_best").alias("best"), F.col("__v_reason").alias("reason"))))
+    return s.drop("__v_span", "__v_obj", "__v_best", "__v_reason")
+
+
+def with_best_worst(df, text: str, num, out: str = "verdict"):
+    """``df`` + ``out`` = J2p verdict struct ``{best, worst, reason}`` or NULL."""
+    s = df.withColumn("__v_span", json_span(text)).withColumn("__v_obj", strict_object(F.col("__v_span")))
+    s = s.withColumns(
+        {
+            "__v_best": json_int(F.col("__v_obj.best")),
+            "__v_worst": json_int(F.col("__v_obj.worst")),
+            "__v_reason": json_reason(F.col("__v_obj.reason")),
+        }
+    )
+    n = _n(num)
+    ok = (
+        F.col("__v_obj").isNotNull() & F.col("__v_best").between(F.lit(1), n) & F.col("__v_worst").between(F.lit(1), n)
+        & (F.col("__v_best") != F.col("__v_worst"))
+    )
+    verdict = F.struct(F.col("__v_best").alias("best"), F.col("__v_worst").alias("worst"), F.col("__v_reason").alias("reason"))
+    s = s.withColumn(out, F.when(F.coalesce(ok, F.lit(False)), verdict))
+    return s.drop("__v_span", "__v_obj", "__v_best", "__v_worst", "__v_reason")
+
+
+def with_ranking(df, text: str, num_items: int = 3, out: str = "parsed"):
+    """``df`` + ``out`` = J3p/F6 ``{ranking, reason}`` or NULL."""
+    s = df.withColumn("__v_span", json_span(text)).withColumn("__v_obj", strict_object(F.col("__v_span")))
+    s = s.withColumn("__v_items", _ranking_items(F.col("__v_span"), F.col("__v_obj.ranking")))
+    s = s.withColumn("__v_reason", json_reason(F.col("__v_obj.reason")))
+    items = F.col("__v_items")
+    ok = (
+        F.col("__v_obj").isNotNull() & items.isNotNull() & F.forall(items, lambda x: x.isNotNull())
+        & (F.array_sort(items) == F.sequence(F.lit(1), F.lit(num_items)))
+    )
+    s = s.withColumn(out, F.when(F.coalesce(ok, F.lit(False)), F.struct(items.alias("ranking"), F.col("__v_reason").alias("reason"))))
+    return s.drop("__v_span", "__v_obj", "__v_items", "__v_reason")

@@ -20,6 +20,7 @@ from pairforge.functions import verdict as V
 from pairforge.operators.infer import TextModel
 from pairforge.operators.joins import assemble_systems, exclude_by_text
 from pairforge.operators.sampling import shuffle_positions, split_exact
+from pairforge.operators.stages import close_stage
 
 
 def heldout_examples(
@@ -127,9 +128,12 @@ def blind_eval(
     assembled = assemble_systems(long, "eval_id").join(heldout, "eval_id")
     prompted = blind_prompts(assembled, tuple(models), seed)
     judged = judge.apply(prompted, "blind_prompt", "judge_raw")
-    judged = judged.withColumn("parsed", V.parse_ranking("judge_raw", len(models)))
+    judged = V.with_ranking(judged, "judge_raw", len(models), "parsed")
     if not judge.deterministic:
         judged = judged.checkpoint(eager=True)
+    judged = close_stage(
+        judged, "blind_judge", {"judged": F.count(F.lit(1)), "parsed": F.count_if(F.col("parsed").isNotNull())}
+    )
     ok = judged.filter(F.col("parsed").isNotNull() & F.col("judge_raw_error").isNull())
     metrics = rank_metrics(F.col("parsed.ranking"), F.col("label_order"))
     results = ok.select(

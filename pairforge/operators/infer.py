@@ -39,15 +39,22 @@ class TextModel:
 
 
 class ExpressionModel(TextModel):
-    def __init__(self, name: str, fn: Callable[..., Column], deterministic: bool = True):
+    """``fn(prompt_column[, sample_index])`` → Column.  ``prepare`` may add helper columns
+    first (computed once, in their own projection); ``cleanup`` names them for removal."""
+
+    def __init__(self, name: str, fn: Callable[..., Column], deterministic: bool = True, prepare=None, cleanup=()):
         self.name, self.fn, self.deterministic = name, fn, deterministic
+        self.prepare, self.cleanup = prepare, list(cleanup)
 
     def apply(self, df: DataFrame, prompt_col: str, out_col: str, num_samples: int = 1) -> DataFrame:
+        if self.prepare is not None:
+            df = self.prepare(df)
         if num_samples == 1:
             text = self.fn(F.col(prompt_col))
         else:
             text = F.transform(F.sequence(F.lit(0), F.lit(num_samples - 1)), lambda j: self.fn(F.col(prompt_col), j))
-        return df.withColumn(out_col, text).withColumn(out_col + "_error", F.lit(None).cast("string"))
+        out = df.withColumn(out_col, text).withColumn(out_col + "_error", F.lit(None).cast("string"))
+        return out.drop(*self.cleanup) if self.cleanup else out
 
 
 class PandasModel(TextModel):

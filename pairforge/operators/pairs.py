@@ -20,6 +20,7 @@ from pairforge import constants as C
 from pairforge.functions import text as T
 from pairforge.functions import verdict as V
 from pairforge.operators.infer import TextModel
+from pairforge.operators.stages import close_stage
 
 PAIR_COLUMNS = [
     "example_id", "instruction", "input", "prompt", "judge_model", "judge_prompt_version", "preference_mode",
@@ -35,11 +36,17 @@ def judge_candidates(responses: DataFrame, judge: TextModel, mode: str = C.MODE_
     build = T.rank_prompt if mode == C.MODE_TEACHER else T.rank_best_worst_prompt
     prompted = responses.withColumn("rank_prompt", build("instruction", "input", "responses"))
     judged = judge.apply(prompted, "rank_prompt", "rank_raw")
-    parse = V.parse_best if mode == C.MODE_TEACHER else V.parse_best_worst
-    judged = judged.withColumn("verdict", parse("rank_raw", F.size("responses")))
+    parse = V.with_best if mode == C.MODE_TEACHER else V.with_best_worst
+    judged = parse(judged.withColumn("__n", F.size("responses")), "rank_raw", "__n", "verdict").drop("__n")
     if not judge.deterministic:
+        # Two branches (pairs, dead letters) must see the same verdicts: write them once.
         judged = judged.checkpoint(eager=True)
-    return judged
+    ok = F.col("verdict").isNotNull() & F.col("rank_raw_error").isNull()
+    return close_stage(
+        judged,
+        f"judge_{mode}",
+        {"pending": F.count(F.lit(1)), "kept": F.count_if(ok), "skipped": F.count_if(~ok)},
+    )
 
 
 def _stamp(df: DataFrame, judge_model: str, mode: str) -> DataFrame:
@@ -58,6 +65,7 @@ def teacher_pairs(judged: DataFrame, teacher: TextModel, judge_model: str) -> Da
     kept = judged.filter(F.col("verdict").isNotNull() & F.col("rank_raw_error").isNull())
     chat = kept.withColumn("chat_prompt", T.flatten_chat(T.chat_messages("instruction", "input")))
     answered = teacher.apply(chat, "chat_prompt", "teacher_raw")
+    answered = close_stage(answered, "teacher", {"answered": F.count_if(F.col("teacher_raw_error").isNull())})
     answered = answered.filter(F.col("teacher_raw_error").isNull())
     out = answered.select(
         "example_id", "instruction", "input", "prompt",

@@ -189,3 +189,40 @@ def reason(sp: str) -> str:
 
 def valid_span(sp: str) -> str:
     return f"({sp} <> '' AND json_valid({sp}))"
+
+
+# ---- splits, shuffles, held-out rows -------------------------------------------------------
+
+def md5_key(salt_seed: str, key: str) -> str:
+    return f"md5({q(salt_seed)} || CAST({key} AS VARCHAR))"
+
+
+def bucket(salt_seed: str, key: str, buckets: int = 10000) -> str:
+    return f"((('0x' || substr({md5_key(salt_seed, key)}, 1, 8))::BIGINT) % {buckets})"
+
+
+def exact_split_cte(name: str, src: str, key: str, fraction: float = 0.05, seed: int = 42) -> str:
+    return f"""{name} AS (
+  SELECT s.*, CASE WHEN row_number() OVER (ORDER BY {md5_key(f'{seed}:', 's.' + key)}, s.{key}) - 1
+                        < ceil((SELECT count(*) FROM {src}) * {fraction!r}) THEN 'test' ELSE 'train' END AS split
+  FROM {src} s)"""
+
+
+PRIOR_SEED = 7
+PRIOR_FRACTION = 0.34
+
+HELDOUT_CTE = EXAMPLES_CTE + f""",
+{exact_split_cte('_split', 'examples', 'example_id')},
+_shuf AS (
+  SELECT CAST(row_number() OVER (ORDER BY {md5_key('shuffle:42:', 'example_id')}, example_id) - 1 AS BIGINT) AS eval_id,
+         example_id, instruction, input, output
+  FROM _split WHERE split = 'test'
+),
+_prior AS (
+  SELECT {prompt('instruction', 'input')} AS prompt FROM examples
+  WHERE {bucket(f'prior:{PRIOR_SEED}:', 'example_id')} < {int(round(PRIOR_FRACTION * 10000))}
+),
+heldout AS (
+  SELECT eval_id, instruction, input, {prompt('instruction', 'input')} AS prompt, output AS reference_output
+  FROM _shuf WHERE {prompt('instruction', 'input')} NOT IN (SELECT prompt FROM _prior)
+)"""

@@ -49,33 +49,33 @@ _PAIR_SELECT = """example_id, instruction, input, prompt, {judge} AS judge_model
   {cs} AS chosen_source, {rs} AS rejected_source"""
 
 
-def _judged_best_sql() -> str:
+def _judged_best_sql(p: str = "") -> str:
     sp = "span"
     return f""",
-_j AS (SELECT r.*, {O.best_reply('r.example_id', 'r.responses')} AS rank_raw FROM responses r),
-_s AS (SELECT *, {O.span('rank_raw')} AS span FROM _j),
-judged AS (
+{p}_j AS (SELECT r.*, {O.best_reply('r.example_id', 'r.responses')} AS rank_raw FROM responses r),
+{p}_s AS (SELECT *, {O.span('rank_raw')} AS span FROM {p}_j),
+{p}judged AS (
   SELECT *, CASE WHEN {O.valid_span(sp)} THEN {O.py_int(O.field(sp, 'best'))} END AS best,
             CASE WHEN {O.valid_span(sp)} THEN {O.reason(sp)} END AS reason
-  FROM _s
+  FROM {p}_s
 ),
-verdicts AS (SELECT *, (best BETWEEN 1 AND len(responses)) AS ok FROM judged)"""
+{p}verdicts AS (SELECT *, coalesce(best BETWEEN 1 AND len(responses), false) AS ok FROM {p}judged)"""
 
 
-def _judged_best_worst_sql() -> str:
+def _judged_best_worst_sql(p: str = "") -> str:
     sp = "span"
     return f""",
-_j AS (SELECT r.*, {O.best_worst_reply('r.example_id', 'r.responses')} AS rank_raw FROM responses r),
-_s AS (SELECT *, {O.span('rank_raw')} AS span FROM _j),
-judged AS (
+{p}_j AS (SELECT r.*, {O.best_worst_reply('r.example_id', 'r.responses')} AS rank_raw FROM responses r),
+{p}_s AS (SELECT *, {O.span('rank_raw')} AS span FROM {p}_j),
+{p}judged AS (
   SELECT *, CASE WHEN {O.valid_span(sp)} THEN {O.py_int(O.field(sp, 'best'))} END AS best,
             CASE WHEN {O.valid_span(sp)} THEN {O.py_int(O.field(sp, 'worst'))} END AS worst,
             CASE WHEN {O.valid_span(sp)} THEN {O.reason(sp)} END AS reason
-  FROM _s
+  FROM {p}_s
 ),
-verdicts AS (
+{p}verdicts AS (
   SELECT *, coalesce(best BETWEEN 1 AND len(responses) AND worst BETWEEN 1 AND len(responses) AND best <> worst, false) AS ok
-  FROM judged
+  FROM {p}judged
 )"""
 
 
@@ -84,7 +84,7 @@ def _teacher_pairs_df(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.build_pairs(resp, S.stub_judge(C.MODE_TEACHER), C.MODE_TEACHER, S.stub_teacher(reference="reference_output"))
 
 
-def _teacher_pairs_sql_body() -> str:
+def _teacher_pairs_sql_body(p: str = "") -> str:
     sel = _PAIR_SELECT.format(
         judge=O.q(S.STUB_JUDGE_ID), ver=O.q(C.JUDGE_PROMPT_VERSION), mode=O.q(C.MODE_TEACHER),
         cs=O.q(C.SOURCE_TEACHER), rs=O.q(C.SOURCE_BEST),
@@ -94,7 +94,7 @@ def _teacher_pairs_sql_body() -> str:
          {O.teacher_chosen(O.teacher_reply('example_id', 'reference_output'))} AS chosen,
          responses[best] AS rejected, reason AS judge_reason, best AS rejected_sft_index,
          NULL AS best_index, NULL AS worst_index
-  FROM verdicts WHERE ok)"""
+  FROM {p}verdicts WHERE ok)"""
 
 
 @register(

@@ -155,3 +155,20 @@ def responses_from_examples(
 
 def responses(spark: SparkSession, sf_dir: str, keep_reference: bool = False) -> DataFrame:
     return responses_from_examples(examples(spark, sf_dir), keep_reference=keep_reference)
+
+
+PRIOR_SEED = 7
+PRIOR_FRACTION = 0.34
+
+
+def prior_generation_prompts(ex: DataFrame, seed: int = PRIOR_SEED, fraction: float = PRIOR_FRACTION) -> DataFrame:
+    """Prompts a previous generation run covered: a stable, seeded hash bucket of examples.
+
+    Stands in for the ``generated_path`` side input (S6) of the evaluation stage.
+    """
+    from pairforge.operators.sampling import hash_bucket
+
+    cut = int(round(fraction * 10000))
+    return ex.filter(hash_bucket("example_id", seed, salt="prior:") < cut).select(
+        T.format_prompt("instruction", "input").alias("prompt")
+    )
