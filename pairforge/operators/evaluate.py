@@ -117,38 +117,51 @@ def rank_metrics(ranking: Column, label_order: Column) -> dict[str, Column]:
     }
 
 
-def blind_eval(
-    heldout: DataFrame,
-    models: dict[str, TextModel],
-    judge: TextModel,
-    seed: int = C.DEFAULT_SEED,
-) -> tuple[DataFrame, DataFrame]:
-    """(results in the M6 shape, rows whose ranking failed to parse)."""
+def prepare_blind(heldout: DataFrame, models: dict[str, TextModel], seed: int = C.DEFAULT_SEED) -> DataFrame:
+    """R2 → D3 → L6 → P9: assembled responses, label order/map and the blind prompt."""
     long = system_outputs(heldout, models)
     assembled = assemble_systems(long, "eval_id").join(heldout, "eval_id")
-    prompted = blind_prompts(assembled, tuple(models), seed)
+    return blind_prompts(assembled, tuple(models), seed)
+
+
+def judge_blind(prompted: DataFrame, judge: TextModel, num_systems: int) -> DataFrame:
+    """Judge hook → strict ranking parse (J3p/F6), as a closed stage."""
     judged = judge.apply(prompted, "blind_prompt", "judge_raw")
-    judged = V.with_ranking(judged, "judge_raw", len(models), "parsed")
+    judged = V.with_ranking(judged, "judge_raw", num_systems, "parsed")
     if not judge.deterministic:
         judged = judged.checkpoint(eager=True)
-    judged = close_stage(
+    return close_stage(
         judged, "blind_judge", {"judged": F.count(F.lit(1)), "parsed": F.count_if(F.col("parsed").isNotNull())}
     )
+
+
+def blind_results(judged: DataFrame, judge_name: str) -> DataFrame:
+    """N2/N3 metrics over parsed rows, in the M6 result shape."""
     ok = judged.filter(F.col("parsed").isNotNull() & F.col("judge_raw_error").isNull())
     metrics = rank_metrics(F.col("parsed.ranking"), F.col("label_order"))
-    results = ok.select(
+    return ok.select(
         "eval_id", "instruction", "input", "prompt", "responses",
         F.col("parsed.ranking").alias("ranking"),
         "label_to_model",
         F.col("parsed.reason").alias("judge_reason"),
-        F.lit(judge.name).alias("judge_model"),
+        F.lit(judge_name).alias("judge_model"),
         F.lit(True).alias("blind_ranking"),
         *[c.alias(n) for n, c in metrics.items()],
     )
+
+
+def blind_eval(
+    heldout: DataFrame,
+    models: dict[str, TextModel],
+    judge: TextModel,
+    seed: int = C.DEFAULT_SEED,
+) -> tuple[DataFrame, DataFrame]:
+    """(results in the M6 shape, rows whose ranking failed to parse)."""
+    judged = judge_blind(prepare_blind(heldout, models, seed), judge, len(models))
     failed = judged.filter(F.col("parsed").isNull() | F.col("judge_raw_error").isNotNull()).select(
         "eval_id", F.coalesce("judge_raw_error", "judge_raw").alias("detail")
     )
-    return results, failed
+    return blind_results(judged, judge.name), failed
 
 
 def eval_summary(results: DataFrame, dpo_model_path: str, sft_model_id: str, judge_model_id: str) -> DataFrame:

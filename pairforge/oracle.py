@@ -226,3 +226,74 @@ heldout AS (
   SELECT eval_id, instruction, input, {prompt('instruction', 'input')} AS prompt, output AS reference_output
   FROM _shuf WHERE {prompt('instruction', 'input')} NOT IN (SELECT prompt FROM _prior)
 )"""
+
+
+# ---- blind evaluation ------------------------------------------------------------------------
+
+EVAL_CTE = HELDOUT_CTE + f""",
+_sysout AS (
+  SELECT eval_id, 'pretrained' AS system, {ensure_prefix('substr(instruction, 1, 60)')} AS text FROM heldout
+  UNION ALL SELECT eval_id, 'sft', {ensure_prefix('substr(reference_output, 1, 160)')} FROM heldout
+  UNION ALL SELECT eval_id, 'dpo', {ensure_prefix('reference_output')} FROM heldout
+),
+_lab AS (
+  SELECT eval_id, system, text,
+         row_number() OVER (PARTITION BY eval_id
+                            ORDER BY md5('blind:' || CAST(42 + eval_id AS VARCHAR) || ':' || system), system) AS label
+  FROM _sysout
+),
+_rk AS (SELECT *, row_number() OVER (PARTITION BY eval_id ORDER BY length(text) DESC, label) AS len_rank FROM _lab),
+blind AS (
+  SELECT h.eval_id, h.instruction, h.input, h.prompt,
+         list(r.system ORDER BY r.label) AS label_order,
+         list(r.text ORDER BY r.label) AS labelled,
+         max(CASE WHEN r.system = 'pretrained' THEN r.text END) AS resp_pretrained,
+         max(CASE WHEN r.system = 'sft' THEN r.text END) AS resp_sft,
+         max(CASE WHEN r.system = 'dpo' THEN r.text END) AS resp_dpo,
+         CAST(max(CASE WHEN r.len_rank = 1 THEN r.label END) AS VARCHAR) AS a,
+         CAST(max(CASE WHEN r.len_rank = 2 THEN r.label END) AS VARCHAR) AS b,
+         CAST(max(CASE WHEN r.len_rank = 3 THEN r.label END) AS VARCHAR) AS c
+  FROM heldout h JOIN _rk r ON r.eval_id = h.eval_id
+  GROUP BY h.eval_id, h.instruction, h.input, h.prompt
+),
+_jr AS (
+  SELECT *, CASE eval_id % 8
+    WHEN 0 THEN '{{"ranking": [' || a || ', ' || b || ', ' || c || '], "reason": "longest first"}}'
+    WHEN 1 THEN 'Ranking: {{"ranking": ["' || a || '", "' || b || '", "' || c || '"], "reason": "strings"}} done'
+    WHEN 2 THEN '{{"ranking": "' || a || b || c || '", "reason": "compact"}}'
+    WHEN 3 THEN '{{"ranking": {{"' || a || '": 0, "' || b || '": 0, "' || c || '": 0}}, "reason": "object keys"}}'
+    WHEN 4 THEN '{{"ranking": [' || a || ', ' || a || ', ' || c || '], "reason": "repeated"}}'
+    WHEN 5 THEN '{{"ranking": [' || a || ', ' || b || '], "reason": "short"}}'
+    WHEN 6 THEN 'The first one is best.'
+    ELSE '{{"ranking": [' || a || '.0, ' || b || ', ' || c || '], "reason": "float"}}' END AS judge_raw
+  FROM blind
+),
+_js AS (SELECT *, {span('judge_raw')} AS span FROM _jr),
+_jv AS (
+  SELECT *, CASE WHEN {valid_span('span')} THEN {field('span', 'ranking')} END AS rv,
+            CASE WHEN {valid_span('span')} THEN {reason('span')} END AS reason
+  FROM _js
+),
+_ji AS (
+  SELECT *, CASE json_type(rv)
+    WHEN 'ARRAY' THEN list_transform(json_extract(rv, '$[*]'), lambda e: {py_int('e')})
+    WHEN 'VARCHAR' THEN list_transform(string_split(json_extract_string(rv, '$'), ''),
+                                       lambda ch: CASE WHEN regexp_full_match(ch, '[0-9]') THEN CAST(ch AS BIGINT) END)
+    WHEN 'OBJECT' THEN list_transform(json_keys(rv),
+                                      lambda k: CASE WHEN regexp_full_match({strip('k')}, '[+-]?[0-9]+') THEN CAST({strip('k')} AS BIGINT) END)
+    END AS items
+  FROM _jv
+),
+parsed AS (
+  SELECT *, coalesce(items IS NOT NULL AND len(list_filter(items, lambda x: x IS NULL)) = 0
+                     AND list_sort(items) = [1, 2, 3], false) AS ok
+  FROM _ji
+),
+results AS (
+  SELECT eval_id, instruction, input, prompt, items AS ranking, label_order, reason AS judge_reason,
+         list_position(items, list_position(label_order, 'dpo')) < list_position(items, list_position(label_order, 'sft')) AS dpo_beats_sft,
+         list_position(items, list_position(label_order, 'sft')) < list_position(items, list_position(label_order, 'pretrained')) AS sft_beats_pretrained,
+         label_order[items[1]] AS best_model,
+         list_transform(items, lambda l: label_order[l]) AS ranking_models
+  FROM parsed WHERE ok
+)"""

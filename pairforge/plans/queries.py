@@ -1,7 +1,7 @@
 """Import every query module so the registry is complete."""
 
 from pairforge.plans import catalog  # noqa: F401
-from pairforge.plans import q_pairs, q_text  # noqa: F401
+from pairforge.plans import q_eval, q_pairs, q_text  # noqa: F401
 from pairforge.plans.catalog import REGISTRY
 
 __all__ = ["REGISTRY"]
