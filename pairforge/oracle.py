@@ -297,3 +297,29 @@ results AS (
          list_transform(items, lambda l: label_order[l]) AS ranking_models
   FROM parsed WHERE ok
 )"""
+
+
+# ---- tokens ------------------------------------------------------------------------------------
+
+PIECE = r" ?[^\t\n\x0B\f\r ]+|[\t\n\x0B\f\r ]+"
+
+
+def pieces(x: str) -> str:
+    return f"regexp_extract_all({x}, {q(PIECE)})"
+
+
+def _piece_ids(x: str) -> str:
+    return f"list_transform({pieces(x)}, lambda t: CAST((('0x' || substr(md5(t), 1, 8))::BIGINT) % 50256 AS INTEGER))"
+
+
+def token_ids(x: str) -> str:
+    eos = q(C.EOS_TEXT)
+    return (
+        f"(CASE WHEN ends_with({x}, {eos}) THEN list_concat({_piece_ids(f'left({x}, length({x}) - {len(C.EOS_TEXT)})')}, [50256])"
+        f" ELSE {_piece_ids(x)} END)"
+    )
+
+
+def common_prefix_len(p: str, ids: str) -> str:
+    pos = f"list_position(list_transform(range(1, len({p}) + 1), lambda i: coalesce({p}[i] = {ids}[i], false)), false)"
+    return f"(CASE WHEN coalesce({pos}, 0) = 0 THEN len({p}) ELSE {pos} - 1 END)"
