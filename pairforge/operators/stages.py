@@ -22,11 +22,14 @@ _OBSERVATIONS: dict[str, Observation] = {}
 
 
 def close_stage(df: DataFrame, stage: str, metrics: dict[str, Column] | None = None) -> DataFrame:
-    name = f"{stage}#{next(_SEQ)}"
+    name = f"{stage}_{next(_SEQ)}"
+    exprs = [c.alias(k) for k, c in (metrics or {"rows": F.count(F.lit(1))}).items()]
+    if df.isStreaming:
+        # Streaming metrics are reported per micro-batch in the query progress.
+        return df.observe(name, *exprs)
     obs = Observation(name)
-    exprs = metrics or {"rows": F.count(F.lit(1))}
     _OBSERVATIONS[stage] = obs
-    return df.observe(obs, *[c.alias(k) for k, c in exprs.items()])
+    return df.observe(obs, *exprs)
 
 
 def observations() -> dict[str, Observation]:
