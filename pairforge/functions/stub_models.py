@@ -152,3 +152,21 @@ def stub_rank_judge(key: str = "eval_id", labelled: str = "labelled_responses")
         prepare=lambda df: df.withColumn("__stub_order", length_order(F.col(labelled))),
         cleanup=["__stub_order"],
     )
+
+
+# ---- a Python-side generation stub behind the Arrow hook ------------------------------------
+
+STUB_GENERATOR_ID = "stub/prefix-sampler"
+
+
+def prefix_sampler_factory():
+    """Factory for ``PandasModel``: sample ``j`` echoes a growing slice of the prompt body.
+
+    Stands in for a sampling language model so the ``mapInPandas`` path (worker-level model
+    cache, batching, error isolation, long output + regroup) runs on real rows.
+    """
+
+    def generate(prompts: list[str], num_samples: int) -> list[list[str]]:
+        return [[" " + p[7 : 7 + 40 * (j + 1)] + " " for j in range(num_samples)] for p in prompts]
+
+    return generate

@@ -168,3 +168,31 @@ def judge_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
 def judge_prompt_best_worst(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = TB.responses(spark, sf_dir)
     return r.select("example_id", T.rank_best_worst_prompt("instruction", "input", "responses").alias("rank_prompt"))
+
+
+@register(
+    "generate_candidates",
+    O.with_ctes(
+        O.EXAMPLES_CTE,
+        f"""SELECT example_id, {O.prompt('instruction', 'input')} AS prompt, 4 AS n_candidates,
+                  {O.ensure_prefix(f"substr({O.prompt('instruction', 'input')}, 8, 40)")} || chr(31) ||
+                  {O.ensure_prefix(f"substr({O.prompt('instruction', 'input')}, 8, 80)")} || chr(31) ||
+                  {O.ensure_prefix(f"substr({O.prompt('instruction', 'input')}, 8, 120)")} || chr(31) ||
+                  {O.ensure_prefix(f"substr({O.prompt('instruction', 'input')}, 8, 160)")} AS candidates
+           FROM examples""",
+    ),
+    "R1/A7/P4 multi-sample generation through the mapInPandas model hook, regrouped by sample index",
+)
+def generate_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pairforge.operators.infer import PandasModel, generate_long
+    from pairforge.operators.regroup import regroup_ordered
+
+    ex = _ex(spark, sf_dir).select("example_id", T.format_prompt("instruction", "input").alias("prompt"))
+    model = PandasModel(S.STUB_GENERATOR_ID, S.prefix_sampler_factory, batch_size=C.GEN_BATCH_SIZE)
+    long = generate_long(ex, model, "example_id", "prompt", C.NUM_SAMPLES)
+    long = long.filter(F.col("error").isNull()).withColumn("text", T.ensure_assistant_prefix("text"))
+    grouped = regroup_ordered(long, "example_id", "sample_index", "text", "responses")
+    out = grouped.join(ex, "example_id")
+    return out.select(
+        "example_id", "prompt", F.size("responses").alias("n_candidates"), F.array_join("responses", SEP).alias("candidates")
+    )
