@@ -191,8 +191,12 @@ def eval_summary(results: DataFrame, dpo_model_path: str, sft_model_id: str, jud
 
 
 def best_model_counts(results: DataFrame, systems: Sequence[str] = C.SYSTEMS) -> DataFrame:
-    """A3: counts per best system, zero-filled for known systems; unknown kept, missing under ''."""
+    """A3: counts per best system, zero-filled for known systems; unknown kept, missing under ''.
+
+    The known systems enter as zero rows of a UNION ALL, then one partial aggregation sums
+    them with the observed rows: no join, and a dominant system is pre-aggregated map-side.
+    """
     spark = results.sparkSession
-    known = spark.createDataFrame([(s,) for s in systems], "best_model string")
-    counts = results.groupBy(F.coalesce(F.col("best_model"), F.lit("")).alias("best_model")).agg(F.count(F.lit(1)).alias("n"))
-    return known.join(counts, "best_model", "full_outer").select("best_model", F.coalesce("n", F.lit(0)).alias("n"))
+    zeros = spark.createDataFrame([(s, 0) for s in systems], "best_model string, n long")
+    seen = results.select(F.coalesce(F.col("best_model"), F.lit("")).alias("best_model"), F.lit(1).cast("long").alias("n"))
+    return seen.unionByName(zeros).groupBy("best_model").agg(F.sum("n").alias("n"))

@@ -198,9 +198,18 @@ def shuffle_take(spark: SparkSession, sf_dir: str) -> DataFrame:
     return SM.shuffle_positions(test.drop("split"), "example_id", C.DEFAULT_SEED)
 
 
+_HELDOUT_MEMO: dict = {}
+
+
 def _heldout(spark, sf_dir, keep_reference=False) -> DataFrame:
-    ex = TB.examples(spark, sf_dir)
-    return EV.heldout_examples(ex, TB.prior_generation_prompts(ex), keep_reference=keep_reference)
+    """Held-out evaluation rows; like ``examples``, a stage table shared by the queries of a session."""
+    key = (id(spark._jsparkSession), sf_dir)
+    if key not in _HELDOUT_MEMO:
+        ex = TB.examples(spark, sf_dir)
+        held = EV.heldout_examples(ex, TB.prior_generation_prompts(ex), keep_reference=True)
+        _HELDOUT_MEMO[key] = held.checkpoint(eager=True)
+    held = _HELDOUT_MEMO[key]
+    return held if keep_reference else held.drop("reference_output")
 
 
 @register(
