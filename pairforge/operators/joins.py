@@ -63,3 +63,76 @@ def assemble_systems(long_outputs: DataFrame, key: str, system: str = "system",
     return long_outputs.groupBy(key).agg(
         F.map_from_entries(F.collect_list(F.struct(F.col(system), F.col(text)))).alias("responses")
     )
+
+
+WORD_SPLIT = r"[ \t\n\x0B\f\r]+"
+
+
+def _words(text):
+    return F.filter(F.split(text, WORD_SPLIT), lambda w: w != "")
+
+
+def _chained_ngrams(word_hashes, L: int):
+    """Chained hashes of every run of ``L`` consecutive word hashes, in position order.
+
+    Built from ``L`` shifted slices combined with ``zip_with``: L array allocations per
+    document instead of one per position.  Documents shorter than ``L`` give an empty list.
+    """
+    n = F.size(word_hashes) - F.lit(L - 1)
+    shifted = [F.slice(word_hashes, j + 1, F.greatest(n, F.lit(0))) for j in range(L)]
+    h = shifted[0]
+    for s in shifted[1:]:
+        h = F.zip_with(h, s, lambda a, b: F.xxhash64(a, b))
+    return F.when(n > 0, h).otherwise(F.array().cast("array<bigint>"))
+
+
+def text_containment(
+    docs: DataFrame, items: DataFrame, doc_key: str = "doc_id", item_key: str = "item_id",
+    doc_text: str = "text", item_text: str = "text", anchor_words: int = 8,
+) -> DataFrame:
+    """D2b over free text: every ``(doc, item)`` where the item's text occurs inside the doc.
+
+    Exact, without comparing all pairs.  If a document contains an item, every *interior*
+    word of the item (not the first or last, which may be glued to neighbouring text) is a
+    whole word of the document, so the item's first interior word n-gram is one of the
+    document's word n-grams.  Items are keyed by that anchor's hash, documents emit the
+    hashes of their word n-grams of the anchor lengths in use (at most ``anchor_words``
+    distinct lengths), an equi-join yields candidates, and ``instr`` confirms each one.
+    Items with fewer than three words have no interior anchor; they come back with a NULL
+    ``doc_key`` so they are reported, never silently skipped.
+    """
+    it = items.select(F.col(item_key), F.col(item_text).alias("__itext")).withColumn("__w", _words(F.col("__itext")))
+    n = F.size("__w")
+    it = it.withColumn("__L", F.least(F.lit(anchor_words), n - 2))
+    # Each word is hashed once; an n-gram key chains the word hashes left to right:
+    # h = xxhash64(...xxhash64(xxhash64(w1, w2), w3)..., wL).
+    it = it.withColumn("__wh", F.transform("__w", lambda w: F.xxhash64(w)))
+    anchor = F.aggregate(
+        F.slice("__wh", 3, F.col("__L") - 1), F.get(F.col("__wh"), 1), lambda acc, x: F.xxhash64(acc, x)
+    )
+    anchored = it.filter(F.col("__L") >= 1).select(item_key, "__itext", "__L", anchor.alias("__h"))
+    lengths = [r[0] for r in anchored.select("__L").distinct().collect()]  # at most anchor_words values
+    d = docs.select(F.col(doc_key), F.transform(_words(F.col(doc_text)), lambda w: F.xxhash64(w)).alias("__w"))
+    grams = None
+    for L in lengths:
+        g = d.select(
+            doc_key,
+            F.lit(L).alias("__L"),
+            F.explode(_chained_ngrams(F.col("__w"), L)).alias("__h"),
+        )
+        grams = g if grams is None else grams.unionByName(g)
+    if grams is None:
+        cands = anchored.select(F.lit(None).cast(docs.schema[doc_key].dataType).alias(doc_key), item_key).limit(0)
+    else:
+        cands = grams.join(anchored.select(item_key, "__L", "__h"), ["__L", "__h"]).select(doc_key, item_key).distinct()
+    # Candidates are few: joined to the documents they name (AQE broadcasts them when their
+    # runtime size allows, otherwise it is a shuffle join), then confirmed verbatim.
+    texts = docs.select(F.col(doc_key), F.col(doc_text).alias("__dtext"))
+    confirmed = (
+        texts.join(cands, doc_key)
+        .join(anchored.select(item_key, "__itext"), item_key)
+        .filter(F.instr(F.col("__dtext"), F.col("__itext")) > 0)
+        .select(doc_key, item_key)
+    )
+    unindexed = it.filter(F.col("__L") < 1).select(F.lit(None).cast(docs.schema[doc_key].dataType).alias(doc_key), item_key)
+    return confirmed.unionByName(unindexed)

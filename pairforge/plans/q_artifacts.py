@@ -73,3 +73,16 @@ def quiet_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     asof = ev.select(F.max("ts")).scalar()
     files = ev.withColumn("day", F.to_date("ts"))
     return A.quiet_groups(files, ["user_id", "day"], "ts", "event_type", (CONFIG_KIND, WEIGHTS_KIND), asof)
+
+
+@register(
+    "benchmark_overlap",
+    """SELECT d.doc_id, b.item_id FROM documents d JOIN benchmark b ON strpos(d.text, b.text) > 0""",
+    "D2b text-overlap audit: documents that contain a benchmark passage verbatim (anchor n-gram index + exact check)",
+)
+def benchmark_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pairforge.operators.joins import text_containment
+
+    docs = TB.table(spark, sf_dir, "documents").select("doc_id", "text")
+    items = TB.table(spark, sf_dir, "benchmark").select("item_id", "text")
+    return text_containment(docs, items)
