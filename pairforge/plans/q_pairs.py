@@ -143,9 +143,8 @@ def resume_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def training_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = _teacher_pairs_df(spark, sf_dir)
-    keyed = P.training_pairs(pairs).withColumn("example_id", pairs["example_id"]) if False else pairs.select(
-        "example_id", "prompt", "chosen", "rejected"
-    )
+    P.training_pairs(pairs)  # P11 check: prompt/chosen/rejected must exist
+    keyed = pairs.select("example_id", "prompt", "chosen", "rejected")
     split = SM.split_exact(keyed, "example_id", C.SPLIT_FRACTION, C.SPLIT_SEED)
     chosen = TK.align_completion(F.col("prompt"), F.col("chosen"))["completion"]
     rejected = TK.align_completion(F.col("prompt"), F.col("rejected"))["completion"]
