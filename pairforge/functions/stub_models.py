@@ -14,6 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from pairforge import constants as C
+from pairforge.functions.exprcache import cached_expr
 from pairforge.operators.infer import ExpressionModel
 
 STUB_JUDGE_ID = "stub/length-judge"
@@ -84,17 +85,25 @@ def teacher_reply(key: Column, reference_output: Column) -> Column:
     )
 
 
-def stub_judge(mode: str = C.MODE_TEACHER, key: str = "example_id", responses: str = "responses") -> ExpressionModel:
+@cached_expr
+def _judge_reply(mode: str, key: str):
     reply = best_reply if mode == C.MODE_TEACHER else best_worst_reply
+    return reply(F.col(key), None, F.col("__stub_b"), F.col("__stub_w"))
+
+
+@cached_expr
+def _judge_indices(responses: str):
+    return longest_index(F.col(responses)), shortest_index(F.col(responses))
 
+
+def stub_judge(mode: str = C.MODE_TEACHER, key: str = "example_id", responses: str = "responses") -> ExpressionModel:
     def prepare(df):
-        return df.withColumns(
-            {"__stub_b": longest_index(F.col(responses)), "__stub_w": shortest_index(F.col(responses))}
-        )
+        b, w = _judge_indices(responses)
+        return df.withColumns({"__stub_b": b, "__stub_w": w})
 
     return ExpressionModel(
         STUB_JUDGE_ID,
-        lambda _prompt: reply(F.col(key), None, F.col("__stub_b"), F.col("__stub_w")),
+        lambda _prompt: _judge_reply(mode, key),
         prepare=prepare,
         cleanup=["__stub_b", "__stub_w"],
     )
@@ -145,11 +154,21 @@ def ranking_reply(key: Column, labelled: Column | None, order: Column | None = N
     )
 
 
+@cached_expr
+def _ranking_reply(key: str):
+    return ranking_reply(F.col(key), None, F.col("__stub_order"))
+
+
+@cached_expr
+def _length_order(labelled: str):
+    return length_order(F.col(labelled))
+
+
 def stub_rank_judge(key: str = "eval_id", labelled: str = "labelled_responses") -> ExpressionModel:
     return ExpressionModel(
         STUB_RANK_JUDGE_ID,
-        lambda _prompt: ranking_reply(F.col(key), None, F.col("__stub_order")),
-        prepare=lambda df: df.withColumn("__stub_order", length_order(F.col(labelled))),
+        lambda _prompt: _ranking_reply(key),
+        prepare=lambda df: df.withColumn("__stub_order", _length_order(labelled)),
         cleanup=["__stub_order"],
     )
 

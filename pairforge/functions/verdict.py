@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from pairforge.functions.exprcache import cached_expr
 from pairforge.functions.text import strip_ws
 
 _SPAN = r"(?s)\{.*\}"
@@ -150,23 +151,56 @@ def _n(num):
     return F.lit(num) if isinstance(num, int) else _c(num)
 
 
+@cached_expr
+def _span_of(text: str):
+    return json_span(text)
+
+
+@cached_expr
+def _obj_of(span: str):
+    return strict_object(F.col(span))
+
+
+@cached_expr
+def _int_of(name: str):
+    return json_int(F.col(name))
+
+
+@cached_expr
+def _reason_of(name: str):
+    return json_reason(F.col(name))
+
+
+@cached_expr
+def _items_of(span: str, name: str):
+    return _ranking_items(F.col(span), F.col(name))
+
+
+def _open(df, text: str):
+    s = df.withColumn("__v_span", _span_of(text))
+    return s.withColumn("__v_obj", _obj_of("__v_span"))
+
+
+def _close(df, keep, out: str, ok, value):
+    return df.select(*[F.col(c) for c in keep], F.when(F.coalesce(ok, F.lit(False)), value).alias(out))
+
+
 def with_best(df, text: str, num, out: str = "verdict"):
     """``df`` + ``out`` = J1p verdict struct ``{best, reason}`` or NULL."""
-    s = df.withColumn("__v_span", json_span(text)).withColumn("__v_obj", strict_object(F.col("__v_span")))
-    s = s.withColumn("__v_best", json_int(F.col("__v_obj.best"))).withColumn("__v_reason", json_reason(F.col("__v_obj.reason")))
+    s = _open(df, text).withColumns(
+        {"__v_best": _int_of("__v_obj.best"), "__v_reason": _reason_of("__v_obj.reason")}
+    )
     ok = F.col("__v_obj").isNotNull() & F.col("__v_best").between(F.lit(1), _n(num))
-    s = s.withColumn(out, F.when(F.coalesce(ok, F.lit(False)), F.struct(F.col("__v_best").alias("best"), F.col("__v_reason").alias("reason"))))
-    return s.drop("__v_span", "__v_obj", "__v_best", "__v_reason")
+    return _close(s, df.columns, out, ok, F.struct(F.col("__v_best").alias("best"), F.col("__v_reason").alias("reason")))
 
 
 def with_best_worst(df, text: str, num, out: str = "verdict"):
     """``df`` + ``out`` = J2p verdict struct ``{best, worst, reason}`` or NULL."""
-    s = df.withColumn("__v_span", json_span(text)).withColumn("__v_obj", strict_object(F.col("__v_span")))
-    s = s.withColumns(
+    s = _open(df, text).withColumns(
         {
-            "__v_best": json_int(F.col("__v_obj.best")),
-            "__v_worst": json_int(F.col("__v_obj.worst")),
-            "__v_reason": json_reason(F.col("__v_obj.reason")),
+            "__v_best": _int_of("__v_obj.best"),
+            "__v_worst": _int_of("__v_obj.worst"),
+            "__v_reason": _reason_of("__v_obj.reason"),
         }
     )
     n = _n(num)
@@ -175,19 +209,20 @@ def with_best_worst(df, text: str, num, out: str = "verdict"):
         & (F.col("__v_best") != F.col("__v_worst"))
     )
     verdict = F.struct(F.col("__v_best").alias("best"), F.col("__v_worst").alias("worst"), F.col("__v_reason").alias("reason"))
-    s = s.withColumn(out, F.when(F.coalesce(ok, F.lit(False)), verdict))
-    return s.drop("__v_span", "__v_obj", "__v_best", "__v_worst", "__v_reason")
+    return _close(s, df.columns, out, ok, verdict)
 
 
 def with_ranking(df, text: str, num_items: int = 3, out: str = "parsed"):
     """``df`` + ``out`` = J3p/F6 ``{ranking, reason}`` or NULL."""
-    s = df.withColumn("__v_span", json_span(text)).withColumn("__v_obj", strict_object(F.col("__v_span")))
-    s = s.withColumn("__v_items", _ranking_items(F.col("__v_span"), F.col("__v_obj.ranking")))
-    s = s.withColumn("__v_reason", json_reason(F.col("__v_obj.reason")))
+    s = _open(df, text).withColumns(
+        {
+            "__v_items": _items_of("__v_span", "__v_obj.ranking"),
+            "__v_reason": _reason_of("__v_obj.reason"),
+        }
+    )
     items = F.col("__v_items")
     ok = (
         F.col("__v_obj").isNotNull() & items.isNotNull() & F.forall(items, lambda x: x.isNotNull())
         & (F.array_sort(items) == F.sequence(F.lit(1), F.lit(num_items)))
     )
-    s = s.withColumn(out, F.when(F.coalesce(ok, F.lit(False)), F.struct(items.alias("ranking"), F.col("__v_reason").alias("reason"))))
-    return s.drop("__v_span", "__v_obj", "__v_items", "__v_reason")
+    return _close(s, df.columns, out, ok, F.struct(items.alias("ranking"), F.col("__v_reason").alias("reason")))

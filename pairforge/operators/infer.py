@@ -53,8 +53,8 @@ class ExpressionModel(TextModel):
             text = self.fn(F.col(prompt_col))
         else:
             text = F.transform(F.sequence(F.lit(0), F.lit(num_samples - 1)), lambda j: self.fn(F.col(prompt_col), j))
-        out = df.withColumn(out_col, text).withColumn(out_col + "_error", F.lit(None).cast("string"))
-        return out.drop(*self.cleanup) if self.cleanup else out
+        keep = [F.col(c) for c in df.columns if c not in self.cleanup]
+        return df.select(*keep, text.alias(out_col), F.lit(None).cast("string").alias(out_col + "_error"))
 
 
 class PandasModel(TextModel):

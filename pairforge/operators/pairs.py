@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pairforge import constants as C
 from pairforge.functions import text as T
 from pairforge.functions import verdict as V
+from pairforge.functions.exprcache import cached_expr
 from pairforge.operators.infer import TextModel
 from pairforge.operators.stages import close_stage
 
@@ -29,15 +30,20 @@ PAIR_COLUMNS = [
 ]
 
 
+@cached_expr
+def _rank_prompt_expr(mode: str):
+    build = T.rank_prompt if mode == C.MODE_TEACHER else T.rank_best_worst_prompt
+    return build("instruction", "input", "responses")
+
+
 def judge_candidates(responses: DataFrame, judge: TextModel, mode: str = C.MODE_TEACHER) -> DataFrame:
     """Rank prompt → judge hook → parsed verdict struct (NULL when unusable)."""
     if mode not in (C.MODE_TEACHER, C.MODE_BEST_WORST):
         raise ValueError(f"unknown mode {mode!r}")
-    build = T.rank_prompt if mode == C.MODE_TEACHER else T.rank_best_worst_prompt
-    prompted = responses.withColumn("rank_prompt", build("instruction", "input", "responses"))
+    prompted = responses.withColumn("rank_prompt", _rank_prompt_expr(mode))
     judged = judge.apply(prompted, "rank_prompt", "rank_raw")
     parse = V.with_best if mode == C.MODE_TEACHER else V.with_best_worst
-    judged = parse(judged.withColumn("__n", F.size("responses")), "rank_raw", "__n", "verdict").drop("__n")
+    judged = parse(judged, "rank_raw", F.size("responses"), "verdict")
     if not judge.deterministic:
         # Two branches (pairs, dead letters) must see the same verdicts: write them once.
         judged = judged.checkpoint(eager=True)

@@ -153,8 +153,17 @@ def responses_from_examples(
     )
 
 
+_RESPONSES_MEMO: dict[tuple[int, str], DataFrame] = {}
+
+
 def responses(spark: SparkSession, sf_dir: str, keep_reference: bool = False) -> DataFrame:
-    return responses_from_examples(examples(spark, sf_dir), keep_reference=keep_reference)
+    """M2 rows for the driver tables; a checkpointed stage table shared within a session,
+    as the generation stage's written output is shared by every later stage."""
+    key = (id(spark._jsparkSession), os.path.abspath(sf_dir))
+    if key not in _RESPONSES_MEMO:
+        _RESPONSES_MEMO[key] = responses_from_examples(examples(spark, sf_dir), keep_reference=True).checkpoint(eager=True)
+    out = _RESPONSES_MEMO[key]
+    return out if keep_reference else out.drop("reference_output")
 
 
 PRIOR_SEED = 7
