@@ -127,7 +127,7 @@ def chat_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     "candidates_regroup",
     O.with_ctes(
         O.RESPONSES_CTE,
-        "SELECT example_id, len(responses) AS n_candidates, array_to_string(responses, chr(31)) AS candidates, prompt FROM responses",
+        "SELECT example_id, CAST(len(responses) AS INTEGER) AS n_candidates, array_to_string(responses, chr(31)) AS candidates, prompt FROM responses",
     ),
     "A7 regroup flat samples into an ordered list per prompt (order from the sample index), with P4 and P1",
 )
