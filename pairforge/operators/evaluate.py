@@ -21,6 +21,7 @@ from pairforge.operators.infer import TextModel
 from pairforge.operators.joins import assemble_systems, exclude_by_text
 from pairforge.operators.sampling import shuffle_positions, split_exact
 from pairforge.operators.stages import close_stage
+from pairforge.session import materialize
 
 
 def heldout_examples(
@@ -129,7 +130,7 @@ def judge_blind(prompted: DataFrame, judge: TextModel, num_systems: int) -> Data
     judged = judge.apply(prompted, "blind_prompt", "judge_raw")
     judged = V.with_ranking(judged, "judge_raw", num_systems, "parsed")
     if not judge.deterministic:
-        judged = judged.checkpoint(eager=True)
+        judged = materialize(judged, "blind_judged")
     return close_stage(
         judged, "blind_judge", {"judged": F.count(F.lit(1)), "parsed": F.count_if(F.col("parsed").isNotNull())}
     )

@@ -22,6 +22,7 @@ from pairforge.functions import verdict as V
 from pairforge.functions.exprcache import cached_expr
 from pairforge.operators.infer import TextModel
 from pairforge.operators.stages import close_stage
+from pairforge.session import materialize
 
 PAIR_COLUMNS = [
     "example_id", "instruction", "input", "prompt", "judge_model", "judge_prompt_version", "preference_mode",
@@ -46,7 +47,7 @@ def judge_candidates(responses: DataFrame, judge: TextModel, mode: str = C.MODE_
     judged = parse(judged, "rank_raw", F.size("responses"), "verdict")
     if not judge.deterministic:
         # Two branches (pairs, dead letters) must see the same verdicts: write them once.
-        judged = judged.checkpoint(eager=True)
+        judged = materialize(judged, "judged")
     ok = F.col("verdict").isNotNull() & F.col("rank_raw_error").isNull()
     return close_stage(
         judged,

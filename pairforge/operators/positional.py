@@ -4,9 +4,9 @@
 not survive 100 TB.  ``dense_index`` does what ``zipWithIndex`` does, in DataFrame form:
 
 1. range-partition on the ordering keys and sort within partitions (one shuffle);
-2. tag each row with its partition id and its ordinal inside the partition, and cut the
-   lineage with a reliable ``checkpoint()`` so the sampled range bounds and the tags cannot
-   change if an executor is lost and the stage is recomputed;
+2. tag each row with its partition id and its ordinal inside the partition, and write the
+   tagged rows once as a table in the shared checkpoint folder, so the sampled range bounds
+   and the tags cannot change if an executor is lost and a stage is recomputed;
 3. count rows per partition (a result bounded by the partition count, not the data);
 4. add each partition's prefix offset, shipped as one array literal.
 
@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairforge.session import ensure_checkpoint_dir
+from pairforge.session import materialize
 
 _PID = "__pf_pid"
 _ORD = "__pf_ord"
@@ -44,18 +44,17 @@ def dense_index(
     """Append ``id_col`` = 0-based position of each row in the total order ``order_by``.
 
     The ordering must be total (unique keys) for the ids to be reproducible; ties are
-    broken by the physical order of the checkpointed data, which is fixed once written.
+    broken by the physical order of the written data, which is fixed once written.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     keys = [F.col(k) if isinstance(k, str) else k for k in order_by]
     n = _partition_count(df, num_partitions)
-    tagged = (
+    tagged = materialize(
         df.repartitionByRange(n, *keys)
         .sortWithinPartitions(*keys)
         .withColumn(_PID, F.spark_partition_id())
-        .withColumn(_ORD, F.monotonically_increasing_id())
-    ).checkpoint(eager=True)
+        .withColumn(_ORD, F.monotonically_increasing_id()),
+        "dense_index",
+    )
     # Bounded by the number of partitions: safe to bring to the driver.
     counts = {r[0]: r[1] for r in tagged.groupBy(_PID).count().collect()}
     offsets, running = [], 0

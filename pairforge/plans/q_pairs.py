@@ -22,6 +22,7 @@ from pairforge.plans.catalog import (
     register,
 )
 from pairforge.sources import tables as TB
+from pairforge.session import materialize
 
 
 def _judged(spark, sf_dir, mode) -> DataFrame:
@@ -206,7 +207,7 @@ def _heldout(spark, sf_dir, keep_reference=False) -> DataFrame:
     if key not in _HELDOUT_MEMO:
         ex = TB.examples(spark, sf_dir)
         held = EV.heldout_examples(ex, TB.prior_generation_prompts(ex), keep_reference=True)
-        _HELDOUT_MEMO[key] = held.checkpoint(eager=True)
+        _HELDOUT_MEMO[key] = materialize(held, "heldout")
     held = _HELDOUT_MEMO[key]
     return held if keep_reference else held.drop("reference_output")
 

@@ -17,6 +17,7 @@ from pairforge.plans.catalog import REGISTRY, _teacher_pairs_df, register
 from pairforge.schemas import GENERATED
 from pairforge.sources import tables as TB
 from pairforge.streaming import streams as X
+from pairforge.session import materialize
 
 RESPONSE_FILES = 4
 _GENERATED_WITH_REF = T.StructType(GENERATED.fields + [T.StructField("reference_output", T.StringType())])
@@ -54,7 +55,7 @@ def stream_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = _response_files(spark, sf_dir, "resume")
-    done = _teacher_pairs_df(spark, sf_dir).select("example_id").checkpoint(eager=True)
+    done = materialize(_teacher_pairs_df(spark, sf_dir).select("example_id"), "done_ids")
     stream = X.file_stream(spark, os.path.join(folder, "responses"), _GENERATED_WITH_REF, "json", max_files_per_trigger=1)
     pending = J.resume_pending(stream, done).select("example_id", "prompt")
     out = os.path.join(folder, "pending")

@@ -26,6 +26,7 @@ from pairforge.operators.positional import dense_index
 from pairforge.operators.regroup import regroup_ordered
 from pairforge.sources import io
 from pairforge.sources.tables import gen_config
+from pairforge.session import materialize
 
 
 def _chunk(chunk_id):
@@ -98,7 +99,7 @@ def judging_run(
         rows = SM.head_offset(dense_index(rows, ["example_id"], "__pos"), "__pos", offset, max_examples).drop("__pos")
     if resume:
         rows = resume_pending(rows, io.completed_ids(spark, out_path))
-    judged = P.judge_candidates(rows, judge, mode).checkpoint(eager=True)
+    judged = materialize(P.judge_candidates(rows, judge, mode), "judged")
     pairs = P.teacher_pairs(judged, teacher or judge, judge.name) if mode == C.MODE_TEACHER else P.best_worst_pairs(judged, judge.name)
     chunk = _chunk(chunk_id)
     io.append_chunk(pairs, out_path, chunk)

@@ -52,3 +52,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="pairforge-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc._jsc.sc().getCheckpointDir().get()
+
+
+def materialize(df, name: str = "stage"):
+    """Cut lineage by writing ``df`` once as a Parquet table in the shared checkpoint folder
+    and reading it back.
+
+    Unlike ``Dataset.checkpoint()`` (which, unless persisted, computes its input twice:
+    once to count, once to write) the plan runs once; the stored table is columnar and
+    compressed, and later reads prune columns and push filters.  A lost executor re-reads
+    the files instead of recomputing anything upstream.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark)
+    path = os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -21,6 +21,7 @@ from pairforge import constants as C
 from pairforge.functions import text as T
 from pairforge.operators.positional import dense_index
 from pairforge.operators.regroup import regroup_ordered
+from pairforge.session import materialize
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -161,7 +162,7 @@ def responses(spark: SparkSession, sf_dir: str, keep_reference: bool = False) ->
     as the generation stage's written output is shared by every later stage."""
     key = (id(spark._jsparkSession), os.path.abspath(sf_dir))
     if key not in _RESPONSES_MEMO:
-        _RESPONSES_MEMO[key] = responses_from_examples(examples(spark, sf_dir), keep_reference=True).checkpoint(eager=True)
+        _RESPONSES_MEMO[key] = materialize(responses_from_examples(examples(spark, sf_dir), keep_reference=True), "responses")
     out = _RESPONSES_MEMO[key]
     return out if keep_reference else out.drop("reference_output")
 
