@@ -3,7 +3,8 @@
 ``row_number() OVER (ORDER BY ...)`` without a partition runs in a single task, which does
 not survive 100 TB.  ``dense_index`` does what ``zipWithIndex`` does, in DataFrame form:
 
-1. range-partition on the ordering keys and sort within partitions (one shuffle);
+1. range-partition on the ordering keys and sort within partitions (one shuffle; AQE may
+   merge adjacent small ranges);
 2. tag each row with its partition id and its ordinal inside the partition, and write the
    tagged rows once as a table in the shared checkpoint folder, so the sampled range bounds
    and the tags cannot change if an executor is lost and a stage is recomputed;
@@ -28,13 +29,6 @@ _ORD = "__pf_ord"
 _ORD_BITS = 33
 
 
-def _partition_count(df: DataFrame, num_partitions: int | None) -> int:
-    if num_partitions:
-        return int(num_partitions)
-    conf = df.sparkSession.conf
-    return int(conf.get("spark.sql.shuffle.partitions", "200") or 200)
-
-
 def dense_index(
     df: DataFrame,
     order_by: Sequence[str | Column],
@@ -47,9 +41,11 @@ def dense_index(
     broken by the physical order of the written data, which is fixed once written.
     """
     keys = [F.col(k) if isinstance(k, str) else k for k in order_by]
-    n = _partition_count(df, num_partitions)
+    # Without an explicit count AQE may coalesce neighbouring ranges to its advisory size;
+    # coalescing is contiguous, so partition index order still follows key order.
+    ranged = df.repartitionByRange(int(num_partitions), *keys) if num_partitions else df.repartitionByRange(*keys)
     tagged = materialize(
-        df.repartitionByRange(n, *keys)
+        ranged
         .sortWithinPartitions(*keys)
         .withColumn(_PID, F.spark_partition_id())
         .withColumn(_ORD, F.monotonically_increasing_id()),

@@ -86,5 +86,5 @@ def stream_quiet_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{GAP_HOURS} hours", f"{DELAY_HOURS} hours",
     )
     out = os.path.join(folder, "sessions")
-    X.run_append(sessions, out, os.path.join(folder, "_checkpoint"))
+    X.run_append(sessions, out, os.path.join(folder, "_checkpoint"), state_partitions=spark.sparkContext.defaultParallelism)
     return spark.read.parquet(out)

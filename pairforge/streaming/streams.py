@@ -95,15 +95,29 @@ def quiet_sessions(
     )
 
 
-def run_append(stream: DataFrame, out_path: str, checkpoint: str, fmt: str = "parquet", trigger: dict | None = None):
-    """Append-mode file sink (exactly-once via the sink's commit log)."""
-    q = (
+def run_append(
+    stream: DataFrame, out_path: str, checkpoint: str, fmt: str = "parquet", trigger: dict | None = None,
+    state_partitions: int | None = None,
+):
+    """Append-mode file sink (exactly-once via the sink's commit log).
+
+    ``state_partitions`` sizes the state store of a new stateful query (it is fixed in the
+    checkpoint at first start); the session setting is restored right after the start.
+    """
+    spark = stream.sparkSession
+    writer = (
         stream.writeStream.format(fmt)
         .outputMode("append")
         .option("path", out_path)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
-        .start()
     )
+    previous = spark.conf.get("spark.sql.shuffle.partitions")
+    if state_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    try:
+        q = writer.start()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", previous)
     q.awaitTermination()
     return q
