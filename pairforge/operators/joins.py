@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 def resume_pending(rows: DataFrame, done: DataFrame | None, key: str = "example_id") -> DataFrame:
     """Rows whose ``key`` is not in ``done`` (missing output = nothing done).
 
+    The done side is reduced to its distinct ids first (A6), so repeated appends of the
+    same id do not inflate the join.
+
     Place it before any inference hook: a filter above ``mapInPandas`` is not pushed below it.
     """
     if done is None:
@@ -27,8 +30,8 @@ def exclude_by_text(rows: DataFrame, used: DataFrame | None, col: str = "prompt"
     """Drop rows whose ``col`` equals any text in ``used`` (exact string equality).
 
     The join key is ``sha2(text)`` plus the text itself: the digest spreads long strings
-    evenly over the shuffle and equality on the text keeps the match exact.  Left duplicates
-    survive (bag semantics, not EXCEPT).
+    evenly over the shuffle and equality on the text keeps the match exact.  The used side is
+    a distinct set (A6); left duplicates survive (bag semantics, not EXCEPT).
     """
     if used is None:
         return rows
