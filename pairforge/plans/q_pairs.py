@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,7 +24,7 @@ from pairforge.plans.catalog import (
     register,
 )
 from pairforge.sources import tables as TB
-from pairforge.session import materialize
+from pairforge.session import materialize, stage_key
 
 
 def _judged(spark, sf_dir, mode) -> DataFrame:
@@ -203,7 +205,7 @@ _HELDOUT_MEMO: dict = {}
 
 def _heldout(spark, sf_dir, keep_reference=False) -> DataFrame:
     """Held-out evaluation rows; like ``examples``, a stage table shared by the queries of a session."""
-    key = (id(spark._jsparkSession), sf_dir)
+    key = stage_key(spark, os.path.join(sf_dir, "conversations.parquet"))
     if key not in _HELDOUT_MEMO:
         ex = TB.examples(spark, sf_dir)
         held = EV.heldout_examples(ex, TB.prior_generation_prompts(ex), keep_reference=True)

@@ -70,3 +70,16 @@ def materialize(df, name: str = "stage"):
     path = os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def stage_key(spark, *paths: str) -> tuple:
+    """Memo key for a stage table derived from ``paths`` within one session: the JVM
+    session's UUID plus each source's path, length and modification time."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    sig = []
+    for p in paths:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        st = hp.getFileSystem(conf).getFileStatus(hp)
+        sig.append((p, st.getLen(), st.getModificationTime()))
+    return (spark._jsparkSession.sessionUUID(), tuple(sig))

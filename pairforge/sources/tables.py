@@ -21,7 +21,7 @@ from pairforge import constants as C
 from pairforge.functions import text as T
 from pairforge.operators.positional import dense_index
 from pairforge.operators.regroup import regroup_ordered
-from pairforge.session import materialize
+from pairforge.session import materialize, stage_key
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -32,7 +32,7 @@ CANDIDATE_STRIDE = 7
 
 # One materialised examples table per (session, source folder): several queries in one
 # session share it the way they would share a written table.
-_EXAMPLES_MEMO: dict[tuple[int, str], DataFrame] = {}
+_EXAMPLES_MEMO: dict[tuple, DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,7 +75,7 @@ def examples_from_conversations(conversations: DataFrame) -> DataFrame:
 
 def examples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M1 rows ``example_id, conv_id, turn, instruction, input, output`` (memoised per session)."""
-    key = (id(spark._jsparkSession), os.path.abspath(sf_dir))
+    key = stage_key(spark, os.path.join(sf_dir, "conversations.parquet"))
     cached = _EXAMPLES_MEMO.get(key)
     if cached is not None:
         return cached
@@ -154,13 +154,13 @@ def responses_from_examples(
     )
 
 
-_RESPONSES_MEMO: dict[tuple[int, str], DataFrame] = {}
+_RESPONSES_MEMO: dict[tuple, DataFrame] = {}
 
 
 def responses(spark: SparkSession, sf_dir: str, keep_reference: bool = False) -> DataFrame:
     """M2 rows for the driver tables; a checkpointed stage table shared within a session,
     as the generation stage's written output is shared by every later stage."""
-    key = (id(spark._jsparkSession), os.path.abspath(sf_dir))
+    key = stage_key(spark, os.path.join(sf_dir, "conversations.parquet"))
     if key not in _RESPONSES_MEMO:
         _RESPONSES_MEMO[key] = materialize(responses_from_examples(examples(spark, sf_dir), keep_reference=True), "responses")
     out = _RESPONSES_MEMO[key]
