@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -112,7 +113,6 @@ def new_tokens(output_ids: Column, padded_width: Column) -> Column:
 
 def pandas_tokenizer(encode: Callable[[list[str]], list[list[int]]]):
     """Wrap a batch encoder (e.g. a learned BPE) as a vectorised ``ARRAY<INT>`` UDF."""
-    import pandas as pd
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def _encode(texts: pd.Series) -> pd.Series:

@@ -49,3 +49,21 @@ def test_align_completion(spark):
     assert _one(spark, a["tokens_aligned"]) is True
     b = TK.align_completion(F.lit("Human: x y "), F.lit("Assistant: z"))
     assert _one(spark, b["tokens_aligned"]) is False
+
+
+def test_pandas_tokenizer_hook_feeds_native_masking(spark):
+    vocab = {}
+
+    def encode(texts):
+        return [[vocab.setdefault(w, len(vocab) + 1) for w in t.split()] for t in texts]
+
+    tok = TK.pandas_tokenizer(encode)
+    df = spark.createDataFrame([("a b", "a b c d")], "prompt string, full string")
+    staged = df.select(tok("prompt").alias("p"), tok("full").alias("ids"))
+    ids, mask = TK.pad_right(F.col("ids"), 6, pad_id=0)
+    out = staged.select(ids.alias("ids"), mask.alias("mask"), F.col("p")).select(
+        "ids", "mask", TK.common_prefix_len(F.col("p"), F.col("ids")).alias("plen")
+    )
+    r = out.select(TK.loss_labels(F.col("ids"), F.col("mask"), F.col("plen")).alias("labels"), "plen").first()
+    assert r.plen == 2
+    assert list(r.labels)[:2] == [-100, -100] and list(r.labels)[4:] == [-100, -100]
