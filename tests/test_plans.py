@@ -2,7 +2,6 @@
 column pruning and pushed filters at the scans, anti-joins where resume/leakage apply."""
 
 import pytest
-from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from pairforge.operators import pairs as P

@@ -7,7 +7,6 @@ import __spark_entry__ as E
 from pairforge.sources.tables import TABLES
 from tests.conftest import SF_SMALL
 
-sys_path_ok = True
 
 
 def _norm(v):
