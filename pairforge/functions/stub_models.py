@@ -119,11 +119,12 @@ STUB_RANK_JUDGE_ID = "stub/length-ranker"
 
 
 def stub_systems(instruction: str = "instruction", reference: str = "reference_output") -> dict[str, ExpressionModel]:
-    """Three systems of increasing answer length: a prompt parrot, a clipped answer, the full answer."""
+    """Three systems built from whole texts: a prompt parrot (the instruction), the reference
+    answer, and the answer followed by the instruction (always the longest)."""
     return {
-        "pretrained": ExpressionModel("stub/pretrained", lambda _p: F.substr(F.col(instruction), F.lit(1), F.lit(60))),
-        "sft": ExpressionModel("stub/sft", lambda _p: F.substr(F.col(reference), F.lit(1), F.lit(160))),
-        "dpo": ExpressionModel("stub/dpo", lambda _p: F.col(reference)),
+        "pretrained": ExpressionModel("stub/pretrained", lambda _p: F.col(instruction)),
+        "sft": ExpressionModel("stub/sft", lambda _p: F.col(reference)),
+        "dpo": ExpressionModel("stub/dpo", lambda _p: F.concat(F.col(reference), F.lit("\n"), F.col(instruction))),
     }
 
 
@@ -175,17 +176,18 @@ def stub_rank_judge(key: str = "eval_id", labelled: str = "labelled_responses")
 
 # ---- a Python-side generation stub behind the Arrow hook ------------------------------------
 
-STUB_GENERATOR_ID = "stub/prefix-sampler"
+STUB_GENERATOR_ID = "stub/echo-sampler"
 
 
-def prefix_sampler_factory():
-    """Factory for ``PandasModel``: sample ``j`` echoes a growing slice of the prompt body.
+def echo_sampler_factory():
+    """Factory for ``PandasModel``: sample ``j`` repeats the whole stripped prompt ``j + 1``
+    times, space-separated.
 
     Stands in for a sampling language model so the ``mapInPandas`` path (worker-level model
     cache, batching, error isolation, long output + regroup) runs on real rows.
     """
 
     def generate(prompts: list[str], num_samples: int) -> list[list[str]]:
-        return [[" " + p[7 : 7 + 40 * (j + 1)] + " " for j in range(num_samples)] for p in prompts]
+        return [[" ".join([p.strip()] * (j + 1)) for j in range(num_samples)] for p in prompts]
 
     return generate

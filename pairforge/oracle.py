@@ -232,9 +232,9 @@ heldout AS (
 
 EVAL_CTE = HELDOUT_CTE + f""",
 _sysout AS (
-  SELECT eval_id, 'pretrained' AS system, {ensure_prefix('substr(instruction, 1, 60)')} AS text FROM heldout
-  UNION ALL SELECT eval_id, 'sft', {ensure_prefix('substr(reference_output, 1, 160)')} FROM heldout
-  UNION ALL SELECT eval_id, 'dpo', {ensure_prefix('reference_output')} FROM heldout
+  SELECT eval_id, 'pretrained' AS system, {ensure_prefix('instruction')} AS text FROM heldout
+  UNION ALL SELECT eval_id, 'sft', {ensure_prefix('reference_output')} FROM heldout
+  UNION ALL SELECT eval_id, 'dpo', {ensure_prefix("reference_output || chr(10) || instruction")} FROM heldout
 ),
 _lab AS (
   SELECT eval_id, system, text,

@@ -170,15 +170,17 @@ def judge_prompt_best_worst(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("example_id", T.rank_best_worst_prompt("instruction", "input", "responses").alias("rank_prompt"))
 
 
+def _echo_sql(j: int) -> str:
+    p = O.strip(O.prompt("instruction", "input"))
+    return O.ensure_prefix(f"array_to_string(list_transform(range({j + 1}), lambda _x: {p}), ' ')")
+
+
 @register(
     "generate_candidates",
     O.with_ctes(
         O.EXAMPLES_CTE,
         f"""SELECT example_id, {O.prompt('instruction', 'input')} AS prompt, 4 AS n_candidates,
-                  {O.ensure_prefix(f"substr({O.prompt('instruction', 'input')}, 8, 40)")} || chr(31) ||
-                  {O.ensure_prefix(f"substr({O.prompt('instruction', 'input')}, 8, 80)")} || chr(31) ||
-                  {O.ensure_prefix(f"substr({O.prompt('instruction', 'input')}, 8, 120)")} || chr(31) ||
-                  {O.ensure_prefix(f"substr({O.prompt('instruction', 'input')}, 8, 160)")} AS candidates
+                  {_echo_sql(0)} || chr(31) || {_echo_sql(1)} || chr(31) || {_echo_sql(2)} || chr(31) || {_echo_sql(3)} AS candidates
            FROM examples""",
     ),
     "R1/A7/P4 multi-sample generation through the mapInPandas model hook, regrouped by sample index",
@@ -188,7 +190,7 @@ def generate_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pairforge.operators.regroup import regroup_ordered
 
     ex = _ex(spark, sf_dir).select("example_id", T.format_prompt("instruction", "input").alias("prompt"))
-    model = PandasModel(S.STUB_GENERATOR_ID, S.prefix_sampler_factory, batch_size=C.GEN_BATCH_SIZE)
+    model = PandasModel(S.STUB_GENERATOR_ID, S.echo_sampler_factory, batch_size=C.GEN_BATCH_SIZE)
     long = generate_long(ex, model, "example_id", "prompt", C.NUM_SAMPLES)
     long = long.filter(F.col("error").isNull()).withColumn("text", T.ensure_assistant_prefix("text"))
     grouped = regroup_ordered(long, "example_id", "sample_index", "text", "responses")

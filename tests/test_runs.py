@@ -14,7 +14,7 @@ def test_generate_judge_train_eval(spark, scratch):
     ex = TB.examples(spark, SF_SMALL)
     n = ex.count()
     gen_out = os.path.join(scratch, "gen")
-    model = PandasModel("stub/prefix-sampler", S.prefix_sampler_factory)
+    model = PandasModel("stub/echo-sampler", S.echo_sampler_factory)
     first = runs.generation_run(spark, ex, model, gen_out, max_examples=10, chunk_id=0)
     assert first.count() == 10
     second = runs.generation_run(spark, ex, model, gen_out, chunk_id=1)  # resume: only the rest
