@@ -121,3 +121,10 @@ def run_append(
         spark.conf.set("spark.sql.shuffle.partitions", previous)
     q.awaitTermination()
     return q
+
+
+def dedupe(stream: DataFrame, key: str, ts: str, delay: str) -> DataFrame:
+    """Drop re-delivered rows with the same ``key`` seen within ``delay`` of event time
+    (state is bounded by the watermark, unlike an unbounded ``dropDuplicates``)."""
+    timed = stream.withColumn("__dedupe_ts", F.col(ts).cast("timestamp")).withWatermark("__dedupe_ts", delay)
+    return timed.dropDuplicatesWithinWatermark([key]).drop("__dedupe_ts")

@@ -41,3 +41,23 @@ def test_quiet_sessions_close_after_gap(spark, scratch):
     X.run_append(s, out, os.path.join(scratch, "ck"))
     got = sorted((r.u, r.n_files, r.has_config, r.has_weights) for r in spark.read.parquet(out).collect())
     assert got == [(1, 1, False, False), (1, 2, True, True)]
+
+
+def test_dedupe_within_watermark(spark, scratch):
+    src = os.path.join(scratch, "dups")
+    rows = [(1, "2024-01-01 00:00:00"), (1, "2024-01-01 00:00:05"), (2, "2024-01-01 00:00:01"), (2, "2024-01-01 00:00:01")]
+    spark.createDataFrame(rows, "example_id long, ts string").select("example_id", F.to_timestamp("ts").alias("ts")).write.parquet(src)
+    stream = X.file_stream(spark, src, "example_id long, ts timestamp", "parquet")
+    out = os.path.join(scratch, "out")
+    X.run_append(X.dedupe(stream, "example_id", "ts", "1 hour"), out, os.path.join(scratch, "ck"))
+    assert sorted(r.example_id for r in spark.read.parquet(out).collect()) == [1, 2]
+
+
+def test_stage_counters_are_observed(spark):
+    from pairforge.operators.stages import observations
+    import __spark_entry__ as E
+    from tests.conftest import SF_SMALL
+
+    E.queries()["pairs_teacher"](spark, SF_SMALL).collect()
+    counters = observations()["judge_teacher"].get
+    assert counters["pending"] == counters["kept"] + counters["skipped"] and counters["kept"] > 0
