@@ -72,6 +72,18 @@ def run_batches(
     return query
 
 
+def poll(
+    stream: DataFrame,
+    process: Callable[[DataFrame], DataFrame],
+    out_path: str,
+    checkpoint: str,
+    interval: str = "300 seconds",
+):
+    """X1 in production: scan for new files every ``interval`` and process them as one
+    micro-batch; returns the running query (stop it with ``query.stop()``)."""
+    return run_batches(stream, process, out_path, checkpoint, trigger={"processingTime": interval}, wait=False)
+
+
 def quiet_sessions(
     events: DataFrame, key: str, ts: str, kind: str, required: tuple[str, str], gap: str, delay: str
 ) -> DataFrame:

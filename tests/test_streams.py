@@ -61,3 +61,15 @@ def test_stage_counters_are_observed(spark):
     E.queries()["pairs_teacher"](spark, SF_SMALL).collect()
     counters = observations()["judge_teacher"].get
     assert counters["pending"] == counters["kept"] + counters["skipped"] and counters["kept"] > 0
+
+
+def test_poll_processes_new_files(spark, scratch):
+    src = os.path.join(scratch, "in")
+    spark.range(0, 5).withColumnRenamed("id", "k").write.json(src)
+    out = os.path.join(scratch, "out")
+    q = X.poll(X.file_stream(spark, src, "k long", "json"), lambda b: b, out, os.path.join(scratch, "ck"), interval="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert spark.read.parquet(out).count() == 5
