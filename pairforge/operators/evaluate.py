@@ -198,6 +198,6 @@ def best_model_counts(results: DataFrame, systems: Sequence[str] = C.SYSTEMS) ->
     them with the observed rows: no join, and a dominant system is pre-aggregated map-side.
     """
     spark = results.sparkSession
-    zeros = spark.createDataFrame([(s, 0) for s in systems], "best_model string, n long")
+    zeros = spark.range(1).select(F.explode(F.array(*[F.lit(s) for s in systems])).alias("best_model"), F.lit(0).cast("long").alias("n"))
     seen = results.select(F.coalesce(F.col("best_model"), F.lit("")).alias("best_model"), F.lit(1).cast("long").alias("n"))
     return seen.unionByName(zeros).groupBy("best_model").agg(F.sum("n").alias("n"))

@@ -52,7 +52,7 @@ def completed_ids(spark: SparkSession, path: str, key: str = "example_id", fmt:
     """
     schema = T.StructType([T.StructField(key, T.LongType())])
     if not _exists(spark, path):
-        return spark.createDataFrame([], schema)
+        return spark.range(0).select(F.lit(None).cast("long").alias(key))
     reader = spark.read.schema(schema)
     df = reader.json(path) if fmt == "json" else reader.format(fmt).load(path)
     return df.select(key).filter(F.col(key).isNotNull())
