@@ -56,12 +56,16 @@ def heldout_examples(
     return exclude_by_text(rows, used_prompts, "prompt")
 
 
-def system_outputs(heldout: DataFrame, models: dict[str, TextModel], key: str = "eval_id") -> DataFrame:
-    """R2: one generation stage per system; long rows ``(key, system, text)`` (P4 applied)."""
+def system_outputs(
+    heldout: DataFrame, models: dict[str, TextModel], key: str = "eval_id", carry: Sequence[str] = ()
+) -> DataFrame:
+    """R2: one generation stage per system; long rows ``(key, system, text, *carry)`` (P4 applied)."""
     parts = []
     for system, model in models.items():
         gen = model.apply(heldout, "prompt", "__out").filter(F.col("__out_error").isNull())
-        parts.append(gen.select(key, F.lit(system).alias("system"), T.ensure_assistant_prefix("__out").alias("text")))
+        parts.append(
+            gen.select(key, F.lit(system).alias("system"), T.ensure_assistant_prefix("__out").alias("text"), *carry)
+        )
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -119,9 +123,13 @@ def rank_metrics(ranking: Column, label_order: Column) -> dict[str, Column]:
 
 
 def prepare_blind(heldout: DataFrame, models: dict[str, TextModel], seed: int = C.DEFAULT_SEED) -> DataFrame:
-    """R2 → D3 → L6 → P9: assembled responses, label order/map and the blind prompt."""
-    long = system_outputs(heldout, models)
-    assembled = assemble_systems(long, "eval_id").join(heldout, "eval_id")
+    """R2 → D3 → L6 → P9: assembled responses, label order/map and the blind prompt.
+
+    One shuffle: the per-system rows carry the example's columns, so assembly needs no join.
+    """
+    carry = [c for c in heldout.columns if c != "eval_id"]
+    long = system_outputs(heldout, models, carry=carry)
+    assembled = assemble_systems(long, "eval_id", carry=carry)
     return blind_prompts(assembled, tuple(models), seed)
 
 

@@ -58,13 +58,18 @@ def leakage_audit(rows: DataFrame, used: DataFrame, group: Sequence[str] = ("spl
     )
 
 
-def assemble_systems(long_outputs: DataFrame, key: str, system: str = "system", text: str = "text") -> DataFrame:
+def assemble_systems(
+    long_outputs: DataFrame, key: str, system: str = "system", text: str = "text", carry: Sequence[str] = ()
+) -> DataFrame:
     """D3: long ``(key, system, text)`` → one row per key with ``MAP<system, text>``.
 
     Groups hold one row per system, so the collect is bounded by the number of systems.
+    ``carry`` columns are identical on every row of a key (the hooks pass their inputs
+    through), so they ride along in the same aggregation instead of a join back.
     """
     return long_outputs.groupBy(key).agg(
-        F.map_from_entries(F.collect_list(F.struct(F.col(system), F.col(text)))).alias("responses")
+        F.map_from_entries(F.collect_list(F.struct(F.col(system), F.col(text)))).alias("responses"),
+        *[F.any_value(c).alias(c) for c in carry],
     )
 
 
