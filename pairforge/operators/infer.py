@@ -120,13 +120,25 @@ def _call_isolated(generate, prompts: list[str], num_samples: int):
         return texts, errors
 
 
-def generate_long(df: DataFrame, model: TextModel, key: str, prompt_col: str, num_samples: int, out_col: str = "text") -> DataFrame:
-    """R1 output in long form ``(key, sample_index, text, error)``, ready for A7 regrouping."""
-    wide = model.apply(df.select(key, prompt_col), prompt_col, "__gen", num_samples)
+def generate_long(
+    df: DataFrame, model: TextModel, key: str, prompt_col: str, num_samples: int, out_col: str = "text",
+    carry: tuple[str, ...] = (),
+) -> DataFrame:
+    """R1 output in long form ``(key, sample_index, text, error, *carry)``, ready for A7.
+
+    Only ``key``, the prompt and ``carry`` columns enter the hook (column pruning does not
+    reach through a Python map); carried columns come back on every sample row so the
+    regroup can keep them without a join.
+    """
+    cols = [key, prompt_col] + [c for c in carry if c not in (key, prompt_col)]
+    wide = model.apply(df.select(*cols), prompt_col, "__gen", num_samples)
     if num_samples == 1:
-        return wide.select(key, F.lit(0).alias("sample_index"), F.col("__gen").alias(out_col), F.col("__gen_error").alias("error"))
+        return wide.select(
+            key, F.lit(0).alias("sample_index"), F.col("__gen").alias(out_col), F.col("__gen_error").alias("error"), *carry
+        )
     return wide.select(
         key,
         F.posexplode_outer("__gen").alias("sample_index", out_col),
         F.col("__gen_error").alias("error"),
+        *carry,
     )

@@ -191,10 +191,9 @@ def generate_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     ex = _ex(spark, sf_dir).select("example_id", T.format_prompt("instruction", "input").alias("prompt"))
     model = PandasModel(S.STUB_GENERATOR_ID, S.echo_sampler_factory, batch_size=C.GEN_BATCH_SIZE)
-    long = generate_long(ex, model, "example_id", "prompt", C.NUM_SAMPLES)
+    long = generate_long(ex, model, "example_id", "prompt", C.NUM_SAMPLES, carry=("prompt",))
     long = long.filter(F.col("error").isNull()).withColumn("text", T.ensure_assistant_prefix("text"))
-    grouped = regroup_ordered(long, "example_id", "sample_index", "text", "responses")
-    out = grouped.join(ex, "example_id")
+    out = regroup_ordered(long, "example_id", "sample_index", "text", "responses", extra={"prompt": F.any_value("prompt")})
     return out.select(
         "example_id", "prompt", F.size("responses").alias("n_candidates"), F.array_join("responses", SEP).alias("candidates")
     )

@@ -60,12 +60,15 @@ def generation_run(
         rows = resume_pending(rows, io.completed_ids(spark, out_path))
     rows = rows.select("example_id", "instruction", T.or_empty("input").alias("input"),
                        T.format_prompt("instruction", "input").alias("prompt"))
-    long = generate_long(rows, model, "example_id", "prompt", num_samples)
+    carry = ("prompt", "instruction", "input")
+    long = generate_long(rows, model, "example_id", "prompt", num_samples, carry=carry)
     long = long.filter(F.col("error").isNull()).withColumn("text", T.ensure_assistant_prefix("text"))
-    grouped = regroup_ordered(long, "example_id", "sample_index", "text", "responses")
+    grouped = regroup_ordered(
+        long, "example_id", "sample_index", "text", "responses", extra={c: F.any_value(c) for c in carry}
+    )
     cfg = dict(config or {})
     cfg.setdefault("model_id", model.name)
-    out = rows.join(grouped, "example_id").select(
+    out = grouped.select(
         "example_id", "instruction", "input", "prompt", "responses",
         gen_config(num_samples=num_samples, **cfg).alias("gen_config"),
     )
