@@ -144,3 +144,15 @@ def text_containment(
     )
     unindexed = it.filter(F.col("__L") < 1).select(F.lit(None).cast(docs.schema[doc_key].dataType).alias(doc_key), item_key)
     return confirmed.unionByName(unindexed)
+
+
+def config_mismatches(generated: DataFrame, expected: DataFrame | None = None, **expected_values) -> DataFrame:
+    """Q6: resume ignores ``gen_config``; count rows generated under a different config.
+
+    ``expected_values`` names the fields to compare (e.g. ``model_id=..., seed=42``).
+    """
+    differs = [F.col(f"gen_config.{k}") != F.lit(v) for k, v in expected_values.items()]
+    any_diff = differs[0]
+    for d in differs[1:]:
+        any_diff = any_diff | d
+    return generated.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(any_diff).alias("n_config_mismatch"))

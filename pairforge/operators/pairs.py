@@ -150,3 +150,15 @@ def training_pairs(preferences: DataFrame) -> DataFrame:
     if missing:
         raise ValueError(f"preference rows lack columns {missing}")
     return preferences.select("prompt", "chosen", "rejected")
+
+
+def pair_checks(pairs: DataFrame) -> DataFrame:
+    """Q16: the reference never checks pairs; report, per mode, how many have identical sides
+    or an empty side (after W1 strip and dropping the ``Assistant:`` prefix)."""
+    body = lambda c: T.strip_ws(T.strip_assistant_prefix(T.strip_ws(c)))
+    return pairs.groupBy("preference_mode").agg(
+        F.count(F.lit(1)).alias("n_pairs"),
+        F.count_if(F.col("chosen") == F.col("rejected")).alias("same_text"),
+        F.count_if(body(F.col("chosen")) == "").alias("empty_chosen"),
+        F.count_if(body(F.col("rejected")) == "").alias("empty_rejected"),
+    )

@@ -250,3 +250,23 @@ def leakage_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
         "split", F.concat(F.lit("Human: "), "instruction", F.lit(" "), "input", F.lit(" ")).alias("prompt")
     )
     return J.leakage_audit(rows, TB.prior_generation_prompts(ex), ["split"])
+
+
+def _checks_sql(p: str, mode_sql: str) -> str:
+    body = lambda c: O.strip(O.strip_prefix(O.strip(c)))
+    return f"""SELECT preference_mode, count(*) AS n_pairs, count(*) FILTER (WHERE chosen = rejected) AS same_text,
+  count(*) FILTER (WHERE {body('chosen')} = '') AS empty_chosen,
+  count(*) FILTER (WHERE {body('rejected')} = '') AS empty_rejected
+FROM ({mode_sql}) GROUP BY preference_mode"""
+
+
+@register(
+    "pair_checks",
+    O.with_ctes(
+        RESP_BOTH,
+        _checks_sql("", f"{_teacher_pairs_sql_body('t')}\nUNION ALL\n{_best_worst_sql_body('w')}"),
+    ),
+    "Q16 pair audit per mode: identical sides and empty sides (the reference never checks)",
+)
+def pair_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.pair_checks(P.pair_union(_teacher_pairs_df(spark, sf_dir), _best_worst_pairs_df(spark, sf_dir)))

@@ -45,6 +45,7 @@ def generation_run(
     resume: bool = True,
     chunk_id=None,
     config: dict | None = None,
+    dedupe: bool = False,
 ) -> DataFrame:
     """Examples → (split) → head-N → resume → P1 → hook (R1) → A7 → stamp → append.
 
@@ -56,6 +57,8 @@ def generation_run(
     elif split != "train":
         raise ValueError("split must be 'train' or 'validation'")
     rows = SM.head(rows, "example_id", max_examples) if max_examples is not None else rows
+    if dedupe:
+        rows = rows.dropDuplicates(["example_id"])  # Q5: optional; the reference appends duplicates
     if resume:
         rows = resume_pending(rows, io.completed_ids(spark, out_path))
     rows = rows.select("example_id", "instruction", T.or_empty("input").alias("input"),
@@ -90,6 +93,7 @@ def judging_run(
     resume: bool = True,
     dead_letter_path: str | None = None,
     chunk_id=None,
+    dedupe: bool = False,
 ) -> tuple[DataFrame, dict]:
     """Generated rows → offset/limit → resume → judge → pairs (+ dead letters) → append.
 
@@ -100,6 +104,8 @@ def judging_run(
     rows = generated
     if offset or max_examples is not None:
         rows = SM.head_offset(dense_index(rows, ["example_id"], "__pos"), "__pos", offset, max_examples).drop("__pos")
+    if dedupe:
+        rows = rows.dropDuplicates(["example_id"])  # Q5/Q14: off by default, like the reference
     if resume:
         rows = resume_pending(rows, io.completed_ids(spark, out_path))
     judged = materialize(P.judge_candidates(rows, judge, mode), "judged")

@@ -55,3 +55,14 @@ def test_summary_and_publish(spark, scratch):
     assert pub.count() == 1
     io.write_summary(pub.groupBy().count(), os.path.join(scratch, "summary"))
     assert spark.read.json(os.path.join(scratch, "summary")).first()["count"] == 1
+
+
+def test_config_mismatch_audit(spark):
+    from pyspark.sql import functions as F
+
+    from pairforge.operators.joins import config_mismatches
+
+    df = spark.createDataFrame([(1, "m", 42), (2, "m", 7), (3, "x", 42)], "example_id long, model_id string, seed long")
+    gen = df.select("example_id", F.struct("model_id", "seed").alias("gen_config"))
+    r = config_mismatches(gen, model_id="m", seed=42).first()
+    assert (r.n_rows, r.n_config_mismatch) == (3, 2)
