@@ -5,7 +5,8 @@ provenance stamps and splits.  They are stated once here, in natural order.
 """
 
 # ---- fixed values: model identifiers and provenance -------------------------------------
-SFT_MODEL_ID = "ArnavM3434/gpt2-alpaca-second-try"
+# The fine-tuned model is whatever the user trained; its id is a caller-supplied stamp.
+SFT_MODEL_ID = "sft-model"
 BASE_MODEL_ID = "gpt2"
 JUDGE_PROMPT_VERSION = "v3-transformers-teacher"
 DEFAULT_JUDGE_MODEL = "Qwen/Qwen2.5-7B-Instruct"
