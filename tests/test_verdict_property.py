@@ -4,7 +4,6 @@ text).  One Spark job evaluates every generated case."""
 
 import json
 import math
-import re
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -15,18 +14,29 @@ from pairforge.functions import verdict as V
 N = 4
 
 
+def _as_python_int(value):
+    """``int(value)`` as Python evaluates it, or None where it would raise."""
+    try:
+        return int(value)
+    except (ValueError, TypeError, OverflowError):
+        return None
+
+
 def python_semantics(text: str):
-    """What Python's standard library makes of the reply: greedy span, one JSON document,
-    ``int()`` of the value; anything that raises (including overflow) is no verdict."""
-    found = re.search(r"\{.*\}", text, re.DOTALL)
-    if found is None:
+    """Expected verdict from the standard library's behaviour: the text between the first
+    ``{`` and the last ``}`` must decode as one JSON document whose ``best`` converts with
+    ``int()`` into 1..N."""
+    first, last = text.find("{"), text.rfind("}")
+    if first < 0 or last < first:
         return None
     try:
-        doc = json.loads(found.group(0))
-        value = int(doc["best"])
-    except (ValueError, TypeError, KeyError, OverflowError):
+        doc = json.loads(text[first : last + 1])
+    except ValueError:
+        return None
+    if "best" not in doc:
         return None
-    return value if 1 <= value <= N else None
+    n = _as_python_int(doc["best"])
+    return n if n is not None and 1 <= n <= N else None
 
 
 ascii_ws = st.sampled_from(["", " ", "  ", "\t", "\n", " \n "])
