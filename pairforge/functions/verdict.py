@@ -18,8 +18,13 @@ from pairforge.functions.exprcache import cached_expr
 from pairforge.functions.text import strip_ws
 
 _SPAN = r"(?s)\{.*\}"
-_STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false", "allowUnquotedControlChars": "false",
+# Python's json also reads the bare tokens NaN, Infinity and -Infinity, so the parser allows
+# non-numeric numbers; the extra spellings only Jackson accepts (+INF, -INF, +Infinity) are
+# rejected separately, outside string literals.
+_STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "true", "allowUnquotedControlChars": "false",
            "allowNumericLeadingZeros": "false", "allowBackslashEscapingAnyCharacter": "false", "mode": "PERMISSIVE"}
+_JSON_STRING = r'"(?:[^"\\]++|\\.)*+"'
+_NOT_PYTHON_NUMBER = r"[+-]INF|\+Infinity"
 _FIELDS = "best variant, worst variant, ranking variant, reason variant"
 _NUMERIC = ("TINYINT", "SMALLINT", "INT", "BIGINT", "FLOAT", "DOUBLE")
 # Python int(str): optional sign, ASCII digits with single underscores between groups.
@@ -36,10 +41,16 @@ def json_span(text) -> Column:
     return F.when(s != "", s)
 
 
+def _foreign_number_token(text: Column) -> Column:
+    """True when ``text`` holds a non-numeric literal Python's json refuses (outside strings)."""
+    outside_strings = F.regexp_replace(text, _JSON_STRING, '""')
+    return F.coalesce(text.rlike("INF|Infinity") & outside_strings.rlike(_NOT_PYTHON_NUMBER), F.lit(False))
+
+
 def strict_object(span, fields: str = _FIELDS) -> Column:
     """J-strict: the span parsed as exactly one JSON object, else NULL."""
     arr = F.from_json(F.concat(F.lit("["), span, F.lit("]")), f"array<struct<{fields}>>", _STRICT)
-    return F.when(F.size(arr) == 1, arr.getItem(0))
+    return F.when((F.size(arr) == 1) & ~_foreign_number_token(span), arr.getItem(0))
 
 
 def json_int(v) -> Column:
@@ -138,7 +149,7 @@ def parse_ranking(text, num_items: int = 3) -> Column:
 def is_valid_json(text) -> Column:
     """F7 content check: the whole text is one JSON document of any type (``json.loads`` succeeds)."""
     arr = F.from_json(F.concat(F.lit("["), _c(text), F.lit("]")), "array<variant>", _STRICT)
-    return F.coalesce(F.size(arr) == 1, F.lit(False))
+    return F.coalesce((F.size(arr) == 1) & ~_foreign_number_token(_c(text)), F.lit(False))
 
 
 # ---- DataFrame-level forms ---------------------------------------------------------------
