@@ -70,11 +70,19 @@ def json_int(v) -> Column:
     )
 
 
-def json_reason(v) -> Column:
-    """``parsed.get("reason", "")``: missing → "", JSON null → NULL, string → itself, other → JSON text."""
+def json_reason(v, span=None) -> Column:
+    """``parsed.get("reason", "")``: missing → "", JSON null → NULL, string → itself, other → JSON text.
+
+    A value holding an object with repeated keys cannot be a VARIANT (it comes back NULL);
+    given the ``span``, its raw JSON text is used instead, as for any other non-string.
+    """
     t = F.schema_of_variant(v)
+    missing = F.lit("")
+    if span is not None:
+        raw = F.from_json(span, "struct<reason:string>", _STRICT)["reason"]
+        missing = F.coalesce(raw, F.lit(""))
     return (
-        F.when(v.isNull(), F.lit(""))
+        F.when(v.isNull(), missing)
         .when(F.is_variant_null(v), F.lit(None).cast("string"))
         .when(t == "STRING", F.try_variant_get(v, "$", "string"))
         .otherwise(F.to_json(v))
@@ -120,6 +128,8 @@ def _ranking_items(span: Column, v: Column) -> Column:
         lambda ch: F.when(ch.rlike("^[0-9]$"), ch.cast("int")),
     )
     # Variant objects sort their keys; re-read the raw object text to keep document order.
+    # The raw text also covers objects with repeated keys, which a VARIANT cannot hold
+    # (the variant is NULL while the raw text starts with "{"); keys keep first occurrence.
     raw = F.from_json(span, "struct<ranking:string>", _STRICT)["ranking"]
     keys = F.array_distinct(F.json_object_keys(raw))
     from_object = F.transform(keys, _int_text)
@@ -127,6 +137,7 @@ def _ranking_items(span: Column, v: Column) -> Column:
         F.when(t.startswith("ARRAY"), from_array)
         .when(t == "STRING", from_string)
         .when(t.startswith("OBJECT"), from_object)
+        .when(v.isNull() & F.ltrim(raw).startswith("{"), from_object)
     )
 
 
@@ -178,8 +189,8 @@ def _int_of(name: str):
 
 
 @cached_expr
-def _reason_of(name: str):
-    return json_reason(F.col(name))
+def _reason_of(name: str, span: str = "__v_span"):
+    return json_reason(F.col(name), F.col(span))
 
 
 @cached_expr

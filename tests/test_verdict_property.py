@@ -70,3 +70,57 @@ def test_native_parser_matches_python_semantics(spark, cases):
             assert got[i] == want, text
         else:
             assert got[i] is None, text
+
+
+def _python_items(value):
+    """Python's iteration of a decoded JSON value: list elements, string characters or
+    object keys; numbers, booleans and null are not iterable (None)."""
+    if isinstance(value, (list, str, dict)):
+        return list(value)
+    return None
+
+
+def python_ranking(text: str):
+    first, last = text.find("{"), text.rfind("}")
+    if first < 0 or last < first:
+        return None
+    try:
+        doc = json.loads(text[first : last + 1])
+    except ValueError:
+        return None
+    items = _python_items(doc.get("ranking")) if "ranking" in doc else None
+    if items is None:
+        return None
+    ints = [_as_python_int(x) for x in items]
+    if any(i is None for i in ints) or sorted(ints) != [1, 2, 3]:
+        return None
+    return ints
+
+
+elements = st.one_of(
+    st.integers(min_value=0, max_value=4).map(str),
+    st.sampled_from(['"1"', '"2"', '"3"', '" 2"', '"2.0"', "2.0", "3.9", "true", "null", "[1]", '"01"']),
+)
+ranking_values = st.one_of(
+    st.lists(elements, min_size=0, max_size=4).map(lambda xs: "[" + ", ".join(xs) + "]"),
+    st.permutations(["1", "2", "3"]).map(lambda p: json.dumps("".join(p))),
+    st.sampled_from(['"12"', '"1 23"', '"1234"', '"+123"', '""', "123", "null", "true", "{}"]),
+    st.permutations(["1", "2", "3"]).map(lambda p: "{" + ", ".join(f'"{k}": 0' for k in p) + "}"),
+    st.sampled_from(['{"1": 0, "1": 1, "2": 0, "3": 0}', '{" 1": 0, "2": 0, "3": 0}', '{"01": 0, "2": 0, "3": 0}']),
+)
+
+
+@st.composite
+def ranking_replies(draw):
+    body = '{"ranking": ' + draw(ranking_values) + draw(st.sampled_from(["", ', "reason": "r"', ', "ranking": [3, 2, 1]'])) + "}"
+    return draw(prose) + body + draw(tails)
+
+
+@settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(ranking_replies(), min_size=150, max_size=150))
+def test_native_ranking_matches_python_semantics(spark, cases):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(cases)], "i int, t string")
+    rows = df.select("i", V.parse_ranking(F.col("t"), 3).alias("v")).collect()
+    got = {r.i: (list(r.v.ranking) if r.v else None) for r in rows}
+    for i, text in enumerate(cases):
+        assert got[i] == python_ranking(text), text
