@@ -124,3 +124,35 @@ def test_native_ranking_matches_python_semantics(spark, cases):
     got = {r.i: (list(r.v.ranking) if r.v else None) for r in rows}
     for i, text in enumerate(cases):
         assert got[i] == python_ranking(text), text
+
+
+def python_best_worst(text: str):
+    first, last = text.find("{"), text.rfind("}")
+    if first < 0 or last < first:
+        return None
+    try:
+        doc = json.loads(text[first : last + 1])
+    except ValueError:
+        return None
+    if "best" not in doc or "worst" not in doc:
+        return None
+    b, w = _as_python_int(doc["best"]), _as_python_int(doc["worst"])
+    if b is None or w is None or not (1 <= b <= N and 1 <= w <= N) or b == w:
+        return None
+    return (b, w)
+
+
+@st.composite
+def best_worst_replies(draw):
+    body = '{"best": ' + draw(values) + ', "worst": ' + draw(values) + draw(extras) + "}"
+    return draw(prose) + body + draw(tails)
+
+
+@settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(best_worst_replies(), min_size=150, max_size=150))
+def test_native_best_worst_matches_python_semantics(spark, cases):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(cases)], "i int, t string")
+    rows = df.select("i", V.parse_best_worst(F.col("t"), N).alias("v")).collect()
+    got = {r.i: ((r.v.best, r.v.worst) if r.v else None) for r in rows}
+    for i, text in enumerate(cases):
+        assert got[i] == python_best_worst(text), text
