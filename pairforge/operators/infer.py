@@ -100,23 +100,29 @@ class PandasModel(TextModel):
         return df.mapInPandas(run, schema)
 
 
+def _fatal(exc: BaseException) -> bool:
+    """Out-of-memory fails the task.  Accelerator libraries raise it as a RuntimeError
+    subclass (e.g. ``OutOfMemoryError``), so the class name is checked as well."""
+    return isinstance(exc, MemoryError) or "OutOfMemory" in type(exc).__name__
+
+
 def _call_isolated(generate, prompts: list[str], num_samples: int):
     try:
         outs = generate(prompts, num_samples)
         return [list(o) for o in outs], [None] * len(prompts)
-    except MemoryError:
-        raise
-    except RuntimeError:
+    except RuntimeError as exc:
+        if _fatal(exc):
+            raise
         texts, errors = [], []
         for p in prompts:
             try:
                 texts.append(list(generate([p], num_samples)[0]))
                 errors.append(None)
-            except MemoryError:
-                raise
-            except RuntimeError as exc:
+            except RuntimeError as row_exc:
+                if _fatal(row_exc):
+                    raise
                 texts.append(None)
-                errors.append(f"{type(exc).__name__}: {exc}")
+                errors.append(f"{type(row_exc).__name__}: {row_exc}")
         return texts, errors
 
 

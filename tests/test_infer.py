@@ -47,3 +47,20 @@ def test_expression_model(spark):
     df = spark.createDataFrame([(1, "x")], "id long, p string")
     m = ExpressionModel("upper", lambda c: F.upper(c))
     assert m.apply(df, "p", "o").first().o == "X"
+
+
+class OutOfMemoryError(RuntimeError):
+    """Named like the accelerator library's error, which subclasses RuntimeError."""
+
+
+def device_oom_factory():
+    def generate(prompts, n):
+        raise OutOfMemoryError("device out of memory")
+
+    return generate
+
+
+def test_device_out_of_memory_is_not_isolated(spark):
+    df = spark.createDataFrame([(1, "a")], "id long, p string")
+    with pytest.raises(Exception):
+        PandasModel("device-oom", device_oom_factory).apply(df, "p", "o").collect()
