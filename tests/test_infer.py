@@ -32,7 +32,7 @@ def test_error_isolation_marks_only_bad_rows(spark):
 
 def test_out_of_memory_fails_the_job(spark):
     df = spark.createDataFrame([(1, "a")], "id long, p string")
-    with pytest.raises(Exception):
+    with pytest.raises(Exception, match="out of memory"):
         PandasModel("oom", oom_factory).apply(df, "p", "o").collect()
 
 
@@ -62,5 +62,5 @@ def device_oom_factory():
 
 def test_device_out_of_memory_is_not_isolated(spark):
     df = spark.createDataFrame([(1, "a")], "id long, p string")
-    with pytest.raises(Exception):
+    with pytest.raises(Exception, match="device out of memory"):
         PandasModel("device-oom", device_oom_factory).apply(df, "p", "o").collect()
