@@ -26,25 +26,38 @@ def resume_pending(rows: DataFrame, done: DataFrame | None, key: str = "example_
     return rows.join(done.select(key).distinct(), key, "left_anti")
 
 
+def _same_text(left: DataFrame, right: DataFrame, col: str):
+    """Join condition for exact text equality keyed by a fixed-size digest.
+
+    Shuffle and sort keys are ``(sha2, length)``; the texts themselves are compared only
+    as a residual check on matched digests (``instr(a, b) = 1`` with equal lengths is
+    ``a = b``), so multi-kilobyte strings are never hashed for partitioning or sorted.
+    """
+    return (
+        (left["__k"] == right["__k"])
+        & (F.length(left[col]) == F.length(right["__t"]))
+        & (F.instr(left[col], right["__t"]) == 1)
+    )
+
+
 def exclude_by_text(rows: DataFrame, used: DataFrame | None, col: str = "prompt") -> DataFrame:
     """Drop rows whose ``col`` equals any text in ``used`` (exact string equality).
 
-    The join key is ``sha2(text)`` plus the text itself: the digest spreads long strings
-    evenly over the shuffle and equality on the text keeps the match exact.  The used side is
-    a distinct set (A6); left duplicates survive (bag semantics, not EXCEPT).
+    Keyed by the text's digest (see ``_same_text``); the used side is a distinct set (A6);
+    left duplicates survive (bag semantics, not EXCEPT).
     """
     if used is None:
         return rows
     right = used.select(F.sha2(F.col(col), 256).alias("__k"), F.col(col).alias("__t")).distinct()
     left = rows.withColumn("__k", F.sha2(F.col(col), 256))
-    return left.join(right, (left["__k"] == right["__k"]) & (left[col] == right["__t"]), "left_anti").drop("__k")
+    return left.join(right, _same_text(left, right, col), "left_anti").drop("__k")
 
 
 def flag_by_text(rows: DataFrame, used: DataFrame, col: str = "prompt", flag: str = "leaked") -> DataFrame:
     """D2b helper: mark rows whose text appears in ``used`` (semi-join as a boolean)."""
     right = used.select(F.sha2(F.col(col), 256).alias("__k"), F.col(col).alias("__t"), F.lit(True).alias(flag)).distinct()
     left = rows.withColumn("__k", F.sha2(F.col(col), 256))
-    out = left.join(right, (left["__k"] == right["__k"]) & (left[col] == right["__t"]), "left")
+    out = left.join(right, _same_text(left, right, col), "left").drop(right["__k"])
     return out.withColumn(flag, F.coalesce(F.col(flag), F.lit(False))).drop("__k", "__t")
 
 
