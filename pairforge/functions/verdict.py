@@ -1,12 +1,15 @@
 """Strict-yet-tolerant parsing of judge verdicts from free model text, natively.
 
-The reference takes the greedy dot-all span from the first ``{`` to the last ``}``, requires
-it to be exactly one JSON document, and converts fields with Python's ``int()``.  Spark's
-JSON functions are laxer (they stop after the first complete value), so the span is wrapped
-in ``[...]`` and parsed as an array that must hold exactly one object: trailing text,
-a second object, single quotes, trailing commas, NaN and raw control characters in strings
-all make the whole verdict NULL.  Fields are parsed as VARIANT so the JSON type of each value
-drives the ``int()`` emulation (J-int).
+A verdict is the greedy dot-all span from the first ``{`` to the last ``}``; it must be
+exactly one JSON document as Python's ``json`` reads it, and fields convert as Python's
+``int()`` does.  Spark's JSON functions are laxer (they stop after the first complete
+value), so the span is wrapped in ``[...]`` and parsed as an array that must hold exactly one
+object: trailing text, a second object, single quotes, trailing commas, leading zeros and
+raw control characters in strings make the whole verdict NULL.  Python's extra number
+tokens ``NaN``/``Infinity``/``-Infinity`` are accepted (and fail ``int()`` later), Jackson's
+other spellings are not.  Fields are parsed as VARIANT so the JSON type of each value drives
+the ``int()`` emulation (J-int); values a VARIANT cannot hold (objects with repeated keys)
+fall back to their raw JSON text.
 """
 
 from __future__ import annotations
