@@ -7,6 +7,8 @@ on both sides.
 
 from __future__ import annotations
 
+import os
+
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -16,6 +18,7 @@ from pairforge import constants as C
 from pairforge import oracle as O
 from pairforge.functions import stub_models as S
 from pairforge.operators import pairs as P
+from pairforge.session import stage_key
 from pairforge.sources import tables as TB
 
 
@@ -78,9 +81,19 @@ def _judged_best_worst_sql(p: str = "") -> str:
 )"""
 
 
+_TEACHER_PAIRS: dict = {}
+
+
 def _teacher_pairs_df(spark: SparkSession, sf_dir: str) -> DataFrame:
-    resp = TB.responses(spark, sf_dir, keep_reference=True)
-    return P.build_pairs(resp, S.stub_judge(C.MODE_TEACHER), C.MODE_TEACHER, S.stub_teacher(reference="reference_output"))
+    """Teacher pairs over the driver tables; the DataFrame (a plan, not data) is reused by
+    the queries of one session, each of which still executes it in full."""
+    key = stage_key(spark, os.path.join(sf_dir, "conversations.parquet"))
+    if key not in _TEACHER_PAIRS:
+        resp = TB.responses(spark, sf_dir, keep_reference=True)
+        _TEACHER_PAIRS[key] = P.build_pairs(
+            resp, S.stub_judge(C.MODE_TEACHER), C.MODE_TEACHER, S.stub_teacher(reference="reference_output")
+        )
+    return _TEACHER_PAIRS[key]
 
 
 def _teacher_pairs_sql_body(p: str = "") -> str:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,16 +13,30 @@ from pairforge.functions import stub_models as S
 from pairforge.operators import evaluate as EV
 from pairforge.plans.catalog import register
 from pairforge.plans.q_pairs import _heldout
+from pairforge.session import stage_key
 
 DPO_MODEL_PATH = "./dpo_checkpoints"
 
 
+_PLANS: dict = {}
+
+
+def _plan(key, build):
+    """Reuse a DataFrame (a plan, not data) across the queries of one session; each query
+    still executes it in full."""
+    if key not in _PLANS:
+        _PLANS[key] = build()
+    return _PLANS[key]
+
+
 def _prepared(spark, sf_dir) -> DataFrame:
-    return EV.prepare_blind(_heldout(spark, sf_dir, keep_reference=True), S.stub_systems())
+    key = ("prepared", stage_key(spark, os.path.join(sf_dir, "conversations.parquet")))
+    return _plan(key, lambda: EV.prepare_blind(_heldout(spark, sf_dir, keep_reference=True), S.stub_systems()))
 
 
 def _judged(spark, sf_dir) -> DataFrame:
-    return EV.judge_blind(_prepared(spark, sf_dir), S.stub_rank_judge(), len(C.SYSTEMS))
+    key = ("judged", stage_key(spark, os.path.join(sf_dir, "conversations.parquet")))
+    return _plan(key, lambda: EV.judge_blind(_prepared(spark, sf_dir), S.stub_rank_judge(), len(C.SYSTEMS)))
 
 
 def _results(spark, sf_dir) -> DataFrame:

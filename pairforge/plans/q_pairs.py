@@ -27,12 +27,25 @@ from pairforge.sources import tables as TB
 from pairforge.session import materialize, stage_key
 
 
+_PLANS: dict = {}
+
+
+def _plan(key, build):
+    """Reuse a DataFrame (a plan, not data) across the queries of one session; each query
+    still executes it in full."""
+    if key not in _PLANS:
+        _PLANS[key] = build()
+    return _PLANS[key]
+
+
 def _judged(spark, sf_dir, mode) -> DataFrame:
-    return P.judge_candidates(TB.responses(spark, sf_dir, keep_reference=True), S.stub_judge(mode), mode)
+    key = ("judged", mode, stage_key(spark, os.path.join(sf_dir, "conversations.parquet")))
+    return _plan(key, lambda: P.judge_candidates(TB.responses(spark, sf_dir, keep_reference=True), S.stub_judge(mode), mode))
 
 
 def _best_worst_pairs_df(spark, sf_dir) -> DataFrame:
-    return P.best_worst_pairs(_judged(spark, sf_dir, C.MODE_BEST_WORST), S.STUB_JUDGE_ID)
+    key = ("pairs", C.MODE_BEST_WORST, stage_key(spark, os.path.join(sf_dir, "conversations.parquet")))
+    return _plan(key, lambda: P.best_worst_pairs(_judged(spark, sf_dir, C.MODE_BEST_WORST), S.STUB_JUDGE_ID))
 
 
 def _best_worst_sql_body(p: str = "") -> str:

@@ -54,13 +54,20 @@ def test_dedupe_within_watermark(spark, scratch):
 
 
 def test_stage_counters_are_observed(spark):
+    from pairforge import constants as C
+    from pairforge.functions import stub_models as S
+    from pairforge.operators import pairs as P
     from pairforge.operators.stages import observations
-    import __spark_entry__ as E
+    from pairforge.sources import tables as TB
     from tests.conftest import SF_SMALL
 
-    E.queries()["pairs_teacher"](spark, SF_SMALL).collect()
-    counters = observations()["judge_teacher"].get
-    assert counters["pending"] == counters["kept"] + counters["skipped"] and counters["kept"] > 0
+    resp = TB.responses(spark, SF_SMALL, keep_reference=True)
+    pairs = P.build_pairs(resp, S.stub_judge(C.MODE_TEACHER), C.MODE_TEACHER, S.stub_teacher(reference="reference_output"))
+    obs = observations()["judge_teacher"]  # the stage just built
+    n_pairs = pairs.count()
+    counters = obs.get
+    assert counters["pending"] == counters["kept"] + counters["skipped"] == resp.count()
+    assert counters["kept"] == n_pairs > 0
 
 
 def test_poll_processes_new_files(spark, scratch):
