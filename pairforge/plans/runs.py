@@ -133,15 +133,19 @@ def evaluation_run(
     dpo_model_path: str = "",
     sft_model_id: str = C.SFT_MODEL_ID,
     chunk_id=None,
+    only_this_judge: bool = False,
 ) -> DataFrame:
     """Held-out rows → resume → systems → blind ranking → append; then the summary is
-    recomputed over *every* row in the output (Q4) and written (K3)."""
+    recomputed over *every* row in the output (Q4) and written (K3).  ``only_this_judge``
+    restricts the summary to rows this judge wrote (off by default, as in the reference)."""
     held = EV.heldout_examples(examples, used_prompts, num_examples, shuffle_seed=seed, keep_reference=True)
     if resume:
         held = resume_pending(held, io.completed_ids(spark, out_path, "eval_id"), "eval_id")
     results, _failed = EV.blind_eval(held, systems, judge, seed)
     io.append_chunk(results, out_path, _chunk(chunk_id))
     everything = spark.read.schema(SC.EVAL_RESULT).json(out_path)
+    if only_this_judge:
+        everything = everything.filter(F.col("judge_model") == judge.name)
     summary = EV.eval_summary(everything, dpo_model_path, sft_model_id, judge.name)
     io.write_summary(summary, summary_path)
     return summary

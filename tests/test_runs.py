@@ -45,3 +45,18 @@ def test_evaluation_run_summary(spark, scratch):
     assert s.num_examples == sum(s.best_model_counts.values())
     again = runs.evaluation_run(spark, ex, S.stub_systems(), S.stub_rank_judge(), out, summ, num_examples=None, chunk_id=1).first()
     assert again.num_examples == s.num_examples  # resume: nothing new, summary over the whole file
+
+
+def test_summary_run_filter(spark, scratch):
+    from pairforge.operators.infer import ExpressionModel
+
+    ex = TB.examples(spark, SF_SMALL)
+    out, summ = os.path.join(scratch, "eval"), os.path.join(scratch, "summary")
+    first = runs.evaluation_run(spark, ex, S.stub_systems(), S.stub_rank_judge(), out, summ, num_examples=None, chunk_id=0).first()
+    other = S.stub_rank_judge()
+    other_judge = ExpressionModel("stub/other-ranker", other.fn, prepare=other.prepare, cleanup=other.cleanup)
+    both = runs.evaluation_run(spark, ex, S.stub_systems(), other_judge, out, summ, num_examples=None, resume=False, chunk_id=1).first()
+    mine = runs.evaluation_run(spark, ex, S.stub_systems(), other_judge, out, summ, num_examples=None, chunk_id=2,
+                               only_this_judge=True).first()
+    assert both.num_examples == 2 * first.num_examples  # Q4: every row in the output counts
+    assert mine.num_examples == first.num_examples
