@@ -160,9 +160,13 @@ def training_set_run(
     seed: int = C.DEFAULT_SEED,
     max_examples: int | None = None,
     key: str = "example_id",
+    group_key: str | None = None,
 ) -> tuple[DataFrame, DataFrame | None]:
     """Head-N → keep prompt/chosen/rejected (P11) → exact split (L3/L5) → align.
 
+    The split is row-wise like the reference's (Q22: equal prompts may land on both sides).
+    With ``group_key`` (e.g. ``"prompt"``) it is a stable hash-bucket split on that column
+    instead: every group lands on one side, and the eval size is approximate.
     Written as Parquet ``train`` and ``eval`` tables; training itself is out of scope.
     """
     rows = preferences
@@ -170,7 +174,12 @@ def training_set_run(
         rows = SM.head(dense_index(rows, [key], "__pos"), "__pos", max_examples).drop("__pos")
     P.training_pairs(rows)  # P11 check: prompt/chosen/rejected must exist
     kept = rows.select(key, "prompt", "chosen", "rejected")
-    train, ev = SM.train_eval(kept, key, eval_split, seed)
+    if group_key is not None and eval_split > 0:
+        grouped = SM.split_bucket(kept.withColumn("__g", F.sha2(F.col(group_key), 256)), "__g", eval_split, seed)
+        train = grouped.filter(F.col("split") == "train").drop("split", "__g")
+        ev = grouped.filter(F.col("split") == "test").drop("split", "__g")
+    else:
+        train, ev = SM.train_eval(kept, key, eval_split, seed)
 
     def align(df: DataFrame) -> DataFrame:
         return df.select(

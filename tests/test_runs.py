@@ -60,3 +60,16 @@ def test_summary_run_filter(spark, scratch):
                                only_this_judge=True).first()
     assert both.num_examples == 2 * first.num_examples  # Q4: every row in the output counts
     assert mine.num_examples == first.num_examples
+
+
+def test_group_wise_split_keeps_prompts_together(spark, scratch):
+    from pyspark.sql import functions as F
+
+    rows = spark.range(0, 400).select(
+        F.col("id").alias("example_id"), F.concat(F.lit("p"), (F.col("id") % 50).cast("string")).alias("prompt"),
+        F.lit("Assistant: a").alias("chosen"), F.lit("Assistant: b").alias("rejected"),
+    )
+    train, ev = runs.training_set_run(spark, rows, os.path.join(scratch, "g"), eval_split=0.2, group_key="prompt")
+    t = {r.prompt for r in train.select("prompt").collect()}
+    e = {r.prompt for r in ev.select("prompt").collect()}
+    assert t and e and not (t & e) and train.count() + ev.count() == 400
