@@ -32,6 +32,7 @@ def heldout_examples(
     shuffle_seed: int = C.DEFAULT_SEED,
     fraction: float = C.SPLIT_FRACTION,
     keep_reference: bool = False,
+    top_up: bool = False,
 ) -> DataFrame:
     """``eval_id, instruction, input, prompt`` for the held-out split.
 
@@ -39,12 +40,19 @@ def heldout_examples(
     deterministic system stubs).
 
     ``eval_id`` is the shuffled position, assigned *before* leakage exclusion (ids have gaps,
-    and fewer than ``num_examples`` may remain: Q3).
+    and fewer than ``num_examples`` may remain: Q3).  ``top_up`` excludes first and then
+    keeps the first ``num_examples`` positions that remain (a bounded top-N).
     """
     cols = ["example_id", "instruction", "input"] + (["output"] if keep_reference else [])
     test = split_exact(examples.select(*cols), "example_id", fraction, split_seed)
     test = test.filter(F.col("split") == "test").drop("split")
     shuffled = shuffle_positions(test, "example_id", shuffle_seed, pos_col="eval_id")
+    if top_up and num_examples is not None:
+        rows = shuffled.select(
+            "eval_id", "instruction", T.or_empty("input").alias("input"), T.format_prompt("instruction", "input").alias("prompt"),
+            *([F.col("output").alias("reference_output")] if keep_reference else []),
+        )
+        return exclude_by_text(rows, used_prompts, "prompt").orderBy("eval_id").limit(num_examples)
     if num_examples is not None:
         size = shuffled.select(F.count(F.lit(1))).scalar()
         enough = F.when(size < F.lit(num_examples), F.raise_error(F.lit("not enough held-out rows"))).otherwise(F.lit(True))

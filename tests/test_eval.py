@@ -29,3 +29,17 @@ def test_best_counts_keep_unknown_and_missing(spark):
     df = spark.createDataFrame([("dpo",), ("other",), (None,)], "best_model string")
     counts = {r.best_model: r.n for r in EV.best_model_counts(df).collect()}
     assert counts == {"pretrained": 0, "sft": 0, "dpo": 1, "other": 1, "": 1}
+
+
+def test_heldout_top_up(spark):
+    from pairforge.sources import tables as TB
+    from tests.conftest import SF_MID
+
+    ex = TB.examples(spark, SF_MID)
+    used = TB.prior_generation_prompts(ex)
+    remaining = EV.heldout_examples(ex, used).count()  # held-out rows left after exclusion
+    n = remaining - 1
+    plain = EV.heldout_examples(ex, used, num_examples=n)
+    topped = EV.heldout_examples(ex, used, num_examples=n, top_up=True)
+    assert plain.count() < n and topped.count() == n  # Q3: no top-up by default
+    assert {r.eval_id for r in plain.collect()} <= {r.eval_id for r in topped.collect()}
