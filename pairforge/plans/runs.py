@@ -134,11 +134,12 @@ def evaluation_run(
     sft_model_id: str = C.SFT_MODEL_ID,
     chunk_id=None,
     only_this_judge: bool = False,
+    top_up: bool = False,
 ) -> DataFrame:
     """Held-out rows → resume → systems → blind ranking → append; then the summary is
     recomputed over *every* row in the output (Q4) and written (K3).  ``only_this_judge``
     restricts the summary to rows this judge wrote (off by default, as in the reference)."""
-    held = EV.heldout_examples(examples, used_prompts, num_examples, shuffle_seed=seed, keep_reference=True)
+    held = EV.heldout_examples(examples, used_prompts, num_examples, shuffle_seed=seed, keep_reference=True, top_up=top_up)
     if resume:
         held = resume_pending(held, io.completed_ids(spark, out_path, "eval_id"), "eval_id")
     results, _failed = EV.blind_eval(held, systems, judge, seed)
