@@ -11,7 +11,7 @@ Shards of the whole corpus grow with it, so they are not broadcast: keys found i
 only are dropped first, and a shard travels with the contexts that can match it through one shuffle
 by key.  A key with more than SHARD_CONTEXTS distinct contexts (a passage that very many documents
 share, with other words around it) takes an exact way of its own: the digests of its windows are
-grouped instead.
+grouped, and its contexts look up those that more than one id has.
 """
 
 from __future__ import annotations
@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 from pairforge.llm.common import materialize, shuffle_width
 
 WIDTH, K, SHARD_CONTEXTS = 50, 8, 256
+#: Windows that contexts of one very frequent key share, in one row of the table they are looked up in.
+OWNERS_IN_ROW = 50_000
 _FAR = 2**63 - 1
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _SPREAD = 4096
@@ -224,16 +226,39 @@ def _stream_shards(width: int):
     return run
 
 
+def _digests(ctx: bytes, width: int) -> list[bytes]:
+    words = ctx.split()
+    return [hashlib.blake2b(b" ".join(words[i : i + width]), digest_size=16).digest() for i in range(len(words) - width + 1)]
+
+
 def _window_digests(width: int):
+    """The distinct windows of each context, one row each; of a batch's equal rows the smallest and largest id stay."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ends: dict[tuple, tuple[int, int]] = {}
+            for k, d, ctx in zip(*(b.column(c).to_pylist() for c in ("key", "first", "ctx")), strict=True):
+                for x in _digests(ctx, width):
+                    low, high = ends.get((k, x), (d, d))
+                    ends[k, x] = (min(low, d), max(high, d))
+            rows = [(k, d, x) for (k, x), both in ends.items() for d in sorted(set(both))]
+            if rows:
+                yield _batch(rows, ["key", "first", "ctx"])
+
+    return run
+
+
+def _look_up(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
-            for k, c1, c2, d, ctx in zip(*(b.column(c).to_pylist() for c in ("key", "c1", "c2", "first", "ctx")), strict=True):
-                words = ctx.split()
-                for i in range(len(words) - width + 1):
-                    out.append((k, c1, c2, d, i, hashlib.blake2b(b" ".join(words[i : i + width]), digest_size=16).digest()))
+            for k, c1, c2, d, ctx, shared, owners in zip(*(b.column(c).to_pylist() for c in ("key", "c1", "c2", "first", "ctx", "shared", "owners")), strict=True):
+                least = dict(zip(shared, owners, strict=True))
+                got = [i for i, x in enumerate(_digests(ctx, width)) if least.get(x, d) < d]
+                if got:
+                    out.append((k, c1, c2, d, _spans(got)))
             if out:
-                yield _batch([(*o[:3], o[3], o[4], o[5]) for o in out], ["key", "c1", "c2", "first", "start", "ctx"])
+                yield _batch(out, ["key", "c1", "c2", "first", "spans"])
 
     return run
 
@@ -250,14 +275,16 @@ def removed_ranges(candidates: DataFrame, width: int, shard_contexts: int) -> Da
     found = ["key", "c1", "c2", "first", "spans"]
     shards = met.filter(F.col("_contexts") <= shard_contexts).repartition(shuffle_width(candidates.sparkSession), "key").sortWithinPartitions("key", "first")
     streamed = shards.select("key", "c1", "c2", "first", "ctx").mapInArrow(_stream_shards(width), _schema(found))
-    hot = met.filter(F.col("_contexts") > shard_contexts).select("key", "c1", "c2", "first", "ctx")
-    digests = materialize(hot.mapInArrow(_window_digests(width), _schema(["key", "c1", "c2", "first", "start", "ctx"])), "window-digests")
-    least = materialize(digests.groupBy("ctx").agg(F.min("first").alias("least"), F.max("first").alias("_most")).filter("least < _most").drop("_most"), "window-owners")
-    late = digests.join(least, "ctx").filter(F.col("first") > F.col("least"))
-    grouped = late.groupBy("key", "c1", "c2", "first").agg(F.flatten(F.collect_list(F.array(F.col("start"), F.lit(1)))).alias("spans"))
+    hot = materialize(met.filter(F.col("_contexts") > shard_contexts).select("key", "c1", "c2", "first", "ctx"), "hot-contexts")
+    digests = hot.select("key", "first", "ctx").mapInArrow(_window_digests(width), _schema(["key", "first", "ctx"]))
+    least = materialize(digests.groupBy("key", "ctx").agg(F.min("first").alias("least"), F.max("first").alias("_most")).filter("least < _most"), "window-owners")
+    most = least.groupBy("key").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n")).first()["n"] or 0
+    parts = F.pmod(F.xxhash64("ctx"), F.lit(most // OWNERS_IN_ROW + 1))
+    owners = materialize(least.groupBy("key", parts.alias("_part")).agg(F.collect_list("ctx").alias("shared"), F.collect_list("least").alias("owners")), "owners")
+    looked_up = hot.join(owners, "key").select("key", "c1", "c2", "first", "ctx", "shared", "owners").mapInArrow(_look_up(width), _schema(found))
     whole = distinct.filter(F.col("first") < F.col("last")).select("key", "c1", "c2", "first", F.lit(None).cast("array<int>").alias("spans"))
     # spans: for the smallest id that holds the context; without: for all other ids, the whole run
-    verdicts = materialize(whole.union(streamed).union(grouped.select(*found)), "verdicts")
+    verdicts = materialize(whole.union(streamed).union(looked_up), "verdicts")
     hit = places.join(verdicts, ["key", "c1", "c2"]).filter(F.expr("(spans IS NULL AND _d > first) OR (spans IS NOT NULL AND _d = first)"))
     whole_run = F.array(F.col("start"), F.col("start") + F.col("n") + F.lit(width - 1))
     part = F.transform(
