@@ -6,8 +6,9 @@ Each stage reads all rows its predecessor kept; all but the last return the colu
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pairforge.llm import bpe, lines, mixing, toxicity
+from pairforge.llm import bpe, jaccard, lines, mixing, toxicity
 from pairforge.llm.common import materialize, table
 
 #: The toxicity stage is a trained model, which SQL cannot express; the stages are tested one by one.
@@ -24,6 +25,24 @@ def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return lines.drop_boilerplate_lines(docs).select(*docs.columns)
 
 
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group stays, the one with the smallest id; of rows that share an id, one.
+
+    Documents without words, and rows without an id, link with nothing and stay.
+    """
+    found = materialize(jaccard.near_duplicates(docs), "near-duplicates")
+    gone = found.filter("doc_id <> component_id").select("doc_id").distinct()
+    kept = docs.join(gone.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
+    ids = found.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    if ids.filter("n > 1").isEmpty():
+        return kept
+    # an id of many rows: the rows' digests are counted first, so that no task gathers its texts
+    row = kept.withColumn("_row", F.monotonically_increasing_id())
+    row = materialize(row, "repeated-ids")
+    first = row.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text"), "_row"))["_row"].alias("_row"))
+    return row.filter("doc_id IS NULL").drop("_row").union(row.join(first.hint("merge"), ["doc_id", "_row"], "left_semi").select(*docs.columns))
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select(*docs.columns)
 
@@ -35,6 +54,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("toxicity", drop_toxic),
     ("line dedup", drop_boilerplate),
+    ("near duplicates", drop_near_duplicates),
     ("mixing", mix_sources),
     ("bpe", encode),
 ]

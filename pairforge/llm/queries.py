@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pairforge.llm import bpe, fingerprint, html_text, lines, mixing, quality, substrings, topk, toxicity
+from pairforge.llm import bpe, fingerprint, html_text, jaccard, lines, mixing, quality, substrings, topk, toxicity
 from pairforge.llm.common import table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -51,7 +51,11 @@ def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
-QUERIES: dict[str, Run] = {f.__name__: f for f in (op1_quality, op2_substrings, op3_bpe, op4_fingerprint, op5_mixing, op6_toxicity, op7_topk, op8_lines, op9_html)}
+def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Run] = {f.__name__: f for f in (op1_quality, op2_substrings, op3_bpe, op4_fingerprint, op5_mixing, op6_toxicity, op7_topk, op8_lines, op9_html, op10_jaccard)}
 
 #: DuckDB SQL where SQL can express the operator; the others are tested against brute force.
 ORACLE_SQL: dict[str, str] = {"op5_mixing": mixing.ORACLE, "op7_topk": topk.ORACLE, "op8_lines": lines.ORACLE}

@@ -7,7 +7,8 @@ reference shard: its contexts enter a suffix automaton in ascending order of id,
 knows the smallest id it occurs in, and every context is first streamed through the automaton of
 those before it.  Where the matching statistic reaches WIDTH, the window also starts in a smaller id.
 
-Shards of the whole corpus grow with it, so they are not broadcast: keys found in one document
+Shards of the whole corpus grow with it, so neither they nor the tables of shared keys are
+broadcast (the joins carry a merge hint and move alike at every size): keys found in one document
 only are dropped first, and a shard travels with the contexts that can match it through one shuffle
 by key.  A key with more than SHARD_CONTEXTS distinct contexts (a passage that very many documents
 share, with other words around it) takes an exact way of its own: the digests of its windows are
@@ -26,40 +27,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairforge.llm.common import materialize, shuffle_width
+from pairforge.llm.words import gram_hashes, word_hashes
 
 WIDTH, K, SHARD_CONTEXTS = 50, 8, 256
 #: Windows that contexts of one very frequent key share, in one row of the table they are looked up in.
 OWNERS_IN_ROW = 50_000
 _FAR = 2**63 - 1
-_M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
-_SPREAD = 4096
-
-
-def _powers(base: int, n: int) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        return np.cumprod(np.concatenate([[1], np.full(n - 1, base, dtype=np.uint64)]).astype(np.uint64))
-
-
-_IN_WORD, _IN_GRAM = _powers(0x100000001B3, _SPREAD), _powers(0x9E3779B97F4A7C55, 64)
-
-
-def _mix(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(32))) * _M2
-    h = (h ^ (h >> np.uint64(29))) * _M1
-    return h ^ (h >> np.uint64(32))
-
-
-def word_hashes(raw: bytes) -> np.ndarray:
-    """A 64-bit hash of each word ``[^\\x20\\x09-\\x0D]+``; only routes windows, so collisions cost time, not truth."""
-    b = np.frombuffer(raw, np.uint8)
-    word = ~((b == 32) | ((b >= 9) & (b <= 13)))
-    starts = np.flatnonzero(word & np.concatenate([[True], ~word[:-1]])) if len(b) else np.empty(0, np.int64)
-    if not len(starts):
-        return np.empty(0, np.uint64)
-    at = np.arange(starts[0], len(b)) - np.repeat(starts, np.diff(np.concatenate([starts, [len(b)]])))
-    value = (b[starts[0] :].astype(np.uint64) + np.uint64(1)) * _IN_WORD[at & (_SPREAD - 1)]
-    value[~word[starts[0] :]] = 0
-    return _mix(np.add.reduceat(value, starts - starts[0]))
 
 
 def window_keys(words: np.ndarray, width: int = WIDTH, k: int = K) -> np.ndarray:
@@ -67,10 +40,7 @@ def window_keys(words: np.ndarray, width: int = WIDTH, k: int = K) -> np.ndarray
     n = len(words)
     if n < width:
         return np.empty(0, np.int64)
-    grams = np.zeros(n - k + 1, np.uint64)
-    for j in range(k):
-        grams += words[j : n - k + 1 + j] * _IN_GRAM[j]
-    least, span, want = _mix(grams), 1, width - k + 1
+    least, span, want = gram_hashes(words, k), 1, width - k + 1
     while span < want:  # least of twice as many grams, or of as many more as are wanted
         step = min(span, want - span)
         least = np.minimum(least[:-step], least[step:])
@@ -271,7 +241,7 @@ def removed_ranges(candidates: DataFrame, width: int, shard_contexts: int) -> Da
     distinct = with_text.groupBy("key", "c1", "c2", "ctx").agg(F.min("_d").alias("first"), F.max("_d").alias("last"))
     distinct = materialize(distinct, "contexts")
     many = materialize(distinct.groupBy("key").agg(F.count(F.lit(1)).alias("_contexts")).filter("_contexts > 1"), "shards")
-    met = distinct.select("key", "c1", "c2", "first", "ctx").join(many, "key")
+    met = distinct.select("key", "c1", "c2", "first", "ctx").join(many.hint("merge"), "key")
     found = ["key", "c1", "c2", "first", "spans"]
     shards = met.filter(F.col("_contexts") <= shard_contexts).repartition(shuffle_width(candidates.sparkSession), "key").sortWithinPartitions("key", "first")
     streamed = shards.select("key", "c1", "c2", "first", "ctx").mapInArrow(_stream_shards(width), _schema(found))
@@ -285,7 +255,7 @@ def removed_ranges(candidates: DataFrame, width: int, shard_contexts: int) -> Da
     whole = distinct.filter(F.col("first") < F.col("last")).select("key", "c1", "c2", "first", F.lit(None).cast("array<int>").alias("spans"))
     # spans: for the smallest id that holds the context; without: for all other ids, the whole run
     verdicts = materialize(whole.union(streamed).union(looked_up), "verdicts")
-    hit = places.join(verdicts, ["key", "c1", "c2"]).filter(F.expr("(spans IS NULL AND _d > first) OR (spans IS NOT NULL AND _d = first)"))
+    hit = places.join(verdicts.hint("merge"), ["key", "c1", "c2"]).filter(F.expr("(spans IS NULL AND _d > first) OR (spans IS NOT NULL AND _d = first)"))
     whole_run = F.array(F.col("start"), F.col("start") + F.col("n") + F.lit(width - 1))
     part = F.transform(
         F.sequence(F.lit(0), F.greatest(F.size("spans") - 2, F.lit(0)), F.lit(2)),
@@ -359,11 +329,11 @@ def remove_repeats(docs: DataFrame, *, width: int = WIDTH, shard_contexts: int =
     final = f"doc_id {kind}, n_words bigint, n_removed bigint, kept string"
     keys = materialize(rows.select("text", "_d", "_h").mapInArrow(keys_of, "key bigint, _d bigint, _h bigint"), "window-keys")
     shared = materialize(keys.groupBy("key").agg(F.min("_d").alias("a"), F.max("_d").alias("b")).filter("a < b").select("key"), "shared-keys")
-    by_doc = keys.join(shared, "key", "left_semi").groupBy("_d", "_h").agg(F.collect_set("key").alias("keys"))
-    first = rows.join(by_doc, ["_d", "_h"], "left").select("doc_id", "text", "_d", "_h", "keys")
+    by_doc = keys.join(shared.hint("merge"), "key", "left_semi").groupBy("_d", "_h").agg(F.collect_set("key").alias("keys"))
+    first = rows.join(by_doc.hint("merge"), ["_d", "_h"], "left").select("doc_id", "text", "_d", "_h", "keys")
     first = materialize(first.mapInArrow(first_pass, f"{final}, text string, _d bigint, _h bigint, keys array<bigint>"), "screened")
     candidates = first.filter(F.col("_d").isNotNull())
     ranges = removed_ranges(candidates, width, shard_contexts)
-    rest = candidates.select("doc_id", "text", "_d", "_h").join(ranges, ["_d", "_h"], "left").select("doc_id", "text", "ranges").mapInArrow(last_pass, final)
+    rest = candidates.select("doc_id", "text", "_d", "_h").join(ranges.hint("merge"), ["_d", "_h"], "left").select("doc_id", "text", "ranges").mapInArrow(last_pass, final)
     out = first.filter(F.col("_d").isNull()).select("doc_id", "n_words", "n_removed", "kept").union(rest)
     return out.withColumnRenamed("kept", "kept_sha256") if digest else out
