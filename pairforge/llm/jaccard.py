@@ -16,10 +16,17 @@ This is the cost-based allocation: a signature is bought where the fewest sets a
 it.  A set that runs out of segments also indexes single shingles in the same order, which pay 1
 each.  A pair meets in the band of its larger set; a set near a band's end also walks the next band.
 
-Candidates are verified on the texts.  Links within a group of sets that share a signature are found
-without all its pairs: first each set is verified against the smallest set of most of its groups, then
-against the smallest of its other groups unless already connected to it, and at last the members of
-a group that are still in different components against each other.
+Sets a and b with Ra and Rb shingles in fine segments differ in at least Ra + Rb if they share none of
+those.  So a pair that meets in coarse segments only counts if Ra + Rb <= d, which needs a set with
+R <= d / 2, a light one: groups of coarse segments without a light set make no candidates, and in the
+others every candidate has one.
+
+Candidates first pass a parity sketch: bit i of a set's sketch is the parity of its shingles that
+hash to i, so the bits in which two sketches differ are at most the shingles in which the sets do.
+What is left is verified on the texts.  Links within a group of sets that share a signature are found
+without all its pairs: first each set is verified against the smallest of the sets that lead its
+groups, then against the others that are not connected to it yet, and at last the members of a group
+that are still in different components against each other.
 """
 
 from __future__ import annotations
@@ -41,7 +48,7 @@ NUM, DEN = 3, 4
 #: Sizes of one band grow by this factor.
 BAND = 8
 #: Shingles counted as frequent: in at least LOCAL sets of one batch and TOTAL in all; the most kept in the list.
-LOCAL, TOTAL, MOST_FREQUENT = 4, 48, 100_000
+LOCAL, TOTAL, MOST_FREQUENT = 2, 8, 100_000
 #: Expected sizes of coarse segments; members of a group that a batch sends on before it links them itself.
 COARSE, SENT = 32, 16
 #: Ids are broadcast to fetch texts up to this many (8 MB).
@@ -69,12 +76,13 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
     return DEN * both >= NUM * (len(a) + len(b) - both)
 
 
-def _walk(tokens: np.ndarray, ranks: np.ndarray, pay: int, scheme: int) -> list[np.ndarray]:
-    """Signatures of one set in one band's scheme.  ``ranks``: 0, or a class of frequency from 1.  ``pay``: differences to exceed."""
+def _walk(tokens: np.ndarray, ranks: np.ndarray, pay: int, scheme: int) -> tuple[list[np.ndarray], list[np.ndarray], bool]:
+    """Signatures of one set in one band's scheme, of fine and of other segments, and whether the set is light.  ``ranks``: 0, or a class of frequency from 1.  ``pay``: differences to exceed."""
     segments = BAND ** (scheme + 1)
-    out = []
+    out, others = [], []
     mixed = mix(tokens ^ np.uint64(0xA5A5A5A5A5A5A5A5 + scheme))
     fine = ranks == 0
+    light = 2 * int(fine.sum()) <= pay
     paid = 0
     if fine.any():
         seg = tokens[fine] % np.uint64(segments)
@@ -86,7 +94,7 @@ def _walk(tokens: np.ndarray, ranks: np.ndarray, pay: int, scheme: int) -> list[
         out.append(mix(content + mix(seg[first[:take]] * np.uint64(2) + np.uint64(1 + (scheme << 40)))))
         paid = take
     if paid > pay:
-        return out
+        return out, others, light
     coarse = max(1, segments // COARSE)
     rare_first = ranks[~fine].astype(np.uint64)
     seg = rare_first * np.uint64(coarse) + tokens[~fine] % np.uint64(coarse)
@@ -95,48 +103,76 @@ def _walk(tokens: np.ndarray, ranks: np.ndarray, pay: int, scheme: int) -> list[
     bounds = np.flatnonzero(np.concatenate([[True], seg[1:] != seg[:-1], [True]])) if len(seg) else np.empty(0, np.int64)
     for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
         if paid > pay:
-            return out
+            return out, others, light
         tag = mix(seg[lo : lo + 1] * np.uint64(2) + np.uint64(2 + (scheme << 40)))
         full = content[lo:hi].sum(dtype=np.uint64)
-        out.append(mix(full + tag))
+        others.append(mix(full + tag))
         if hi - lo > 1:
-            out.append(mix(full - content[lo:hi] + tag))
+            others.append(mix(full - content[lo:hi] + tag))
         paid += 1 if hi - lo == 1 else 2
     if paid <= pay:  # out of segments: single shingles in the same order
         order = np.lexsort((tokens, ranks))[: pay + 1]
-        out.append(mix(mixed[order] + np.uint64(3 + (scheme << 40))))
-    return out
+        others.append(mix(mixed[order] + np.uint64(3 + (scheme << 40))))
+    return out, others, light
 
 
-def signatures(tokens: np.ndarray, ranks: np.ndarray) -> np.ndarray:
-    """All signatures of one set: of its own band, and of the next where a partner may be in it."""
+def signatures(tokens: np.ndarray, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All signatures of one set, of its own band and of the next where a partner may be in it, and
+    for each what it stands for: 0 a fine segment, 1 another one of a heavy set, 2 of a light set."""
     n = len(tokens)
     if not n:
-        return tokens
+        return tokens, np.empty(0, np.int8)
     band = 0
     while BAND ** (band + 1) <= n:
         band += 1
     end, partner = BAND ** (band + 1), n * DEN // NUM
-    out = _walk(tokens, ranks, most_different(n, min(partner, end - 1)), band)
+    walks = [_walk(tokens, ranks, most_different(n, min(partner, end - 1)), band)]
     if partner >= end:
-        out += _walk(tokens, ranks, most_different(n, partner), band + 1)
-    return np.unique(np.concatenate(out))
+        walks.append(_walk(tokens, ranks, most_different(n, partner), band + 1))
+    sigs, kinds = [np.empty(0, np.uint64)], [np.empty(0, np.int8)]
+    for fine, others, light in walks:
+        for parts, kind in ((fine, 0), (others, 2 if light else 1)):
+            for p in parts:
+                sigs.append(p)
+                kinds.append(np.full(len(p), kind, np.int8))
+    sig, first = np.unique(np.concatenate(sigs), return_index=True)
+    return sig, np.concatenate(kinds)[first]
+
+
+def sketch(tokens: np.ndarray) -> bytes:
+    """Parities of the shingles by hash, in the least power of two of bits (64 at least) that holds them."""
+    bits = max(64, 1 << max(0, len(tokens) - 1).bit_length())
+    odd = np.bincount((mix(tokens) % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def may_link(na: int, a: bytes, nb: int, b: bytes) -> bool:
+    """False only for pairs that cannot reach the threshold."""
+    if not na or not nb or na * DEN < nb * NUM or nb * DEN < na * NUM:
+        return False
+    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    while len(x) > len(y):
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum()) <= most_different(na, nb)
 
 
 def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per document its set's size and 128-bit digest; per batch (doc_id null) its locally frequent shingles."""
-    names = ["doc_id", "n", "s1", "s2", "token", "sets"]
+    names = ["doc_id", "n", "s1", "s2", "sketch", "token", "sets"]
     for b in batches:
-        size, one, two, sets = [], [], [], {}
+        size, one, two, marks, sets = [], [], [], [], {}
         for t in b.column("text").to_pylist():
             x = shingles(t)
             d = xxhash.xxh3_128_digest(x.tobytes())
             size.append(len(x))
             one.append(int.from_bytes(d[:8], "big", signed=True))
             two.append(int.from_bytes(d[8:], "big", signed=True))
+            marks.append(sketch(x) if len(x) else None)
             sets[d] = x
         n = b.num_rows
-        yield pa.record_batch([b.column("doc_id"), pa.array(size, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())], names)
+        yield pa.record_batch([b.column("doc_id"), pa.array(size, pa.int64()), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(marks, pa.binary()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())], names)
         every = np.concatenate([np.empty(0, np.uint64), *sets.values()])
         every.sort()
         far = every[LOCAL - 1 :] == every[: max(0, len(every) - LOCAL + 1)]  # the LOCAL-th of equal ones
@@ -144,7 +180,7 @@ def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = np.searchsorted(every, token, "right") - np.searchsorted(every, token, "left")
         n = len(token)
         null = pa.nulls(n, pa.int64())
-        yield pa.record_batch([null, null, null, null, pa.array(token.view(np.int64)), pa.array(count.astype(np.int64))], names)
+        yield pa.record_batch([null, null, null, null, pa.nulls(n, pa.binary()), pa.array(token.view(np.int64)), pa.array(count.astype(np.int64))], names)
 
 
 def _ranked(frequent: np.ndarray, classes: np.ndarray, tokens: np.ndarray) -> np.ndarray:
@@ -157,20 +193,21 @@ def _ranked(frequent: np.ndarray, classes: np.ndarray, tokens: np.ndarray) -> np
 def _indexed(frequent: np.ndarray, classes: np.ndarray, buckets: int):
     """Blobs of (signature, id) by bucket; groups that are large within a batch are linked to their smallest id here."""
 
-    def flush(sigs: list[np.ndarray], ids: list[int]) -> Iterator[pa.RecordBatch]:
+    def flush(sigs: list[np.ndarray], kinds: list[np.ndarray], ids: list[int]) -> Iterator[pa.RecordBatch]:
         if not sigs:
             return
-        sig = np.concatenate(sigs)
+        sig, kind = np.concatenate(sigs), np.concatenate(kinds)
         who = np.repeat(np.array(ids, np.int64), [len(s) for s in sigs])
-        order = np.lexsort((who, sig))
-        sig, who = sig[order], who[order]
+        order = np.lexsort((who, -kind, sig))  # a light set, or else the smallest id, leads its group
+        sig, kind, who = sig[order], kind[order], who[order]
         first = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
         count = np.diff(np.concatenate([first, [len(sig)]]))
         large = np.repeat(count > SENT, count)
         head = np.zeros(len(sig), bool)
         head[first] = True
         hub = np.repeat(who[first], count)
-        out_b, out_s, out_h, out_i = [], [], [], []
+        lead = np.repeat(kind[first], count)
+        out_b, out_s, out_h, out_i, out_k = [], [], [], [], []
 
         def cut(rows: np.ndarray, bucket: np.ndarray, with_hub: bool) -> None:
             o = np.lexsort((who[rows], bucket))
@@ -184,16 +221,19 @@ def _indexed(frequent: np.ndarray, classes: np.ndarray, buckets: int):
                 out_s.append(sig[part].tobytes())
                 out_h.append(hub[part].tobytes() if with_hub else None)
                 out_i.append(who[part].tobytes())
+                out_k.append(kind[part].tobytes())
 
+        # a large group is linked to its head here, if that can make candidates of all its pairs
+        large &= lead != 1
         sent = np.flatnonzero(~large | head)
         cut(sent, (sig[sent] % np.uint64(buckets)).astype(np.int64), False)
         local = np.flatnonzero(large & ~head)
         cut(local, (mix(who[local].view(np.uint64)) % np.uint64(buckets)).astype(np.int64), True)
-        yield pa.record_batch([pa.array(out_b, pa.int32()), pa.array(out_s, pa.binary()), pa.array(out_h, pa.binary()), pa.array(out_i, pa.binary())], ["bucket", "sigs", "hubs", "ids"])
+        yield pa.record_batch([pa.array(out_b, pa.int32()), pa.array(out_s, pa.binary()), pa.array(out_h, pa.binary()), pa.array(out_i, pa.binary()), pa.array(out_k, pa.binary())], ["bucket", "sigs", "hubs", "ids", "kinds"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sigs, ids, size, seen = [], [], 0, set()
+            sigs, kinds, ids, size, seen = [], [], [], 0, set()
             got = sorted(zip(b.column("doc_id").to_pylist(), range(b.num_rows), strict=True))  # the smallest id of equal sets stays
             for d, r in got:
                 x = shingles(b.column("text")[r].as_py())
@@ -201,40 +241,44 @@ def _indexed(frequent: np.ndarray, classes: np.ndarray, buckets: int):
                 if not len(x) or mark in seen:
                     continue
                 seen.add(mark)
-                s = signatures(x, _ranked(frequent, classes, x))
+                s, kind = signatures(x, _ranked(frequent, classes, x))
                 sigs.append(s)
+                kinds.append(kind)
                 ids.append(d)
                 size += len(s)
                 if size > FLUSH:
-                    yield from flush(sigs, ids)
-                    sigs, ids, size = [], [], 0
-            yield from flush(sigs, ids)
+                    yield from flush(sigs, kinds, ids)
+                    sigs, kinds, ids, size = [], [], [], 0
+            yield from flush(sigs, kinds, ids)
 
     return run
 
 
 def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(sig, hub, id) of each signature that more than one id has: every other id with the smallest."""
-    names = ["sig", "hub", "id"]
-    sigs, ids = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+    """(sig, hub, id, kind) of each signature that more than one id has: every other id with the
+    smallest, in groups of other than fine segments with the smallest light one."""
+    names = ["sig", "hub", "id", "kind"]
+    sigs, ids, kinds = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, np.int8)]
     for b in batches:
-        for s, h, i in zip(b.column("sigs").to_pylist(), b.column("hubs").to_pylist(), b.column("ids").to_pylist(), strict=True):
+        for s, h, i, k in zip(*(b.column(c).to_pylist() for c in ("sigs", "hubs", "ids", "kinds")), strict=True):
             if h is None:
                 sigs.append(np.frombuffer(s, np.uint64))
                 ids.append(np.frombuffer(i, np.int64))
+                kinds.append(np.frombuffer(k, np.int8))
             else:
-                yield pa.record_batch([pa.array(np.frombuffer(s, np.int64)), pa.array(np.frombuffer(h, np.int64)), pa.array(np.frombuffer(i, np.int64))], names)
-    sig, who = np.concatenate(sigs), np.concatenate(ids)
-    order = np.lexsort((who, sig))
-    sig, who = sig[order], who[order]
+                yield pa.record_batch([pa.array(np.frombuffer(s, np.int64)), pa.array(np.frombuffer(h, np.int64)), pa.array(np.frombuffer(i, np.int64)), pa.array(np.frombuffer(k, np.int8).astype(np.int32))], names)
+    sig, who, kind = np.concatenate(sigs), np.concatenate(ids), np.concatenate(kinds)
+    order = np.lexsort((who, -kind, sig))
+    sig, who, kind = sig[order], who[order], kind[order]
     if not len(sig):
         return
     first = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
-    hub = np.repeat(who[first], np.diff(np.concatenate([first, [len(sig)]])))
-    met = np.flatnonzero(hub != who)
+    count = np.diff(np.concatenate([first, [len(sig)]]))
+    hub, lead = np.repeat(who[first], count), np.repeat(kind[first], count)
+    met = np.flatnonzero((hub != who) & (lead != 1))
     for lo in range(0, len(met), 1 << 18):
         part = met[lo : lo + (1 << 18)]
-        yield pa.record_batch([pa.array(sig[part].view(np.int64)), pa.array(hub[part]), pa.array(who[part])], names)
+        yield pa.record_batch([pa.array(sig[part].view(np.int64)), pa.array(hub[part]), pa.array(who[part]), pa.array(kind[part].astype(np.int32))], names)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -258,6 +302,19 @@ def components(edges: DataFrame) -> DataFrame:
         labels = jumped
 
 
+def _sieved(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """The pairs (a, b) that their sketches do not rule out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            got = zip(*(b.column(c).to_pylist() for c in ("_na", "_sa", "_nb", "_sb")), strict=True)
+            yield b.select(["a", "b"]).filter(pa.array([may_link(*x) for x in got], pa.bool_()))
+
+    sa, sb = (sketches.select(F.col("doc_id").alias(x), F.col("n").alias(f"_n{x}"), F.col("sketch").alias(f"_s{x}")) for x in "ab")
+    joined = pairs.join(sb.hint("merge"), "b").join(sa.hint("merge"), "a").select("a", "b", "_na", "_sa", "_nb", "_sb")
+    return joined.mapInArrow(run, "a bigint, b bigint").distinct()
+
+
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) whose sets reach the threshold.  Texts of b, one partner each at first, move first."""
 
@@ -296,7 +353,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     known = rows.filter(F.col("doc_id").isNotNull())
-    measured = materialize(rows.withColumn("_null", F.lit(None)).select("doc_id", "text").mapInArrow(_measured, "doc_id bigint, n bigint, s1 bigint, s2 bigint, token bigint, sets bigint"), "sets")
+    measured = materialize(rows.withColumn("_null", F.lit(None)).select("doc_id", "text").mapInArrow(_measured, "doc_id bigint, n bigint, s1 bigint, s2 bigint, sketch binary, token bigint, sets bigint"), "sets")
     sizes = measured.filter("n IS NOT NULL")
     top = measured.filter("token IS NOT NULL").groupBy("token").agg(F.sum("sets").alias("sets")).filter(F.col("sets") >= TOTAL)
     top = top.orderBy(F.desc("sets"), "token").limit(MOST_FREQUENT).collect()  # a bounded list; it only orders segments
@@ -305,46 +362,51 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     order = np.argsort(token)
     total = sizes.agg(F.sum("n").alias("n")).first()["n"] or 0
     width = max(shuffle_width(spark), int(total * 0.4) // SIGNATURES_IN_TASK + 1)
-    blobs = known.mapInArrow(_indexed(token[order], level[order], 8 * width), "bucket int, sigs binary, hubs binary, ids binary")
-    groups = materialize(blobs.repartition(width, "bucket").mapInArrow(_grouped, "sig bigint, hub bigint, id bigint"), "groups")
+    blobs = known.mapInArrow(_indexed(token[order], level[order], 8 * width), "bucket int, sigs binary, hubs binary, ids binary, kinds binary")
+    groups = materialize(blobs.repartition(width, "bucket").mapInArrow(_grouped, "sig bigint, hub bigint, id bigint, kind int"), "groups")
 
     # exact copies: each to the smallest id of its set; rows of one id share it already
     copies = sizes.filter("n > 0 AND doc_id IS NOT NULL").select("doc_id", "s1", "s2")
     smallest = materialize(copies.groupBy("s1", "s2").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z")).filter("a < z").drop("z"), "smallest")
     links = materialize(copies.join(smallest.hint("merge"), ["s1", "s2"]).select("a", F.col("doc_id").alias("b")).filter("a <> b").distinct(), "copies")
 
-    near = groups.groupBy(F.col("hub").alias("a"), F.col("id").alias("b")).agg(F.count(F.lit(1)).alias("w"))
-    near = materialize(near.join(links, ["a", "b"], "left_anti"), "near")
-    ids = materialize(near.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
-    few = ids.count() <= MAX_BROADCAST_IDS
-    texts = materialize(known.join(F.broadcast(ids) if few else ids.hint("merge"), "doc_id", "left_semi").distinct(), "texts")
+    sketches = sizes.filter("n > 0 AND doc_id IS NOT NULL").select("doc_id", "n", "sketch")
+    stars = groups.select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b")).distinct()
+    near = materialize(_sieved(_apart(stars, components(links)), sketches), "near")
 
-    best = near.groupBy("b").agg(F.max(F.struct("w", (-F.col("a")).alias("m"))).alias("x")).select((-F.col("x.m")).alias("a"), "b")
-    best = _apart(best, components(links))
-    links = links.union(_verified(best, texts))
+    # each id with the smallest of its partners, then with its others that are not connected to it yet
+    best = materialize(near.groupBy("b").agg(F.min("a").alias("a")), "best")
+    links = links.union(_verified(best, _texts(known, best)))
     comps = components(links)
-    rest = _apart(near.select("a", "b"), comps).join(best.select("a", "b"), ["a", "b"], "left_anti")
-    links = materialize(links.union(_verified(rest, texts)), "linked")
+    rest = materialize(_apart(near.join(best.hint("merge"), ["a", "b"], "left_anti"), comps), "rest")
+    links = links.union(_verified(rest, _texts(known, rest)))
     comps = components(links)
-    links = links.union(_verified(_unmet(groups, comps, sizes, near), texts))
+    unmet = materialize(_sieved(_unmet(groups, comps), sketches), "unmet")
+    links = links.union(_verified(unmet, _texts(known, unmet)))
     comps = components(links)
     return sizes.join(comps, sizes["doc_id"] == comps["id"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("comp", "doc_id").alias("component_id")
     )
 
 
-def _unmet(groups: DataFrame, comps: DataFrame, sizes: DataFrame, near: DataFrame) -> DataFrame:
-    """Pairs of one group, in different components and of sizes that can link, that were not yet verified."""
-    apart = _apart(groups.select("sig", F.col("hub").alias("a"), F.col("id").alias("b")), comps)
-    open_groups = materialize(apart.select("sig").distinct(), "open-groups")
+def _texts(known: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Texts of the documents in ``pairs``; the ids are broadcast up to MAX_BROADCAST_IDS of them."""
+    ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
+    few = ids.count() <= MAX_BROADCAST_IDS
+    return materialize(known.join(F.broadcast(ids) if few else ids.hint("merge"), "doc_id", "left_semi").distinct(), "texts")
+
+
+def _unmet(groups: DataFrame, comps: DataFrame) -> DataFrame:
+    """Pairs of one group in different components, one of them light where the segment is not fine, that are not in ``groups``."""
+    rows = groups.select("sig", F.col("hub").alias("a"), F.col("id").alias("b"), "kind")
+    open_groups = materialize(_apart(rows, comps).select("sig").distinct(), "open-groups")
     met = groups.join(open_groups.hint("merge"), "sig", "left_semi")
-    members = met.select("sig", F.explode(F.array("hub", "id")).alias("id")).distinct()
-    labelled = members.join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-    n = sizes.groupBy(F.col("doc_id").alias("id")).agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    labelled = materialize(labelled.join(n, "id"), "members")
+    # the hub of a fine segment's group has kind 0, of another's 2
+    hubs = met.select("sig", F.col("hub").alias("id"), F.when(F.col("kind") == 0, 0).otherwise(2).alias("kind"))
+    members = met.select("sig", "id", "kind").union(hubs).distinct()
+    labelled = materialize(members.join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id")), "members")
     x, y = labelled.alias("x"), labelled.alias("y")
-    can = F.col("x.most") * DEN >= F.col("y.least") * NUM
-    can = can & (F.col("y.most") * DEN >= F.col("x.least") * NUM)
-    pairs = x.join(y.hint("merge"), (F.col("x.sig") == F.col("y.sig")) & (F.col("x.comp") != F.col("y.comp")) & (F.col("x.id") < F.col("y.id")) & can)
+    pairs = x.join(y.hint("merge"), (F.col("x.sig") == F.col("y.sig")) & (F.col("x.comp") != F.col("y.comp")) & (F.col("x.id") < F.col("y.id")) & ((F.col("x.kind") != 1) | (F.col("y.kind") != 1)))
     pairs = pairs.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
-    return pairs.join(near.select("a", "b"), ["a", "b"], "left_anti")
+    stars = groups.select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b")).distinct()
+    return pairs.join(stars.hint("merge"), ["a", "b"], "left_anti")
