@@ -36,7 +36,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairforge.llm.common import materialize, shuffle_width
@@ -118,10 +118,12 @@ def _walk(tokens: np.ndarray, ranks: np.ndarray, pay: int, scheme: int) -> tuple
 
 def signatures(tokens: np.ndarray, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All signatures of one set, of its own band and of the next where a partner may be in it, and
-    for each what it stands for: 0 a fine segment, 1 another one of a heavy set, 2 of a light set."""
+    for each what it stands for: 0 a fine segment, 1 another one of a heavy set, 2 of a light set;
+    times 4, the size of the set; times 2 ** 33, its shingles in fine segments."""
     n = len(tokens)
     if not n:
-        return tokens, np.empty(0, np.int8)
+        return tokens, np.empty(0, np.int64)
+    whole = (int((ranks == 0).sum()) << 33) + (n << 2)
     band = 0
     while BAND ** (band + 1) <= n:
         band += 1
@@ -129,12 +131,12 @@ def signatures(tokens: np.ndarray, ranks: np.ndarray) -> tuple[np.ndarray, np.nd
     walks = [_walk(tokens, ranks, most_different(n, min(partner, end - 1)), band)]
     if partner >= end:
         walks.append(_walk(tokens, ranks, most_different(n, partner), band + 1))
-    sigs, kinds = [np.empty(0, np.uint64)], [np.empty(0, np.int8)]
+    sigs, kinds = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
     for fine, others, light in walks:
         for parts, kind in ((fine, 0), (others, 2 if light else 1)):
             for p in parts:
                 sigs.append(p)
-                kinds.append(np.full(len(p), kind, np.int8))
+                kinds.append(np.full(len(p), whole + kind, np.int64))
     sig, first = np.unique(np.concatenate(sigs), return_index=True)
     return sig, np.concatenate(kinds)[first]
 
@@ -198,7 +200,7 @@ def _indexed(frequent: np.ndarray, classes: np.ndarray, buckets: int):
             return
         sig, kind = np.concatenate(sigs), np.concatenate(kinds)
         who = np.repeat(np.array(ids, np.int64), [len(s) for s in sigs])
-        order = np.lexsort((who, -kind, sig))  # a light set, or else the smallest id, leads its group
+        order = np.lexsort((who, -(kind & 3), sig))  # a light set, or else the smallest id, leads its group
         sig, kind, who = sig[order], kind[order], who[order]
         first = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
         count = np.diff(np.concatenate([first, [len(sig)]]))
@@ -206,8 +208,9 @@ def _indexed(frequent: np.ndarray, classes: np.ndarray, buckets: int):
         head = np.zeros(len(sig), bool)
         head[first] = True
         hub = np.repeat(who[first], count)
-        lead = np.repeat(kind[first], count)
-        out_b, out_s, out_h, out_i, out_k = [], [], [], [], []
+        lead = np.repeat(kind[first] & 3, count)
+        out_b, out_s, out_h, out_i, out_k, out_l = [], [], [], [], [], []
+        hub_kind = np.repeat(kind[first], count)
 
         def cut(rows: np.ndarray, bucket: np.ndarray, with_hub: bool) -> None:
             o = np.lexsort((who[rows], bucket))
@@ -222,6 +225,7 @@ def _indexed(frequent: np.ndarray, classes: np.ndarray, buckets: int):
                 out_h.append(hub[part].tobytes() if with_hub else None)
                 out_i.append(who[part].tobytes())
                 out_k.append(kind[part].tobytes())
+                out_l.append(hub_kind[part].tobytes() if with_hub else None)
 
         # a large group is linked to its head here, if that can make candidates of all its pairs
         large &= lead != 1
@@ -229,7 +233,7 @@ def _indexed(frequent: np.ndarray, classes: np.ndarray, buckets: int):
         cut(sent, (sig[sent] % np.uint64(buckets)).astype(np.int64), False)
         local = np.flatnonzero(large & ~head)
         cut(local, (mix(who[local].view(np.uint64)) % np.uint64(buckets)).astype(np.int64), True)
-        yield pa.record_batch([pa.array(out_b, pa.int32()), pa.array(out_s, pa.binary()), pa.array(out_h, pa.binary()), pa.array(out_i, pa.binary()), pa.array(out_k, pa.binary())], ["bucket", "sigs", "hubs", "ids", "kinds"])
+        yield pa.record_batch([pa.array(out_b, pa.int32()), pa.array(out_s, pa.binary()), pa.array(out_h, pa.binary()), pa.array(out_i, pa.binary()), pa.array(out_k, pa.binary()), pa.array(out_l, pa.binary())], ["bucket", "sigs", "hubs", "ids", "kinds", "hub_kinds"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -255,30 +259,30 @@ def _indexed(frequent: np.ndarray, classes: np.ndarray, buckets: int):
 
 
 def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(sig, hub, id, kind) of each signature that more than one id has: every other id with the
-    smallest, in groups of other than fine segments with the smallest light one."""
-    names = ["sig", "hub", "id", "kind"]
-    sigs, ids, kinds = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, np.int8)]
+    """(sig, hub, id, hub_kind, kind) of each signature that more than one id has: every other id with
+    the smallest, in groups of other than fine segments with the smallest light one."""
+    names = ["sig", "hub", "id", "hub_kind", "kind"]
+    sigs, ids, kinds = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     for b in batches:
-        for s, h, i, k in zip(*(b.column(c).to_pylist() for c in ("sigs", "hubs", "ids", "kinds")), strict=True):
+        for s, h, i, k, x in zip(*(b.column(c).to_pylist() for c in ("sigs", "hubs", "ids", "kinds", "hub_kinds")), strict=True):
             if h is None:
                 sigs.append(np.frombuffer(s, np.uint64))
                 ids.append(np.frombuffer(i, np.int64))
-                kinds.append(np.frombuffer(k, np.int8))
+                kinds.append(np.frombuffer(k, np.int64))
             else:
-                yield pa.record_batch([pa.array(np.frombuffer(s, np.int64)), pa.array(np.frombuffer(h, np.int64)), pa.array(np.frombuffer(i, np.int64)), pa.array(np.frombuffer(k, np.int8).astype(np.int32))], names)
+                yield pa.record_batch([pa.array(np.frombuffer(c, np.int64)) for c in (s, h, i, x, k)], names)
     sig, who, kind = np.concatenate(sigs), np.concatenate(ids), np.concatenate(kinds)
-    order = np.lexsort((who, -kind, sig))
+    order = np.lexsort((who, -(kind & 3), sig))
     sig, who, kind = sig[order], who[order], kind[order]
     if not len(sig):
         return
     first = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
     count = np.diff(np.concatenate([first, [len(sig)]]))
     hub, lead = np.repeat(who[first], count), np.repeat(kind[first], count)
-    met = np.flatnonzero((hub != who) & (lead != 1))
+    met = np.flatnonzero((hub != who) & (lead & 3 != 1))
     for lo in range(0, len(met), 1 << 18):
         part = met[lo : lo + (1 << 18)]
-        yield pa.record_batch([pa.array(sig[part].view(np.int64)), pa.array(hub[part]), pa.array(who[part]), pa.array(kind[part].astype(np.int32))], names)
+        yield pa.record_batch([pa.array(c[part]) for c in (sig.view(np.int64), hub, who, lead, kind)], names)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -302,6 +306,13 @@ def components(edges: DataFrame) -> DataFrame:
         labels = jumped
 
 
+def _sizes_allow(x: Column, y: Column) -> Column:
+    """Of two kinds: whether sizes, and in coarse segments the shingles in fine ones, let the sets link."""
+    n, m = (F.shiftright(k, 2).bitwiseAND(F.lit(2**31 - 1)) for k in (x, y))
+    few = (F.shiftright(x, 33) + F.shiftright(y, 33)) * (DEN + NUM) <= (n + m) * (DEN - NUM)
+    return (n * DEN >= m * NUM) & (m * DEN >= n * NUM) & ((x.bitwiseAND(F.lit(3)) == 0) | few)
+
+
 def _sieved(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     """The pairs (a, b) that their sketches do not rule out."""
 
@@ -362,8 +373,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     order = np.argsort(token)
     total = sizes.agg(F.sum("n").alias("n")).first()["n"] or 0
     width = max(shuffle_width(spark), int(total * 0.4) // SIGNATURES_IN_TASK + 1)
-    blobs = known.mapInArrow(_indexed(token[order], level[order], 8 * width), "bucket int, sigs binary, hubs binary, ids binary, kinds binary")
-    groups = materialize(blobs.repartition(width, "bucket").mapInArrow(_grouped, "sig bigint, hub bigint, id bigint, kind int"), "groups")
+    blobs = known.mapInArrow(_indexed(token[order], level[order], 8 * width), "bucket int, sigs binary, hubs binary, ids binary, kinds binary, hub_kinds binary")
+    groups = materialize(blobs.repartition(width, "bucket").mapInArrow(_grouped, "sig bigint, hub bigint, id bigint, hub_kind bigint, kind bigint"), "groups")
 
     # exact copies: each to the smallest id of its set; rows of one id share it already
     copies = sizes.filter("n > 0 AND doc_id IS NOT NULL").select("doc_id", "s1", "s2")
@@ -371,7 +382,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links = materialize(copies.join(smallest.hint("merge"), ["s1", "s2"]).select("a", F.col("doc_id").alias("b")).filter("a <> b").distinct(), "copies")
 
     sketches = sizes.filter("n > 0 AND doc_id IS NOT NULL").select("doc_id", "n", "sketch")
-    stars = groups.select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b")).distinct()
+    stars = groups.filter(_sizes_allow(groups["hub_kind"], groups["kind"])).select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b")).distinct()
     near = materialize(_sieved(_apart(stars, components(links)), sketches), "near")
 
     # each id with the smallest of its partners, then with its others that are not connected to it yet
@@ -398,15 +409,15 @@ def _texts(known: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def _unmet(groups: DataFrame, comps: DataFrame) -> DataFrame:
     """Pairs of one group in different components, one of them light where the segment is not fine, that are not in ``groups``."""
-    rows = groups.select("sig", F.col("hub").alias("a"), F.col("id").alias("b"), "kind")
+    rows = groups.select("sig", F.col("hub").alias("a"), F.col("id").alias("b"))
     open_groups = materialize(_apart(rows, comps).select("sig").distinct(), "open-groups")
     met = groups.join(open_groups.hint("merge"), "sig", "left_semi")
-    # the hub of a fine segment's group has kind 0, of another's 2
-    hubs = met.select("sig", F.col("hub").alias("id"), F.when(F.col("kind") == 0, 0).otherwise(2).alias("kind"))
-    members = met.select("sig", "id", "kind").union(hubs).distinct()
+    members = met.select("sig", "id", "kind").union(met.select("sig", F.col("hub").alias("id"), F.col("hub_kind").alias("kind"))).distinct()
     labelled = materialize(members.join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id")), "members")
     x, y = labelled.alias("x"), labelled.alias("y")
-    pairs = x.join(y.hint("merge"), (F.col("x.sig") == F.col("y.sig")) & (F.col("x.comp") != F.col("y.comp")) & (F.col("x.id") < F.col("y.id")) & ((F.col("x.kind") != 1) | (F.col("y.kind") != 1)))
-    pairs = pairs.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+    on = (F.col("x.sig") == F.col("y.sig")) & (F.col("x.comp") != F.col("y.comp")) & (F.col("x.id") < F.col("y.id"))
+    a_light = (F.col("x.kind").bitwiseAND(F.lit(3)) != 1) | (F.col("y.kind").bitwiseAND(F.lit(3)) != 1)
+    on = on & a_light & _sizes_allow(F.col("x.kind"), F.col("y.kind"))
+    pairs = x.join(y.hint("merge"), on).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
     stars = groups.select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b")).distinct()
     return pairs.join(stars.hint("merge"), ["a", "b"], "left_anti")
