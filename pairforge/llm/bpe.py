@@ -30,7 +30,7 @@ from pairforge.llm.common import shuffle_width
 #: Symbols of a pre-token that are encoded in one go; code points of a document that is one row.
 LEAF, SPLIT_CHARS = 512, 65_536
 #: Runs longer than this many bytes don't enter the table of known runs; its most entries.
-LONG_RUN, KNOWN_RUNS = 256, 250_000
+LONG_RUN, KNOWN_RUNS = 256, 120_000
 SUFFIX = "</w>"
 
 

@@ -2,22 +2,22 @@
 
 A document is the set of its word shingles.  If two sets of sizes a and b reach the threshold, at
 most ``d = (1 - t) / (1 + t) * (a + b)`` shingles differ.  The universe is hashed into segments, as
-many as the size band asks for; two sets that differ in at most d shingles agree in at least one
-of any d + 1 segments that are not empty.  Each set walks its segments in one global order and
-indexes them until it has paid for more than its largest possible d:
+many as the size band asks for.  The content of a segment is a signature; of a segment with several
+shingles the contents with one of them deleted are signatures too.  Segments without a common
+signature differ in one shingle at least, and in two if one of them has several: a segment pays 1
+or 2.  Each set walks its segments that are not empty in one global order and indexes them until it
+has paid for more than its largest possible d; then two sets that link meet in the shorter walk:
 
-* shingles of few documents come first, in fine segments: the content of a segment is one
-  signature and pays 1;
-* shingles of very many documents come last, in coarse segments: the content and every content
-  with one shingle deleted are signatures, which match whenever the segments differ in at most
-  one shingle, and pay 2.
+* shingles of few documents come first, in fine segments with about one shingle each;
+* shingles of very many documents come last, in coarse segments, by classes of frequency.
 
 This is the cost-based allocation: a signature is bought where the fewest sets are expected to hold
 it.  A set that runs out of segments also indexes single shingles in the same order, which pay 1
 each.  A pair meets in the band of its larger set; a set near a band's end also walks the next band.
 
-Sets a and b with Ra and Rb shingles in fine segments differ in at least Ra + Rb if they share none of
-those.  So a pair that meets in coarse segments only counts if Ra + Rb <= d, which needs a set with
+Sets a and b with Ra and Rb fine segments differ in at least Ra + Rb shingles if no fine signature
+is common: a segment that only one of them has costs 1, one that both have costs 2.  So a pair
+that meets in coarse segments only counts if Ra + Rb <= d, which needs a set with
 R <= d / 2, a light one: groups of coarse segments without a light set make no candidates, and in the
 others every candidate has one.
 
@@ -54,7 +54,7 @@ COARSE, SENT = 32, 16
 #: Ids are broadcast to fetch texts up to this many (8 MB).
 MAX_BROADCAST_IDS = 1_000_000
 #: Signatures in one task of the grouping, and in one flush of a batch.
-SIGNATURES_IN_TASK, FLUSH = 4_000_000, 2_000_000
+SIGNATURES_IN_TASK, FLUSH = 4_000_000, 1_000_000
 
 
 def shingles(text: str | None) -> np.ndarray:
@@ -76,54 +76,49 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
     return DEN * both >= NUM * (len(a) + len(b) - both)
 
 
-def _walk(tokens: np.ndarray, ranks: np.ndarray, pay: int, scheme: int) -> tuple[list[np.ndarray], list[np.ndarray], bool]:
-    """Signatures of one set in one band's scheme, of fine and of other segments, and whether the set is light.  ``ranks``: 0, or a class of frequency from 1.  ``pay``: differences to exceed."""
+def _walk(tokens: np.ndarray, ranks: np.ndarray, pay: int, scheme: int) -> tuple[np.ndarray, np.ndarray, int, bool]:
+    """Signatures of one set in one band's scheme, of fine and of other segments, its number of fine
+    segments, and whether it is light.
+
+    ``ranks``: 0, or a class of frequency from 1.  ``pay``: differences to exceed.  A segment of one
+    shingle pays 1 with its content; a larger one pays 2 with its content and every one-deletion.
+    """
     segments = BAND ** (scheme + 1)
-    out, others = [], []
-    mixed = mix(tokens ^ np.uint64(0xA5A5A5A5A5A5A5A5 + scheme))
-    fine = ranks == 0
-    light = 2 * int(fine.sum()) <= pay
-    paid = 0
-    if fine.any():
-        seg = tokens[fine] % np.uint64(segments)
-        order = np.argsort(seg, kind="stable")
-        seg = seg[order]
-        first = np.flatnonzero(np.concatenate([[True], seg[1:] != seg[:-1]]))
-        take = min(len(first), pay + 1)
-        content = np.add.reduceat(mixed[fine][order], first)[:take]
-        out.append(mix(content + mix(seg[first[:take]] * np.uint64(2) + np.uint64(1 + (scheme << 40)))))
-        paid = take
-    if paid > pay:
-        return out, others, light
     coarse = max(1, segments // COARSE)
-    rare_first = ranks[~fine].astype(np.uint64)
-    seg = rare_first * np.uint64(coarse) + tokens[~fine] % np.uint64(coarse)
+    mixed = mix(tokens ^ np.uint64(0xA5A5A5A5A5A5A5A5 + scheme))
+    rare = ranks == 0
+    class_ = ranks.astype(np.uint64)
+    seg = np.where(rare, tokens % np.uint64(segments), (class_ << np.uint64(40)) + tokens % np.uint64(coarse))
     order = np.argsort(seg, kind="stable")
-    seg, content = seg[order], mixed[~fine][order]
-    bounds = np.flatnonzero(np.concatenate([[True], seg[1:] != seg[:-1], [True]])) if len(seg) else np.empty(0, np.int64)
-    for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-        if paid > pay:
-            return out, others, light
-        tag = mix(seg[lo : lo + 1] * np.uint64(2) + np.uint64(2 + (scheme << 40)))
-        full = content[lo:hi].sum(dtype=np.uint64)
-        others.append(mix(full + tag))
-        if hi - lo > 1:
-            others.append(mix(full - content[lo:hi] + tag))
-        paid += 1 if hi - lo == 1 else 2
-    if paid <= pay:  # out of segments: single shingles in the same order
+    seg, content, rare = seg[order], mixed[order], rare[order]
+    first = np.flatnonzero(np.concatenate([[True], seg[1:] != seg[:-1]]))
+    count = np.diff(np.concatenate([first, [len(seg)]]))
+    fine = int(rare[first].sum())
+    light = 2 * fine <= pay
+    paid = np.cumsum(1 + (count > 1))
+    first = first[: int(np.searchsorted(paid, pay, "right")) + 1]  # until more than pay
+    count = count[: len(first)]
+    last = int(count.sum())
+    tag = mix(seg[first] * np.uint64(2) + np.uint64(1 + (scheme << 52)))
+    sums = np.add.reduceat(content[:last], first) + tag
+    own = np.repeat(np.arange(len(first)), count)
+    several = count[own] > 1
+    whole, deleted = mix(sums), mix(sums[own] - content[:last])[several]
+    rare_whole, rare_deleted = rare[first], rare[:last][several]
+    others = [whole[~rare_whole], deleted[~rare_deleted]]
+    if paid[-1] <= pay:  # out of segments: single shingles in the same order
         order = np.lexsort((tokens, ranks))[: pay + 1]
-        others.append(mix(mixed[order] + np.uint64(3 + (scheme << 40))))
-    return out, others, light
+        others.append(mix(mixed[order] + np.uint64(3 + (scheme << 52))))
+    return np.concatenate([whole[rare_whole], deleted[rare_deleted]]), np.concatenate(others), fine, light
 
 
 def signatures(tokens: np.ndarray, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All signatures of one set, of its own band and of the next where a partner may be in it, and
     for each what it stands for: 0 a fine segment, 1 another one of a heavy set, 2 of a light set;
-    times 4, the size of the set; times 2 ** 33, its shingles in fine segments."""
+    plus 4 times the size of the set and 2 ** 33 times the number of its fine segments."""
     n = len(tokens)
     if not n:
         return tokens, np.empty(0, np.int64)
-    whole = (int((ranks == 0).sum()) << 33) + (n << 2)
     band = 0
     while BAND ** (band + 1) <= n:
         band += 1
@@ -132,11 +127,10 @@ def signatures(tokens: np.ndarray, ranks: np.ndarray) -> tuple[np.ndarray, np.nd
     if partner >= end:
         walks.append(_walk(tokens, ranks, most_different(n, partner), band + 1))
     sigs, kinds = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
-    for fine, others, light in walks:
-        for parts, kind in ((fine, 0), (others, 2 if light else 1)):
-            for p in parts:
-                sigs.append(p)
-                kinds.append(np.full(len(p), whole + kind, np.int64))
+    for rare, others, fine, light in walks:
+        for part, kind in ((rare, 0), (others, 2 if light else 1)):
+            sigs.append(part)
+            kinds.append(np.full(len(part), (fine << 33) + (n << 2) + kind, np.int64))
     sig, first = np.unique(np.concatenate(sigs), return_index=True)
     return sig, np.concatenate(kinds)[first]
 

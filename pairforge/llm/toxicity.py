@@ -29,7 +29,7 @@ MIN_DOCS = 3
 WORD = re.compile(r"[^\W\d_]+")
 #: Lengths of word beginnings that are terms beside the words, for languages that inflect.
 BEGINNINGS = (4, 5)
-KNOWN_WORDS = 500_000
+KNOWN_WORDS = 150_000
 
 
 @dataclass(frozen=True)
