@@ -12,13 +12,9 @@ from pyspark.sql import functions as F
 
 from pairforge import constants as C
 
-# Python's str.strip() removes every code point for which str.isspace() is true.  Java's
-# UNICODE_CHARACTER_CLASS \s covers all of them except the four information separators
-# U+001C..U+001F, which are added explicitly.
-_WS = r"[\s\x1c-\x1f]"
-_STRIP_BOTH = rf"(?U)^{_WS}+|{_WS}+$"
-_STRIP_LEFT = rf"(?U)^{_WS}+"
-_STRIP_RIGHT = rf"(?U){_WS}+$"
+# Python's str.strip() removes every code point for which str.isspace() is true.  Trimming by
+# a character list is linear in the text, whatever runs of white space it holds.
+_WS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
 
 def _c(x) -> Column:
@@ -27,16 +23,16 @@ def _c(x) -> Column:
 
 def strip_ws(c) -> Column:
     """Unicode whitespace strip on both ends (``str.strip``)."""
-    return F.regexp_replace(_c(c), _STRIP_BOTH, "")
+    return F.btrim(_c(c), F.lit(_WS))
 
 
 def lstrip_ws(c) -> Column:
     """W1 left half (``str.lstrip``)."""
-    return F.regexp_replace(_c(c), _STRIP_LEFT, "")
+    return F.ltrim(_c(c), F.lit(_WS))
 
 
 def rstrip_ws(c) -> Column:
-    return F.regexp_replace(_c(c), _STRIP_RIGHT, "")
+    return F.rtrim(_c(c), F.lit(_WS))
 
 
 def or_empty(c) -> Column:

@@ -50,10 +50,17 @@ def _foreign_number_token(text: Column) -> Column:
     return F.coalesce(text.rlike("INF|Infinity") & outside_strings.rlike(_NOT_PYTHON_NUMBER), F.lit(False))
 
 
+def _whole(text: Column) -> Column:
+    """True when a parser that wraps ``text`` in an object reads on past it, so that no bracket in
+    ``text`` closed a wrapper early."""
+    wrapped = F.from_json(F.concat(F.lit('{"w":'), text, F.lit(',"end_of_text":1}')), "struct<end_of_text:int>", _STRICT)
+    return F.coalesce(wrapped["end_of_text"] == 1, F.lit(False))
+
+
 def strict_object(span, fields: str = _FIELDS) -> Column:
     """J-strict: the span parsed as exactly one JSON object, else NULL."""
     arr = F.from_json(F.concat(F.lit("["), span, F.lit("]")), f"array<struct<{fields}>>", _STRICT)
-    return F.when((F.size(arr) == 1) & ~_foreign_number_token(span), arr.getItem(0))
+    return F.when((F.size(arr) == 1) & _whole(span) & ~_foreign_number_token(span), arr.getItem(0))
 
 
 def json_int(v) -> Column:
@@ -162,8 +169,8 @@ def parse_ranking(text, num_items: int = 3) -> Column:
 
 def is_valid_json(text) -> Column:
     """F7 content check: the whole text is one JSON document of any type (``json.loads`` succeeds)."""
-    arr = F.from_json(F.concat(F.lit("["), _c(text), F.lit("]")), "array<variant>", _STRICT)
-    return F.coalesce((F.size(arr) == 1) & ~_foreign_number_token(_c(text)), F.lit(False))
+    arr = F.from_json(F.concat(F.lit("["), _c(text), F.lit("]")), "array<string>", _STRICT)
+    return F.coalesce((F.size(arr) == 1) & _whole(_c(text)) & ~_foreign_number_token(_c(text)), F.lit(False))
 
 
 # ---- DataFrame-level forms ---------------------------------------------------------------

@@ -43,12 +43,12 @@ def _same_text(left: DataFrame, right: DataFrame, col: str):
 def exclude_by_text(rows: DataFrame, used: DataFrame | None, col: str = "prompt") -> DataFrame:
     """Drop rows whose ``col`` equals any text in ``used`` (exact string equality).
 
-    Keyed by the text's digest (see ``_same_text``); the used side is a distinct set (A6);
+    Keyed by the text's digest (see ``_same_text``); an anti-join needs no distinct right side;
     left duplicates survive (bag semantics, not EXCEPT).
     """
     if used is None:
         return rows
-    right = used.select(F.sha2(F.col(col), 256).alias("__k"), F.col(col).alias("__t")).distinct()
+    right = used.select(F.sha2(F.col(col), 256).alias("__k"), F.col(col).alias("__t"))
     left = rows.withColumn("__k", F.sha2(F.col(col), 256))
     return left.join(right, _same_text(left, right, col), "left_anti").drop("__k")
 

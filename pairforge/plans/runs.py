@@ -9,6 +9,7 @@ Reruns without ``resume`` append again (Q5), exactly like the reference.
 from __future__ import annotations
 
 import time
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,7 +31,8 @@ from pairforge.session import materialize
 
 
 def _chunk(chunk_id):
-    return chunk_id if chunk_id is not None else time.strftime("%Y%m%dT%H%M%S")
+    """A given id, or one that no other attempt has: UTC time and a random part."""
+    return chunk_id if chunk_id is not None else time.strftime("%Y%m%dT%H%M%SZ", time.gmtime()) + f"-{uuid.uuid4().hex[:8]}"
 
 
 def generation_run(
@@ -75,9 +77,8 @@ def generation_run(
         "example_id", "instruction", "input", "prompt", "responses",
         gen_config(num_samples=num_samples, **cfg).alias("gen_config"),
     )
-    chunk = _chunk(chunk_id)
-    io.append_chunk(out, out_path, chunk)
-    return spark.read.schema(SC.GENERATED).json(f"{out_path}/chunk={chunk}")
+    chunk = io.append_chunk(out, out_path, _chunk(chunk_id))
+    return spark.read.schema(SC.GENERATED).json(chunk)
 
 
 def judging_run(
@@ -110,12 +111,11 @@ def judging_run(
         rows = resume_pending(rows, io.completed_ids(spark, out_path))
     judged = materialize(P.judge_candidates(rows, judge, mode), "judged")
     pairs = P.teacher_pairs(judged, teacher or judge, judge.name) if mode == C.MODE_TEACHER else P.best_worst_pairs(judged, judge.name)
-    chunk = _chunk(chunk_id)
-    io.append_chunk(pairs, out_path, chunk)
+    chunk = io.append_chunk(pairs, out_path, _chunk(chunk_id))
     if dead_letter_path:
-        io.append_chunk(P.dead_letters(judged), dead_letter_path, chunk)
+        io.append_chunk(P.dead_letters(judged), dead_letter_path, chunk.rpartition("chunk=")[2])
     counters = P.skip_accounting(judged, mode).first().asDict()
-    return spark.read.schema(SC.PREFERENCE).json(f"{out_path}/chunk={chunk}"), counters
+    return spark.read.schema(SC.PREFERENCE).json(chunk), counters
 
 
 def evaluation_run(

@@ -48,6 +48,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if active.isDefined():
         return active.get()
     configured = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
+    if not configured and not sc.master.startswith("local"):
+        raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that the driver and all executors share")
     if not configured:
         configured = tempfile.mkdtemp(prefix="pairforge-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)

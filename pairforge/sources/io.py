@@ -10,6 +10,7 @@ than duplicates its rows, and a resume reads the ids of every committed chunk.
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,9 +59,18 @@ def completed_ids(spark: SparkSession, path: str, key: str = "example_id", fmt:
     return df.select(key).filter(F.col(key).isNotNull())
 
 
-def append_chunk(df: DataFrame, path: str, chunk_id: int | str, fmt: str = "json") -> None:
-    """K1/K2: write one chunk under ``path/chunk=<id>`` (idempotent on retry)."""
-    df.write.mode("overwrite").format(fmt).save(os.path.join(path, f"chunk={chunk_id}"))
+def append_chunk(df: DataFrame, path: str, chunk_id: int | str, fmt: str = "json") -> str:
+    """K1/K2: write one chunk under ``path/chunk=<id>`` and return its folder.
+
+    A chunk that was committed (its ``_SUCCESS`` exists) is never overwritten: a run that reuses
+    the id, such as a resumed one, adds a chunk with a suffix of its own.  What an attempt left
+    uncommitted is replaced.
+    """
+    target = os.path.join(path, f"chunk={chunk_id}")
+    if _exists(df.sparkSession, os.path.join(target, "_SUCCESS")):
+        target += f"-{uuid.uuid4().hex[:12]}"
+    df.write.mode("overwrite").format(fmt).save(target)
+    return target
 
 
 def append_pending(
@@ -84,6 +94,6 @@ def publish(spark: SparkSession, source: str, schema: T.StructType, target: str
     """K4: re-read the *whole* output (every chunk, not only this run's rows) and export it."""
     if not target:
         raise ValueError("a publish target is required")
-    rows = spark.read.schema(schema).option("mode", "FAILFAST").json(source)
+    rows = spark.read.schema(schema).option("mode", "FAILFAST").json(source).drop("chunk")
     rows.write.mode("overwrite").format(fmt).save(target)
     return spark.read.format(fmt).load(target)

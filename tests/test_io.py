@@ -41,9 +41,10 @@ def test_completed_ids_and_resume_append(spark, scratch):
     written = io.append_pending(spark, df, out, 1)
     assert sorted(r.example_id for r in written.collect()) == [3, 4]
     assert sorted(r.example_id for r in io.completed_ids(spark, out).collect()) == [0, 1, 2, 3, 4]
-    # a retried chunk replaces itself instead of duplicating rows
-    io.append_chunk(df.filter("example_id = 4"), out, 1)
-    assert io.completed_ids(spark, out).count() == 4
+    # a committed chunk is never replaced: the same id, resumed, adds only what is missing
+    more = spark.createDataFrame([(i, f"t{i}") for i in range(7)], "example_id long, text string")
+    io.append_pending(spark, more, out, 1)
+    assert sorted(r.example_id for r in io.completed_ids(spark, out).collect()) == [0, 1, 2, 3, 4, 5, 6]
 
 
 def test_summary_and_publish(spark, scratch):

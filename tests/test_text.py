@@ -41,18 +41,19 @@ def test_whitespace_29(spark):
     assert _one(spark, T.lstrip_ws(F.lit(mixed))) == mixed.lstrip()
 
 
+def test_strip_is_linear_in_inner_white_space(spark):
+    text = F.concat(F.lit(" x"), F.repeat(F.lit(" "), 1_000_000), F.lit("y "))
+    assert _one(spark, F.length(T.strip_ws(text))) == 1_000_002
+
+
 def test_rank_prompt_matches_python_join(spark):
     df = spark.createDataFrame([("Q", "ctx", ["A", "B"]), ("Q", "", [])], "i string, inp string, r array<string>")
     got = [r.v for r in df.select(T.rank_prompt("i", "inp", "r").alias("v")).collect()]
 
-    def ref(instr, inp, resps):
-        user = f"{instr}\n\nInput: {inp}" if inp else instr
-        lines = [C.RANK_SYSTEM, "", f"Instruction:\n{user}", "", "Candidate responses:"]
-        lines += [f"\n[{i}]\n{x}" for i, x in enumerate(resps, start=1)]
-        lines.append("\nReturn JSON only.")
-        return "\n".join(lines)
-
-    assert got == [ref("Q", "ctx", ["A", "B"]), ref("Q", "", [])]
+    assert got == [
+        C.RANK_SYSTEM + "\n\nInstruction:\nQ\n\nInput: ctx\n\nCandidate responses:\n\n[1]\nA\n\n[2]\nB\n\nReturn JSON only.",
+        C.RANK_SYSTEM + "\n\nInstruction:\nQ\n\nCandidate responses:\n\nReturn JSON only.",
+    ]
     bw = spark.range(1).select(T.rank_best_worst_prompt(F.lit("Q"), F.lit(""), F.array(F.lit("A"))).alias("v")).first().v
     assert "pick the BEST and WORST response" in bw and "best and worst must be different indices." in bw
 

@@ -69,3 +69,11 @@ def test_is_valid_json(spark):
     texts = ['{"k": 1}', "[1]", "3", '"x"', '{"a":1} x', "", "null", "{'a':1}"]
     got = _run(spark, texts, V.is_valid_json)
     assert got == [True, True, True, True, False, False, True, False]
+
+
+def test_brackets_do_not_close_the_wrapper(spark):
+    texts = ['1],[2', "1] junk", '{"a":1}],[{"a":2}', '{"a":1,"a":2}', '{"best":1},"w":{}', "[1,2]"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r.v for r in df.select(V.is_valid_json("t").alias("v")).collect()] == [False, False, False, True, False, True]
+    spans = spark.createDataFrame([('[{"best": 1}], [{"best": 2}]',), ('{"best":1} ] trailing }',), ('{"best":1}',)], "t string")
+    assert [r.v for r in spans.select(V.strict_object(V.json_span("t")).isNotNull().alias("v")).collect()] == [False, False, True]
