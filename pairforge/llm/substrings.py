@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -311,8 +312,8 @@ def remove_repeats(docs: DataFrame, *, width: int = WIDTH, shard_contexts: int =
     def first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Documents without a shared key are done; the others keep their text."""
         for b in batches:
-            done = b.filter(pa.compute.is_null(b.column("keys")))
-            open_ = b.filter(pa.compute.is_valid(b.column("keys")))
+            done = b.filter(pc.is_null(b.column("keys")))
+            open_ = b.filter(pc.is_valid(b.column("keys")))
             got = _result(done.column("doc_id"), done.column("text").to_pylist(), [None] * done.num_rows, not digest)
             null = lambda t, n: pa.nulls(n, t)
             n = done.num_rows

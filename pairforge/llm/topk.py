@@ -16,6 +16,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -95,7 +96,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, *, shard_rows: i
     def tile(a: pa.Table, b: pa.Table) -> pa.Table:
         out_q, out_h, out_v, out_s = [], [], [], []
         if a.num_rows and b.num_rows:
-            width = max(pa.compute.max(pa.compute.list_value_length(c)).as_py() or 0 for c in (a.column("q"), b.column("qq")))
+            width = max(pc.max(pc.list_value_length(c)).as_py() or 0 for c in (a.column("q"), b.column("qq")))
             ids = a.column("vec_id").to_numpy()
             v, q = _matrix(a.column("q"), width), _matrix(b.column("qq"), width)
             most = float(np.abs(v).max(initial=0)) * float(np.abs(q).max(initial=0)) * max(width, 1)
