@@ -25,8 +25,9 @@ Candidates first pass a parity sketch: bit i of a set's sketch is the parity of
 hash to i, so the bits in which two sketches differ are at most the shingles in which the sets do.
 What is left is verified on the texts.  Links within a group of sets that share a signature are found
 without all its pairs: first each set is verified against the smallest of the sets that lead its
-groups, then against the others that are not connected to it yet, and at last the members of a group
-that are still in different components against each other.
+groups, then against the others that are not connected to it yet.  At last the members of groups
+that still span several components are compared in tasks of two blocks, which send on a forest of
+links, never the pairs.
 """
 
 from __future__ import annotations
@@ -53,6 +54,8 @@ LOCAL, TOTAL, MOST_FREQUENT = 2, 8, 100_000
 COARSE, SENT = 32, 16
 #: Ids are broadcast to fetch texts up to this many (8 MB).
 MAX_BROADCAST_IDS = 1_000_000
+#: Shingles in one block of a large group, what a small set counts for at least, and rows compared at once.
+TILE, SMALL, COMPARED = 200_000, 64, 256
 #: Signatures in one task of the grouping, and in one flush of a batch.
 SIGNATURES_IN_TASK, FLUSH = 4_000_000, 1_000_000
 
@@ -381,37 +384,112 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     # each id with the smallest of its partners, then with its others that are not connected to it yet
     best = materialize(near.groupBy("b").agg(F.min("a").alias("a")), "best")
-    links = links.union(_verified(best, _texts(known, best)))
+    links = links.union(_verified(best, _texts(known, _of_pairs(best))))
     comps = components(links)
     rest = materialize(_apart(near.join(best.hint("merge"), ["a", "b"], "left_anti"), comps), "rest")
-    links = links.union(_verified(rest, _texts(known, rest)))
+    links = links.union(_verified(rest, _texts(known, _of_pairs(rest))))
     comps = components(links)
-    unmet = materialize(_sieved(_unmet(groups, comps), sketches), "unmet")
-    links = links.union(_verified(unmet, _texts(known, unmet)))
+    links = links.union(_met_in_groups(groups, comps, known))
     comps = components(links)
     return sizes.join(comps, sizes["doc_id"] == comps["id"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("comp", "doc_id").alias("component_id")
     )
 
 
-def _texts(known: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Texts of the documents in ``pairs``; the ids are broadcast up to MAX_BROADCAST_IDS of them."""
-    ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
+def _texts(known: DataFrame, ids: DataFrame) -> DataFrame:
+    """Texts of the documents in ``ids``, which are broadcast up to MAX_BROADCAST_IDS of them."""
+    ids = materialize(ids.distinct(), "ids")
     few = ids.count() <= MAX_BROADCAST_IDS
     return materialize(known.join(F.broadcast(ids) if few else ids.hint("merge"), "doc_id", "left_semi").distinct(), "texts")
 
 
-def _unmet(groups: DataFrame, comps: DataFrame) -> DataFrame:
-    """Pairs of one group in different components, one of them light where the segment is not fine, that are not in ``groups``."""
-    rows = groups.select("sig", F.col("hub").alias("a"), F.col("id").alias("b"))
-    open_groups = materialize(_apart(rows, comps).select("sig").distinct(), "open-groups")
-    met = groups.join(open_groups.hint("merge"), "sig", "left_semi")
-    members = met.select("sig", "id", "kind").union(met.select("sig", F.col("hub").alias("id"), F.col("hub_kind").alias("kind"))).distinct()
-    labelled = materialize(members.join(comps, "id", "left").withColumn("comp", F.coalesce("comp", "id")), "members")
-    x, y = labelled.alias("x"), labelled.alias("y")
-    on = (F.col("x.sig") == F.col("y.sig")) & (F.col("x.comp") != F.col("y.comp")) & (F.col("x.id") < F.col("y.id"))
-    a_light = (F.col("x.kind").bitwiseAND(F.lit(3)) != 1) | (F.col("y.kind").bitwiseAND(F.lit(3)) != 1)
-    on = on & a_light & _sizes_allow(F.col("x.kind"), F.col("y.kind"))
-    pairs = x.join(y.hint("merge"), on).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
-    stars = groups.select(F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b")).distinct()
-    return pairs.join(stars.hint("merge"), ["a", "b"], "left_anti")
+def _of_pairs(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))
+
+
+def forest(sets: list[np.ndarray], comps: list[int], blocks: list[int]) -> list[tuple[int, int]]:
+    """Linked pairs of positions that connect different components, as few as connect all that links do.
+
+    With several blocks only pairs of two blocks are compared.  Common shingles of many sets are
+    counted by a matrix product, those of few sets along their postings.
+    """
+    n, size = len(sets), np.array([len(s) for s in sets])
+    label, block = np.unique(comps, return_inverse=True)[1], np.asarray(blocks)
+    own = np.repeat(np.arange(n), size)
+    _, at, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    common = count > max(8, n // 16)
+    column = np.cumsum(common) - 1
+    many = common[at]
+    dense = np.zeros((n, int(common.sum())), np.float32)
+    dense[own[many], column[at[many]]] = 1
+    few = ~many & (count[at] > 1)
+    own, at = own[few], at[few]
+    by_token = np.argsort(at, kind="stable")
+    holders, token = own[by_token], at[by_token]
+    start, end = np.searchsorted(token, at, "left"), np.searchsorted(token, at, "right")
+    apart = len(np.unique(block)) > 1
+    out = []
+    for lo in range(0, n, COMPARED):
+        hi = min(n, lo + COMPARED)
+        entry = slice(*np.searchsorted(own, [lo, hi]))
+        k = end[entry] - start[entry]
+        partner = holders[np.repeat(start[entry] - np.cumsum(k) + k, k) + np.arange(k.sum())]
+        both = np.bincount(np.repeat(own[entry] - lo, k) * n + partner, minlength=(hi - lo) * n).reshape(-1, n) + dense[lo:hi] @ dense.T
+        hit = ((DEN + NUM) * both >= NUM * (size[lo:hi, None] + size)) & (label[lo:hi, None] != label) & (np.arange(lo, hi)[:, None] < np.arange(n))
+        if apart:
+            hit &= block[lo:hi, None] != block
+        for r, c in zip(*(x.tolist() for x in np.nonzero(hit)), strict=True):
+            if label[lo + r] != label[c]:
+                out.append((lo + r, c))
+                label[label == label[c]] = label[lo + r]
+    return out
+
+
+def _tile_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (hub, lo, hi): the links of each tile that connect components."""
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        if rows:
+            ids, comps, blocks, sets = zip(*rows, strict=True)
+            got = [sorted((ids[x], ids[y])) for x, y in forest(list(sets), list(comps), list(blocks))]
+            yield pa.record_batch([pa.array([g[i] for g in got], pa.int64()) for i in (0, 1)], ["a", "b"])
+
+    key, rows = None, []
+    for b in batches:
+        for *k, block, i, comp, s in zip(*(b.column(c).to_pylist() for c in ("hub", "lo", "hi", "block", "id", "comp", "tokens")), strict=True):
+            if k != key:
+                yield from flush()
+                key, rows = k, []
+            rows.append((i, comp, block, np.frombuffer(s, np.uint64)))
+    yield from flush()
+
+
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        sets = [shingles(t) for t in b.column("text").to_pylist()]
+        size = pa.array([len(x) for x in sets], pa.int64())
+        yield pa.record_batch([b.column("doc_id"), size, pa.array([x.tobytes() for x in sets], pa.binary())], ["doc_id", "size", "tokens"])
+
+
+def _met_in_groups(groups: DataFrame, comps: DataFrame, known: DataFrame) -> DataFrame:
+    """Links (a, b) between members of one group in different components, other than its head's.
+
+    Members of groups with one head are compared together, each once for all signatures they share.
+    They are dealt into blocks of about TILE shingles; a task holds two blocks at most and sends on
+    no more links than connect its members, so nothing grows with the pairs of a group but the
+    comparisons themselves.
+    """
+    comp = comps.select(F.col("id").alias("_id"), "comp")
+    rows = groups.select("sig", "hub", "id")
+    labelled = materialize(rows.join(comp, rows["id"] == comp["_id"], "left").select("sig", "hub", "id", F.coalesce("comp", "id").alias("comp")), "members")
+    open_groups = labelled.groupBy("sig").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high").select("sig")
+    members = materialize(labelled.join(open_groups.hint("merge"), "sig", "left_semi").select("hub", "id", "comp").distinct(), "open-members")
+    sets = _texts(known, members.select(F.col("id").alias("doc_id"))).mapInArrow(_sets, "doc_id bigint, size bigint, tokens binary")
+    sets = materialize(sets, "open-sets").withColumnRenamed("doc_id", "id")
+    blocks = members.join(sets.select("id", "size").hint("merge"), "id").groupBy("hub").agg(F.ceil(F.sum(F.col("size") + F.lit(SMALL)) / F.lit(TILE)).alias("blocks"))
+    block = F.pmod(F.xxhash64("id"), F.col("blocks"))
+    dealt = members.join(blocks.hint("merge"), "hub").withColumn("block", block)
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+    dealt = dealt.select("hub", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "id", "comp")
+    tiles = dealt.join(sets.select("id", "tokens").hint("merge"), "id").repartition(shuffle_width(groups.sparkSession), "hub", "lo", "hi")
+    return materialize(tiles.sortWithinPartitions("hub", "lo", "hi", "id").mapInArrow(_tile_links, "a bigint, b bigint").distinct(), "met")
