@@ -81,17 +81,28 @@ def list_artifacts(spark: SparkSession, root: str, pattern: str = "*") -> DataFr
 def resolve_adapter_dir(spark: SparkSession, root: str) -> str:
     """N4 for one folder: the root itself when its config is valid, else the highest
     ``checkpoint-N`` with a valid config; raises when there is none."""
-    import os
-
-    if not os.path.isdir(root):
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path) or not fs.getFileStatus(path).isDirectory():
         return root
-    manifest = list_artifacts(spark, root, C.ADAPTER_CONFIG)
-    rootname = os.path.basename(os.path.normpath(root))
-    m = manifest.withColumn("valid", config_is_valid(F.col("length"), F.col("content")))
-    if m.filter((F.col("dir") == rootname) & F.col("valid")).limit(1).count():
+
+    def checked(pattern: str) -> DataFrame | None:
+        """The config files that match, one level deep at most, with their folder's name and validity."""
+        found = [s.getPath().toString() for s in fs.globStatus(jvm.org.apache.hadoop.fs.Path(path, pattern)) or []]
+        if not found:
+            return None
+        raw = spark.read.format("binaryFile").load(found)
+        name = F.element_at(F.split("path", "/"), -2)
+        return raw.select(name.alias("dir"), config_is_valid(F.col("length"), F.col("content").cast("string")).alias("valid"))
+
+    own = checked(C.ADAPTER_CONFIG)
+    if own is not None and own.first()["valid"]:
         return root
-    cands = m.filter(F.col("dir").startswith("checkpoint-")).withColumn("version", checkpoint_version(F.col("dir")))
-    best = latest_valid(cands.withColumn("g", F.lit(1)), ["g"], "dir", "version", "valid").select("latest").first()
-    if best is None or best["latest"] is None:
-        raise ValueError(f"No valid {C.ADAPTER_CONFIG} under {root}")
-    return os.path.join(root, best["latest"])
+    below = checked(f"checkpoint-*/{C.ADAPTER_CONFIG}")
+    if below is not None:
+        cands = below.withColumn("version", checkpoint_version(F.col("dir"))).withColumn("g", F.lit(1))
+        best = latest_valid(cands, ["g"], "dir", "version", "valid").select("latest").first()["latest"]
+        if best is not None:
+            return f"{root.rstrip('/')}/{best}"
+    raise ValueError(f"No valid {C.ADAPTER_CONFIG} under {root}")

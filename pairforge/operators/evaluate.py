@@ -67,13 +67,15 @@ def heldout_examples(
 def system_outputs(
     heldout: DataFrame, models: dict[str, TextModel], key: str = "eval_id", carry: Sequence[str] = ()
 ) -> DataFrame:
-    """R2: one generation stage per system; long rows ``(key, system, text, *carry)`` (P4 applied)."""
+    """R2: one generation stage per system; long rows ``(key, system, text, *carry)`` (P4 applied).
+
+    A row whose hook failed keeps a null text, so that its example is known to be incomplete.
+    """
     parts = []
     for system, model in models.items():
-        gen = model.apply(heldout, "prompt", "__out").filter(F.col("__out_error").isNull())
-        parts.append(
-            gen.select(key, F.lit(system).alias("system"), T.ensure_assistant_prefix("__out").alias("text"), *carry)
-        )
+        gen = model.apply(heldout, "prompt", "__out")
+        text = F.when(F.col("__out_error").isNull(), T.ensure_assistant_prefix("__out"))
+        parts.append(gen.select(key, F.lit(system).alias("system"), text.alias("text"), *carry))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -130,15 +132,25 @@ def rank_metrics(ranking: Column, label_order: Column) -> dict[str, Column]:
     }
 
 
-def prepare_blind(heldout: DataFrame, models: dict[str, TextModel], seed: int = C.DEFAULT_SEED) -> DataFrame:
-    """R2 → D3 → L6 → P9: assembled responses, label order/map and the blind prompt.
+def assemble_outputs(heldout: DataFrame, models: dict[str, TextModel]) -> DataFrame:
+    """R2 → D3: the responses of every example, null where a system failed.
 
     One shuffle: the per-system rows carry the example's columns, so assembly needs no join.
     """
     carry = [c for c in heldout.columns if c != "eval_id"]
-    long = system_outputs(heldout, models, carry=carry)
-    assembled = assemble_systems(long, "eval_id", carry=carry)
-    return blind_prompts(assembled, tuple(models), seed)
+    assembled = assemble_systems(system_outputs(heldout, models, carry=carry), "eval_id", carry=carry)
+    return assembled if all(m.deterministic for m in models.values()) else materialize(assembled, "assembled")
+
+
+def _missing(models: Sequence[str]) -> Column:
+    """The systems without a response."""
+    return F.filter(F.array(*[F.lit(s) for s in models]), lambda s: F.col("responses")[s].isNull())
+
+
+def prepare_blind(heldout: DataFrame, models: dict[str, TextModel], seed: int = C.DEFAULT_SEED) -> DataFrame:
+    """R2 → D3 → L6 → P9: label order/map and the blind prompt of the examples that all systems answered."""
+    complete = assemble_outputs(heldout, models).filter(F.size(_missing(tuple(models))) == 0)
+    return blind_prompts(complete, tuple(models), seed)
 
 
 def judge_blind(prompted: DataFrame, judge: TextModel, num_systems: int) -> DataFrame:
@@ -173,25 +185,33 @@ def blind_eval(
     judge: TextModel,
     seed: int = C.DEFAULT_SEED,
 ) -> tuple[DataFrame, DataFrame]:
-    """(results in the M6 shape, rows whose ranking failed to parse)."""
-    judged = judge_blind(prepare_blind(heldout, models, seed), judge, len(models))
+    """(results in the M6 shape, rows that a system did not answer or whose ranking failed to parse)."""
+    missing = _missing(tuple(models))
+    assembled = assemble_outputs(heldout, models)
+    incomplete = assembled.filter(F.size(missing) > 0).select(
+        "eval_id", F.concat(F.lit("no response of: "), F.array_join(missing, ", ")).alias("detail")
+    )
+    judged = judge_blind(blind_prompts(assembled.filter(F.size(missing) == 0), tuple(models), seed), judge, len(models))
     failed = judged.filter(F.col("parsed").isNull() | F.col("judge_raw_error").isNotNull()).select(
         "eval_id", F.coalesce("judge_raw_error", "judge_raw").alias("detail")
     )
-    return blind_results(judged, judge.name), failed
+    return blind_results(judged, judge.name), failed.unionByName(incomplete)
 
 
 def eval_summary(results: DataFrame, dpo_model_path: str, sft_model_id: str, judge_model_id: str) -> DataFrame:
-    """A1/A2/A5: one summary row (also on empty input); best counts zero-filled (A3)."""
-    n = F.count(F.lit(1))
-    dpo = F.count_if(F.coalesce(F.col("dpo_beats_sft"), F.lit(False)))
-    sft = F.count_if(F.coalesce(F.col("sft_beats_pretrained"), F.lit(False)))
-    per_system = {s: F.count_if(F.col("best_model") == s) for s in C.SYSTEMS}
-    agg = results.agg(
-        n.alias("num_examples"),
-        dpo.alias("dpo_beats_sft"),
-        sft.alias("sft_beats_pretrained"),
-        *[c.alias(f"best_{s}") for s, c in per_system.items()],
+    """A1/A2/A5: one summary row (also on empty input); best counts as in ``best_model_counts`` (A3)."""
+    one = lambda flag: F.coalesce(F.col(flag), F.lit(False)).cast("long").alias(flag)
+    zero = F.lit(0).cast("long")
+    seen = results.select(F.coalesce("best_model", F.lit("")).alias("best_model"), F.lit(1).cast("long").alias("n"), one("dpo_beats_sft"), one("sft_beats_pretrained"))
+    known = results.sparkSession.range(1).select(
+        F.explode(F.array(*[F.lit(s) for s in C.SYSTEMS])).alias("best_model"), *[zero.alias(c) for c in ("n", "dpo_beats_sft", "sft_beats_pretrained")]
+    )
+    per_best = seen.unionByName(known).groupBy("best_model").agg(*[F.sum(c).alias(c) for c in ("n", "dpo_beats_sft", "sft_beats_pretrained")])
+    agg = per_best.agg(
+        F.sum("n").alias("num_examples"),
+        F.sum("dpo_beats_sft").alias("dpo_beats_sft"),
+        F.sum("sft_beats_pretrained").alias("sft_beats_pretrained"),
+        F.map_from_entries(F.collect_list(F.struct("best_model", "n"))).alias("best_model_counts"),
     )
     rate = lambda wins: F.when(F.col("num_examples") > 0, F.col(wins) / F.col("num_examples")).otherwise(F.lit(0.0))
     return agg.select(
@@ -200,7 +220,7 @@ def eval_summary(results: DataFrame, dpo_model_path: str, sft_model_id: str, jud
         rate("dpo_beats_sft").alias("dpo_beats_sft_rate"),
         "sft_beats_pretrained",
         rate("sft_beats_pretrained").alias("sft_beats_pretrained_rate"),
-        F.create_map(*[x for s in C.SYSTEMS for x in (F.lit(s), F.col(f"best_{s}"))]).alias("best_model_counts"),
+        "best_model_counts",
         F.lit(dpo_model_path).alias("dpo_model_path"),
         F.lit(sft_model_id).alias("sft_model_id"),
         F.lit(judge_model_id).alias("judge_model_id"),

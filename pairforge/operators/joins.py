@@ -107,6 +107,11 @@ def _chained_ngrams(word_hashes, L: int):
     return F.when(n > 0, h).otherwise(F.array().cast("array<bigint>"))
 
 
+def _letter_grams(word: str, g: int):
+    at = F.sequence(F.lit(1), F.length(word) - F.lit(g - 1))
+    return F.array_distinct(F.transform(at, lambda i: F.substr(F.col(word), i, F.lit(g))))
+
+
 def text_containment(
     docs: DataFrame, items: DataFrame, doc_key: str = "doc_id", item_key: str = "item_id",
     doc_text: str = "text", item_text: str = "text", anchor_words: int = 8,
@@ -119,8 +124,9 @@ def text_containment(
     document's word n-grams.  Items are keyed by that anchor's hash, documents emit the
     hashes of their word n-grams of the anchor lengths in use (at most ``anchor_words``
     distinct lengths), an equi-join yields candidates, and ``instr`` confirms each one.
-    Items with fewer than three words have no interior anchor; they come back with a NULL
-    ``doc_key`` so they are reported, never silently skipped.
+    Items of one or two words have no interior word.  Their first word is part of some word of the
+    document, so its first three letters (or all) are looked up among the letter grams of the
+    documents' distinct words.  Items without words are no passages and have no rows.
     """
     it = items.select(F.col(item_key), F.col(item_text).alias("__itext")).withColumn("__w", _words(F.col("__itext")))
     n = F.size("__w")
@@ -142,21 +148,31 @@ def text_containment(
             F.explode(_chained_ngrams(F.col("__w"), L)).alias("__h"),
         )
         grams = g if grams is None else grams.unionByName(g)
-    if grams is None:
-        cands = anchored.select(F.lit(None).cast(docs.schema[doc_key].dataType).alias(doc_key), item_key).limit(0)
-    else:
+    cands = it.filter(F.lit(False)).select(F.lit(None).cast(docs.schema[doc_key].dataType).alias(doc_key), item_key)
+    if grams is not None:
         cands = grams.join(anchored.select(item_key, "__L", "__h"), ["__L", "__h"]).select(doc_key, item_key).distinct()
+    short = it.filter((F.col("__L") < 1) & (n > 0)).withColumn("__first", F.get(F.col("__w"), 0))
+    short = short.withColumn("__g", F.least(F.lit(3), F.length("__first"))).withColumn("__gram", F.substr("__first", F.lit(1), F.col("__g")))
+    grams_in_use = [r[0] for r in short.select("__g").distinct().collect()]  # at most three values
+    if grams_in_use:
+        doc_words = docs.select(doc_key, F.explode(F.array_distinct(_words(F.col(doc_text)))).alias("__word"))
+        vocabulary = doc_words.select("__word").distinct()
+        pieces = None
+        for g in grams_in_use:
+            p = vocabulary.filter(F.length("__word") >= g).select("__word", F.lit(g).alias("__g"), F.explode(_letter_grams("__word", g)).alias("__gram"))
+            pieces = p if pieces is None else pieces.unionByName(p)
+        holding = pieces.join(short.select(item_key, "__first", "__g", "__gram"), ["__g", "__gram"]).filter(F.col("__word").contains(F.col("__first")))
+        found = doc_words.join(holding.select("__word", item_key).distinct(), "__word").select(doc_key, item_key).distinct()
+        cands = found if grams is None else cands.unionByName(found)
     # Candidates are few: joined to the documents they name (AQE broadcasts them when their
     # runtime size allows, otherwise it is a shuffle join), then confirmed verbatim.
     texts = docs.select(F.col(doc_key), F.col(doc_text).alias("__dtext"))
-    confirmed = (
+    return (
         texts.join(cands, doc_key)
-        .join(anchored.select(item_key, "__itext"), item_key)
+        .join(it.select(item_key, "__itext"), item_key)
         .filter(F.instr(F.col("__dtext"), F.col("__itext")) > 0)
         .select(doc_key, item_key)
     )
-    unindexed = it.filter(F.col("__L") < 1).select(F.lit(None).cast(docs.schema[doc_key].dataType).alias(doc_key), item_key)
-    return confirmed.unionByName(unindexed)
 
 
 def config_mismatches(generated: DataFrame, expected: DataFrame | None = None, **expected_values) -> DataFrame:

@@ -86,3 +86,23 @@ def benchmark_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = TB.table(spark, sf_dir, "documents").select("doc_id", "text")
     items = TB.table(spark, sf_dir, "benchmark").select("item_id", "text")
     return text_containment(docs, items)
+
+
+@register(
+    "benchmark_overlap_short",
+    """WITH w AS (SELECT string_split(text, ' ') AS w FROM benchmark),
+p AS (SELECT DISTINCT unnest([w[5], w[5] || ' ' || w[6]]) AS passage FROM w)
+SELECT p.passage, count(*) AS n_docs, min(d.doc_id) AS first_doc FROM documents d JOIN p ON strpos(d.text, p.passage) > 0
+WHERE trim(p.passage) <> '' GROUP BY p.passage""",
+    "D2b text-overlap audit for passages of one and two words (letter-gram index over the vocabulary + exact check)",
+)
+def benchmark_overlap_short(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pairforge.operators.joins import text_containment
+
+    docs = TB.table(spark, sf_dir, "documents").select("doc_id", "text")
+    w = F.split("text", " ")
+    one, two = F.get(w, F.lit(4)), F.get(w, F.lit(5))
+    passages = TB.table(spark, sf_dir, "benchmark").select(F.explode(F.array(one, F.concat(one, F.lit(" "), two))).alias("passage"))
+    passages = passages.filter(F.trim("passage") != "").distinct().withColumn("text", F.col("passage"))
+    found = text_containment(docs, passages, item_key="passage")
+    return found.groupBy("passage").agg(F.count(F.lit(1)).alias("n_docs"), F.min("doc_id").alias("first_doc"))

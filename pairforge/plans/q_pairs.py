@@ -172,12 +172,13 @@ def training_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "head_offset",
-    O.with_ctes(O.EXAMPLES_CTE, "SELECT example_id, instruction FROM examples WHERE example_id >= 10 AND example_id < 10 + 5000"),
+    O.with_ctes(O.EXAMPLES_CTE, "SELECT example_id, instruction FROM examples WHERE example_id >= (SELECT count(*) // 10 FROM examples) AND example_id < (SELECT count(*) // 10 + count(*) // 2 FROM examples)"),
     "L1/L2 offset then max-examples by position (range filter on dense ids, clamped)",
 )
 def head_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
     ex = TB.examples(spark, sf_dir)
-    return SM.head_offset(ex, "example_id", offset=10, limit=5000).select("example_id", "instruction")
+    n = ex.count()
+    return SM.head_offset(ex, "example_id", offset=n // 10, limit=n // 2).select("example_id", "instruction")
 
 
 @register(

@@ -16,6 +16,7 @@ from pairforge.operators import pairs as P
 from pairforge.plans.catalog import REGISTRY, _teacher_pairs_df, register
 from pairforge.schemas import GENERATED
 from pairforge.sources import tables as TB
+from pairforge.sources.io import is_folder
 from pairforge.streaming import streams as X
 from pairforge.session import materialize
 
@@ -80,7 +81,11 @@ SELECT * FROM g WHERE session_end <= (SELECT max(ts) FROM events) - INTERVAL {DE
 def stream_quiet_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = X.run_folder(spark, "quiet")
     events = TB.table(spark, sf_dir, "events")
-    stream = X.file_stream(spark, sf_dir, events.schema, "parquet", glob="events.parquet")
+    path = os.path.join(sf_dir, "events.parquet")
+    if is_folder(spark, path):
+        stream = X.file_stream(spark, path, events.schema, "parquet")
+    else:
+        stream = X.file_stream(spark, sf_dir, events.schema, "parquet", glob="events.parquet")
     sessions = X.quiet_sessions(
         stream.select("user_id", "ts", "event_type"), "user_id", "ts", "event_type", ("signup", "purchase"),
         f"{GAP_HOURS} hours", f"{DELAY_HOURS} hours",

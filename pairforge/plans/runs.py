@@ -78,7 +78,7 @@ def generation_run(
         gen_config(num_samples=num_samples, **cfg).alias("gen_config"),
     )
     chunk = io.append_chunk(out, out_path, _chunk(chunk_id))
-    return spark.read.schema(SC.GENERATED).json(chunk)
+    return spark.read.schema(SC.GENERATED).option("mode", "FAILFAST").json(chunk)
 
 
 def judging_run(
@@ -115,7 +115,7 @@ def judging_run(
     if dead_letter_path:
         io.append_chunk(P.dead_letters(judged), dead_letter_path, chunk.rpartition("chunk=")[2])
     counters = P.skip_accounting(judged, mode).first().asDict()
-    return spark.read.schema(SC.PREFERENCE).json(chunk), counters
+    return spark.read.schema(SC.PREFERENCE).option("mode", "FAILFAST").json(chunk), counters
 
 
 def evaluation_run(
@@ -127,7 +127,7 @@ def evaluation_run(
     summary_path: str,
     *,
     used_prompts: DataFrame | None = None,
-    num_examples: int | None = 100,
+    num_examples: int | None = None,
     seed: int = C.DEFAULT_SEED,
     resume: bool = True,
     dpo_model_path: str = "",
@@ -135,16 +135,20 @@ def evaluation_run(
     chunk_id=None,
     only_this_judge: bool = False,
     top_up: bool = False,
+    dead_letter_path: str | None = None,
 ) -> DataFrame:
     """Held-out rows → resume → systems → blind ranking → append; then the summary is
     recomputed over *every* row in the output (Q4) and written (K3).  ``only_this_judge``
-    restricts the summary to rows this judge wrote (off by default, as in the reference)."""
+    restricts the summary to rows this judge wrote (off by default, as in the reference).
+    Examples that a system did not answer, and replies that don't parse, go to ``dead_letter_path``."""
     held = EV.heldout_examples(examples, used_prompts, num_examples, shuffle_seed=seed, keep_reference=True, top_up=top_up)
     if resume:
         held = resume_pending(held, io.completed_ids(spark, out_path, "eval_id"), "eval_id")
-    results, _failed = EV.blind_eval(held, systems, judge, seed)
-    io.append_chunk(results, out_path, _chunk(chunk_id))
-    everything = spark.read.schema(SC.EVAL_RESULT).json(out_path)
+    results, failed = EV.blind_eval(held, systems, judge, seed)
+    chunk = io.append_chunk(results, out_path, _chunk(chunk_id))
+    if dead_letter_path:
+        io.append_chunk(failed, dead_letter_path, chunk.rpartition("chunk=")[2])
+    everything = spark.read.schema(SC.EVAL_RESULT).option("mode", "FAILFAST").json(out_path)
     if only_this_judge:
         everything = everything.filter(F.col("judge_model") == judge.name)
     summary = EV.eval_summary(everything, dpo_model_path, sft_model_id, judge.name)

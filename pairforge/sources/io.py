@@ -46,6 +46,11 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hpath)
 
 
+def is_folder(spark: SparkSession, path: str) -> bool:
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(hpath).isDirectory()
+
+
 def completed_ids(spark: SparkSession, path: str, key: str = "example_id", fmt: str = "json") -> DataFrame:
     """Ids already written to ``path``; an absent output means nothing is done.
 

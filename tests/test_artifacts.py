@@ -46,3 +46,11 @@ def test_exportable_and_manifest(spark, scratch):
     m = A.list_artifacts(spark, root)
     assert sorted(r.file for r in A.exportable(m).collect()) == ["adapter_model.safetensors"]
     assert {r.dir for r in m.collect()} == {"checkpoint-1"}
+
+
+def test_resolver_looks_one_level_deep(spark, tmp_path):
+    for folder in ("checkpoint-5", "backup/checkpoint-999"):
+        (tmp_path / folder).mkdir(parents=True)
+        (tmp_path / folder / "adapter_config.json").write_text("{}")
+    assert A.resolve_adapter_dir(spark, str(tmp_path)) == str(tmp_path / "checkpoint-5")
+    assert A.resolve_adapter_dir(spark, f"file:{tmp_path}") == f"file:{tmp_path}/checkpoint-5"

@@ -43,3 +43,31 @@ def test_heldout_top_up(spark):
     topped = EV.heldout_examples(ex, used, num_examples=n, top_up=True)
     assert plain.count() < n and topped.count() == n  # Q3: no top-up by default
     assert {r.eval_id for r in plain.collect()} <= {r.eval_id for r in topped.collect()}
+
+
+def test_summary_counts_unknown_and_missing(spark):
+    row = lambda best, wins: (best, wins, wins)
+    df = spark.createDataFrame([row("dpo", True), row("other", False), row(None, None)], "best_model string, dpo_beats_sft boolean, sft_beats_pretrained boolean")
+    s = EV.eval_summary(df, "p", "s", "j").first()
+    assert (s.num_examples, s.dpo_beats_sft, s.sft_beats_pretrained) == (3, 1, 1)
+    assert dict(s.best_model_counts) == {"pretrained": 0, "sft": 0, "dpo": 1, "other": 1, "": 1}
+
+
+def test_incomplete_examples_are_not_ranked(spark):
+    from pairforge.functions import stub_models as S
+    from pairforge.operators.infer import PandasModel
+
+    def broken():
+        def generate(prompts, num_samples):
+            if any("bad" in p for p in prompts):
+                raise RuntimeError("no answer")
+            return [["a much longer answer"] * num_samples for _ in prompts]
+        return generate
+
+    rows = [(i, "bad" if i == 2 else "good", "", "bad" if i == 2 else "good", "ref") for i in range(4)]
+    held = spark.createDataFrame(rows, "eval_id long, instruction string, input string, prompt string, reference_output string")
+    models = {**S.stub_systems(), "dpo": PandasModel("stub/broken", broken)}
+    results, failed = EV.blind_eval(held, models, S.stub_rank_judge())
+    lost = {r.eval_id: r.detail for r in failed.collect()}
+    assert lost[2] == "no response of: dpo"
+    assert 2 not in {r.eval_id for r in results.collect()}
