@@ -472,7 +472,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _met_in_groups(groups: DataFrame, comps: DataFrame, known: DataFrame) -> DataFrame:
-    """Links (a, b) between members of one group in different components, other than its head's.
+    """Links (a, b) between members of one group in different components.
 
     Members of groups with one head are compared together, each once for all signatures they share.
     They are dealt into blocks of about TILE shingles; a task holds two blocks at most and sends on
@@ -481,9 +481,12 @@ def _met_in_groups(groups: DataFrame, comps: DataFrame, known: DataFrame) -> Dat
     """
     comp = comps.select(F.col("id").alias("_id"), "comp")
     rows = groups.select("sig", "hub", "id")
-    labelled = materialize(rows.join(comp, rows["id"] == comp["_id"], "left").select("sig", "hub", "id", F.coalesce("comp", "id").alias("comp")), "members")
+    # a group that one batch holds in part has a head of its own there; the smallest stands for the signature
+    heads = rows.groupBy("sig").agg(F.count(F.lit(1)).alias("_rows"), F.min("hub").alias("head")).filter("_rows > 1").drop("_rows")
+    all_of = rows.select("sig", "id").union(rows.select("sig", F.col("hub").alias("id"))).join(heads.hint("merge"), "sig")
+    labelled = materialize(all_of.join(comp, all_of["id"] == comp["_id"], "left").select("sig", "head", "id", F.coalesce("comp", "id").alias("comp")), "members")
     open_groups = labelled.groupBy("sig").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high").select("sig")
-    members = materialize(labelled.join(open_groups.hint("merge"), "sig", "left_semi").select("hub", "id", "comp").distinct(), "open-members")
+    members = materialize(labelled.join(open_groups.hint("merge"), "sig", "left_semi").select(F.col("head").alias("hub"), "id", "comp").distinct(), "open-members")
     sets = _texts(known, members.select(F.col("id").alias("doc_id"))).mapInArrow(_sets, "doc_id bigint, size bigint, tokens binary")
     sets = materialize(sets, "open-sets").withColumnRenamed("doc_id", "id")
     blocks = members.join(sets.select("id", "size").hint("merge"), "id").groupBy("hub").agg(F.ceil(F.sum(F.col("size") + F.lit(SMALL)) / F.lit(TILE)).alias("blocks"))

@@ -98,8 +98,29 @@ def test_jaccard_odd_rows(spark):
     assert sorted((tuple(r) for r in got.collect()), key=str) == brute_components(rows)
 
 
-@pytest.mark.parametrize("frequent", [(2, 8), (2, 4)])
-def test_jaccard_families_match_brute_force(spark, monkeypatch, frequent):
+def test_forest_connects_what_links_do():
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 2**63, 40).astype(np.uint64)
+    sets = [np.unique(np.where(rng.random(40) < 0.1, rng.integers(0, 2**63, 40).astype(np.uint64), base)) for _ in range(300)]
+    comps, blocks = [i // 3 for i in range(300)], [i % 2 for i in range(300)]
+
+    def groups(pairs):
+        up = list(range(100))
+        for a, b in pairs:
+            x, y = up[comps[a]], up[comps[b]]
+            up = [x if u == y else u for u in up]
+        return [up.index(u) for u in up]
+
+    for block in ([0] * 300, blocks):
+        got = jaccard.forest(sets, comps, block)
+        every = [(a, b) for a in range(300) for b in range(a) if (len(set(block)) == 1 or block[a] != block[b]) and jaccard.linked(sets[a], sets[b])]
+        assert all(jaccard.linked(sets[a], sets[b]) for a, b in got) and len(got) < 100
+        assert groups(got) == groups(every)
+
+
+@pytest.mark.parametrize(("frequent", "tile"), [((2, 8), 200_000), ((2, 4), 300)])
+def test_jaccard_families_match_brute_force(spark, monkeypatch, frequent, tile):
+    monkeypatch.setattr(jaccard, "TILE", tile)
     monkeypatch.setattr(jaccard, "LOCAL", frequent[0])
     monkeypatch.setattr(jaccard, "TOTAL", frequent[1])
     monkeypatch.setattr(jaccard, "SENT", 2)
