@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 
 from pairforge.llm.common import join_small_by_key, materialize
 
-#: A line on more than this share of its host's pages is boilerplate ...
-RATIO = 0.2
-#: ... if it is on at least this many pages.
+#: A line on more than this share of its host's pages is boilerplate: footers and notices stand on a few per cent ...
+RATIO = 0.02
+#: ... if it is on at least this many pages, which guards hosts of up to MIN_PAGES / RATIO pages.
 MIN_PAGES = 5
 #: The per-host table is broadcast up to this many hosts.
 MAX_BROADCAST_HOSTS = 20_000

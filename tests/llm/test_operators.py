@@ -230,6 +230,13 @@ def test_lines(spark):
     assert lines.drop_boilerplate_lines(docs_of(spark, rows).limit(0)).count() == 0
 
 
+def test_lines_drop_boilerplate_of_a_few_per_cent(spark):
+    rows = [(i, f"own {i}\n" + "".join(f"on {k}\n" for k in (5, 10, 15) if i % 100 < k) + ("rare\n" if i < 4 else "") + "end", f"h{i % 2}") for i in range(400)]
+    rows = [(i, t.removesuffix("\nend"), h) for i, t, h in rows] + [(1000 + i, f"own {i}" + "\nshort" * (i < 4), "small") for i in range(20)]
+    got = {r.doc_id: r.text for r in lines.drop_boilerplate_lines(docs_of(spark, rows)).collect()}
+    assert got == {i: "\n".join(x for x in t.split("\n") if not x.startswith("on ")) for i, t, _ in rows}  # "rare" and "short" are on under five pages
+
+
 def test_topk_matches_brute_force(spark):
     rng = np.random.default_rng(2)
     rows = [(i, [float(x) for x in rng.normal(size=8)], 0) for i in range(400)]
