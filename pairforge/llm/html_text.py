@@ -38,6 +38,15 @@ DROPPED_WORDS = frozenset(
     "reactions share sharing social related recommended recommendations recirculation trending widget widgets pagination pager skip search copyright legal disclaimer "
     "hidden aside adslot adbox adsense teaser outbrain taboola rail".split()
 )
+#: Parts of a name that say how a node looks or where it stands; the main part is the last of the others.
+GENERIC_PARTS = frozenset(
+    "left right top bottom center middle upper lower primary secondary main container wrapper wrap box block area section panel region zone inner outer "
+    "slot unit bar list link links item items button buttons icon icons form group column col row posts articles stories desktop mobile".split()
+)
+#: Parts that make a name a statement about a layout.
+STATE_PARTS = frozenset("has no not with without".split())
+#: Elements that a generated id inside an article names for links; it says nothing about them.
+ID_MARKS = frozenset("div ul ol dl".split())
 #: Elements that an opening tag closes if they are open below the nearest listed boundary.
 CLOSES = {
     "li": (("li",), ("ul", "ol", "menu", "dir")),
@@ -55,30 +64,27 @@ P_BOUNDARY = frozenset("body article section div td th li table blockquote main
 
 TOKEN = re.compile(r"<!--(?:>|->|.*?(?:--!?>|\Z))|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)([^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
 ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
-WORD = re.compile(r"[a-z]+")
+PART = re.compile(r"[a-z0-9]+")
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "items", "dropped", "link", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "parent", "children", "items", "dropped", "marked", "link", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
-    def __init__(self, tag: str, parent: Node | None, dropped: bool) -> None:
-        self.tag, self.parent, self.dropped = tag, parent, dropped
+    def __init__(self, tag: str, parent: Node | None, dropped: bool, marked: bool = False) -> None:
+        self.tag, self.parent, self.dropped, self.marked = tag, parent, dropped, marked
         self.children: list[Node] = []
         self.items: list[Node | str] = []  # children and pieces of text in page order
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
 
 
-def _marked(tag: str, attributes: str) -> bool:
-    """Whether the attributes mark a subtree that surrounds an article."""
+def _hidden(tag: str, attributes: str) -> bool:
+    """Whether role or state of a node say that its subtree is not part of an article."""
     if not attributes or tag in ("body", "html", "article", "main"):
         return False
     for name, a, b, c in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), (a or b or c).lower()
-        if name in ("class", "id"):
-            if DROPPED_WORDS.intersection(WORD.findall(value)):
-                return True
-        elif name == "role":
+        if name == "role":
             if value.strip() in DROPPED_ROLES:
                 return True
         elif name == "hidden" or (name == "aria-hidden" and value == "true"):
@@ -88,6 +94,33 @@ def _marked(tag: str, attributes: str) -> bool:
     return False
 
 
+def _surrounds(name: str) -> bool:
+    """Whether a word that marks surroundings is all of a class or id, or its main part."""
+    parts = [x.rstrip("0123456789") for x in PART.findall(name.split("--")[0]) if not x[0].isdigit()]
+    if STATE_PARTS.intersection(parts):
+        return False
+    while len(parts) > 1 and parts[-1] in GENERIC_PARTS:
+        parts.pop()
+    return bool(parts) and parts[-1] in DROPPED_WORDS
+
+
+def _marked(tag: str, attributes: str, above: Node) -> bool:
+    """Whether class or id mark a subtree as surroundings of an article; ``settle`` decides what becomes of it."""
+    if not attributes or tag in HEADINGS or tag in ("body", "html", "article", "main"):
+        return False
+    values = {}
+    for name, a, b, c in ATTRIBUTE.findall(attributes):
+        values.setdefault(name.lower(), (a or b or c).lower().split())
+    classes, ids = values.get("class", []), values.get("id", [])
+    if not classes and not ids:
+        return False
+    while above is not None and above.tag not in ("article", "main"):
+        above = above.parent
+    if above is not None and (tag not in ID_MARKS or "section" in classes):
+        ids = []
+    return any(map(_surrounds, classes)) or any(map(_surrounds, ids))
+
+
 def parse(page: str) -> Node:
     """The tree of a page; broken markup is closed as browsers close it where that matters for text."""
     root = Node("html", None, False)
@@ -104,11 +137,11 @@ def parse(page: str) -> Node:
     at, size = 0, len(page)
     while at < size:
         m = TOKEN.search(page, at)
+        end = size if m is None else m.start()
+        if end > at:
+            stack[-1].items.append(page[at:end])
         if m is None:
-            stack[-1].items.append(page[at:])
             break
-        if m.start() > at:
-            stack[-1].items.append(page[at : m.start()])
         at = m.end()
         closing, tag, attributes = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
         if not tag:
@@ -145,8 +178,8 @@ def parse(page: str) -> Node:
         if tag == "a":
             pop_to(("a",), BLOCK)
         above = stack[-1]
-        dropped = above.dropped or tag in DROPPED or _marked(tag, attributes)
-        node = Node(tag, above, dropped)
+        dropped = above.dropped or tag in DROPPED or _hidden(tag, attributes)
+        node = Node(tag, above, dropped, not dropped and _marked(tag, attributes, above))
         above.children.append(node)
         above.items.append(node)
         if tag not in VOID and not attributes.endswith("/"):
@@ -173,16 +206,51 @@ def _site_header(node: Node) -> bool:
     return above is None or not any(n.tag in HEADINGS for n in _in_order(node))
 
 
+def _length(items: list[Node | str]) -> int:
+    return sum([len("".join(x.split())) for x in items if type(x) is str])
+
+
+def settle(nodes: list[Node]) -> None:
+    """Drops the marked subtrees, but for paragraphs (``content`` begins no article with them) and what holds the article.
+
+    A subtree holds it if an article or main element stands in it, unless such elements outside the marked
+    subtrees hold a quarter of its characters or more (comments may be articles too), or if most of the page's
+    characters outside links do, unless such elements outside hold any text.
+    """
+    if not any(n.marked for n in nodes):
+        return
+    plain, articles, inside, free = {}, {}, {}, 0
+    for n in nodes:
+        above = inside.get(n.parent, (False, False, False))
+        article = above[0] or n.tag in ("article", "main")
+        inside[n] = (article, above[1] or (n.marked and n.tag != "p"), above[2] or n.tag in HEADINGS)
+        plain[n] = 0 if n.dropped or n.link else _length(n.items)
+        articles[n] = not n.dropped and n.tag in ("article", "main")
+        if inside[n] == (True, False, False):
+            free += plain[n]
+    for n in reversed(nodes):
+        if n.parent is not None and not n.dropped:
+            plain[n.parent] += plain[n]
+            articles[n.parent] = articles[n.parent] or articles[n]
+    for n in nodes:
+        if n.parent is not None and n.parent.dropped:
+            n.dropped = True
+        elif n.marked and n.tag != "p" and not n.dropped:
+            n.dropped = free * 4 >= plain[n] if articles[n] else free > 0 or plain[n] * 2 <= plain[nodes[0]]
+            n.marked = n.dropped
+
+
 def measure(root: Node) -> list[Node]:
     """Counts, densities and density sums of every node, children before parents in the sums; nodes in page order."""
     nodes = _in_order(root)
     for n in nodes:
         n.dropped = n.dropped or (n.parent is not None and n.parent.dropped) or (n.tag == "header" and _site_header(n))
         n.link = n.tag == "a" or (n.parent is not None and n.parent.link)
+    settle(nodes)
     for n in reversed(nodes):
         if n.dropped:
             continue
-        own = sum([len("".join(x.split())) for x in n.items if type(x) is str])
+        own = _length(n.items)
         n.chars += own
         if n.link:
             n.link_chars += own
@@ -219,7 +287,7 @@ def content(root: Node) -> list[Node]:
     nodes = [n for n in measure(root) if not n.dropped and n.chars]
     if not nodes:
         return []
-    best = max(nodes, key=lambda n: (n.total if any(not c.dropped for c in n.children) else n.density, n.chars))
+    best = max([n for n in nodes if not n.marked] or nodes, key=lambda n: (n.total if any(not c.dropped for c in n.children) else n.density, n.chars))
     threshold, up, container = best.density, best, None
     while up is not None:
         if up.parent is not None or up is best:
@@ -234,7 +302,7 @@ def content(root: Node) -> list[Node]:
     while root_path.parent is not None:
         root_path = root_path.parent
         for c in root_path.children:
-            if c.dropped or not c.chars or any(_within(x, c) for x in chosen):
+            if c.dropped or c.marked or not c.chars or any(_within(x, c) for x in chosen):
                 continue
             title = c.tag in HEADINGS and c.tag == "h1"
             if (c.density >= threshold and c.link_chars * 2 < c.chars and c.tag != "a") or title:

@@ -312,6 +312,28 @@ def test_html(spark):
         assert got[i] == (u, HTML[h], len(HTML[h]))
 
 
+ONE, TWO, SIDE = ("one " * 40).strip(), ("two " * 30).strip(), ("side " * 50).strip()
+
+
+@pytest.mark.parametrize("wrapper", ["class='layout has-sidebar'", "class='no-sidebar'", "class='content comments-open'", "class='page legal'", "id='search-results'", "class='layout--sidebar'"])
+@pytest.mark.parametrize("inner", ["article", "main", "div"])
+def test_html_keeps_wrappers_that_hold_the_article(wrapper, inner):
+    page = f"<body><div {wrapper}><div class='sidebar-left'><p>{SIDE}</p></div><{inner}><h1>Head</h1><p>{ONE}</p><p>{TWO}</p></{inner}></div><div class='site-comments'><p>{SIDE}</p></div></body>"
+    assert html_text.main_text(page) == f"Head\n{ONE}\n{TWO}"
+
+
+def test_html_names_inside_articles():
+    body = f"<h1>Head</h1><h2 id='related-work'>Related work</h2><p class='notice'>{ONE}</p><h2 class='search' id='search'>Search</h2><p>{TWO}</p>"
+    want = f"Head\nRelated work\n{ONE}\nSearch\n{TWO}"
+    for inner in ("article", "main", "div"):
+        assert html_text.main_text(f"<{inner}>{body}</{inner}><p class='copyright'>{SIDE}</p>") == want
+    sections = f"<article><h1>Head</h1><section id='notice'><h2>A</h2><p>{ONE}</p></section><div class='section' id='search'><p>{TWO}</p></div><div class='share-buttons'>{SIDE}</div></article>"
+    assert html_text.main_text(sections) == f"Head\nA\n{ONE}\n{TWO}"
+    assert html_text.main_text(f"<article><p>{TWO}</p></article><div class='ad'>{SIDE} {SIDE} {SIDE}</div>") == TWO
+    comments = "".join(f"<li><article class='comment'><p>{SIDE}</p></article></li>" for _ in range(2))
+    assert html_text.main_text(f"<main><article><p>{ONE}</p></article><ol class='comment-list'>{comments}</ol></main>") == ONE
+
+
 def test_empty_tables(spark):
     empty = docs_of(spark, odd_texts()).limit(0)
     assert substrings.remove_repeats(empty).count() == 0
