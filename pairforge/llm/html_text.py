@@ -47,6 +47,8 @@ GENERIC_PARTS = frozenset(
 STATE_PARTS = frozenset("has no not with without".split())
 #: Elements that a generated id inside an article names for links; it says nothing about them.
 ID_MARKS = frozenset("div ul ol dl".split())
+#: Elements that may stand in a head.
+HEAD_ELEMENTS = frozenset("base basefont bgsound link meta title noscript noframes style script template head html body".split())
 #: Elements that an opening tag closes if they are open below the nearest listed boundary.
 CLOSES = {
     "li": (("li",), ("ul", "ol", "menu", "dir")),
@@ -125,6 +127,7 @@ def parse(page: str) -> Node:
     """The tree of a page; broken markup is closed as browsers close it where that matters for text."""
     root = Node("html", None, False)
     stack = [root]
+    before_body = True
 
     def pop_to(names: tuple[str, ...] | frozenset[str], boundary) -> None:
         for i in range(len(stack) - 1, 0, -1):
@@ -139,6 +142,9 @@ def parse(page: str) -> Node:
         m = TOKEN.search(page, at)
         end = size if m is None else m.start()
         if end > at:
+            if before_body and not page[at:end].isspace():
+                before_body = False  # a head ends where it is left open and text follows
+                del stack[1:]
             stack[-1].items.append(page[at:end])
         if m is None:
             break
@@ -158,7 +164,10 @@ def parse(page: str) -> Node:
                     if stack[i].tag in ("article", "main", "body", "nav", "table", "div", "section", "aside", "footer", "header") and tag not in BLOCK:
                         break
             continue
-        if tag in ("html", "body"):
+        if before_body and (tag == "body" or tag not in HEAD_ELEMENTS):
+            before_body = False  # or an element that may not stand in it
+            del stack[1:]
+        if tag in ("html", "body") or (tag == "head" and not before_body):
             continue
         if tag in RAW:
             end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)

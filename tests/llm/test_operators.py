@@ -334,6 +334,13 @@ def test_html_names_inside_articles():
     assert html_text.main_text(f"<main><article><p>{ONE}</p></article><ol class='comment-list'>{comments}</ol></main>") == ONE
 
 
+@pytest.mark.parametrize("start", ["<body>", "", "<p>", "text "])
+def test_html_head_left_open(start):
+    page = f"<!doctype html><html><head><meta charset=utf-8><title>t</title><style>p{{}}</style><link rel=x>\n{start}<article><h1>Head</h1><p>{ONE}</article>"
+    assert html_text.main_text(page) == f"Head\n{ONE}"
+    assert html_text.main_text(page.replace("<article>", "<head><article>")) == f"Head\n{ONE}"
+
+
 def test_empty_tables(spark):
     empty = docs_of(spark, odd_texts()).limit(0)
     assert substrings.remove_repeats(empty).count() == 0
