@@ -64,6 +64,14 @@ def heldout_examples(
     return exclude_by_text(rows, used_prompts, "prompt")
 
 
+def all_examples(examples: DataFrame) -> DataFrame:
+    """Every example in the shape of ``heldout_examples`` (with references): its dense id is the ``eval_id``."""
+    return examples.select(
+        F.col("example_id").alias("eval_id"), "instruction", T.or_empty("input").alias("input"),
+        T.format_prompt("instruction", "input").alias("prompt"), F.col("output").alias("reference_output"),
+    )
+
+
 def system_outputs(
     heldout: DataFrame, models: dict[str, TextModel], key: str = "eval_id", carry: Sequence[str] = ()
 ) -> DataFrame:

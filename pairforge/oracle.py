@@ -298,6 +298,12 @@ results AS (
   FROM parsed WHERE ok
 )"""
 
+#: The same over every example, with its dense id as eval_id.
+EVAL_ALL_CTE = EXAMPLES_CTE + f""",
+heldout AS (
+  SELECT example_id AS eval_id, instruction, input, {prompt('instruction', 'input')} AS prompt, output AS reference_output FROM examples
+)""" + EVAL_CTE.removeprefix(HELDOUT_CTE)
+
 
 # ---- tokens ------------------------------------------------------------------------------------
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,9 +12,10 @@ from pairforge import constants as C
 from pairforge import oracle as O
 from pairforge.functions import stub_models as S
 from pairforge.operators import evaluate as EV
-from pairforge.plans.catalog import register
+from pairforge.plans.catalog import REGISTRY, register
 from pairforge.plans.q_pairs import _heldout
 from pairforge.session import stage_key
+from pairforge.sources import tables as TB
 
 DPO_MODEL_PATH = "./dpo_checkpoints"
 
@@ -29,18 +31,22 @@ def _plan(key, build):
     return _PLANS[key]
 
 
-def _prepared(spark, sf_dir) -> DataFrame:
-    key = ("prepared", stage_key(spark, os.path.join(sf_dir, "conversations.parquet")))
-    return _plan(key, lambda: EV.prepare_blind(_heldout(spark, sf_dir, keep_reference=True), S.stub_systems()))
+def _rows(spark, sf_dir, everything) -> DataFrame:
+    return EV.all_examples(TB.examples(spark, sf_dir)) if everything else _heldout(spark, sf_dir, keep_reference=True)
 
 
-def _judged(spark, sf_dir) -> DataFrame:
-    key = ("judged", stage_key(spark, os.path.join(sf_dir, "conversations.parquet")))
-    return _plan(key, lambda: EV.judge_blind(_prepared(spark, sf_dir), S.stub_rank_judge(), len(C.SYSTEMS)))
+def _prepared(spark, sf_dir, everything) -> DataFrame:
+    key = ("prepared", everything, stage_key(spark, os.path.join(sf_dir, "conversations.parquet")))
+    return _plan(key, lambda: EV.prepare_blind(_rows(spark, sf_dir, everything), S.stub_systems()))
 
 
-def _results(spark, sf_dir) -> DataFrame:
-    return EV.blind_results(_judged(spark, sf_dir), S.STUB_RANK_JUDGE_ID)
+def _judged(spark, sf_dir, everything) -> DataFrame:
+    key = ("judged", everything, stage_key(spark, os.path.join(sf_dir, "conversations.parquet")))
+    return _plan(key, lambda: EV.judge_blind(_prepared(spark, sf_dir, everything), S.stub_rank_judge(), len(C.SYSTEMS)))
+
+
+def _results(spark, sf_dir, everything) -> DataFrame:
+    return EV.blind_results(_judged(spark, sf_dir, everything), S.STUB_RANK_JUDGE_ID)
 
 
 def _join(c, sep=","):
@@ -52,8 +58,8 @@ def _join(c, sep=","):
     O.with_ctes(O.EVAL_CTE, "SELECT eval_id, resp_pretrained, resp_sft, resp_dpo FROM blind"),
     "R2/D3 one generation stage per system, long rows regrouped by id into a map (never zipped by position)",
 )
-def assemble_systems(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = _prepared(spark, sf_dir)
+def assemble_systems(spark: SparkSession, sf_dir: str, everything: bool = False) -> DataFrame:
+    p = _prepared(spark, sf_dir, everything)
     return p.select("eval_id", *[F.col("responses")[s].alias(f"resp_{s}") for s in C.SYSTEMS])
 
 
@@ -65,8 +71,8 @@ def assemble_systems(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
     "L6/J4p per-row seeded label permutation keyed by seed + eval_id",
 )
-def blind_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = _prepared(spark, sf_dir)
+def blind_labels(spark: SparkSession, sf_dir: str, everything: bool = False) -> DataFrame:
+    p = _prepared(spark, sf_dir, everything)
     return p.select("eval_id", *[F.col("label_to_model")[str(i)].alias(f"label_{i}") for i in (1, 2, 3)])
 
 
@@ -78,8 +84,8 @@ def blind_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
     "P9 blind three-way prompt in label order",
 )
-def blind_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _prepared(spark, sf_dir).select("eval_id", "blind_prompt")
+def blind_prompt(spark: SparkSession, sf_dir: str, everything: bool = False) -> DataFrame:
+    return _prepared(spark, sf_dir, everything).select("eval_id", "blind_prompt")
 
 
 @register(
@@ -91,8 +97,8 @@ def blind_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
     "J3p/F6 ranking verdicts: arrays, digit strings and object keys, permutation check",
 )
-def parse_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    j = _judged(spark, sf_dir)
+def parse_ranking(spark: SparkSession, sf_dir: str, everything: bool = False) -> DataFrame:
+    j = _judged(spark, sf_dir, everything)
     return j.select("eval_id", _join(F.col("parsed.ranking")).alias("ranking"), F.col("parsed.reason").alias("reason"))
 
 
@@ -105,8 +111,8 @@ def parse_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
     "N2/N3/D5 positions per system, pairwise beat flags, best system, ordered systems",
 )
-def rank_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = _results(spark, sf_dir)
+def rank_metrics(spark: SparkSession, sf_dir: str, everything: bool = False) -> DataFrame:
+    r = _results(spark, sf_dir, everything)
     return r.select("eval_id", "dpo_beats_sft", "sft_beats_pretrained", "best_model", _join(F.col("ranking_models")).alias("ranking_models"))
 
 
@@ -122,8 +128,8 @@ def rank_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
     "R7 blind ranking end to end: held-out rows, three systems, label permutation, judge, strict parse, metrics",
 )
-def blind_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = _results(spark, sf_dir)
+def blind_eval(spark: SparkSession, sf_dir: str, everything: bool = False) -> DataFrame:
+    r = _results(spark, sf_dir, everything)
     labels = F.concat_ws(",", *[F.concat(F.lit(f"{i}="), F.col("label_to_model")[str(i)]) for i in (1, 2, 3)])
     return r.select(
         "eval_id", "instruction", "input", "prompt", _join(F.col("ranking")).alias("ranking"),
@@ -149,8 +155,8 @@ FROM results"""
     O.with_ctes(O.EVAL_CTE, _SUMMARY_SQL),
     "A1/A2/A5 win counts and zero-guarded rates; one row even when no result parsed",
 )
-def eval_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = EV.eval_summary(_results(spark, sf_dir), DPO_MODEL_PATH, C.SFT_MODEL_ID, S.STUB_RANK_JUDGE_ID)
+def eval_summary(spark: SparkSession, sf_dir: str, everything: bool = False) -> DataFrame:
+    s = EV.eval_summary(_results(spark, sf_dir, everything), DPO_MODEL_PATH, C.SFT_MODEL_ID, S.STUB_RANK_JUDGE_ID)
     return s.select(
         "num_examples", "dpo_beats_sft", "dpo_beats_sft_rate", "sft_beats_pretrained", "sft_beats_pretrained_rate",
         *[F.col("best_model_counts")[x].alias(f"best_{x}") for x in C.SYSTEMS],
@@ -169,5 +175,11 @@ def eval_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
     "A3 best-system counts, zero-filled for the known systems",
 )
-def best_model_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return EV.best_model_counts(_results(spark, sf_dir))
+def best_model_counts(spark: SparkSession, sf_dir: str, everything: bool = False) -> DataFrame:
+    return EV.best_model_counts(_results(spark, sf_dir, everything))
+
+
+#: The queries above evaluate the held-out split; these evaluate every example, with its dense id as ``eval_id``.
+for _name in ("assemble_systems", "blind_labels", "blind_prompt", "parse_ranking", "rank_metrics", "blind_eval", "eval_summary", "best_model_counts"):
+    _q = REGISTRY[_name]
+    register(f"{_name}_all", _q.sql.replace(O.EVAL_CTE, O.EVAL_ALL_CTE), f"{_q.doc}; over all examples")(partial(_q.run, everything=True))

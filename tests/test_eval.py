@@ -71,3 +71,17 @@ def test_incomplete_examples_are_not_ranked(spark):
     lost = {r.eval_id: r.detail for r in failed.collect()}
     assert lost[2] == "no response of: dpo"
     assert 2 not in {r.eval_id for r in results.collect()}
+
+
+def test_evaluation_reaches_every_example(spark):
+    import __spark_entry__ as E
+    from pairforge.sources import tables as TB
+    from tests.conftest import SF_SMALL
+
+    ids = sorted(r.example_id for r in TB.examples(spark, SF_SMALL).select("example_id").collect())
+    run = lambda name: E.queries()[name](spark, SF_SMALL)
+    for name in ("assemble_systems_all", "blind_labels_all", "blind_prompt_all", "parse_ranking_all"):
+        assert sorted(r.eval_id for r in run(name).select("eval_id").collect()) == ids
+    parsed = run("parse_ranking_all").filter("ranking IS NOT NULL").count()
+    assert run("rank_metrics_all").count() == run("blind_eval_all").count() == run("eval_summary_all").first().num_examples == parsed > 0
+    assert sum(r.n for r in run("best_model_counts_all").collect()) == parsed
