@@ -56,12 +56,18 @@ def count_tokens(text) -> Column:
     return F.size(pieces(text))
 
 
+def truncate(ids: Column, max_length: int | None) -> tuple[Column, Column]:
+    """T1 (truncate): the first ``max_length`` tokens (all of them if it is None) and the number dropped."""
+    if max_length is None:
+        return ids, F.lit(0)
+    return F.slice(ids, 1, max_length), F.greatest(F.size(ids) - F.lit(max_length), F.lit(0))
+
+
 def pad_right(ids: Column, length: int, pad_id: int = PAD_ID) -> tuple[Column, Column]:
-    """T1 (truncate + pad): ``(input_ids, attention_mask)`` of exactly ``length``."""
-    kept = F.slice(ids, 1, length)
-    n = F.size(kept)
+    """T1 (pad): ``(input_ids, attention_mask)`` of at least ``length``; longer ids stay whole."""
+    n = F.size(ids)
     pad = F.greatest(F.lit(length) - n, F.lit(0))
-    input_ids = F.concat(kept, F.array_repeat(F.lit(pad_id), pad))
+    input_ids = F.concat(ids, F.array_repeat(F.lit(pad_id), pad))
     mask = F.concat(F.array_repeat(F.lit(1), n), F.array_repeat(F.lit(0), pad))
     return input_ids, mask
 
@@ -81,11 +87,12 @@ def loss_labels(input_ids: Column, attention_mask: Column, prompt_len: Column, i
     )
 
 
-def sft_features(prompt: Column, full_text: Column, max_length: int = C.SFT_MAX_LENGTH) -> dict[str, Column]:
-    """T1-T3 over a prompt and the full training text."""
-    input_ids, mask = pad_right(token_ids(full_text), max_length)
+def sft_features(prompt: Column, full_text: Column, max_length: int | None = None) -> dict[str, Column]:
+    """T1-T3 over a prompt and the full training text, whole or cut to ``max_length`` (``n_dropped`` counts the rest)."""
+    kept, n_dropped = truncate(token_ids(full_text), max_length)
+    input_ids, mask = pad_right(kept, C.SFT_MAX_LENGTH if max_length is None else max_length)
     plen = common_prefix_len(token_ids(prompt), input_ids)
-    return {"input_ids": input_ids, "attention_mask": mask, "prompt_len": plen, "labels": loss_labels(input_ids, mask, plen)}
+    return {"input_ids": input_ids, "attention_mask": mask, "prompt_len": plen, "labels": loss_labels(input_ids, mask, plen), "n_dropped": n_dropped}
 
 
 def align_completion(prompt: Column, completion: Column) -> dict[str, Column]:

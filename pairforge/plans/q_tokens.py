@@ -39,17 +39,19 @@ _m AS (SELECT *, list_transform(input_ids, lambda x, i: CASE WHEN i - 1 < plen O
                   md5(array_to_string(input_ids, ',')) AS ids_md5, md5(array_to_string(labels, ',')) AS labels_md5
            FROM _m""",
     ),
-    "T1-T3 tokenise, truncate/pad to 1024, prompt prefix by joint tokens, labels masked by prompt and attention mask",
+    "T1-T3 tokenise, pad to 1024 (cut only at a given length), prompt prefix by joint tokens, labels masked by prompt and attention mask",
 )
-def loss_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
+def loss_mask(spark: SparkSession, sf_dir: str, max_length: int | None = None) -> DataFrame:
+    """Whole texts; with ``max_length`` they are cut there and ``n_dropped`` counts the tokens lost."""
     ex = TB.examples(spark, sf_dir)
     staged = ex.select(
         "example_id",
         TK.token_ids(T.sft_text("instruction", "input", "output")).alias("ids"),
         TK.token_ids(T.sft_prompt("instruction", "input")).alias("p"),
     )
-    input_ids, mask = TK.pad_right(F.col("ids"), C.SFT_MAX_LENGTH)
-    staged = staged.select("example_id", "p", input_ids.alias("input_ids"), mask.alias("mask"))
+    kept, n_dropped = TK.truncate(F.col("ids"), max_length)
+    input_ids, mask = TK.pad_right(kept, C.SFT_MAX_LENGTH if max_length is None else max_length)
+    staged = staged.select("example_id", "p", input_ids.alias("input_ids"), mask.alias("mask"), n_dropped.alias("n_dropped"))
     staged = staged.withColumn("plen", TK.common_prefix_len(F.col("p"), F.col("input_ids")))
     staged = staged.withColumn("labels", TK.loss_labels(F.col("input_ids"), F.col("mask"), F.col("plen")))
     return staged.select(
@@ -59,6 +61,7 @@ def loss_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size(F.filter("labels", lambda x: x != C.IGNORE_INDEX)).alias("n_label_tokens"),
         F.md5(_join_ints(F.col("input_ids"))).alias("ids_md5"),
         F.md5(_join_ints(F.col("labels"))).alias("labels_md5"),
+        *([] if max_length is None else ["n_dropped"]),
     )
 
 

@@ -67,3 +67,19 @@ def test_pandas_tokenizer_hook_feeds_native_masking(spark):
     r = out.select(TK.loss_labels(F.col("ids"), F.col("mask"), F.col("plen")).alias("labels"), "plen").first()
     assert r.plen == 2
     assert list(r.labels)[:2] == [-100, -100] and list(r.labels)[4:] == [-100, -100]
+
+
+def test_loss_mask_keeps_long_texts_whole_and_counts_what_a_length_drops(spark, scratch):
+    from pairforge.plans.q_tokens import loss_mask
+    from tests.conftest import SF_SMALL
+
+    turns = [(1, 0, "user", "q " * 1500), (1, 1, "assistant", "a " * 600), (2, 0, "user", "q"), (2, 1, "assistant", "a")]
+    like = spark.read.parquet(f"{SF_SMALL}/conversations.parquet")
+    rows = spark.createDataFrame(turns, "conv_id bigint, turn int, role string, text string")
+    missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in like.schema if f.name not in rows.columns]
+    rows.select(*[F.col(c).cast(like.schema[c].dataType).alias(c) for c in rows.columns], *missing).write.parquet(f"{scratch}/conversations.parquet")
+    whole = {r.example_id: r for r in loss_mask(spark, scratch).collect()}
+    assert whole[0].n_tokens > 2100 and whole[0].prompt_len > 1500 and whole[0].n_label_tokens > 600
+    cut = {r.example_id: r for r in loss_mask(spark, scratch, 1024).collect()}
+    assert cut[0].n_tokens == 1024 and cut[0].n_label_tokens == 0 and cut[0].n_dropped == whole[0].n_tokens - 1024
+    assert cut[1].n_dropped == 0 and cut[1][:6] == whole[1][:6]
