@@ -304,21 +304,31 @@ def content(root: Node) -> list[Node]:
         if up.tag in ("article", "main"):
             container = up if container is None or container.tag == "article" and up.tag == "article" else container
         up = up.parent
-    if container is not None:
-        return [container]
-    root_path = best
-    chosen = [best]
-    while root_path.parent is not None:
-        root_path = root_path.parent
-        for c in root_path.children:
+    start = container or best
+    main = start
+    while main is not None and main.tag != "main":
+        main = main.parent
+    # beside an article that no main element holds, only articles count, and a title if it has none
+    alone = container is not None and main is None
+    untitled = not any(n.tag == "h1" and not n.dropped for n in _in_order(start))
+    chosen, at = [start], start
+    while at.parent is not None and at is not main:
+        at = at.parent
+        for c in at.children:
             if c.dropped or c.marked or not c.chars or any(_within(x, c) for x in chosen):
                 continue
-            title = c.tag in HEADINGS and c.tag == "h1"
-            if (c.density >= threshold and c.link_chars * 2 < c.chars and c.tag != "a") or title:
+            if c.tag == "h1":
+                if untitled or not alone:
+                    chosen.append(c)
+            elif c.density >= threshold and c.link_chars * 2 < c.chars and c.tag != "a" and (c.tag == "article" or not alone):
                 chosen.append(c)
-        own = "".join(x for x in root_path.items if type(x) is str)
-        if len(own.strip()) > 0 and root_path.density >= threshold and root_path is not root:
-            return [root_path]  # text of its own beside the chosen subtrees
+            elif main is not None and c.tag in ("header", "hgroup"):
+                chosen += [n for n in _in_order(c) if n.tag == "h1" and not n.dropped and n.chars]
+        own = "".join(x for x in at.items if type(x) is str)
+        if len(own.strip()) > 0 and at.density >= threshold and at is not root and not alone:
+            chosen = [at]  # text of its own beside the chosen subtrees
+            if container is None:
+                return chosen
     order = {id(n): i for i, n in enumerate(nodes)}
     return sorted(chosen, key=lambda n: order[id(n)])
 

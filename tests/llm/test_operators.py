@@ -341,6 +341,16 @@ def test_html_head_left_open(start):
     assert html_text.main_text(page.replace("<article>", "<head><article>")) == f"Head\n{ONE}"
 
 
+def test_html_beside_the_densest_article():
+    both = f"<article><p>{ONE}</p><p>{ONE}</p><p>{ONE}</p></article><article><p>{TWO}</p></article>"
+    text = f"Title\n{ONE}\n{ONE}\n{ONE}\n{TWO}"
+    links = "<ul>" + "<li><a href=x>other page</a></li>" * 9 + "</ul>"
+    for title in ("<h1>Title</h1>", "<header><h1>Title</h1><a href=x>Topic</a></header>"):
+        assert html_text.main_text(f"<body><h1>Site</h1><main>{title}{both}{links}</main><article>{SIDE}</article></body>") == text
+    assert html_text.main_text(f"<body><div>{links}<h1>Title</h1>{both}</div></body>") == text
+    assert html_text.main_text(f"<body><h1>Site</h1><article><h1>Title</h1><p>{ONE}</p><p>{ONE}</p><p>{ONE}</p></article><div>{TWO}</div></body>") == text.removesuffix(f"\n{TWO}")
+
+
 def test_empty_tables(spark):
     empty = docs_of(spark, odd_texts()).limit(0)
     assert substrings.remove_repeats(empty).count() == 0
