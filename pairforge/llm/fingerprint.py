@@ -1,7 +1,9 @@
 """Document fingerprints by context-triggered piecewise hashing.
 
 A rolling hash over seven code points ends a chunk wherever it hits the block size; every chunk
-gives one symbol of the signature.  A fingerprint holds the block size, the signature at it and
+gives one symbol of the signature.  The block size comes from the length and is then halved or
+doubled by the chunks it makes; if the passages of a repetitive text all end at once or not at
+all, every second, fourth, ... end counts and the block size grows by that factor.  A fingerprint holds the block size, the signature at it and
 the one at twice it; two fingerprints are compared by edit distance where their block sizes meet.
 
 Scale: fingerprinting is a map.  The edited text of a document needs its neighbour in the global
@@ -22,7 +24,7 @@ from pyspark.sql import functions as F
 
 from pairforge.llm.common import materialize
 
-WINDOW, LEAST_BLOCK, SYMBOLS, MOST_SYMBOLS, COMMON = 7, 3, 64, 96, 5
+WINDOW, LEAST_BLOCK, SYMBOLS, LEAST_SYMBOLS, MOST_SYMBOLS, COMMON = 7, 3, 64, 16, 96, 5
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
 _M1, _M2, _P = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), np.uint64(0x100000001B3)
 _SYMBOL = np.frombuffer(ALPHABET.encode(), np.uint8)
@@ -64,9 +66,26 @@ def fingerprint(codes: np.ndarray) -> str:
         return f"{block}::"
     h = rolling(codes)
     low = h & np.uint64(0xFFFFFFFF)
-    ends = np.flatnonzero(low % np.uint64(block) == block - 1)
-    twice = ends[low[ends] % np.uint64(2 * block) == 2 * block - 1]
-    return f"{block}:{_signature(h, ends)}:{_signature(h, twice)}"
+
+    def ends_at(size: int) -> np.ndarray:
+        return np.flatnonzero(low % np.uint64(size) == size - 1)
+
+    def too_few(ends: np.ndarray) -> bool:
+        """Too few chunks, or one of more than a third of the text."""
+        return len(ends) < LEAST_SYMBOLS or 3 * int(np.diff(ends, prepend=-1, append=len(h) - 1).max()) > len(h)
+
+    ends = ends_at(block)
+    while block > 1 and len(h) > LEAST_BLOCK * SYMBOLS and too_few(ends):
+        block //= 2
+        ends = ends_at(block)
+    while len(ends) >= MOST_SYMBOLS and not too_few(more := ends_at(2 * block)):
+        block, ends = 2 * block, more
+    step = 1
+    while len(ends) >= MOST_SYMBOLS * step:
+        step *= 2
+    ends = ends[step - 1 :: step]
+    twice = ends[1::2] if step > 1 else ends[low[ends] % np.uint64(2 * block) == 2 * block - 1]
+    return f"{block * step}:{_signature(h, ends)}:{_signature(h, twice)}"
 
 
 def _likeness(a: str, b: str) -> float:

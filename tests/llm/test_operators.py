@@ -207,6 +207,21 @@ def test_fingerprints(spark):
     assert {r.doc_id: r.fingerprint for r in fingerprint.fingerprint_documents(docs_of(spark, rows)).collect()} == marks
 
 
+@pytest.mark.parametrize("passage", [20, 37, 100, 260, 1000])
+def test_fingerprint_of_long_periodic_texts(passage):
+    rng = random.Random(passage)
+    draw = lambda n: "".join(rng.choice("abcdefghij klmnop") for _ in range(n))
+    mark = lambda t: fingerprint.fingerprint(fingerprint.code_points(t))
+    text = (draw(passage) * 40000)[:40000]
+    half = text[:20000] + draw(20000)
+    tail = text[:38000] + draw(2000)
+    size = len(mark(text).split(":")[1])
+    assert 16 <= size <= 97
+    assert 0 <= fingerprint.likeness(mark(text), mark(half)) < 0.9
+    assert fingerprint.likeness(mark(text), mark(tail)) > 0.5
+    assert fingerprint.likeness(mark(text), mark(draw(40000))) < 0.3
+
+
 def test_mixing(spark):
     rows = odd_texts() + [(100 + i, f"t{i}", "big") for i in range(300)] + [(500 + i, "x", "few") for i in range(3)]
     docs = docs_of(spark, rows)
