@@ -20,15 +20,14 @@ from pairforge.sources.io import is_folder
 from pairforge.streaming import streams as X
 from pairforge.session import materialize
 
-RESPONSE_FILES = 4
 _GENERATED_WITH_REF = T.StructType(GENERATED.fields + [T.StructField("reference_output", T.StringType())])
 
 
 def _response_files(spark: SparkSession, sf_dir: str, name: str) -> str:
-    """Land the generated rows as JSONL files (K1), the way the generation stage leaves them."""
+    """Land the generated rows as JSONL files (K1), one a partition, the way the generation stage leaves them."""
     folder = X.run_folder(spark, name)
     src = os.path.join(folder, "responses")
-    TB.responses(spark, sf_dir, keep_reference=True).repartition(RESPONSE_FILES).write.json(src)
+    TB.responses(spark, sf_dir, keep_reference=True).write.json(src)
     return folder
 
 
@@ -42,7 +41,7 @@ def stream_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     executes it per micro-batch.  (A non-deterministic judge would instead use
     ``streams.run_batches`` so each batch's verdicts are written once before branching.)"""
     folder = _response_files(spark, sf_dir, "pairs")
-    stream = X.file_stream(spark, os.path.join(folder, "responses"), _GENERATED_WITH_REF, "json", max_files_per_trigger=1)
+    stream = X.file_stream(spark, os.path.join(folder, "responses"), _GENERATED_WITH_REF, "json", max_files_per_trigger=spark.sparkContext.defaultParallelism)
     pairs = P.build_pairs(stream, S.stub_judge(C.MODE_TEACHER), C.MODE_TEACHER, S.stub_teacher(reference="reference_output"))
     out = os.path.join(folder, "pairs")
     X.run_append(pairs, out, os.path.join(folder, "_checkpoint"))
@@ -57,7 +56,7 @@ def stream_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = _response_files(spark, sf_dir, "resume")
     done = materialize(_teacher_pairs_df(spark, sf_dir).select("example_id"), "done_ids")
-    stream = X.file_stream(spark, os.path.join(folder, "responses"), _GENERATED_WITH_REF, "json", max_files_per_trigger=1)
+    stream = X.file_stream(spark, os.path.join(folder, "responses"), _GENERATED_WITH_REF, "json", max_files_per_trigger=spark.sparkContext.defaultParallelism)
     pending = J.resume_pending(stream, done).select("example_id", "prompt")
     out = os.path.join(folder, "pending")
     X.run_append(pending, out, os.path.join(folder, "_checkpoint"))

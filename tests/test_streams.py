@@ -80,3 +80,21 @@ def test_poll_processes_new_files(spark, scratch):
     finally:
         q.stop()
     assert spark.read.parquet(out).count() == 5
+
+
+def test_landed_files_follow_partitions_and_batches_take_a_file_a_core(spark, scratch, monkeypatch):
+    from pairforge.plans import q_streams as Q
+    from pairforge.sources import tables as TB
+    from tests.conftest import SF_SMALL
+
+    cores = spark.sparkContext.defaultParallelism
+    rows = TB.responses(spark, SF_SMALL, keep_reference=True).repartition(2 * cores + 1)
+    monkeypatch.setattr(Q.TB, "responses", lambda *a, **k: rows)
+    for name, query in (("pairs", Q.stream_pairs), ("resume", Q.stream_resume)):
+        folder = os.path.join(scratch, name)
+        monkeypatch.setattr(Q.X, "run_folder", lambda *a, folder=folder: folder)
+        assert query(spark, SF_SMALL).count() > 0
+        files = [f for f in os.listdir(os.path.join(folder, "responses")) if f.startswith("part-")]
+        batches = [f for f in os.listdir(os.path.join(folder, "_checkpoint", "commits")) if f.isdigit()]
+        assert len(files) == rows.filter("prompt IS NOT NULL").select(F.spark_partition_id()).distinct().count()
+        assert len(batches) == -(-len(files) // cores)
