@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pairforge.llm import bpe, fingerprint, html_text, jaccard, lines, mixing, quality, substrings, topk, toxicity
+from pairforge.llm import bpe, collocations, fingerprint, html_text, jaccard, lines, mixing, posting_lists, prefix_trie, quality, substrings, topk, toxicity
 from pairforge.llm.common import table
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -55,7 +55,19 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Run] = {f.__name__: f for f in (op1_quality, op2_substrings, op3_bpe, op4_fingerprint, op5_mixing, op6_toxicity, op7_topk, op8_lines, op9_html, op10_jaccard)}
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return posting_lists.search_table(table(spark, sf_dir, "embeddings"))
+
+
+def op13_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.build(table(spark, sf_dir, "conversations"))
+
+
+QUERIES: dict[str, Run] = {f.__name__: f for f in (op1_quality, op2_substrings, op3_bpe, op4_fingerprint, op5_mixing, op6_toxicity, op7_topk, op8_lines, op9_html, op10_jaccard, op11_collocations, op12_neighbours, op13_trie)}
 
 #: DuckDB SQL where SQL can express the operator; the others are tested against brute force.
-ORACLE_SQL: dict[str, str] = {"op5_mixing": mixing.ORACLE, "op7_topk": topk.ORACLE, "op8_lines": lines.ORACLE}
+ORACLE_SQL: dict[str, str] = {"op5_mixing": mixing.ORACLE, "op7_topk": topk.ORACLE, "op8_lines": lines.ORACLE, "op11_collocations": collocations.ORACLE, "op13_trie": prefix_trie.ORACLE}
