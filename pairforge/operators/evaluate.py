@@ -17,9 +17,10 @@ from pyspark.sql import functions as F
 from pairforge import constants as C
 from pairforge.functions import text as T
 from pairforge.functions import verdict as V
+from pairforge.functions.mersenne import shuffle_labels
 from pairforge.operators.infer import TextModel
 from pairforge.operators.joins import assemble_systems, exclude_by_text
-from pairforge.operators.sampling import shuffle_positions, split_exact
+from pairforge.operators.sampling import shuffle_positions, shuffle_take, split_exact
 from pairforge.operators.stages import close_stage
 from pairforge.session import materialize
 
@@ -46,17 +47,16 @@ def heldout_examples(
     cols = ["example_id", "instruction", "input"] + (["output"] if keep_reference else [])
     test = split_exact(examples.select(*cols), "example_id", fraction, split_seed)
     test = test.filter(F.col("split") == "test").drop("split")
-    shuffled = shuffle_positions(test, "example_id", shuffle_seed, pos_col="eval_id")
+    if num_examples is not None and not top_up:
+        shuffled = shuffle_take(test, "example_id", num_examples, shuffle_seed, pos_col="eval_id")
+    else:
+        shuffled = shuffle_positions(test, "example_id", shuffle_seed, pos_col="eval_id")
     if top_up and num_examples is not None:
         rows = shuffled.select(
             "eval_id", "instruction", T.or_empty("input").alias("input"), T.format_prompt("instruction", "input").alias("prompt"),
             *([F.col("output").alias("reference_output")] if keep_reference else []),
         )
         return exclude_by_text(rows, used_prompts, "prompt").orderBy("eval_id").limit(num_examples)
-    if num_examples is not None:
-        size = shuffled.select(F.count(F.lit(1))).scalar()
-        enough = F.when(size < F.lit(num_examples), F.raise_error(F.lit("not enough held-out rows"))).otherwise(F.lit(True))
-        shuffled = shuffled.filter((F.col("eval_id") < F.lit(num_examples)) & enough)
     rows = shuffled.select(
         "eval_id", "instruction", T.or_empty("input").alias("input"), T.format_prompt("instruction", "input").alias("prompt"),
         *([F.col("output").alias("reference_output")] if keep_reference else []),
@@ -94,8 +94,8 @@ def blind_labels(key: Column, systems: Sequence[str] = C.SYSTEMS, seed: int = C.
     """Systems in label order 1..n, permuted per row by ``md5(seed + key, system)``.
 
     Like the reference, the row's stream is seeded with the *sum* ``seed + key``.  The
-    permutation is uniform and independent of row order, partitioning and resume; it is
-    not the Mersenne-Twister shuffle bit for bit (documented difference).
+    permutation is uniform and independent of row order, partitioning and resume.  It is not the
+    Mersenne-Twister shuffle bit for bit; ``blind_labels_exact`` is.
     """
     row_seed = (F.lit(seed) + key).cast("string")
     tagged = F.array(
@@ -104,14 +104,24 @@ def blind_labels(key: Column, systems: Sequence[str] = C.SYSTEMS, seed: int = C.
     return F.transform(F.array_sort(tagged), lambda x: x["s"])
 
 
+def blind_labels_exact(key: Column, systems: Sequence[str] = C.SYSTEMS, seed: int = C.DEFAULT_SEED) -> Column:
+    """L6, bit for bit: ``random.Random(seed + key).shuffle`` of ``systems``, vectorised over Arrow batches."""
+    return shuffle_labels(F.lit(seed) + key, systems)
+
+
 def label_map(order: Column) -> Column:
     """J4p: ``{"1": system, "2": system, ...}`` with string keys, as written to JSON."""
     return F.map_from_arrays(F.transform(order, lambda _x, i: (i + 1).cast("string")), order)
 
 
-def blind_prompts(assembled: DataFrame, systems: Sequence[str] = C.SYSTEMS, seed: int = C.DEFAULT_SEED, key: str = "eval_id") -> DataFrame:
-    """L6 + P9: label order, label map and the blind prompt for each assembled row."""
-    order = blind_labels(F.col(key), systems, seed)
+def blind_prompts(
+    assembled: DataFrame, systems: Sequence[str] = C.SYSTEMS, seed: int = C.DEFAULT_SEED, key: str = "eval_id", exact: bool = False
+) -> DataFrame:
+    """L6 + P9: label order, label map and the blind prompt for each assembled row.
+
+    ``exact`` takes the reference's own generator (Arrow) instead of the native md5 order.
+    """
+    order = (blind_labels_exact if exact else blind_labels)(F.col(key), systems, seed)
     with_order = assembled.withColumn("label_order", order)
     labelled = F.transform(F.col("label_order"), lambda s: F.col("responses")[s])
     return with_order.withColumns(
@@ -155,10 +165,10 @@ def _missing(models: Sequence[str]) -> Column:
     return F.filter(F.array(*[F.lit(s) for s in models]), lambda s: F.col("responses")[s].isNull())
 
 
-def prepare_blind(heldout: DataFrame, models: dict[str, TextModel], seed: int = C.DEFAULT_SEED) -> DataFrame:
+def prepare_blind(heldout: DataFrame, models: dict[str, TextModel], seed: int = C.DEFAULT_SEED, exact: bool = False) -> DataFrame:
     """R2 → D3 → L6 → P9: label order/map and the blind prompt of the examples that all systems answered."""
     complete = assemble_outputs(heldout, models).filter(F.size(_missing(tuple(models))) == 0)
-    return blind_prompts(complete, tuple(models), seed)
+    return blind_prompts(complete, tuple(models), seed, exact=exact)
 
 
 def judge_blind(prompted: DataFrame, judge: TextModel, num_systems: int) -> DataFrame:
@@ -192,6 +202,7 @@ def blind_eval(
     models: dict[str, TextModel],
     judge: TextModel,
     seed: int = C.DEFAULT_SEED,
+    exact: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """(results in the M6 shape, rows that a system did not answer or whose ranking failed to parse)."""
     missing = _missing(tuple(models))
@@ -199,7 +210,7 @@ def blind_eval(
     incomplete = assembled.filter(F.size(missing) > 0).select(
         "eval_id", F.concat(F.lit("no response of: "), F.array_join(missing, ", ")).alias("detail")
     )
-    judged = judge_blind(blind_prompts(assembled.filter(F.size(missing) == 0), tuple(models), seed), judge, len(models))
+    judged = judge_blind(blind_prompts(assembled.filter(F.size(missing) == 0), tuple(models), seed, exact=exact), judge, len(models))
     failed = judged.filter(F.col("parsed").isNull() | F.col("judge_raw_error").isNotNull()).select(
         "eval_id", F.coalesce("judge_raw_error", "judge_raw").alias("detail")
     )

@@ -5,13 +5,13 @@ not depend on partitioning, task retries or arrival order (SURVEY §7.5.3), and
 hashes are available in DuckDB for the oracle.
 
 * ``split_exact`` (L3): the ``ceil(f * n)`` rows with the smallest ``md5(seed:key)`` are
-  test.  Ranking uses ``dense_index`` (range partition + per-partition offsets), never a
-  single-task global sort or ``randomSplit`` (inexact and partitioning-dependent).
+  test.  The cut comes from radix histograms of the hashes (``selection``): the rows are not
+  sorted, exchanged or written, and ``randomSplit`` (inexact and partitioning-dependent) is not used.
 * ``split_bucket`` (L3b): stable hash bucket; one narrow pass, streamable, membership never
   changes when rows arrive.
-* ``shuffle_positions`` / ``shuffle_take`` (L4): seeded permutation as dense positions; taking
-  ``n`` is a filter on the position, and asking for more rows than exist raises (lazily,
-  via ``raise_error``) like the reference's ``select(range(n))``.
+* ``shuffle_positions`` (L4): seeded permutation as dense positions.  ``shuffle_take`` finds
+  the cut after ``n`` rows by histograms, filters, and numbers only those ``n`` rows; asking for
+  more rows than exist raises, like the reference's ``select(range(n))``.
 * ``head`` / ``head_offset`` (L1/L2): on dense positions these are range filters that reach
   the Parquet scan, not sorts.
 """
@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from pairforge import constants as C
 from pairforge.operators.positional import dense_index
+from pairforge.operators.selection import mark_smallest
 
 BUCKETS = 10000
 
@@ -46,15 +47,16 @@ def hash_bucket(key, seed: int | str, salt: str = "", buckets: int = BUCKETS) ->
 
 def split_exact(
     df: DataFrame, key: str, fraction: float = C.SPLIT_FRACTION, seed: int = C.SPLIT_SEED,
-    split_col: str = "split", salt: str = "",
+    split_col: str = "split", salt: str = "", keys: DataFrame | None = None,
 ) -> DataFrame:
-    """L3: exact-size seeded split; ``ceil(fraction * n)`` rows are ``test``."""
+    """L3: exact-size seeded split; ``ceil(fraction * n)`` rows are ``test``.
+
+    ``keys``: a written table with the same ``key`` column, counted in place of a dear ``df``.
+    """
     if not 0.0 <= fraction < 1.0:
         raise ValueError("fraction must be in [0, 1)")
-    ranked = dense_index(df.withColumn("__h", seeded_hash(key, seed, salt)), ["__h", key], id_col="__rank")
-    n = ranked.select(F.count(F.lit(1))).scalar()
-    n_test = F.ceil(n * F.lit(fraction))
-    return ranked.withColumn(split_col, F.when(F.col("__rank") < n_test, "test").otherwise("train")).drop("__h", "__rank")
+    marked, _ = mark_smallest(df, seeded_hash(key, seed, salt), key, lambda n: ceil_test_size(n, fraction), "__test", keys)
+    return marked.withColumn(split_col, F.when(F.col("__test"), "test").otherwise("train")).drop("__test")
 
 
 def split_bucket(
@@ -81,10 +83,10 @@ def shuffle_positions(df: DataFrame, key: str, seed: int = C.DEFAULT_SEED, pos_c
 
 def shuffle_take(df: DataFrame, key: str, n: int, seed: int = C.DEFAULT_SEED, pos_col: str = "position", salt: str = "shuffle:") -> DataFrame:
     """L4: seeded shuffle then take ``n``; more than available raises, as the reference does."""
-    shuffled = shuffle_positions(df, key, seed, pos_col, salt)
-    size = shuffled.select(F.count(F.lit(1))).scalar()
-    enough = F.when(size < F.lit(n), F.raise_error(F.lit(f"shuffle_take: requested {n} rows, fewer available"))).otherwise(F.lit(True))
-    return shuffled.filter((F.col(pos_col) < F.lit(n)) & enough)
+    marked, size = mark_smallest(df, seeded_hash(key, seed, salt), key, lambda _: n, "__taken")
+    if size < n:
+        raise ValueError(f"shuffle_take: requested {n} rows, {size} available")
+    return shuffle_positions(marked.filter(F.col("__taken")).drop("__taken"), key, seed, pos_col, salt)
 
 
 def head(df: DataFrame, position: str, n: int | None) -> DataFrame:

@@ -161,7 +161,8 @@ def training_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = _teacher_pairs_df(spark, sf_dir)
     P.training_pairs(pairs)  # P11 check: prompt/chosen/rejected must exist
     keyed = pairs.select("example_id", "prompt", "chosen", "rejected")
-    split = SM.split_exact(keyed, "example_id", C.SPLIT_FRACTION, C.SPLIT_SEED)
+    ids = materialize(pairs.select("example_id"), "pair-ids")  # the verdicts are parsed once for all counts
+    split = SM.split_exact(keyed, "example_id", C.SPLIT_FRACTION, C.SPLIT_SEED, keys=ids)
     chosen = TK.align_completion(F.col("prompt"), F.col("chosen"))["completion"]
     rejected = TK.align_completion(F.col("prompt"), F.col("rejected"))["completion"]
     return split.select(
@@ -214,6 +215,21 @@ def shuffle_take(spark: SparkSession, sf_dir: str) -> DataFrame:
     return SM.shuffle_positions(test.drop("split"), "example_id", C.DEFAULT_SEED)
 
 
+@register(
+    "shuffle_take_half",
+    O.with_ctes(
+        O.EXAMPLES_CTE,
+        """SELECT example_id, position FROM (
+             SELECT example_id, row_number() OVER (ORDER BY md5('shuffle:42:' || CAST(example_id AS VARCHAR)), example_id) - 1 AS position FROM examples)
+           WHERE position < (SELECT count(*) // 2 FROM examples)""",
+    ),
+    "L4 seeded shuffle, then take: half of all examples, chosen by the exact order statistic of their hashes",
+)
+def shuffle_take_half(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ex = TB.examples(spark, sf_dir).select("example_id")
+    return SM.shuffle_take(ex, "example_id", ex.count() // 2, C.DEFAULT_SEED)
+
+
 _HELDOUT_MEMO: dict = {}
 
 

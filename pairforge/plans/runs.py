@@ -136,15 +136,17 @@ def evaluation_run(
     only_this_judge: bool = False,
     top_up: bool = False,
     dead_letter_path: str | None = None,
+    exact_labels: bool = False,
 ) -> DataFrame:
     """Held-out rows → resume → systems → blind ranking → append; then the summary is
     recomputed over *every* row in the output (Q4) and written (K3).  ``only_this_judge``
     restricts the summary to rows this judge wrote (off by default, as in the reference).
-    Examples that a system did not answer, and replies that don't parse, go to ``dead_letter_path``."""
+    Examples that a system did not answer, and replies that don't parse, go to ``dead_letter_path``.
+    ``exact_labels`` shuffles the labels with the reference's own generator."""
     held = EV.heldout_examples(examples, used_prompts, num_examples, shuffle_seed=seed, keep_reference=True, top_up=top_up)
     if resume:
         held = resume_pending(held, io.completed_ids(spark, out_path, "eval_id"), "eval_id")
-    results, failed = EV.blind_eval(held, systems, judge, seed)
+    results, failed = EV.blind_eval(held, systems, judge, seed, exact=exact_labels)
     chunk = io.append_chunk(results, out_path, _chunk(chunk_id))
     if dead_letter_path:
         io.append_chunk(failed, dead_letter_path, chunk.rpartition("chunk=")[2])
