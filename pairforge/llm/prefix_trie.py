@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pairforge.llm.common import materialize
 from pairforge.operators.positional import dense_index
 
-SHARD_NODES, BLOCK, QUEUE, CHUNK_IDS = 4096, 4096, 500_000, 8192
+SHARD_NODES, BLOCK, QUEUE, CHUNK_IDS = 256, 4096, 500_000, 8192
 ROOT = bytes(16)
 WORD = r"[^\x20\x09-\x0D]+"
 EMPTY_SHA = hashlib.sha256().hexdigest()
