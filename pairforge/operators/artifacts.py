@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pairforge import constants as C
 from pairforge.functions.text import strip_ws
 from pairforge.functions.verdict import is_valid_json
+from pairforge.sources.files import list_tree
 
 _INT_TEXT = r"^[+-]?[0-9]+(_[0-9]+)*$"
 
@@ -60,6 +61,35 @@ def exportable(manifest: DataFrame, file_col: str = "file") -> DataFrame:
     return manifest.filter(~F.col(file_col).isin(*C.EXPORT_EXCLUDE))
 
 
+def scan_runs(spark: SparkSession, root: str) -> DataFrame:
+    """S5 over a folder of runs (``root/<run>/<checkpoint>/<file>``): ``run, dir, file, length, mtime, valid``.
+
+    The listing reads no contents and has empty files too; only the config files are opened, in a scan that the
+    file name filters, and joined to their row by folder.  ``valid`` is null for other files.
+    """
+    parts = F.split(F.col("path"), "/")
+    listed = list_tree(spark, root).select(
+        F.element_at(parts, -3).alias("run"), F.element_at(parts, -2).alias("dir"), F.element_at(parts, -1).alias("file"), "length", "mtime"
+    )
+    configs = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", C.ADAPTER_CONFIG).load(root)
+    checked = configs.select(
+        F.element_at(parts, -3).alias("run"), F.element_at(parts, -2).alias("dir"), F.lit(C.ADAPTER_CONFIG).alias("file"),
+        config_is_valid(F.col("length"), F.col("content").cast("string")).alias("readable"),
+    )
+    valid = F.when(F.col("file") == C.ADAPTER_CONFIG, F.coalesce("readable", F.lit(False)))
+    return listed.join(checked, ["run", "dir", "file"], "left").withColumn("valid", valid).drop("readable")
+
+
+def resolve_runs(manifest: DataFrame) -> DataFrame:
+    """N4 + L7 + F8 per run of ``scan_runs``: checkpoint folders, those with a valid config, the latest of these and
+    what its export holds (files and bytes without the trainer's own)."""
+    own = manifest.groupBy("run", "dir").agg(F.max(F.coalesce("valid", F.lit(False))).alias("valid"))
+    own = own.withColumn("version", checkpoint_version(F.col("dir")))
+    latest = latest_valid(own, ["run"], "dir", "version", "valid")
+    export = exportable(manifest).groupBy("run", F.col("dir").alias("latest")).agg(F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("n_bytes"))
+    return latest.join(export, ["run", "latest"], "left").fillna(0, ["n_files", "n_bytes"])
+
+
 def list_artifacts(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
     """Manifest ``dir, file, length, mtime, content`` of every file under ``root``."""
     raw = (

@@ -7,7 +7,7 @@ Two kinds of model share one interface:
   stays inside whole-stage codegen.
 * ``PandasModel`` — a real model behind ``mapInPandas``.  The factory is called once per
   Python worker (cached), prompts travel as Arrow batches, and the model sees batches of
-  ``batch_size`` prompts.  A ``RuntimeError`` on a batch is retried row by row so one bad
+  ``batch_size`` prompts.  A batch that raises a ``RuntimeError`` is retried in halves, so one bad
   prompt only marks that row; ``MemoryError`` (out of memory) fails the task.
 
 Select only the hook's input columns before calling ``apply``: column pruning does not
@@ -67,17 +67,20 @@ class PandasModel(TextModel):
         batch_size: int = 8,
         deterministic: bool = False,
         cache_key: Any = None,
+        count_calls: bool = False,
     ):
+        """``count_calls`` adds ``out_col + '_calls'``: in how many model calls the row took part."""
         self.name, self.factory, self.batch_size = name, factory, batch_size
-        self.deterministic, self.cache_key = deterministic, cache_key
+        self.deterministic, self.cache_key, self.count_calls = deterministic, cache_key, count_calls
 
     def apply(self, df: DataFrame, prompt_col: str, out_col: str, num_samples: int = 1) -> DataFrame:
         out_type = T.StringType() if num_samples == 1 else T.ArrayType(T.StringType())
         schema = T.StructType(
             list(df.schema.fields)
             + [T.StructField(out_col, out_type, True), T.StructField(out_col + "_error", T.StringType(), True)]
+            + ([T.StructField(out_col + "_calls", T.IntegerType(), False)] if self.count_calls else [])
         )
-        factory, batch_size, key = self.factory, self.batch_size, self.cache_key or self.name
+        factory, batch_size, key, count_calls = self.factory, self.batch_size, self.cache_key or self.name, self.count_calls
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             generate = _WORKER_CACHE.get(key)
@@ -86,15 +89,19 @@ class PandasModel(TextModel):
             for pdf in batches:
                 texts: list[Any] = []
                 errors: list[str | None] = []
+                calls: list[int] = []
                 prompts = pdf[prompt_col].tolist()
                 for start in range(0, len(prompts), batch_size):
                     chunk = prompts[start : start + batch_size]
-                    got, errs = _call_isolated(generate, chunk, num_samples)
+                    got, errs, made = _call_isolated(generate, chunk, num_samples)
                     texts.extend(got)
                     errors.extend(errs)
+                    calls.extend(made)
                 out = pdf.copy()
                 out[out_col] = [t if num_samples > 1 or t is None else t[0] for t in texts]
                 out[out_col + "_error"] = errors
+                if count_calls:
+                    out[out_col + "_calls"] = calls
                 yield out
 
         return df.mapInPandas(run, schema)
@@ -106,24 +113,28 @@ def _fatal(exc: BaseException) -> bool:
     return isinstance(exc, MemoryError) or "OutOfMemory" in type(exc).__name__
 
 
-def _call_isolated(generate, prompts: list[str], num_samples: int):
-    try:
-        outs = generate(prompts, num_samples)
-        return [list(o) for o in outs], [None] * len(prompts)
-    except RuntimeError as exc:
-        if _fatal(exc):
-            raise
-        texts, errors = [], []
-        for p in prompts:
-            try:
-                texts.append(list(generate([p], num_samples)[0]))
-                errors.append(None)
-            except RuntimeError as row_exc:
-                if _fatal(row_exc):
-                    raise
-                texts.append(None)
-                errors.append(f"{type(row_exc).__name__}: {row_exc}")
-        return texts, errors
+def _call_isolated(generate, prompts: list[str], num_samples: int) -> tuple[list, list, list[int]]:
+    """(texts, errors, calls that each prompt took part in).  A batch that raises is halved until only the
+    prompts that fail on their own are left: a lone bad prompt among n costs about 2 log2(n) calls, not n."""
+    texts: list = [None] * len(prompts)
+    errors: list[str | None] = [None] * len(prompts)
+    calls = [0] * len(prompts)
+    todo = [(0, len(prompts))] if prompts else []
+    while todo:
+        at, to = todo.pop()
+        for i in range(at, to):
+            calls[i] += 1
+        try:
+            texts[at:to] = [list(o) for o in generate(prompts[at:to], num_samples)]
+        except RuntimeError as exc:
+            if _fatal(exc):
+                raise
+            if to - at == 1:
+                errors[at] = f"{type(exc).__name__}: {exc}"
+            else:
+                half = (at + to) // 2
+                todo += [(half, to), (at, half)]
+    return texts, errors, calls
 
 
 def generate_long(

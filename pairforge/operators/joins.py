@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pairforge.operators.sketch import exclude_prefiltered
+
 
 def resume_pending(rows: DataFrame, done: DataFrame | None, key: str = "example_id") -> DataFrame:
     """Rows whose ``key`` is not in ``done`` (missing output = nothing done).
@@ -40,14 +42,17 @@ def _same_text(left: DataFrame, right: DataFrame, col: str):
     )
 
 
-def exclude_by_text(rows: DataFrame, used: DataFrame | None, col: str = "prompt") -> DataFrame:
+def exclude_by_text(rows: DataFrame, used: DataFrame | None, col: str = "prompt", prefilter: bool = True) -> DataFrame:
     """Drop rows whose ``col`` equals any text in ``used`` (exact string equality).
 
     Keyed by the text's digest (see ``_same_text``); an anti-join needs no distinct right side;
-    left duplicates survive (bag semantics, not EXCEPT).
+    left duplicates survive (bag semantics, not EXCEPT).  With ``prefilter`` a sized Bloom sketch of the
+    used texts lets the rows that certainly differ pass without a shuffle (see ``sketch``).
     """
     if used is None:
         return rows
+    if prefilter:
+        return exclude_prefiltered(rows, used, col, lambda some, texts: exclude_by_text(some, texts, col, prefilter=False))
     right = used.select(F.sha2(F.col(col), 256).alias("__k"), F.col(col).alias("__t"))
     left = rows.withColumn("__k", F.sha2(F.col(col), 256))
     return left.join(right, _same_text(left, right, col), "left_anti").drop("__k")

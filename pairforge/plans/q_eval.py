@@ -55,10 +55,10 @@ def _join(c, sep=","):
 
 @register(
     "assemble_systems",
-    O.with_ctes(O.EVAL_CTE, "SELECT eval_id, resp_pretrained, resp_sft, resp_dpo FROM blind"),
+    O.with_ctes(O.EVAL_ALL_CTE, "SELECT eval_id, resp_pretrained, resp_sft, resp_dpo FROM blind"),
     "R2/D3 one generation stage per system, long rows regrouped by id into a map (never zipped by position)",
 )
-def assemble_systems(spark: SparkSession, sf_dir: str, everything: bool = False) -> DataFrame:
+def assemble_systems(spark: SparkSession, sf_dir: str, everything: bool = True) -> DataFrame:
     p = _prepared(spark, sf_dir, everything)
     return p.select("eval_id", *[F.col("responses")[s].alias(f"resp_{s}") for s in C.SYSTEMS])
 
@@ -66,12 +66,12 @@ def assemble_systems(spark: SparkSession, sf_dir: str, everything: bool = False)
 @register(
     "blind_labels",
     O.with_ctes(
-        O.EVAL_CTE,
+        O.EVAL_ALL_CTE,
         "SELECT eval_id, label_order[1] AS label_1, label_order[2] AS label_2, label_order[3] AS label_3 FROM blind",
     ),
     "L6/J4p per-row seeded label permutation keyed by seed + eval_id",
 )
-def blind_labels(spark: SparkSession, sf_dir: str, everything: bool = False) -> DataFrame:
+def blind_labels(spark: SparkSession, sf_dir: str, everything: bool = True) -> DataFrame:
     p = _prepared(spark, sf_dir, everything)
     return p.select("eval_id", *[F.col("label_to_model")[str(i)].alias(f"label_{i}") for i in (1, 2, 3)])
 
@@ -79,25 +79,25 @@ def blind_labels(spark: SparkSession, sf_dir: str, everything: bool = False) ->
 @register(
     "blind_prompt",
     O.with_ctes(
-        O.EVAL_CTE,
+        O.EVAL_ALL_CTE,
         f"SELECT eval_id, {O.rank_prompt(C.BLIND_RANK_SYSTEM, 'instruction', 'input', O.candidate_block('labelled'))} AS blind_prompt FROM blind",
     ),
     "P9 blind three-way prompt in label order",
 )
-def blind_prompt(spark: SparkSession, sf_dir: str, everything: bool = False) -> DataFrame:
+def blind_prompt(spark: SparkSession, sf_dir: str, everything: bool = True) -> DataFrame:
     return _prepared(spark, sf_dir, everything).select("eval_id", "blind_prompt")
 
 
 @register(
     "parse_ranking",
     O.with_ctes(
-        O.EVAL_CTE,
+        O.EVAL_ALL_CTE,
         """SELECT eval_id, CASE WHEN ok THEN array_to_string(items, ',') END AS ranking,
                   CASE WHEN ok THEN reason END AS reason FROM parsed""",
     ),
     "J3p/F6 ranking verdicts: arrays, digit strings and object keys, permutation check",
 )
-def parse_ranking(spark: SparkSession, sf_dir: str, everything: bool = False) -> DataFrame:
+def parse_ranking(spark: SparkSession, sf_dir: str, everything: bool = True) -> DataFrame:
     j = _judged(spark, sf_dir, everything)
     return j.select("eval_id", _join(F.col("parsed.ranking")).alias("ranking"), F.col("parsed.reason").alias("reason"))
 
@@ -105,13 +105,13 @@ def parse_ranking(spark: SparkSession, sf_dir: str, everything: bool = False) ->
 @register(
     "rank_metrics",
     O.with_ctes(
-        O.EVAL_CTE,
+        O.EVAL_ALL_CTE,
         """SELECT eval_id, dpo_beats_sft, sft_beats_pretrained, best_model,
                   array_to_string(ranking_models, ',') AS ranking_models FROM results""",
     ),
     "N2/N3/D5 positions per system, pairwise beat flags, best system, ordered systems",
 )
-def rank_metrics(spark: SparkSession, sf_dir: str, everything: bool = False) -> DataFrame:
+def rank_metrics(spark: SparkSession, sf_dir: str, everything: bool = True) -> DataFrame:
     r = _results(spark, sf_dir, everything)
     return r.select("eval_id", "dpo_beats_sft", "sft_beats_pretrained", "best_model", _join(F.col("ranking_models")).alias("ranking_models"))
 
@@ -119,7 +119,7 @@ def rank_metrics(spark: SparkSession, sf_dir: str, everything: bool = False) ->
 @register(
     "blind_eval",
     O.with_ctes(
-        O.EVAL_CTE,
+        O.EVAL_ALL_CTE,
         f"""SELECT eval_id, instruction, input, prompt, array_to_string(ranking, ',') AS ranking,
                   '1=' || label_order[1] || ',2=' || label_order[2] || ',3=' || label_order[3] AS label_to_model,
                   judge_reason, {O.q(S.STUB_RANK_JUDGE_ID)} AS judge_model, true AS blind_ranking,
@@ -128,7 +128,7 @@ def rank_metrics(spark: SparkSession, sf_dir: str, everything: bool = False) ->
     ),
     "R7 blind ranking end to end: held-out rows, three systems, label permutation, judge, strict parse, metrics",
 )
-def blind_eval(spark: SparkSession, sf_dir: str, everything: bool = False) -> DataFrame:
+def blind_eval(spark: SparkSession, sf_dir: str, everything: bool = True) -> DataFrame:
     r = _results(spark, sf_dir, everything)
     labels = F.concat_ws(",", *[F.concat(F.lit(f"{i}="), F.col("label_to_model")[str(i)]) for i in (1, 2, 3)])
     return r.select(
@@ -152,10 +152,10 @@ FROM results"""
 
 @register(
     "eval_summary",
-    O.with_ctes(O.EVAL_CTE, _SUMMARY_SQL),
+    O.with_ctes(O.EVAL_ALL_CTE, _SUMMARY_SQL),
     "A1/A2/A5 win counts and zero-guarded rates; one row even when no result parsed",
 )
-def eval_summary(spark: SparkSession, sf_dir: str, everything: bool = False) -> DataFrame:
+def eval_summary(spark: SparkSession, sf_dir: str, everything: bool = True) -> DataFrame:
     s = EV.eval_summary(_results(spark, sf_dir, everything), DPO_MODEL_PATH, C.SFT_MODEL_ID, S.STUB_RANK_JUDGE_ID)
     return s.select(
         "num_examples", "dpo_beats_sft", "dpo_beats_sft_rate", "sft_beats_pretrained", "sft_beats_pretrained_rate",
@@ -167,7 +167,7 @@ def eval_summary(spark: SparkSession, sf_dir: str, everything: bool = False) ->
 @register(
     "best_model_counts",
     O.with_ctes(
-        O.EVAL_CTE,
+        O.EVAL_ALL_CTE,
         """SELECT k.best_model, coalesce(c.n, 0) AS n
            FROM (VALUES ('pretrained'), ('sft'), ('dpo')) k(best_model)
            FULL OUTER JOIN (SELECT coalesce(best_model, '') AS best_model, count(*) AS n FROM results GROUP BY 1) c
@@ -175,11 +175,12 @@ def eval_summary(spark: SparkSession, sf_dir: str, everything: bool = False) ->
     ),
     "A3 best-system counts, zero-filled for the known systems",
 )
-def best_model_counts(spark: SparkSession, sf_dir: str, everything: bool = False) -> DataFrame:
+def best_model_counts(spark: SparkSession, sf_dir: str, everything: bool = True) -> DataFrame:
     return EV.best_model_counts(_results(spark, sf_dir, everything))
 
 
-#: The queries above evaluate the held-out split; these evaluate every example, with its dense id as ``eval_id``.
+#: The queries above evaluate every example, with its dense id as ``eval_id``; these the held-out split, as the
+#: evaluation run does.
 for _name in ("assemble_systems", "blind_labels", "blind_prompt", "parse_ranking", "rank_metrics", "blind_eval", "eval_summary", "best_model_counts"):
     _q = REGISTRY[_name]
-    register(f"{_name}_all", _q.sql.replace(O.EVAL_CTE, O.EVAL_ALL_CTE), f"{_q.doc}; over all examples")(partial(_q.run, everything=True))
+    register(f"{_name}_heldout", _q.sql.replace(O.EVAL_ALL_CTE, O.EVAL_CTE), f"{_q.doc}; over the held-out split")(partial(_q.run, everything=False))

@@ -30,8 +30,8 @@ _SFT_FULL = (
         O.EXAMPLES_CTE
         + f""",
 _t AS (SELECT example_id, {O.token_ids(_SFT_FULL)} AS ids, {O.token_ids(_SFT_PROMPT)} AS p FROM examples),
-_k AS (SELECT example_id, p, list_resize(ids[1:1024], 1024, 50256) AS input_ids,
-              list_resize(list_transform(ids[1:1024], lambda x: 1), 1024, 0) AS mask, len(ids[1:1024]) AS n FROM _t),
+_k AS (SELECT example_id, p, list_resize(ids, greatest(len(ids), 1024), 50256) AS input_ids,
+              list_resize(list_transform(ids, lambda x: 1), greatest(len(ids), 1024), 0) AS mask, len(ids) AS n FROM _t),
 _l AS (SELECT *, {O.common_prefix_len('p', 'input_ids')} AS plen FROM _k),
 _m AS (SELECT *, list_transform(input_ids, lambda x, i: CASE WHEN i - 1 < plen OR mask[i] = 0 THEN -100 ELSE x END) AS labels FROM _l)""",
         """SELECT example_id, CAST(n AS INTEGER) AS n_tokens, CAST(plen AS INTEGER) AS prompt_len,
@@ -143,3 +143,26 @@ def batch_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
         "real_tokens",
         (F.col("padded_width") * F.col("n_rows") - F.col("real_tokens")).alias("pad_waste"),
     )
+
+
+@register(
+    "generated_tokens",
+    O.with_ctes(
+        O.EXAMPLES_CTE + f""",
+_p AS (SELECT example_id, {O.token_ids(O.prompt('instruction', 'input'))} AS p, {O.token_ids('output')} AS o FROM examples),
+_w AS (SELECT *, max(least(len(p), {C.PROMPT_TOKEN_CAP})) OVER (PARTITION BY example_id // {C.GEN_BATCH_SIZE}) AS width FROM _p)""",
+        "SELECT example_id, CAST(width AS INTEGER) AS padded_width, CAST(len(o) AS INTEGER) AS n_new, md5(array_to_string(o, ',')) AS new_md5 FROM _w",
+    ),
+    "T6 new tokens of left-padded batches start at the batch's padded width, not at the prompt's own length",
+)
+def generated_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Model output as a batch holds it: the prompt (cut at the cap) left-padded to its batch's width, then the new tokens."""
+    ex = TB.examples(spark, sf_dir).select(
+        "example_id", batch_ids("example_id", C.GEN_BATCH_SIZE).alias("batch_id"),
+        TK.truncate_prompt(TK.token_ids(T.format_prompt("instruction", "input")))[0].alias("p"), TK.token_ids("output").alias("o"),
+    )
+    widths = ex.groupBy("batch_id").agg(F.max(F.size("p")).alias("padded_width"))
+    rows = ex.join(widths, "batch_id")
+    padded = F.concat(F.array_repeat(F.lit(TK.PAD_ID), F.col("padded_width") - F.size("p")), "p", "o")
+    new = TK.new_tokens(padded, F.col("padded_width"))
+    return rows.select("example_id", "padded_width", F.size(new).alias("n_new"), F.md5(_join_ints(new)).alias("new_md5"))

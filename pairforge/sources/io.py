@@ -12,7 +12,7 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,6 +39,27 @@ def read_rows(
     return spark.read.table(table)
 
 
+def bad_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """S1 report beside FAILFAST: the lines that the declared schema rejects, as ``file, line, raw``.
+
+    ``line`` counts from 1 within the file, blank lines included, as an editor shows it.  A file is read in
+    blocks by as many tasks as it has: a line's number is its place in its block plus the lines of the blocks
+    before, so only one count a block is shuffled.
+    """
+    corrupt = "__corrupt"
+    declared = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"), F.col("value").alias("raw"),
+    )
+    blocks = lines.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first"))
+    before = F.sum("n").over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
+    blocks = blocks.withColumn("before", F.coalesce(before, F.lit(0)))
+    parsed = F.from_json("raw", declared, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt})
+    bad = lines.filter((F.trim("raw") != "") & parsed[corrupt].isNotNull())
+    return bad.join(blocks, ["file", "block"]).select("file", (F.col("before") + F.col("at") - F.col("first") + 1).alias("line"), "raw")
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)

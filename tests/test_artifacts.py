@@ -54,3 +54,17 @@ def test_resolver_looks_one_level_deep(spark, tmp_path):
         (tmp_path / folder / "adapter_config.json").write_text("{}")
     assert A.resolve_adapter_dir(spark, str(tmp_path)) == str(tmp_path / "checkpoint-5")
     assert A.resolve_adapter_dir(spark, f"file:{tmp_path}") == f"file:{tmp_path}/checkpoint-5"
+
+
+def test_runs_are_resolved_from_files(spark, scratch):
+    root = os.path.join(scratch, "runs")
+    for rel, text in (
+        ("r1/checkpoint-9/adapter_config.json", "{}"), ("r1/checkpoint-9/adapter_model.safetensors", "weights"), ("r1/checkpoint-9/optimizer.pt", "state"),
+        ("r1/checkpoint-10/adapter_config.json", "{cut"), ("r1/checkpoint-x/adapter_config.json", "{}"), ("r2/checkpoint-1/adapter_config.json", ""),
+        ("r3/checkpoint-2/adapter_model.safetensors", "no config"),
+    ):
+        _write(root, rel, text)
+    scan = A.scan_runs(spark, root)
+    assert {r.length for r in scan.filter("run = 'r2'").collect()} == {0}  # empty files are listed
+    got = {r.run: (r.n_checkpoints, r.n_valid, r.latest, r.n_files, r.n_bytes) for r in A.resolve_runs(scan).collect()}
+    assert got == {"r1": (3, 2, "checkpoint-9", 2, 9), "r2": (1, 0, None, 0, 0), "r3": (1, 0, None, 0, 0)}

@@ -80,8 +80,8 @@ def test_evaluation_reaches_every_example(spark):
 
     ids = sorted(r.example_id for r in TB.examples(spark, SF_SMALL).select("example_id").collect())
     run = lambda name: E.queries()[name](spark, SF_SMALL)
-    for name in ("assemble_systems_all", "blind_labels_all", "blind_prompt_all", "parse_ranking_all"):
+    for name in ("assemble_systems", "blind_labels", "blind_prompt", "parse_ranking"):
         assert sorted(r.eval_id for r in run(name).select("eval_id").collect()) == ids
-    parsed = run("parse_ranking_all").filter("ranking IS NOT NULL").count()
-    assert run("rank_metrics_all").count() == run("blind_eval_all").count() == run("eval_summary_all").first().num_examples == parsed > 0
-    assert sum(r.n for r in run("best_model_counts_all").collect()) == parsed
+    parsed = run("parse_ranking").filter("ranking IS NOT NULL").count()
+    assert run("rank_metrics").count() == run("blind_eval").count() == run("eval_summary").first().num_examples == parsed > 0
+    assert sum(r.n for r in run("best_model_counts").collect()) == parsed

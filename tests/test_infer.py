@@ -64,3 +64,31 @@ def test_device_out_of_memory_is_not_isolated(spark):
     df = spark.createDataFrame([(1, "a")], "id long, p string")
     with pytest.raises(Exception, match="device out of memory"):
         PandasModel("device-oom", device_oom_factory).apply(df, "p", "o").collect()
+
+
+def test_halving_finds_bad_rows_in_few_calls():
+    from pairforge.operators.infer import _call_isolated
+
+    made = []
+
+    def generate(prompts, n):
+        made.append(len(prompts))
+        if any("bad" in p for p in prompts):
+            raise RuntimeError("no")
+        return [[p] * n for p in prompts]
+
+    prompts = [f"p{i}" for i in range(64)]
+    prompts[37] = "bad"
+    texts, errors, calls = _call_isolated(generate, prompts, 1)
+    assert [i for i, e in enumerate(errors) if e] == [37] and errors[37] == "RuntimeError: no" and texts[37] is None
+    assert [t[0] for i, t in enumerate(texts) if i != 37] == [p for p in prompts if p != "bad"]
+    assert len(made) == 13 and calls[37] == 7 and calls[0] == 2  # 1 + 2 log2(64) calls rather than 65
+    made.clear()
+    assert _call_isolated(generate, ["bad"] * 8, 2)[1] == ["RuntimeError: no"] * 8 and len(made) == 15
+    assert _call_isolated(generate, [], 1) == ([], [], [])
+
+
+def test_calls_are_counted_per_row(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "boom"), (3, "c"), (4, "d")], "id long, p string").coalesce(1)
+    out = PandasModel("flaky-counted", flaky_factory, batch_size=4, count_calls=True).apply(df, "p", "o").orderBy("id").collect()
+    assert [(r.o, r.o_calls) for r in out] == [("a-0", 3), (None, 3), ("c-0", 2), ("d-0", 2)]

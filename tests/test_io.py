@@ -67,3 +67,23 @@ def test_config_mismatch_audit(spark):
     gen = df.select("example_id", F.struct("model_id", "seed").alias("gen_config"))
     r = config_mismatches(gen, model_id="m", seed=42).first()
     assert (r.n_rows, r.n_config_mismatch) == (3, 2)
+
+
+def test_bad_lines_names_file_and_line(spark, scratch):
+    folder = os.path.join(scratch, "in")
+    good = '{"example_id": 1, "instruction": "a", "input": "", "output": "o"}'
+    _lines(folder, [good, "", "{cut", good, '{"example_id": "x"}', "   ", "[1, 2]", '"text"'])
+    with open(os.path.join(folder, "part-1.jsonl"), "w") as f:
+        f.write("{only" + "\n" + (good + "\n") * 5000 + "{last")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for block in (before, "16k"):  # whole files, and files in many blocks
+            spark.conf.set("spark.sql.files.maxPartitionBytes", block)
+            got = sorted((os.path.basename(r.file), r.line, r.raw) for r in io.bad_lines(spark, folder, INSTRUCTION).collect())
+            assert [(f, n) for f, n, _ in got if f == "part-1.jsonl"] == [("part-1.jsonl", 1), ("part-1.jsonl", 5002)]
+            assert [(n, raw) for f, n, raw in got if f == "part-0.jsonl"][:2] == [(3, "{cut"), (5, '{"example_id": "x"}')]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    clean = os.path.join(scratch, "clean")
+    _lines(clean, [good])
+    assert io.bad_lines(spark, clean, INSTRUCTION).count() == 0

@@ -15,7 +15,7 @@ PYTHON_NODES = (
     "FlatMapCoGroupsInPandas", "FlatMapCoGroupsInArrow", "PythonUDF", "TransformWithState",
 )
 # Queries whose feature is a hook: a model, a learned tokeniser, the standard library's generator.
-HOOK_QUERIES = {"generate_candidates": "MapInPandas", "boundary_learned": "ArrowEvalPython", "blind_labels_exact": "ArrowEvalPython"}
+HOOK_QUERIES = {"generate_candidates": "MapInPandas", "boundary_learned": "ArrowEvalPython", "blind_labels_exact": "ArrowEvalPython", "isolated_failures": "MapInPandas"}
 
 
 def _plan(df):
