@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pairforge.llm.common import materialize
 
 LONGEST, MIN_COUNT, COVERED, SCALE, TOP = 4, 30, (80, 100), 2_000_000, 2000
-WINDOW, MAX_WORDS, FILTER_ENTRIES, MERGE_ENTRIES, MOST_BITS, DISTINCT = 1 << 21, 1 << 21, 1 << 21, 1 << 22, 27, 300_000
+WINDOW, MAX_WORDS, FILTER_ENTRIES, MERGE_ENTRIES, MOST_BITS, DISTINCT = 1 << 21, 1 << 21, 1 << 21, 1 << 21, 27, 300_000
 #: A-Z become a-z, separators of pieces a full stop, tabs spaces.
 FOLD = bytes(c + 32 if 65 <= c <= 90 else 46 if c in b".,;:!?\n\x0b\x0c\r" else 32 if c == 9 else c for c in range(256))
 _A, _B = 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD  # odd, so multiplying by them is invertible
