@@ -1,8 +1,12 @@
 """BPE encoding and decoding with tree concatenation of long unsplit text.
 
+A text over CUT bytes is cut into halves again and again, at any code point, and the halves are put
+together as a tree.  A join that falls between two characters of a word re-encodes a window around
+it (the runs between white space that it broke, and as many whole runs on either side, twice as many
+each time) until the tokens of the whole runs at both edges are the ones that both sides had.
 White space of ASCII never lies inside a pre-token and no normalisation reaches across it, so the
-runs between it are encoded on their own (each distinct one once per worker, in a bounded table).
-A pre-token longer than LEAF symbols is unsplit text: its halves are encoded apart, and at each
+runs between it are encoded on their own (each distinct one once, in a bounded table of two
+generations per worker).  Within a run, a pre-token longer than LEAF symbols is unsplit text: its halves are encoded apart, and at each
 join a window of tokens around the join is re-encoded, twice as wide each time, until the pair of
 tokens at either edge of the window is one that BPE itself leaves unmerged; all of the encoding is
 then the one BPE makes of the whole.
@@ -25,12 +29,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairforge.llm.common import shuffle_width
+from pairforge.llm import common
+from pairforge.llm.common import shuffle_width, stage_begins
 
 #: Symbols of a pre-token that are encoded in one go; code points of a document that is one row.
 LEAF, SPLIT_CHARS = 512, 65_536
-#: Runs longer than this many bytes don't enter the table of known runs; its most entries.
-LONG_RUN, KNOWN_RUNS = 256, 120_000
+#: Bytes of a text, or of a half of one, that is split into runs in one go.
+CUT = 16_384
+#: Runs longer than this many bytes don't enter the table of known runs; the entries of one of its two generations.
+LONG_RUN, KNOWN_RUNS = 256, 250_000
 SUFFIX = "</w>"
 
 
@@ -43,7 +50,7 @@ def default_vocabulary() -> str:
 class Bpe:
     """One tokenizer file: library encoding of short runs, tree concatenation of long pre-tokens."""
 
-    def __init__(self, path: str, leaf: int = LEAF) -> None:
+    def __init__(self, path: str, leaf: int = LEAF, cut: int = CUT) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         from tokenizers.models import BPE
@@ -57,7 +64,7 @@ class Bpe:
         self.suffix = spec["model"].get("end_of_word_suffix") or ""
         self.inner = BPE(vocab=vocab, merges=merges)  # the same merges where no symbol ends a word
         self.last = BPE(vocab=vocab, merges=merges, end_of_word_suffix=self.suffix) if self.suffix else self.inner
-        self.leaf = leaf
+        self.leaf, self.cut, self.joins = leaf, max(cut, 8), 0
         size = max([*vocab.values(), *(t["id"] for t in spec["added_tokens"])]) + 1
         self.token = [self.whole.id_to_token(i) or "" for i in range(size)]
         self.id_bytes = [str(i).encode() for i in range(size)]
@@ -65,6 +72,7 @@ class Bpe:
         special = [re.escape(t["content"]) for t in spec["added_tokens"]]
         self.special = re.compile("|".join(sorted(special, key=len, reverse=True))) if special else None
         self.known: dict[bytes, tuple[bytes, int, bytes]] = {}
+        self.older: dict[bytes, tuple[bytes, int, bytes]] = {}
 
     # -- long pre-tokens -------------------------------------------------------------------------
 
@@ -135,20 +143,65 @@ class Bpe:
     def entry(self, ids: list[int]) -> tuple[bytes, int, bytes]:
         return b" ".join([self.id_bytes[i] for i in ids]), len(ids), b" ".join([self.token_bytes[i] for i in ids])
 
+    def _ids(self, runs: list[bytes]) -> list[int]:
+        return self.whole.encode(b" ".join(runs).decode(), add_special_tokens=False).ids
+
+    def joined(self, left: list[bytes], right: list[bytes]) -> list[bytes]:
+        """The runs of a text from the runs of its halves, of which the last and the first are parts of one."""
+        self.joins += 1
+        mended, k = left[-1] + right[0], 1
+        while True:
+            before, after = left[:-1][-k:], right[1 : k + 1]
+            got, head, tail = self._ids([*before, mended, *after]), self._ids(before), self._ids(after)
+            if got[: len(head)] == head and got[len(got) - len(tail) :] == tail:
+                return [*left[:-1], mended, *right[1:]]
+            if len(before) < k and len(after) < k:
+                raise ValueError("the tokenizer's tokens reach across white space")
+            k *= 2
+
+    def runs(self, text: bytes) -> list[bytes]:
+        """The runs of a text without ASCII white space, by halves that are cut anywhere."""
+        if len(text) <= self.cut:
+            return text.split()  # bytes split at exactly the ASCII white space
+        mid = len(text) // 2
+        while mid < len(text) and text[mid] & 0xC0 == 0x80:  # inside a code point
+            mid += 1
+        left, right = self.runs(text[:mid]), self.runs(text[mid:])
+        broken = left and right and not text[mid - 1 : mid].isspace() and not text[mid : mid + 1].isspace()
+        if not broken:
+            return left + right
+        if max(len(left[-1]), len(right[0])) > LONG_RUN:  # unsplit text: joined by its own tokens later on
+            return [*left[:-1], left[-1] + right[0], *right[1:]]
+        return self.joined(left, right)
+
     def encode(self, texts: list[bytes]) -> list[tuple[bytes, int, bytes]]:
         """(decimal ids joined by one space, their number, decoded text) of each text."""
-        runs = [t.split() for t in texts]  # bytes split at exactly the ASCII white space
-        if len(self.known) > KNOWN_RUNS:
-            self.known.clear()
-        new = [w for w in {w for r in runs for w in r} if w not in self.known]
+        runs = [self.runs(t) for t in texts]
+        if len(self.known) > KNOWN_RUNS:  # a run that is not met again during a whole generation goes
+            self.older, self.known = self.known, {}
+        known, older, new = self.known, self.older, []
+        for w in {w for r in runs for w in r}:
+            if w not in known:
+                if w in older:
+                    known[w] = older[w]
+                else:
+                    new.append(w)
         short = [w for w in new if len(w) <= LONG_RUN]
         for w, e in zip(short, self.whole.encode_batch_fast([w.decode() for w in short], add_special_tokens=False), strict=True):
-            self.known[w] = self.entry(e.ids)
+            known[w] = self.entry(e.ids)
         long = {w: self.entry(self.long_run(w.decode())) for w in new if len(w) > LONG_RUN}
+        known.update(long)
         out = []
         for r in runs:
-            got = [self.known[w] if w in self.known else long[w] for w in r]
-            out.append((b" ".join([g[0] for g in got if g[1]]), sum([g[1] for g in got]), b" ".join([g[2] for g in got if g[1]])))
+            if not r:
+                out.append((b"", 0, b""))
+                continue
+            ids, counts, decoded = zip(*map(known.__getitem__, r), strict=True)
+            if 0 in counts:  # a run that the normaliser empties
+                ids, decoded = [x for x, n in zip(ids, counts, strict=True) if n], [x for x, n in zip(decoded, counts, strict=True) if n]
+            out.append((b" ".join(ids), sum(counts), b" ".join(decoded)))
+        for w in long:
+            del known[w]
         return out
 
     def encode_ids(self, text: str) -> list[int]:
@@ -158,10 +211,13 @@ class Bpe:
 
 @lru_cache(maxsize=4)
 def tokenizer(path: str, leaf: int = LEAF) -> Bpe:
-    """One per worker: the table of known runs serves all its tasks."""
+    """One per worker: the table of known runs serves all its tasks, until another operator's stage begins there."""
     return Bpe(path, leaf)
 
 
+common.CACHES["bpe"] = tokenizer.cache_clear
+
+
 def _some(texts: list[bytes], most: int = 1 << 20) -> Iterator[tuple[int, int]]:
     """Ranges of rows with about ``most`` bytes of text."""
     at, size = 0, 0
@@ -229,6 +285,7 @@ def _encoded(docs: DataFrame, path: str, split_chars: int, leaf: int, digest: bo
         return pa.record_batch([ids, *cols], names)
 
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        stage_begins("bpe")
         bpe = tokenizer(path, leaf)
         for b in batches:
             texts = b.column("text").cast(pa.binary()).to_pylist()

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import contextlib
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +16,31 @@ from pairforge.session import materialize
 __all__ = ["table", "materialize", "hash_order_sample", "join_small_by_key", "row_lists", "shuffle_width"]
 
 
+#: What modules keep in a Python worker between tasks, by stage name: how to free it.
+CACHES: dict[str, Callable[[], None]] = {}
+_STAGE = [""]
+
+
+def stage_begins(name: str) -> None:
+    """Called first in a task.  Spark reuses Python workers for later stages, so what another operator's
+    stage kept there is freed, and free memory goes back to the system."""
+    if _STAGE[0] == name:
+        return
+    _STAGE[0] = name
+    for owner, clear in CACHES.items():
+        if owner != name:
+            clear()
+    give_back()
+
+
+def give_back() -> None:
+    """Return memory that the allocators hold but no object uses."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library has no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables, through Spark's reader (any file system Spark knows)."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
