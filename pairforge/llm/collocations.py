@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pairforge.llm.common import materialize
+from pairforge.llm.common import materialize, stage_begins
 
 LONGEST, MIN_COUNT, COVERED, SCALE, TOP = 4, 30, (80, 100), 2_000_000, 2000
 WINDOW, MAX_WORDS, FILTER_ENTRIES, MERGE_ENTRIES, MOST_BITS, DISTINCT = 1 << 21, 1 << 21, 1 << 21, 1 << 21, 27, 300_000
@@ -153,16 +153,29 @@ class QuotientFilter:
         return lanes, counts
 
 
-def _windows(batch: pa.RecordBatch, window: int) -> Iterator[tuple[str, pa.Array, np.ndarray]]:
-    """(lang, distinct words, one index a word; -1 between pieces) of runs of about ``window`` bytes;
-    runs of one language follow one another, the first of each batch after a -1."""
-    langs = batch.column("lang").to_pylist()
-    texts = batch.column("text").to_pylist()
-    for lang in dict.fromkeys(langs):
-        data = b".".join(t for x, t in zip(langs, texts, strict=True) if x == lang).translate(FOLD).replace(b".", b" . ")
+def _some(batch: pa.RecordBatch, size: int) -> Iterator[tuple[str, list[bytes]]]:
+    """The batch's texts by language, in lists of about ``size`` bytes."""
+    langs, texts = batch.column("lang"), batch.column("text")
+    for lang in pc.unique(langs).to_pylist():
+        some, held = [], 0
+        for i in pc.indices_nonzero(pc.equal(langs, lang)).to_pylist():
+            some.append(texts[i].as_py())
+            held += len(some[-1])
+            if held >= size:
+                yield lang, some
+                some, held = [], 0
+        if some:
+            yield lang, some
+
+
+def _windows(batch: pa.RecordBatch, window: int) -> Iterator[tuple[str, pa.Array, np.ndarray, bool]]:
+    """(lang, distinct words, one index a word, whether texts begin) of runs of about ``window`` bytes; -1
+    stands between pieces and texts; a run that begins no texts goes on with the run before it."""
+    for lang, texts in _some(batch, 2 * window):
+        data = b".".join(texts).translate(FOLD).replace(b".", b" . ")
         at = 0
         while at < len(data):
-            cut = len(data)
+            cut, begins = len(data), at == 0
             if at + window < cut:
                 cut = data.rfind(b" ", at + 1, at + window)
                 cut = cut if cut > 0 else data.find(b" ", at + window)
@@ -176,7 +189,7 @@ def _windows(batch: pa.RecordBatch, window: int) -> Iterator[tuple[str, pa.Array
                 index = index[index != blank]
             if stop >= 0:
                 index = np.where(index == stop, -1, index)
-            yield lang, words, index
+            yield lang, words, index, begins
 
 
 def _hash(lang: str, word: bytes, seed: int) -> int:
@@ -192,9 +205,10 @@ def _count_words(seed: int, window: int):
         return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.binary()), pa.array(h), pa.array([r[3] for r in rows], pa.int64())], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        stage_begins("collocations")
         held: dict[str, Counter] = {}
         for b in batches:
-            for lang, words, index in _windows(b, window):
+            for lang, words, index, _ in _windows(b, window):
                 n = np.bincount(index[index >= 0], minlength=len(words))
                 c = held.setdefault(lang, Counter())
                 for w, x in zip(words.to_pylist(), n.tolist(), strict=True):
@@ -213,10 +227,11 @@ def _encode_ids(known: np.ndarray | None, bitmap: np.ndarray | None, seed: int,
     LONGEST - 1 ids of the run before it, and ``lead`` tells how many these are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        stage_begins("collocations")
         press = zstandard.ZstdCompressor(level=1)
         for b in batches:
-            before, tail = None, np.zeros(0, np.uint64)
-            for lang, words, index in _windows(b, window):
+            tail = np.zeros(0, np.uint64)
+            for lang, words, index, begins in _windows(b, window):
                 h = np.fromiter((_hash(lang, w, seed) for w in words.to_pylist()), np.uint64, len(words))
                 if known is None:
                     ids = np.where(_hit(bitmap, spread(h)), h, np.uint64(0))
@@ -226,8 +241,8 @@ def _encode_ids(known: np.ndarray | None, bitmap: np.ndarray | None, seed: int,
                 else:
                     ids = np.zeros(len(h), np.uint64)
                 ids = np.append(ids, np.uint64(0))[index]  # -1 takes the last
-                if lang != before:
-                    before, tail = lang, tail[:0]
+                if begins:
+                    tail = tail[:0]
                 whole = np.concatenate([tail, ids])
                 lead, tail = len(tail), whole[-(LONGEST - 1) :]
                 raw = whole.astype("<u4" if known is not None else "<u8").tobytes()
@@ -267,6 +282,7 @@ def _fill_filters(n: int, bits: int, wide: bool, bitmap: np.ndarray | None, buck
         return permute(pack([a[at + j] for j in range(n)], bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        stage_begins("collocations")
         parts, held = [], 0
         for b in batches:
             for lead, data in zip(b.column("lead").to_pylist(), b.column("ids").to_pylist(), strict=True):
@@ -302,6 +318,7 @@ def _merge_filters(n: int, bits: int, known: np.ndarray | None, min_count: int,
             yield pa.RecordBatch.from_arrays([gram, pa.array(lanes[0][at : at + 100_000].view(np.int64)), pa.array(counts[at : at + 100_000])], names=["gram", "first", "f"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        stage_begins("collocations")
         now, parts, held = None, [], 0
         for b in batches:
             for bucket, data in zip(b.column("bucket").to_pylist(), b.column("block").to_pylist(), strict=True):
