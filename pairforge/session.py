@@ -71,7 +71,21 @@ def materialize(df, name: str = "stage"):
     base = ensure_checkpoint_dir(spark)
     path = os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def discard(*tables) -> None:
+    """Delete the files of tables that ``materialize`` wrote, once nothing will read them again: a round's
+    table when the next round's is written.  Other DataFrames are left alone."""
+    for df in tables:
+        path = getattr(df, "_stored_at", None)
+        if path is not None:
+            jvm, conf = df.sparkSession.sparkContext._jvm, df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(conf).delete(where, True)
+            df._stored_at = None
 
 
 def stage_key(spark, *paths: str) -> tuple:
