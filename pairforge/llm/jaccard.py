@@ -40,8 +40,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairforge.llm.common import materialize, shuffle_width
+from pairforge.llm.common import materialize, shuffle_width, stage_begins
 from pairforge.llm.words import gram_hashes, mix, word_hashes
+from pairforge.session import discard
 
 SHINGLE = 5
 #: The threshold is NUM / DEN; two sets differ in at most (a + b) * (DEN - NUM) // (DEN + NUM) shingles.
@@ -56,6 +57,8 @@ COARSE, SENT = 32, 16
 MAX_BROADCAST_IDS = 1_000_000
 #: Shingles in one block of a large group, what a small set counts for at least, and rows compared at once.
 TILE, SMALL, COMPARED = 200_000, 64, 256
+#: Sketch words in one block of a large group, and compared at once.
+SIEVED, SIEVED_AT_ONCE = 32_768, 1 << 21
 #: Signatures in one task of the grouping, and in one flush of a batch.
 SIGNATURES_IN_TASK, FLUSH = 4_000_000, 1_000_000
 
@@ -159,6 +162,7 @@ def may_link(na: int, a: bytes, nb: int, b: bytes) -> bool:
 
 def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per document its set's size and 128-bit digest; per batch (doc_id null) its locally frequent shingles."""
+    stage_begins("jaccard")
     names = ["doc_id", "n", "s1", "s2", "sketch", "token", "sets"]
     for b in batches:
         size, one, two, marks, sets = [], [], [], [], {}
@@ -233,6 +237,7 @@ def _indexed(frequent: np.ndarray, classes: np.ndarray, buckets: int):
         yield pa.record_batch([pa.array(out_b, pa.int32()), pa.array(out_s, pa.binary()), pa.array(out_h, pa.binary()), pa.array(out_i, pa.binary()), pa.array(out_k, pa.binary()), pa.array(out_l, pa.binary())], ["bucket", "sigs", "hubs", "ids", "kinds", "hub_kinds"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        stage_begins("jaccard")
         for b in batches:
             sigs, kinds, ids, size, seen = [], [], [], 0, set()
             got = sorted(zip(b.column("doc_id").to_pylist(), range(b.num_rows), strict=True))  # the smallest id of equal sets stays
@@ -258,6 +263,7 @@ def _indexed(frequent: np.ndarray, classes: np.ndarray, buckets: int):
 def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(sig, hub, id, hub_kind, kind) of each signature that more than one id has: every other id with
     the smallest, in groups of other than fine segments with the smallest light one."""
+    stage_begins("jaccard")
     names = ["sig", "hub", "id", "hub_kind", "kind"]
     sigs, ids, kinds = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     for b in batches:
@@ -298,7 +304,10 @@ def components(edges: DataFrame) -> DataFrame:
         above = spread.select(F.col("id").alias("_up"), F.col("comp").alias("_top"))
         jumped = materialize(spread.join(above, F.col("comp") == F.col("_up")).select("id", F.least("comp", "_top").alias("comp")), "labels")
         old = labels.withColumnRenamed("comp", "_old")
-        if jumped.join(old, "id").filter("comp <> _old").isEmpty():
+        settled = jumped.join(old, "id").filter("comp <> _old").isEmpty()
+        discard(labels, spread)
+        if settled:
+            discard(edges)
             return jumped
         labels = jumped
 
@@ -338,7 +347,9 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
     ta, tb = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("_ta")), texts.select(F.col("doc_id").alias("b"), F.col("text").alias("_tb"))
     joined = pairs.join(tb.hint("merge"), "b").join(ta.hint("merge"), "a").select("a", "b", "_ta", "_tb")
-    return materialize(joined.mapInArrow(run, "a bigint, b bigint"), "verified")
+    links = materialize(joined.mapInArrow(run, "a bigint, b bigint"), "verified")
+    discard(texts)
+    return links
 
 
 def _apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
@@ -389,7 +400,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rest = materialize(_apart(near.join(best.hint("merge"), ["a", "b"], "left_anti"), comps), "rest")
     links = links.union(_verified(rest, _texts(known, _of_pairs(rest))))
     comps = components(links)
-    links = links.union(_met_in_groups(groups, comps, known))
+    links = links.union(_met_in_groups(groups, comps, known, sketches))
     comps = components(links)
     return sizes.join(comps, sizes["doc_id"] == comps["id"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("comp", "doc_id").alias("component_id")
@@ -400,7 +411,9 @@ def _texts(known: DataFrame, ids: DataFrame) -> DataFrame:
     """Texts of the documents in ``ids``, which are broadcast up to MAX_BROADCAST_IDS of them."""
     ids = materialize(ids.distinct(), "ids")
     few = ids.count() <= MAX_BROADCAST_IDS
-    return materialize(known.join(F.broadcast(ids) if few else ids.hint("merge"), "doc_id", "left_semi").distinct(), "texts")
+    texts = materialize(known.join(F.broadcast(ids) if few else ids.hint("merge"), "doc_id", "left_semi").distinct(), "texts")
+    discard(ids)
+    return texts
 
 
 def _of_pairs(pairs: DataFrame) -> DataFrame:
@@ -465,20 +478,96 @@ def _tile_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    stage_begins("jaccard")
     for b in batches:
         sets = [shingles(t) for t in b.column("text").to_pylist()]
         size = pa.array([len(x) for x in sets], pa.int64())
         yield pa.record_batch([b.column("doc_id"), size, pa.array([x.tobytes() for x in sets], pa.binary())], ["doc_id", "size", "tokens"])
 
 
-def _met_in_groups(groups: DataFrame, comps: DataFrame, known: DataFrame) -> DataFrame:
+def partners(n: np.ndarray, comps: np.ndarray, blocks: np.ndarray, sketches: list[bytes]) -> np.ndarray:
+    """Which members have one of another component that their sketches and sizes do not rule out.
+
+    With several blocks only pairs of two blocks are compared.  Members whose sketches have the same length are
+    compared word by word; two that link differ in size by a third at most, so lengths by a factor of two, for
+    which the longer sketch is folded.
+    """
+    out = np.zeros(len(n), bool)
+    apart = len(np.unique(blocks)) > 1
+    words = np.array([len(s) // 8 for s in sketches])
+    of = {}
+    for w in np.unique(words).tolist():
+        rows = np.flatnonzero(words == w)
+        rows = rows[np.argsort(n[rows], kind="stable")]
+        of[w] = rows, np.frombuffer(b"".join(sketches[r] for r in rows.tolist()), np.uint64).reshape(len(rows), w)
+    for w, (left, a) in of.items():
+        for twice in (False, True):
+            if 2 * w not in of and twice:
+                continue
+            right, b = of[2 * w] if twice else (left, a)
+            if twice:
+                b = b[:, :w] ^ b[:, w:]
+            step = max(1, SIEVED_AT_ONCE // (len(right) * w))
+            for lo in range(0, len(left), step):
+                mine = left[lo : lo + step]
+                near = slice(*np.searchsorted(n[right], [-(-n[mine[0]] * NUM // DEN), n[mine[-1]] * DEN // NUM + 1]))
+                theirs = right[near]
+                if not len(theirs):
+                    continue
+                both = n[mine][:, None] + n[theirs]
+                hit = comps[mine][:, None] != comps[theirs]
+                if apart:
+                    hit &= blocks[mine][:, None] != blocks[theirs]
+                if not hit.any():
+                    continue
+                differ = np.bitwise_count(a[lo : lo + step, None, :] ^ b[None, near, :]).sum(2, dtype=np.int64)
+                hit &= differ <= both * (DEN - NUM) // (DEN + NUM)
+                hit &= (n[mine][:, None] * DEN >= n[theirs] * NUM) & (n[theirs] * DEN >= n[mine][:, None] * NUM)
+                out[mine[hit.any(1)]] = True
+                out[theirs[hit.any(0)]] = True
+    return out
+
+
+def _tile_partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (hub, lo, hi): (hub, id) of the members of each tile that ``partners`` leaves."""
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        if len(rows) > 1:
+            block, ids, comp, n, sketches = zip(*rows, strict=True)
+            stay = np.flatnonzero(partners(np.array(n), np.array(comp), np.array(block), list(sketches)))
+            if len(stay):
+                yield pa.record_batch([pa.array([key[0]] * len(stay), pa.int64()), pa.array(np.array(ids, np.int64)[stay])], ["hub", "id"])
+
+    stage_begins("jaccard")
+    key, rows = None, []
+    for b in batches:
+        for *k, block, i, comp, n, s in zip(*(b.column(c).to_pylist() for c in ("hub", "lo", "hi", "block", "id", "comp", "n", "sketch")), strict=True):
+            if k != key:
+                yield from flush()
+                key, rows = k, []
+            rows.append((block, i, comp, n, s))
+    yield from flush()
+
+
+def _dealt(members: DataFrame, weighed: DataFrame, most: int) -> DataFrame:
+    """``members`` (hub, id, ...) once for every tile (hub, lo, hi) they are in: a group is dealt into blocks of
+    about ``most`` by the weights in ``weighed`` (hub, weight), a tile is two blocks or one."""
+    blocks = weighed.groupBy("hub").agg(F.ceil(F.sum("weight") / F.lit(most)).alias("blocks"))
+    dealt = members.join(blocks.hint("merge"), "hub").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+    return dealt.withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")}).drop("other", "blocks")
+
+
+def _met_in_groups(groups: DataFrame, comps: DataFrame, known: DataFrame, sketches: DataFrame) -> DataFrame:
     """Links (a, b) between members of one group in different components.
 
-    Members of groups with one head are compared together, each once for all signatures they share.
-    They are dealt into blocks of about TILE shingles; a task holds two blocks at most and sends on
-    no more links than connect its members, so nothing grows with the pairs of a group but the
+    Members of groups with one head are compared together, each once for all signatures they share.  First
+    by sizes and sketches, a few words each; only members that have a possible partner left send their
+    shingles.  Both times groups are dealt into blocks of bounded weight; a task holds two blocks at most and
+    sends on no more links than connect its members, so nothing grows with the pairs of a group but the
     comparisons themselves.
     """
+    width = shuffle_width(groups.sparkSession)
     comp = comps.select(F.col("id").alias("_id"), "comp")
     rows = groups.select("sig", "hub", "id")
     # a group that one batch holds in part has a head of its own there; the smallest stands for the signature
@@ -487,12 +576,17 @@ def _met_in_groups(groups: DataFrame, comps: DataFrame, known: DataFrame) -> Dat
     labelled = materialize(all_of.join(comp, all_of["id"] == comp["_id"], "left").select("sig", "head", "id", F.coalesce("comp", "id").alias("comp")), "members")
     open_groups = labelled.groupBy("sig").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high").select("sig")
     members = materialize(labelled.join(open_groups.hint("merge"), "sig", "left_semi").select(F.col("head").alias("hub"), "id", "comp").distinct(), "open-members")
-    sets = _texts(known, members.select(F.col("id").alias("doc_id"))).mapInArrow(_sets, "doc_id bigint, size bigint, tokens binary")
-    sets = materialize(sets, "open-sets").withColumnRenamed("doc_id", "id")
-    blocks = members.join(sets.select("id", "size").hint("merge"), "id").groupBy("hub").agg(F.ceil(F.sum(F.col("size") + F.lit(SMALL)) / F.lit(TILE)).alias("blocks"))
-    block = F.pmod(F.xxhash64("id"), F.col("blocks"))
-    dealt = members.join(blocks.hint("merge"), "hub").withColumn("block", block)
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
-    dealt = dealt.select("hub", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "id", "comp")
-    tiles = dealt.join(sets.select("id", "tokens").hint("merge"), "id").repartition(shuffle_width(groups.sparkSession), "hub", "lo", "hi")
+    discard(labelled)
+
+    marked = members.join(sketches.withColumnRenamed("doc_id", "id").hint("merge"), "id")
+    weighed = marked.select("hub", (F.octet_length("sketch") / 8 + 4).alias("weight"))
+    tiles = _dealt(marked, weighed, SIEVED).repartition(width, "hub", "lo", "hi").sortWithinPartitions("hub", "lo", "hi", "id")
+    left = materialize(tiles.mapInArrow(_tile_partners, "hub bigint, id bigint").distinct(), "partners")
+    members = materialize(members.join(left.hint("merge"), ["hub", "id"], "left_semi"), "compared")
+
+    texts = _texts(known, members.select(F.col("id").alias("doc_id")))
+    sets = materialize(texts.mapInArrow(_sets, "doc_id bigint, size bigint, tokens binary"), "open-sets").withColumnRenamed("doc_id", "id")
+    discard(texts)
+    weighed = members.join(sets.select("id", "size").hint("merge"), "id").select("hub", (F.col("size") + SMALL).alias("weight"))
+    tiles = _dealt(members, weighed, TILE).join(sets.select("id", "tokens").hint("merge"), "id").repartition(width, "hub", "lo", "hi")
     return materialize(tiles.sortWithinPartitions("hub", "lo", "hi", "id").mapInArrow(_tile_links, "a bigint, b bigint").distinct(), "met")

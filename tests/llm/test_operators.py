@@ -372,3 +372,41 @@ def test_empty_tables(spark):
     assert jaccard.near_duplicates(empty).count() == 0
     assert bpe.digest_documents(empty).count() == 0
     assert fingerprint.compare_with_next(empty).count() == 0
+
+
+def test_jaccard_sieve_keeps_every_possible_partner():
+    rng = random.Random(12)
+    base = [np.unique(np.array([rng.getrandbits(64) for _ in range(rng.choice([1, 3, 40, 70, 120, 260, 500]))], np.uint64)) for _ in range(30)]
+    sets = []
+    for s in base:
+        sets.append(s)
+        for _ in range(rng.randint(0, 4)):
+            keep = np.array([x for x in s.tolist() if rng.random() > 0.06] or s[:1].tolist(), np.uint64)
+            sets.append(np.unique(np.concatenate([keep, np.array([rng.getrandbits(64) for _ in range(len(s) // 20)], np.uint64)])))
+    n, marks = np.array([len(s) for s in sets]), [jaccard.sketch(s) for s in sets]
+    for comps, blocks in ((list(range(len(sets))), [0] * len(sets)), ([i // 3 for i in range(len(sets))], [i % 2 for i in range(len(sets))])):
+        got = jaccard.partners(n, np.array(comps), np.array(blocks), marks)
+        apart = len(set(blocks)) > 1
+        pairs = [(i, j) for i in range(len(sets)) for j in range(i) if comps[i] != comps[j] and (not apart or blocks[i] != blocks[j])]
+        want = {x for i, j in pairs if jaccard.may_link(int(n[i]), marks[i], int(n[j]), marks[j]) for x in (i, j)}
+        assert set(np.flatnonzero(got).tolist()) == want
+        assert {x for i, j in pairs if jaccard.linked(sets[i], sets[j]) for x in (i, j)} <= want and len(want) < len(sets)
+
+
+@pytest.mark.parametrize("sieved,tile", [(60, 400), (32_768, 200_000)])
+def test_jaccard_large_groups_in_many_blocks(spark, monkeypatch, sieved, tile):
+    """Hundreds of near copies and of texts that only share a common part: blocks of any size find the same."""
+    monkeypatch.setattr(jaccard, "SIEVED", sieved)
+    monkeypatch.setattr(jaccard, "TILE", tile)
+    rng = random.Random(13)
+    words = [f"w{i}" for i in range(400)]
+    base = [rng.choice(words) for _ in range(120)]
+    rows = []
+    for i in range(240):
+        w = list(base)
+        for _ in range(rng.randint(0, 9)):
+            w[rng.randrange(len(w))] = rng.choice(words)
+        rows.append((i, " ".join(w), "a"))
+    rows += [(1000 + i, " ".join(base[:60] + [rng.choice(words) for _ in range(60)]), "b") for i in range(60)]
+    got = jaccard.near_duplicates(docs_of(spark, rows)).collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute_components(rows)
