@@ -11,8 +11,8 @@ Shards of the whole corpus grow with it, so neither they nor the tables of share
 broadcast (the joins carry a merge hint and move alike at every size): keys found in one document
 only are dropped first, and a shard travels with the contexts that can match it through one shuffle
 by key.  A key with more than SHARD_CONTEXTS distinct contexts (a passage that very many documents
-share, with other words around it) takes an exact way of its own: the digests of its windows are
-grouped, and its contexts look up those that more than one id has.
+share, with other words around it) takes an exact way of its own: its contexts are dealt over tasks,
+which exchange digests of their distinct windows for the smallest id of each (``_hot_spans``).
 """
 
 from __future__ import annotations
@@ -31,8 +31,8 @@ from pairforge.llm.common import materialize, shuffle_width
 from pairforge.llm.words import gram_hashes, word_hashes
 
 WIDTH, K, SHARD_CONTEXTS = 50, 8, 256
-#: Windows that contexts of one very frequent key share, in one row of the table they are looked up in.
-OWNERS_IN_ROW = 50_000
+#: Contexts of very frequent keys in one origin, and windows in one bucket.
+ORIGIN, BUCKET_WINDOWS = 2000, 1_000_000
 _FAR = 2**63 - 1
 
 
@@ -198,33 +198,93 @@ def _stream_shards(width: int):
 
 
 def _digests(ctx: bytes, width: int) -> list[bytes]:
-    words = ctx.split()
-    return [hashlib.blake2b(b" ".join(words[i : i + width]), digest_size=16).digest() for i in range(len(words) - width + 1)]
+    """A 128-bit digest of each window of a context, whose words are joined by one space."""
+    gap = np.flatnonzero(np.frombuffer(ctx, np.uint8) == 32)
+    start, end = [0, *(gap + 1).tolist()], [*gap.tolist(), len(ctx)]
+    return [xxhash.xxh3_128_digest(ctx[a:b]) for a, b in zip(start, end[width - 1 :], strict=False)]
 
 
-def _window_digests(width: int):
-    """The distinct windows of each context, one row each; of a batch's equal rows the smallest and largest id stay."""
+_DIGEST = np.dtype([("hi", "<u8"), ("lo", "<u8")])
+_ENTRY = {"bucket": pa.int64(), "origin": pa.int64(), "digests": pa.binary(), "low": pa.binary(), "high": pa.binary()}
+_ENTRIES = "bucket bigint, origin bigint, digests binary, low binary, high binary"
+
+
+def _entries(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _ENTRY.values(), strict=True)], list(_ENTRY))
+
+
+def _window_owners(width: int, buckets: int):
+    """Rows sorted by origin: of each origin's distinct windows the smallest and largest id, packed by bucket."""
+
+    def packed(origin: int, ends: dict[bytes, tuple[int, int]]) -> pa.RecordBatch:
+        digests = np.frombuffer(b"".join(ends), _DIGEST)
+        low, high = (np.array(x, np.int64) for x in zip(*ends.values(), strict=True))
+        bucket = (digests["lo"].astype(np.uint64) % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        edges = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=-1))
+        parts = [order[x:y] for x, y in zip(edges[:-1], edges[1:], strict=True)]
+        return _entries([(int(bucket[p[0]]), origin, digests[p].tobytes(), low[p].tobytes(), high[p].tobytes()) for p in parts])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        origin, ends = None, {}
         for b in batches:
-            ends: dict[tuple, tuple[int, int]] = {}
-            for k, d, ctx in zip(*(b.column(c).to_pylist() for c in ("key", "first", "ctx")), strict=True):
+            for o, d, ctx in zip(*(b.column(c).to_pylist() for c in ("origin", "first", "ctx")), strict=True):
+                if o != origin and ends:
+                    yield packed(origin, ends)
+                    ends = {}
+                origin = o
                 for x in _digests(ctx, width):
-                    low, high = ends.get((k, x), (d, d))
-                    ends[k, x] = (min(low, d), max(high, d))
-            rows = [(k, d, x) for (k, x), both in ends.items() for d in sorted(set(both))]
-            if rows:
-                yield _batch(rows, ["key", "first", "ctx"])
+                    low, high = ends.get(x, (d, d))
+                    ends[x] = (min(low, d), max(high, d))
+        if ends:
+            yield packed(origin, ends)
 
     return run
 
 
+def _least_owners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by bucket: the smallest id of each window that several ids have, to every origin that has
+    it with a larger one (``low`` is the smallest id of all; ``high`` goes unused)."""
+
+    def answers(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+        digests = np.concatenate([np.frombuffer(h[2], _DIGEST) for h in held])
+        low, high = (np.concatenate([np.frombuffer(h[i], np.int64) for h in held]) for i in (3, 4))
+        origin = np.repeat([h[1] for h in held], [len(h[2]) // 16 for h in held])
+        order = np.lexsort((digests["lo"], digests["hi"]))
+        digests, low, high, origin = digests[order], low[order], high[order], origin[order]
+        first = np.flatnonzero(np.concatenate([[True], digests[1:] != digests[:-1]]))
+        least = np.repeat(np.minimum.reduceat(low, first), np.diff(np.append(first, len(low))))
+        hit = np.flatnonzero(high > least)
+        hit = hit[np.argsort(origin[hit], kind="stable")]
+        edges = np.flatnonzero(np.diff(origin[hit], prepend=-1, append=-1))
+        parts = [hit[x:y] for x, y in zip(edges[:-1], edges[1:], strict=True)]
+        if parts:
+            yield _entries([(held[0][0], int(origin[p[0]]), digests[p].tobytes(), least[p].tobytes(), b"") for p in parts])
+
+    held: list[tuple] = []
+    for b in batches:
+        for row in zip(*(b.column(c).to_pylist() for c in _ENTRY), strict=True):
+            if held and row[0] != held[0][0]:
+                yield from answers(held)
+                held = []
+            held.append(row)
+    if held:
+        yield from answers(held)
+
+
 def _look_up(width: int):
+    """Rows sorted by (origin, ctx; nulls first): an origin's answers, then its contexts."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        origin, least = None, {}
         for b in batches:
             out = []
-            for k, c1, c2, d, ctx, shared, owners in zip(*(b.column(c).to_pylist() for c in ("key", "c1", "c2", "first", "ctx", "shared", "owners")), strict=True):
-                least = dict(zip(shared, owners, strict=True))
+            for o, digests, low, k, c1, c2, d, ctx in zip(*(b.column(c).to_pylist() for c in ("origin", "digests", "low", "key", "c1", "c2", "first", "ctx")), strict=True):
+                if o != origin:
+                    origin, least = o, {}
+                if ctx is None:
+                    least.update(zip((digests[i : i + 16] for i in range(0, len(digests), 16)), np.frombuffer(low, np.int64).tolist(), strict=True))
+                    continue
                 got = [i for i, x in enumerate(_digests(ctx, width)) if least.get(x, d) < d]
                 if got:
                     out.append((k, c1, c2, d, _spans(got)))
@@ -234,6 +294,24 @@ def _look_up(width: int):
     return run
 
 
+def _hot_spans(hot: DataFrame, width: int, found: list[str]) -> DataFrame:
+    """Spans of the contexts (key, c1, c2, first, ctx) of keys that very many contexts share.
+
+    Contexts are dealt into origins of about ORIGIN of them.  Each origin sends its distinct windows, packed by
+    bucket, with the smallest and largest id that it has for them; a bucket finds each window's smallest id of all
+    and answers the origins that hold it with a larger one; origins look up their own windows.  A window that all
+    contexts share is one entry an origin, so traffic is linear in the contexts and no key's windows meet in one
+    task as a whole.
+    """
+    cores, n = shuffle_width(hot.sparkSession), hot.count()
+    buckets = max(cores, -(-n * (width - K + 1) // BUCKET_WINDOWS))
+    placed = hot.withColumn("origin", F.pmod(F.xxhash64("key", "c1", "c2"), F.lit(max(1, -(-n // ORIGIN)))))
+    sent = placed.select("origin", "first", "ctx").repartition(cores, "origin").sortWithinPartitions("origin").mapInArrow(_window_owners(width, buckets), _ENTRIES)
+    answers = sent.repartition(cores, "bucket").sortWithinPartitions("bucket").mapInArrow(_least_owners, _ENTRIES)
+    both = answers.select("origin", "digests", "low").unionByName(placed, allowMissingColumns=True)
+    return both.repartition(cores, "origin").sortWithinPartitions("origin", F.col("ctx").asc_nulls_first()).mapInArrow(_look_up(width), _schema(found))
+
+
 def removed_ranges(candidates: DataFrame, width: int, shard_contexts: int) -> DataFrame:
     """(_d, _h, ranges): word ranges to remove of each candidate document (columns _d, _h, text, keys)."""
     names = ["key", "c1", "c2", "_d", "_h", "start", "n"]
@@ -247,12 +325,7 @@ def removed_ranges(candidates: DataFrame, width: int, shard_contexts: int) -> Da
     shards = met.filter(F.col("_contexts") <= shard_contexts).repartition(shuffle_width(candidates.sparkSession), "key").sortWithinPartitions("key", "first")
     streamed = shards.select("key", "c1", "c2", "first", "ctx").mapInArrow(_stream_shards(width), _schema(found))
     hot = materialize(met.filter(F.col("_contexts") > shard_contexts).select("key", "c1", "c2", "first", "ctx"), "hot-contexts")
-    digests = hot.select("key", "first", "ctx").mapInArrow(_window_digests(width), _schema(["key", "first", "ctx"]))
-    least = materialize(digests.groupBy("key", "ctx").agg(F.min("first").alias("least"), F.max("first").alias("_most")).filter("least < _most"), "window-owners")
-    most = least.groupBy("key").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n")).first()["n"] or 0
-    parts = F.pmod(F.xxhash64("ctx"), F.lit(most // OWNERS_IN_ROW + 1))
-    owners = materialize(least.groupBy("key", parts.alias("_part")).agg(F.collect_list("ctx").alias("shared"), F.collect_list("least").alias("owners")), "owners")
-    looked_up = hot.join(owners, "key").select("key", "c1", "c2", "first", "ctx", "shared", "owners").mapInArrow(_look_up(width), _schema(found))
+    looked_up = _hot_spans(hot, width, found)
     whole = distinct.filter(F.col("first") < F.col("last")).select("key", "c1", "c2", "first", F.lit(None).cast("array<int>").alias("spans"))
     # spans: for the smallest id that holds the context; without: for all other ids, the whole run
     verdicts = materialize(whole.union(streamed).union(looked_up), "verdicts")

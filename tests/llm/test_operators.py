@@ -410,3 +410,21 @@ def test_jaccard_large_groups_in_many_blocks(spark, monkeypatch, sieved, tile):
     rows += [(1000 + i, " ".join(base[:60] + [rng.choice(words) for _ in range(60)]), "b") for i in range(60)]
     got = jaccard.near_duplicates(docs_of(spark, rows)).collect()
     assert sorted((tuple(r) for r in got), key=str) == brute_components(rows)
+
+
+@pytest.mark.parametrize("origin,windows", [(2000, 1_000_000), (7, 50)])
+def test_substrings_hot_passage_and_near_copies(spark, monkeypatch, origin, windows):
+    """A passage in hundreds of documents with other words around it, and hundreds of near copies of one text."""
+    monkeypatch.setattr(substrings, "ORIGIN", origin)
+    monkeypatch.setattr(substrings, "BUCKET_WINDOWS", windows)
+    rng = random.Random(21)
+    words = [f"w{i}" for i in range(3000)]
+    passage, base = [rng.choice(words) for _ in range(70)], [rng.choice(words) for _ in range(90)]
+    rows = [(i, " ".join([rng.choice(words) for _ in range(30)] + passage + [rng.choice(words) for _ in range(30)]), "a") for i in range(320)]
+    for i in range(300):
+        w = list(base)
+        for _ in range(rng.randint(0, 2)):
+            w[rng.randrange(len(w))] = rng.choice(words)
+        rows.append((400 + i, " ".join(w), "b"))
+    got = substrings.remove_repeats(docs_of(spark, rows).repartition(6), digest=True, shard_contexts=20)
+    assert sorted((tuple(r) for r in got.collect()), key=str) == brute_windows(rows, 50)
