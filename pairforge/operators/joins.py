@@ -7,12 +7,16 @@ None is a positional zip: systems are matched by id.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import importlib.util
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructField, StructType
 
-from pairforge.operators.sketch import exclude_prefiltered
+from pairforge.operators.sketch import bit_set, exclude_prefiltered, hash_bits
 
 
 def resume_pending(rows: DataFrame, done: DataFrame | None, key: str = "example_id") -> DataFrame:
@@ -93,6 +97,9 @@ def assemble_systems(
 
 WORD_SPLIT = r"[ \t\n\x0B\f\r]+"
 
+#: Short passages up to this many are looked for in one narrow pass over the texts; more are joined by letter grams.
+FEW_SHORT = 20_000
+
 
 def _words(text):
     return F.filter(F.split(text, WORD_SPLIT), lambda w: w != "")
@@ -119,7 +126,7 @@ def _letter_grams(word: str, g: int):
 
 def text_containment(
     docs: DataFrame, items: DataFrame, doc_key: str = "doc_id", item_key: str = "item_id",
-    doc_text: str = "text", item_text: str = "text", anchor_words: int = 8,
+    doc_text: str = "text", item_text: str = "text", anchor_words: int = 8, few_short: int = FEW_SHORT,
 ) -> DataFrame:
     """D2b over free text: every ``(doc, item)`` where the item's text occurs inside the doc.
 
@@ -129,9 +136,11 @@ def text_containment(
     document's word n-grams.  Items are keyed by that anchor's hash, documents emit the
     hashes of their word n-grams of the anchor lengths in use (at most ``anchor_words``
     distinct lengths), an equi-join yields candidates, and ``instr`` confirms each one.
-    Items of one or two words have no interior word.  Their first word is part of some word of the
-    document, so its first three letters (or all) are looked up among the letter grams of the
-    documents' distinct words.  Items without words are no passages and have no rows.
+    Only n-grams whose hash is in a bit array of the anchors (a Bloom sketch of bounded size) are exploded.
+    Items of one or two words have no interior word.  Up to ``few_short`` of them (counted) are looked for by a
+    pattern automaton in one narrow pass over the texts.  Beyond that, as their first word is part of some word of the document, its
+    first three letters (or all) are looked up among the letter grams of the documents' distinct words.
+    Items without words are no passages and have no rows.
     """
     it = items.select(F.col(item_key), F.col(item_text).alias("__itext")).withColumn("__w", _words(F.col("__itext")))
     n = F.size("__w")
@@ -143,41 +152,79 @@ def text_containment(
         F.slice("__wh", 3, F.col("__L") - 1), F.get(F.col("__wh"), 1), lambda acc, x: F.xxhash64(acc, x)
     )
     anchored = it.filter(F.col("__L") >= 1).select(item_key, "__itext", "__L", anchor.alias("__h"))
-    lengths = [r[0] for r in anchored.select("__L").distinct().collect()]  # at most anchor_words values
+    counts = {r[0]: r[1] for r in anchored.groupBy("__L").count().collect()}  # at most anchor_words lengths
+    lengths = sorted(counts)
+    anchors = hash_bits(anchored, "__h", sum(counts.values())) if lengths else None
     d = docs.select(F.col(doc_key), F.transform(_words(F.col(doc_text)), lambda w: F.xxhash64(w)).alias("__w"))
     grams = None
     for L in lengths:
         g = d.select(
             doc_key,
             F.lit(L).alias("__L"),
-            F.explode(_chained_ngrams(F.col("__w"), L)).alias("__h"),
+            F.explode(F.filter(_chained_ngrams(F.col("__w"), L), lambda h: bit_set(anchors, h))).alias("__h"),
         )
         grams = g if grams is None else grams.unionByName(g)
     cands = it.filter(F.lit(False)).select(F.lit(None).cast(docs.schema[doc_key].dataType).alias(doc_key), item_key)
     if grams is not None:
         cands = grams.join(anchored.select(item_key, "__L", "__h"), ["__L", "__h"]).select(doc_key, item_key).distinct()
-    short = it.filter((F.col("__L") < 1) & (n > 0)).withColumn("__first", F.get(F.col("__w"), 0))
-    short = short.withColumn("__g", F.least(F.lit(3), F.length("__first"))).withColumn("__gram", F.substr("__first", F.lit(1), F.col("__g")))
-    grams_in_use = [r[0] for r in short.select("__g").distinct().collect()]  # at most three values
-    if grams_in_use:
-        doc_words = docs.select(doc_key, F.explode(F.array_distinct(_words(F.col(doc_text)))).alias("__word"))
-        vocabulary = doc_words.select("__word").distinct()
-        pieces = None
-        for g in grams_in_use:
-            p = vocabulary.filter(F.length("__word") >= g).select("__word", F.lit(g).alias("__g"), F.explode(_letter_grams("__word", g)).alias("__gram"))
-            pieces = p if pieces is None else pieces.unionByName(p)
-        holding = pieces.join(short.select(item_key, "__first", "__g", "__gram"), ["__g", "__gram"]).filter(F.col("__word").contains(F.col("__first")))
-        found = doc_words.join(holding.select("__word", item_key).distinct(), "__word").select(doc_key, item_key).distinct()
+    short = it.filter((F.col("__L") < 1) & (n > 0))
+    listed = short.select(item_key, "__itext").limit(few_short + 1).collect()
+    by_pass = None
+    if listed and len(listed) <= few_short and importlib.util.find_spec("ahocorasick"):
+        by_pass = _short_pass(docs.select(doc_key, doc_text), [tuple(r) for r in listed], items.schema[item_key])
+    elif listed:
+        found = _short_candidates(docs, short, doc_key, item_key, doc_text)
         cands = found if grams is None else cands.unionByName(found)
+    if grams is None and by_pass is not None:
+        return by_pass
     # Candidates are few: joined to the documents they name (AQE broadcasts them when their
     # runtime size allows, otherwise it is a shuffle join), then confirmed verbatim.
     texts = docs.select(F.col(doc_key), F.col(doc_text).alias("__dtext"))
-    return (
+    confirmed = (
         texts.join(cands, doc_key)
         .join(it.select(item_key, "__itext"), item_key)
         .filter(F.instr(F.col("__dtext"), F.col("__itext")) > 0)
         .select(doc_key, item_key)
     )
+    return confirmed if by_pass is None else confirmed.unionByName(by_pass)
+
+
+def _short_pass(docs: DataFrame, passages: Sequence[tuple], item: StructField) -> DataFrame:
+    """(doc, item) of every passage inside a document's text: one pass of a pattern automaton over the texts,
+    which stay where they are.  ``docs`` has a key and a text."""
+    key, text = docs.schema.fields
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import ahocorasick
+
+        automaton = ahocorasick.Automaton()
+        for _, passage in passages:
+            automaton.add_word(passage, passage)
+        automaton.make_automaton()
+        ids: dict[str, list] = {}
+        for i, passage in passages:
+            ids.setdefault(passage, []).append(i)
+        for b in batches:
+            found = [(r, i) for r, t in enumerate(b.column(text.name).to_pylist()) if t for p in {x for _, x in automaton.iter(t)} for i in ids[p]]
+            rows = pa.array([r for r, _ in found], pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column(key.name).take(rows), pa.array([i for _, i in found], to_arrow_type(item.dataType))], names=[key.name, item.name])
+
+    return docs.mapInArrow(run, StructType([key, item]))
+
+
+def _short_candidates(docs: DataFrame, short: DataFrame, doc_key: str, item_key: str, doc_text: str) -> DataFrame:
+    """(doc, item) candidates of items of one or two words, by letter grams over the vocabulary."""
+    short = short.withColumn("__first", F.get(F.col("__w"), 0))
+    short = short.withColumn("__g", F.least(F.lit(3), F.length("__first"))).withColumn("__gram", F.substr("__first", F.lit(1), F.col("__g")))
+    grams_in_use = [r[0] for r in short.select("__g").distinct().collect()]  # at most three values
+    doc_words = docs.select(doc_key, F.explode(F.array_distinct(_words(F.col(doc_text)))).alias("__word"))
+    vocabulary = doc_words.select("__word").distinct()
+    pieces = None
+    for g in grams_in_use:
+        p = vocabulary.filter(F.length("__word") >= g).select("__word", F.lit(g).alias("__g"), F.explode(_letter_grams("__word", g)).alias("__gram"))
+        pieces = p if pieces is None else pieces.unionByName(p)
+    holding = pieces.join(short.select(item_key, "__first", "__g", "__gram"), ["__g", "__gram"]).filter(F.col("__word").contains(F.col("__first")))
+    return doc_words.join(holding.select("__word", item_key).distinct(), "__word").select(doc_key, item_key).distinct()
 
 
 def config_mismatches(generated: DataFrame, expected: DataFrame | None = None, **expected_values) -> DataFrame:

@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BITS_PER_ITEM, PROBES, MOST_BITS, LEAST_BITS = 10, 4, 24, 10
+BITS_PER_ITEM, PROBES, MOST_BITS, LEAST_BITS, LITERAL_BITS = 10, 4, 24, 10, 17
 
 
 @dataclass(frozen=True)
@@ -46,23 +46,48 @@ def size_of(items: int, most_bits: int = MOST_BITS) -> tuple[int, float]:
     return log_bits, (1 - math.exp(-PROBES * items / 2**log_bits)) ** PROBES
 
 
+def _bit_array(at: DataFrame, log_bits: int) -> Column:
+    """The bit numbers in column ``at`` as an array of 64-bit words, a scalar subquery."""
+    words = at.groupBy(F.shiftright("at", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("m"))
+    every = at.sparkSession.range(1 << (log_bits - 6)).withColumnRenamed("id", "w").join(words, "w", "left")
+    return every.agg(F.transform(F.array_sort(F.collect_list(F.struct("w", F.coalesce("m", F.lit(0).cast("bigint")).alias("m")))), lambda x: x["m"]).alias("bits")).scalar()
+
+
+def _test(bits: Column, at: Column) -> Column:
+    word, shift = F.get(bits, F.shiftright(at, 6).cast("int")), at.bitwiseAND(F.lit(63)).cast("int")
+    return F.call_function("shiftrightunsigned", word, shift).bitwiseAND(F.lit(1)) == 1
+
+
+def hash_bits(items: DataFrame, col: str, n: int, most_bits: int = LITERAL_BITS) -> Sketch:
+    """A sketch of 64-bit hashes with one probe, about 32 bits an item (``n`` of them), for ``bit_set``.
+
+    Its at most 2 ** (LITERAL_BITS - 6) words become a literal, since higher-order functions take no subquery.
+    """
+    log_bits = min(most_bits, max(LEAST_BITS, math.ceil(math.log2(max(1, 32 * n)))))
+    at = items.filter(F.col(col).isNotNull()).select(F.col(col).bitwiseAND(F.lit((1 << log_bits) - 1)).alias("at"))
+    words = [0] * (1 << (log_bits - 6))
+    for w, m in at.groupBy(F.shiftright("at", 6)).agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))"))).collect():
+        words[w] = m
+    return Sketch(F.lit(words).cast("array<bigint>"), log_bits, 1 - math.exp(-n / 2**log_bits))
+
+
+def bit_set(sketch: Sketch, value: Column) -> Column:
+    """False only for hashes that were certainly not added."""
+    return _test(sketch.bits, value.bitwiseAND(F.lit((1 << sketch.log_bits) - 1)))
+
+
 def build(items: DataFrame, col: str, n: int, most_bits: int = MOST_BITS) -> Sketch:
     """The sketch of ``items``' texts (``n`` of them); nulls are not added."""
     log_bits, chance = size_of(n, most_bits)
     at = items.filter(F.col(col).isNotNull()).select(F.explode(F.array(*_places(F.col(col), log_bits))).alias("at"))
-    words = at.groupBy(F.shiftright("at", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("m"))
-    every = items.sparkSession.range(1 << (log_bits - 6)).withColumnRenamed("id", "w").join(words, "w", "left")
-    array = every.agg(F.transform(F.array_sort(F.collect_list(F.struct("w", F.coalesce("m", F.lit(0).cast("bigint")).alias("m")))), lambda x: x["m"]).alias("bits"))
-    return Sketch(array.scalar(), log_bits, chance)
+    return Sketch(_bit_array(at, log_bits), log_bits, chance)
 
 
 def may_contain(sketch: Sketch, text: Column) -> Column:
     """False only for texts that were certainly not added (a null text was not)."""
     hit = text.isNotNull()
     for at in _places(text, sketch.log_bits):
-        word = F.get(sketch.bits, F.shiftright(at, 6).cast("int"))
-        shift = at.bitwiseAND(F.lit(63)).cast("int")
-        hit = hit & (F.call_function("shiftrightunsigned", word, shift).bitwiseAND(F.lit(1)) == 1)
+        hit = hit & _test(sketch.bits, at)
     return hit
 
 

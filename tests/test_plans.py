@@ -14,8 +14,9 @@ PYTHON_NODES = (
     "MapInPandas", "MapInArrow", "ArrowEvalPython", "BatchEvalPython", "FlatMapGroupsInPandas", "FlatMapGroupsInArrow",
     "FlatMapCoGroupsInPandas", "FlatMapCoGroupsInArrow", "PythonUDF", "TransformWithState",
 )
-# Queries whose feature is a hook: a model, a learned tokeniser, the standard library's generator.
-HOOK_QUERIES = {"generate_candidates": "MapInPandas", "boundary_learned": "ArrowEvalPython", "blind_labels_exact": "ArrowEvalPython", "isolated_failures": "MapInPandas"}
+# Queries whose feature is a hook (a model, a learned tokeniser, the standard library's generator), and one
+# that looks for many patterns at once.
+HOOK_QUERIES = {"generate_candidates": "MapInPandas", "boundary_learned": "ArrowEvalPython", "blind_labels_exact": "ArrowEvalPython", "isolated_failures": "MapInPandas", "benchmark_overlap_short": "MapInArrow"}
 
 
 def _plan(df):
