@@ -118,8 +118,9 @@ def vocabulary(sample: DataFrame, size: int = VOCABULARY) -> dict[str, tuple[int
 def fit(docs: DataFrame, labels: DataFrame, *, label: str = "toxic") -> OrdinalModel:
     """Fit on at most SAMPLE_ROWS labelled rows of either class whose ``crc32(id) % 4`` is not 2.
 
-    ``label`` may hold ordered grades 0, 1, 2, ...  If it only marks 0 and 1, the toxic half whose
-    texts hold more terms tied to the label is grade 2, the other grade 1.  Rows without a label are ignored; without both classes every severity is 0.
+    ``label`` holds ordered grades 0, 1, 2, ...; there is a threshold between any two grades that follow each
+    other, and one set of weights.  If it only marks 0 and 1, there are two grades and the severity is the
+    probability of the second.  Rows without a label are ignored; without both classes every severity is 0.
     """
     rows = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(label).cast("int").alias("_toxic"))
     rows = rows.filter(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 != 2)
@@ -143,10 +144,6 @@ def fit(docs: DataFrame, labels: DataFrame, *, label: str = "toxic") -> OrdinalM
     grades = np.array([max(0, r["_toxic"]) for r in got], dtype=np.int64)
     if not len(grades) or grades.min() > 0 or grades.max() == 0:
         return OrdinalModel(words, np.zeros(len(words)), np.array([1e3]))
-    if grades.max() == 1:
-        tied = {i for i, z in vocab.values() if z > 5}
-        hits = np.array([sum(np.expm1(v) for i, v in zip(r["i"], r["v"], strict=True) if i in tied) for r in got])
-        grades = grades + (grades * (hits > np.median(hits[grades > 0]))).astype(np.int64)
     share = {y: r for y, r in ((r["y"], r["n"]) for r in rows.groupBy((F.col("_toxic") > 0).alias("y")).agg(F.count(F.lit(1)).alias("n")).collect())}
     weights, thresholds = fit_ordinal([(r["i"], r["v"]) for r in got], grades, len(words))
     # The sample takes as many rows of either class as it can; the shift gives each its share among the labels.
