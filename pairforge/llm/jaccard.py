@@ -37,6 +37,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -59,6 +60,8 @@ MAX_BROADCAST_IDS = 1_000_000
 TILE, SMALL, COMPARED = 200_000, 64, 256
 #: Sketch words in one block of a large group, and compared at once.
 SIEVED, SIEVED_AT_ONCE = 32_768, 1 << 21
+#: Bits of a signature that are kept; two that differ may get equal, which only adds candidates.
+SIGNATURE_BITS = 48
 #: Signatures in one task of the grouping, and in one flush of a batch.
 SIGNATURES_IN_TASK, FLUSH = 4_000_000, 1_000_000
 
@@ -193,13 +196,33 @@ def _ranked(frequent: np.ndarray, classes: np.ndarray, tokens: np.ndarray) -> np
     return np.where(frequent[at] == tokens, classes[at], 0)
 
 
+def _squeezed(values: np.ndarray) -> bytes:
+    """64-bit numbers as compressed byte planes: ids in order as steps, sizes and kinds, in two or three bytes each."""
+    return zstandard.ZstdCompressor(level=1).compress(values.astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes())
+
+
+def _restored(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).reshape(-1).view("<i8").astype(np.int64)
+
+
+def _narrow(sigs: np.ndarray) -> bytes:
+    return np.ascontiguousarray(sigs.astype("<u8").view(np.uint8).reshape(-1, 8)[:, : SIGNATURE_BITS // 8]).tobytes()
+
+
+def _widened(data: bytes) -> np.ndarray:
+    wide = np.zeros((len(data) * 8 // SIGNATURE_BITS, 8), np.uint8)
+    wide[:, : SIGNATURE_BITS // 8] = np.frombuffer(data, np.uint8).reshape(len(wide), -1)
+    return wide.reshape(-1).view("<u8").astype(np.uint64)
+
+
 def _indexed(frequent: np.ndarray, classes: np.ndarray, buckets: int):
     """Blobs of (signature, id) by bucket; groups that are large within a batch are linked to their smallest id here."""
 
     def flush(sigs: list[np.ndarray], kinds: list[np.ndarray], ids: list[int]) -> Iterator[pa.RecordBatch]:
         if not sigs:
             return
-        sig, kind = np.concatenate(sigs), np.concatenate(kinds)
+        sig, kind = np.concatenate(sigs) & np.uint64((1 << SIGNATURE_BITS) - 1), np.concatenate(kinds)
         who = np.repeat(np.array(ids, np.int64), [len(s) for s in sigs])
         order = np.lexsort((who, -(kind & 3), sig))  # a light set, or else the smallest id, leads its group
         sig, kind, who = sig[order], kind[order], who[order]
@@ -222,11 +245,11 @@ def _indexed(frequent: np.ndarray, classes: np.ndarray, buckets: int):
             for lo, hi in zip(at[:-1], at[1:], strict=True):
                 part = rows[lo:hi]
                 out_b.append(int(bucket[lo]))
-                out_s.append(sig[part].tobytes())
-                out_h.append(hub[part].tobytes() if with_hub else None)
-                out_i.append(who[part].tobytes())
-                out_k.append(kind[part].tobytes())
-                out_l.append(hub_kind[part].tobytes() if with_hub else None)
+                out_s.append(_narrow(sig[part]))
+                out_h.append(_squeezed(hub[part]) if with_hub else None)
+                out_i.append(_squeezed(np.diff(who[part], prepend=0)))
+                out_k.append(_squeezed(kind[part]))
+                out_l.append(_squeezed(hub_kind[part]) if with_hub else None)
 
         # a large group is linked to its head here, if that can make candidates of all its pairs
         large &= lead != 1
@@ -268,12 +291,13 @@ def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sigs, ids, kinds = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     for b in batches:
         for s, h, i, k, x in zip(*(b.column(c).to_pylist() for c in ("sigs", "hubs", "ids", "kinds", "hub_kinds")), strict=True):
+            sig, who = _widened(s), np.cumsum(_restored(i))
             if h is None:
-                sigs.append(np.frombuffer(s, np.uint64))
-                ids.append(np.frombuffer(i, np.int64))
-                kinds.append(np.frombuffer(k, np.int64))
+                sigs.append(sig)
+                ids.append(who)
+                kinds.append(_restored(k))
             else:
-                yield pa.record_batch([pa.array(np.frombuffer(c, np.int64)) for c in (s, h, i, x, k)], names)
+                yield pa.record_batch([pa.array(c) for c in (sig.view(np.int64), _restored(h), who, _restored(x), _restored(k))], names)
     sig, who, kind = np.concatenate(sigs), np.concatenate(ids), np.concatenate(kinds)
     order = np.lexsort((who, -(kind & 3), sig))
     sig, who, kind = sig[order], who[order], kind[order]
@@ -500,31 +524,36 @@ def partners(n: np.ndarray, comps: np.ndarray, blocks: np.ndarray, sketches: lis
         rows = np.flatnonzero(words == w)
         rows = rows[np.argsort(n[rows], kind="stable")]
         of[w] = rows, np.frombuffer(b"".join(sketches[r] for r in rows.tolist()), np.uint64).reshape(len(rows), w)
-    for w, (left, a) in of.items():
-        for twice in (False, True):
-            if 2 * w not in of and twice:
+    names, count = np.unique(comps, return_counts=True)
+    other = comps != names[count.argmax()]  # of two members of the commonest component none needs comparing
+
+    def compare(left: np.ndarray, a: np.ndarray, right: np.ndarray, b: np.ndarray) -> None:
+        step = max(1, SIEVED_AT_ONCE // max(1, b.size))
+        for lo in range(0, len(left), step):
+            mine = left[lo : lo + step]
+            near = slice(*np.searchsorted(n[right], [-(-n[mine[0]] * NUM // DEN), n[mine[-1]] * DEN // NUM + 1]))
+            theirs = right[near]
+            if not len(theirs):
                 continue
-            right, b = of[2 * w] if twice else (left, a)
-            if twice:
-                b = b[:, :w] ^ b[:, w:]
-            step = max(1, SIEVED_AT_ONCE // (len(right) * w))
-            for lo in range(0, len(left), step):
-                mine = left[lo : lo + step]
-                near = slice(*np.searchsorted(n[right], [-(-n[mine[0]] * NUM // DEN), n[mine[-1]] * DEN // NUM + 1]))
-                theirs = right[near]
-                if not len(theirs):
-                    continue
-                both = n[mine][:, None] + n[theirs]
-                hit = comps[mine][:, None] != comps[theirs]
-                if apart:
-                    hit &= blocks[mine][:, None] != blocks[theirs]
-                if not hit.any():
-                    continue
-                differ = np.bitwise_count(a[lo : lo + step, None, :] ^ b[None, near, :]).sum(2, dtype=np.int64)
-                hit &= differ <= both * (DEN - NUM) // (DEN + NUM)
-                hit &= (n[mine][:, None] * DEN >= n[theirs] * NUM) & (n[theirs] * DEN >= n[mine][:, None] * NUM)
-                out[mine[hit.any(1)]] = True
-                out[theirs[hit.any(0)]] = True
+            hit = comps[mine][:, None] != comps[theirs]
+            if apart:
+                hit &= blocks[mine][:, None] != blocks[theirs]
+            hit &= (n[mine][:, None] * DEN >= n[theirs] * NUM) & (n[theirs] * DEN >= n[mine][:, None] * NUM)
+            if not hit.any():
+                continue
+            differ = np.bitwise_count(a[lo : lo + step, None, :] ^ b[None, near, :]).sum(2, dtype=np.int64)
+            hit &= differ <= (n[mine][:, None] + n[theirs]) * (DEN - NUM) // (DEN + NUM)
+            out[mine[hit.any(1)]] = True
+            out[theirs[hit.any(0)]] = True
+
+    for w, (rows, marks) in of.items():
+        few = other[rows]
+        compare(rows[few], marks[few], rows, marks)
+        if 2 * w in of:
+            longer, more = of[2 * w]
+            folded, some = more[:, :w] ^ more[:, w:], other[longer]
+            compare(rows[few], marks[few], longer, folded)
+            compare(rows[~few], marks[~few], longer[some], folded[some])
     return out
 
 

@@ -428,3 +428,13 @@ def test_substrings_hot_passage_and_near_copies(spark, monkeypatch, origin, wind
         rows.append((400 + i, " ".join(w), "b"))
     got = substrings.remove_repeats(docs_of(spark, rows).repartition(6), digest=True, shard_contexts=20)
     assert sorted((tuple(r) for r in got.collect()), key=str) == brute_windows(rows, 50)
+
+
+def test_jaccard_packed_signatures():
+    rng = np.random.default_rng(3)
+    ids = np.sort(rng.integers(-(2**62), 2**62, 500))
+    assert (np.cumsum(jaccard._restored(jaccard._squeezed(np.diff(ids, prepend=0)))) == ids).all()
+    kinds = (rng.integers(0, 900, 500) << 33) + (rng.integers(0, 2000, 500) << 2) + 1
+    assert (jaccard._restored(jaccard._squeezed(kinds)) == kinds).all()
+    sigs = rng.integers(0, 2**48, 500, dtype=np.uint64)
+    assert (jaccard._widened(jaccard._narrow(sigs)) == sigs).all() and len(jaccard._narrow(sigs)) == 3000
