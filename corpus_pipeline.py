@@ -16,12 +16,21 @@ ORACLE_SQL = None
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the ordinal model rejects go."""
+    """Documents that the ordinal model rejects go.
+
+    Null and empty texts have no words and stay; repeated rows are judged alike; an empty table stays empty.
+    Columns named like a result of the model (severity, p_toxic, grade, rejected) hold that result afterwards.
+    """
     model = toxicity.fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return toxicity.score(docs, model).filter("NOT rejected").select(*docs.columns)
 
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that are boilerplate of their source go, no document does.
+
+    A null source is a source; a null text stays null; repeated rows lose the same lines; an empty table stays
+    empty.  Columns named n_lines or n_dropped hold the stage's counts afterwards.
+    """
     return lines.drop_boilerplate_lines(docs).select(*docs.columns)
 
 
@@ -37,17 +46,25 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     if ids.filter("n > 1").isEmpty():
         return kept
     # an id of many rows: the rows' digests are counted first, so that no task gathers its texts
-    row = kept.withColumn("_row", F.monotonically_increasing_id())
-    row = materialize(row, "repeated-ids")
-    first = row.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text"), "_row"))["_row"].alias("_row"))
-    return row.filter("doc_id IS NULL").drop("_row").union(row.join(first.hint("merge"), ["doc_id", "_row"], "left_semi").select(*docs.columns))
+    mark = "_row"
+    while mark in docs.columns:
+        mark += "_"
+    row = materialize(kept.withColumn(mark, F.monotonically_increasing_id()), "repeated-ids")
+    first = row.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text"), mark))[mark].alias(mark))
+    return row.filter("doc_id IS NULL").drop(mark).union(row.join(first.hint("merge"), ["doc_id", mark], "left_semi").select(*docs.columns))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents repeat (or go) so that sources reach their target weights, and are shuffled globally.
+
+    A null source is a source; null and empty texts repeat like others; an empty table stays empty.  Columns
+    named copy_no or mix_key hold the copy's number and place afterwards.
+    """
     return mixing.mix(docs).select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, ids and decoded of every row; a null text is empty; only doc_id and text are read."""
     return bpe.encode_documents(docs)
 
 
