@@ -22,22 +22,23 @@ import hashlib
 import json
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairforge.llm import common
-from pairforge.llm.common import shuffle_width, stage_begins
+from pairforge.llm.common import in_stage, shuffle_width
 
 #: Symbols of a pre-token that are encoded in one go; code points of a document that is one row.
 LEAF, SPLIT_CHARS = 512, 65_536
 #: Bytes of a text, or of a half of one, that is split into runs in one go.
 CUT = 16_384
 #: Runs longer than this many bytes don't enter the table of known runs; the entries of one of its two generations.
-LONG_RUN, KNOWN_RUNS = 256, 250_000
+LONG_RUN, KNOWN_RUNS = 256, 100_000
 SUFFIX = "</w>"
 
 
@@ -218,16 +219,16 @@ def tokenizer(path: str, leaf: int = LEAF) -> Bpe:
 common.CACHES["bpe"] = tokenizer.cache_clear
 
 
-def _some(texts: list[bytes], most: int = 1 << 20) -> Iterator[tuple[int, int]]:
-    """Ranges of rows with about ``most`` bytes of text."""
-    at, size = 0, 0
-    for i, t in enumerate(texts):
-        size += len(t)
+def _some(sizes: Iterable[int], most: int = 1 << 18) -> Iterator[tuple[int, int]]:
+    """Ranges of rows whose texts, of ``sizes`` bytes, hold about ``most`` bytes."""
+    at, i, size = 0, 0, 0
+    for i, n in enumerate(sizes, 1):
+        size += n
         if size >= most:
-            yield at, i + 1
-            at, size = i + 1, 0
-    if at < len(texts):
-        yield at, len(texts)
+            yield at, i
+            at, size = i, 0
+    if at < i:
+        yield at, i
 
 
 def _pieces(text: str, bpe: Bpe, chars: int) -> Iterator[tuple[int, str, str]]:
@@ -284,13 +285,13 @@ def _encoded(docs: DataFrame, path: str, split_chars: int, leaf: int, digest: bo
         cols = [pa.array([g[1] for g in got], pa.int64()), pa.array([final(g[0]) for g in got], pa.string()), pa.array([final(g[2]) for g in got], pa.string())]
         return pa.record_batch([ids, *cols], names)
 
+    @in_stage("bpe")
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        stage_begins("bpe")
         bpe = tokenizer(path, leaf)
         for b in batches:
-            texts = b.column("text").cast(pa.binary()).to_pylist()
-            for i, j in _some(texts):
-                yield result(b.column("doc_id").slice(i, j - i), bpe.encode(texts[i:j]))
+            texts = b.column("text").cast(pa.binary())
+            for i, j in _some(pc.binary_length(texts).to_pylist()):
+                yield result(b.column("doc_id").slice(i, j - i), bpe.encode(texts.slice(i, j - i).to_pylist()))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = tokenizer(path, leaf)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import functools
 import gc
 from collections.abc import Callable, Iterator
 
@@ -33,9 +34,28 @@ def stage_begins(name: str) -> None:
     give_back()
 
 
-def give_back() -> None:
+def in_stage(name: str) -> Callable:
+    """A stage's map over batches: what other operators kept in the worker goes first, and what the task no longer
+    uses goes back to the system at its end, where the worker may idle beside the JVM's shuffles."""
+
+    def wrapped(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+        @functools.wraps(run)
+        def task(batches: Iterator) -> Iterator:
+            stage_begins(name)
+            try:
+                yield from run(batches)
+            finally:
+                give_back(collect=False)
+
+        return task
+
+    return wrapped
+
+
+def give_back(collect: bool = True) -> None:
     """Return memory that the allocators hold but no object uses."""
-    gc.collect()
+    if collect:
+        gc.collect()
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):  # another C library has no such call
         ctypes.CDLL(None).malloc_trim(0)

@@ -41,7 +41,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairforge.llm.common import materialize, shuffle_width, stage_begins
+from pairforge.llm.common import in_stage, materialize, shuffle_width
 from pairforge.llm.words import gram_hashes, mix, word_hashes
 from pairforge.session import discard
 
@@ -163,9 +163,9 @@ def may_link(na: int, a: bytes, nb: int, b: bytes) -> bool:
     return int(np.bitwise_count(x ^ y).sum()) <= most_different(na, nb)
 
 
+@in_stage("jaccard")
 def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per document its set's size and 128-bit digest; per batch (doc_id null) its locally frequent shingles."""
-    stage_begins("jaccard")
     names = ["doc_id", "n", "s1", "s2", "sketch", "token", "sets"]
     for b in batches:
         size, one, two, marks, sets = [], [], [], [], {}
@@ -259,8 +259,8 @@ def _indexed(frequent: np.ndarray, classes: np.ndarray, buckets: int):
         cut(local, (mix(who[local].view(np.uint64)) % np.uint64(buckets)).astype(np.int64), True)
         yield pa.record_batch([pa.array(out_b, pa.int32()), pa.array(out_s, pa.binary()), pa.array(out_h, pa.binary()), pa.array(out_i, pa.binary()), pa.array(out_k, pa.binary()), pa.array(out_l, pa.binary())], ["bucket", "sigs", "hubs", "ids", "kinds", "hub_kinds"])
 
+    @in_stage("jaccard")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        stage_begins("jaccard")
         for b in batches:
             sigs, kinds, ids, size, seen = [], [], [], 0, set()
             got = sorted(zip(b.column("doc_id").to_pylist(), range(b.num_rows), strict=True))  # the smallest id of equal sets stays
@@ -283,10 +283,10 @@ def _indexed(frequent: np.ndarray, classes: np.ndarray, buckets: int):
     return run
 
 
+@in_stage("jaccard")
 def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(sig, hub, id, hub_kind, kind) of each signature that more than one id has: every other id with
     the smallest, in groups of other than fine segments with the smallest light one."""
-    stage_begins("jaccard")
     names = ["sig", "hub", "id", "hub_kind", "kind"]
     sigs, ids, kinds = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     for b in batches:
@@ -346,6 +346,7 @@ def _sizes_allow(x: Column, y: Column) -> Column:
 def _sieved(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     """The pairs (a, b) that their sketches do not rule out."""
 
+    @in_stage("jaccard")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             got = zip(*(b.column(c).to_pylist() for c in ("_na", "_sa", "_nb", "_sb")), strict=True)
@@ -359,6 +360,7 @@ def _sieved(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) whose sets reach the threshold.  Texts of b, one partner each at first, move first."""
 
+    @in_stage("jaccard")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, np.ndarray] = {}
         for b in batches:
@@ -482,6 +484,7 @@ def forest(sets: list[np.ndarray], comps: list[int], blocks: list[int]) -> list[
     return out
 
 
+@in_stage("jaccard")
 def _tile_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (hub, lo, hi): the links of each tile that connect components."""
 
@@ -501,8 +504,8 @@ def _tile_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from flush()
 
 
+@in_stage("jaccard")
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    stage_begins("jaccard")
     for b in batches:
         sets = [shingles(t) for t in b.column("text").to_pylist()]
         size = pa.array([len(x) for x in sets], pa.int64())
@@ -557,6 +560,7 @@ def partners(n: np.ndarray, comps: np.ndarray, blocks: np.ndarray, sketches: lis
     return out
 
 
+@in_stage("jaccard")
 def _tile_partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (hub, lo, hi): (hub, id) of the members of each tile that ``partners`` leaves."""
 
@@ -567,7 +571,6 @@ def _tile_partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             if len(stay):
                 yield pa.record_batch([pa.array([key[0]] * len(stay), pa.int64()), pa.array(np.array(ids, np.int64)[stay])], ["hub", "id"])
 
-    stage_begins("jaccard")
     key, rows = None, []
     for b in batches:
         for *k, block, i, comp, n, s in zip(*(b.column(c).to_pylist() for c in ("hub", "lo", "hi", "block", "id", "comp", "n", "sketch")), strict=True):

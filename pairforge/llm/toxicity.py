@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairforge.llm.common import hash_order_sample, materialize
+from pairforge.llm.common import hash_order_sample, in_stage, materialize
 
 #: Bounds of the fit: labelled rows a class, and terms in the vocabulary.
 SAMPLE_ROWS, VOCABULARY = 6000, 1000
@@ -98,6 +98,7 @@ def fit_ordinal(rows: list[tuple[list[int], list[float]]], grades: np.ndarray, s
 def vocabulary(sample: DataFrame, size: int = VOCABULARY) -> dict[str, tuple[int, float]]:
     """term -> (index, z): the terms whose document frequency differs most between the classes."""
 
+    @in_stage("toxicity")
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             both: dict[bool, Counter] = {True: Counter(), False: Counter()}
@@ -129,6 +130,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, label: str = "toxic") -> OrdinalM
     vocab = vocabulary(sample)
     words = {w: i for w, (i, _) in vocab.items()}
 
+    @in_stage("toxicity")
     def sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, tuple[int, ...]] = {}
         for b in batches:
@@ -162,6 +164,7 @@ def score(docs: DataFrame, model: OrdinalModel) -> DataFrame:
     docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in new])
     names = docs.columns
 
+    @in_stage("toxicity")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, tuple[int, ...]] = {}
         for b in batches:

@@ -61,3 +61,16 @@ def test_another_stage_frees_what_a_stage_kept():
     assert bpe.tokenizer(bpe.default_vocabulary()) is kept
     common.stage_begins("jaccard")
     assert bpe.tokenizer.cache_info().currsize == 0
+
+
+def test_workers_give_back_at_the_end_of_a_task(monkeypatch):
+    """pipeline: workers idle beside the JVM's shuffles, and hold no other operator's table."""
+    freed, back = [], []
+    monkeypatch.setattr(common, "CACHES", {"bpe": lambda: freed.append("bpe")})
+    monkeypatch.setattr(common, "give_back", lambda collect=True: back.append(collect))
+    common.stage_begins("bpe")
+    del back[:]
+    task = common.in_stage("toxicity")(lambda batches: (b + 1 for b in batches))
+    assert list(task(iter([1, 2]))) == [2, 3] and freed[-1] == "bpe" and back == [True, False]
+    assert list(task(iter([]))) == [] and back == [True, False, False]
+    assert list(bpe._some([3, 3, 10, 1], 6)) == [(0, 2), (2, 3), (3, 4)] and list(bpe._some([], 6)) == []
