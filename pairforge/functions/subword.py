@@ -66,13 +66,14 @@ def decode_cut(tok, ids: list[int], offsets: list[tuple[int, int]], prompt: str,
 def align_batch(tok, prompts: list[str], completions: list[str]) -> list[tuple]:
     dropped = [c.startswith(p) for p, c in zip(prompts, completions, strict=True)]
     rest = [c[len(p) :] if d else c for p, c, d in zip(prompts, completions, dropped, strict=True)]
-    joint = [p + c for p, c in zip(prompts, rest, strict=True)]
-    heads, wholes = tok.encode_batch(prompts, add_special_tokens=False), tok.encode_batch(joint, add_special_tokens=False)
     out = []
-    for prompt, text, completion, drop, head, whole in zip(prompts, joint, rest, dropped, heads, wholes, strict=True):
-        ids, n = whole.ids, len(head.ids)
+    for prompt, completion, drop in zip(prompts, rest, dropped, strict=True):
+        text = prompt + completion
+        # one row's encodings at a time: an encoding takes a hundred bytes a token and more
+        head, whole = tok.encode(prompt, add_special_tokens=False).ids, tok.encode(text, add_special_tokens=False)
+        ids, n = whole.ids, len(head)
         branch, cut = "b", n
-        if ids[:n] != head.ids:
+        if ids[:n] != head:
             cut = decode_cut(tok, ids, whole.offsets, prompt, text)
             branch = "d" if cut is None else "c"
             if cut is not None:
