@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from pairforge import constants as C
 from pairforge.functions.text import strip_ws
 from pairforge.functions.verdict import is_valid_json
-from pairforge.sources.files import list_tree
+from pairforge.session import materialize
+from pairforge.sources.files import list_tree, read_files
 
 _INT_TEXT = r"^[+-]?[0-9]+(_[0-9]+)*$"
 
@@ -64,18 +65,22 @@ def exportable(manifest: DataFrame, file_col: str = "file") -> DataFrame:
 def scan_runs(spark: SparkSession, root: str) -> DataFrame:
     """S5 over a folder of runs (``root/<run>/<checkpoint>/<file>``): ``run, dir, file, length, mtime, valid``.
 
-    The listing reads no contents and has empty files too; only the config files are opened, in a scan that the
-    file name filters, and joined to their row by folder.  ``valid`` is null for other files.
+    Tasks list the folders, once, and open only the config files, which are joined to their row by folder; no file
+    name passes through the driver.  ``valid`` is null for other files, and false for configs in folders that Spark's
+    readers hide (``.name``, ``_name`` without ``=``).
     """
     parts = F.split(F.col("path"), "/")
-    listed = list_tree(spark, root).select(
-        F.element_at(parts, -3).alias("run"), F.element_at(parts, -2).alias("dir"), F.element_at(parts, -1).alias("file"), "length", "mtime"
+    listed = materialize(list_tree(spark, root), "run-files")
+    named = listed.select(
+        "path", F.element_at(parts, -3).alias("run"), F.element_at(parts, -2).alias("dir"), F.element_at(parts, -1).alias("file"), "length", "mtime"
     )
-    configs = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", C.ADAPTER_CONFIG).load(root)
-    checked = configs.select(
+    below = F.substr("path", F.lit(len(root.rstrip("/")) + 1))
+    configs = named.filter((F.col("file") == C.ADAPTER_CONFIG) & ~below.rlike(r"/(\.|_[^/=]*/)"))
+    checked = read_files(configs.repartition(spark.sparkContext.defaultParallelism, "path")).select(
         F.element_at(parts, -3).alias("run"), F.element_at(parts, -2).alias("dir"), F.lit(C.ADAPTER_CONFIG).alias("file"),
         config_is_valid(F.col("length"), F.col("content").cast("string")).alias("readable"),
     )
+    checked, listed = materialize(checked, "configs"), named.drop("path")
     valid = F.when(F.col("file") == C.ADAPTER_CONFIG, F.coalesce("readable", F.lit(False)))
     return listed.join(checked, ["run", "dir", "file"], "left").withColumn("valid", valid).drop("readable")
 

@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PIECE = 1 << 22
+#: Rows of a listing that are sent on together.
+LISTED = 10_000
 
 
 def store_of(path: str) -> tuple[pafs.FileSystem, str]:
@@ -52,13 +54,17 @@ def list_files(df: DataFrame, recursive: bool = True, folders: bool = False) ->
     schema = pa.schema([("folder", pa.string()), ("path", pa.string()), ("length", pa.int64()), ("mtime", pa.timestamp("us", "UTC"))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[dict] = []
         for batch in batches:
             for folder in batch.column("folder").to_pylist():
                 store, name = store_of(folder)
                 head = folder.rstrip("/").removesuffix(name.rstrip("/"))  # the scheme, as it was given
                 found = [f for f in store.get_file_info(pafs.FileSelector(name, recursive=recursive, allow_not_found=True)) if f.type == wanted]
-                rows = [{"folder": folder, "path": head + f.path, "length": f.size or 0, "mtime": f.mtime} for f in found]
-                yield pa.RecordBatch.from_pylist(rows, schema=schema)
+                rows += [{"folder": folder, "path": head + f.path, "length": f.size or 0, "mtime": f.mtime} for f in found]
+                while len(rows) >= LISTED:
+                    yield pa.RecordBatch.from_pylist(rows[:LISTED], schema=schema)
+                    rows = rows[LISTED:]
+        yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
     return df.select("folder").mapInArrow(run, "folder string, path string, length bigint, mtime timestamp")
 
@@ -70,6 +76,31 @@ def list_tree(spark: SparkSession, root: str) -> DataFrame:
     return list_files(top, recursive=False).unionByName(list_files(below.repartition(spark.sparkContext.defaultParallelism, "folder"))).drop("folder")
 
 
+def read_files(df: DataFrame) -> DataFrame:
+    """``path, length, content`` (binary) of the file of every row: tasks open them, the driver lists nothing."""
+
+    def rows(paths: list[str], contents: list[bytes]) -> pa.RecordBatch:
+        columns = [pa.array(paths, pa.string()), pa.array([len(c) for c in contents], pa.int64()), pa.array(contents, pa.binary())]
+        return pa.record_batch(columns, ["path", "length", "content"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            paths, contents, size = [], [], 0
+            for path in batch.column("path").to_pylist():
+                store, name = store_of(path)
+                with store.open_input_stream(name) as source:
+                    content = source.read()
+                paths.append(path)
+                contents.append(content)
+                size += len(content)
+                if size >= PIECE:
+                    yield rows(paths, contents)
+                    paths, contents, size = [], [], 0
+            yield rows(paths, contents)
+
+    return df.select("path").mapInArrow(run, "path string, length bigint, content binary")
+
+
 def copy_files(df: DataFrame) -> DataFrame:
     """Copy ``path`` to ``target`` for every row, piece by piece; returns ``path, target, length`` (lazy)."""
 
