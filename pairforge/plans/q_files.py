@@ -142,7 +142,7 @@ def publish_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     publisher.sweep()
 
     def held(root: str, flag: str) -> DataFrame:
-        files, parts = list_tree(spark, root), F.split("path", "/")
+        files, parts = materialize(list_tree(spark, root), flag), F.split("path", "/")
         return files.select(F.element_at(parts, -2).alias("group_key"), F.element_at(parts, -1).alias("file"), F.lit(True).alias(flag))
 
     parts = F.split("path", "/")
