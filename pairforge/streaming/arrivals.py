@@ -15,6 +15,7 @@ from __future__ import annotations
 import os
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,7 +29,10 @@ from pairforge.sources.io import _exists
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-RUN = "start bigint, last bigint, n bigint, a boolean, b boolean"
+#: A group's open runs, a column each, what the closed ones left, and when its timer fires: one value a group, since
+#: each call for state is a round trip to the JVM.
+RUNS = "starts array<bigint>, lasts array<bigint>, ns array<bigint>, with_a array<boolean>, with_b array<boolean>"
+STATE = f"{RUNS}, start bigint, n bigint, a boolean, b boolean, wake bigint"
 OUTPUT = "group_key string, first_file timestamp, last_change timestamp, n_files bigint"
 
 
@@ -44,6 +48,18 @@ def merged_runs(runs: list[tuple], gap: int) -> list[tuple]:
     return out
 
 
+def bursts(us: np.ndarray, a: np.ndarray, b: np.ndarray, gap: int) -> list[tuple]:
+    """The runs of one frame of arrivals in any order."""
+    if not len(us):
+        return []
+    order = np.argsort(us, kind="stable")
+    us, a, b = us[order], a[order].astype(bool), b[order].astype(bool)
+    first = np.flatnonzero(np.concatenate([[True], np.diff(us) >= gap]))
+    end = np.append(first[1:], len(us))
+    columns = us[first], us[end - 1], end - first, np.logical_or.reduceat(a, first), np.logical_or.reduceat(b, first)
+    return list(zip(*(c.tolist() for c in columns), strict=True))
+
+
 class QuietGroups(StatefulProcessor):
     """Per group: runs of arrivals at least a gap apart, of which the closed ones (a gap older than the
     watermark) are folded into what the group holds.  When a closed run leaves both kinds there, the group
@@ -54,52 +70,53 @@ class QuietGroups(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.runs = handle.getListState("runs", RUN)
-        self.held = handle.getValueState("held", "start bigint, n bigint, a boolean, b boolean")
-
-    def _runs(self) -> list[tuple]:
-        return [tuple(r) for r in self.runs.get()] if self.runs.exists() else []
-
-    def _keep(self, runs: list[tuple]) -> None:
-        """Store the runs and wake when the first one closes."""
-        for at in list(self.handle.listTimers()):
-            self.handle.deleteTimer(at)
-        if runs:
-            self.runs.put(runs)
-            self.handle.registerTimer(-(-(runs[0][1] + self.gap) // 1000))
-        elif self.runs.exists():
-            self.runs.clear()
+        self.state = handle.getValueState("group", STATE)
+
+    def _load(self) -> tuple[list[tuple], tuple, int | None]:
+        """The open runs, what the closed ones left (start, n, a, b), and the time of the timer."""
+        got = self.state.get()
+        if got is None:
+            return [], (None, 0, False, False), None
+        runs, held, wake = tuple(got[:5]), tuple(got[5:9]), got[9]
+        return list(zip(*runs, strict=True)), held, wake
+
+    def _store(self, runs: list[tuple], held: tuple, wake: int | None) -> None:
+        """Store both in one value, and wake when the first run closes."""
+        at = -(-(runs[0][1] + self.gap) // 1000) if runs else None
+        if at != wake:
+            if wake is not None:
+                self.handle.deleteTimer(wake)
+            if at is not None:
+                self.handle.registerTimer(at)
+        if runs or held[0] is not None:
+            self.state.update((*([list(c) for c in zip(*runs, strict=True)] if runs else [[]] * 5), *held, at))
+        else:
+            self.state.clear()
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        runs = self._runs()
+        runs, held, wake = self._load()
         for frame in rows:  # frames of bounded size: a large group is reduced to its runs bit by bit
-            frame = frame.sort_values("us", kind="stable")
-            burst = (frame["us"].diff() >= self.gap).cumsum()
-            for _, x in frame.groupby(burst):
-                runs.append((int(x["us"].iloc[0]), int(x["us"].iloc[-1]), len(x), bool(x["a"].any()), bool(x["b"].any())))
-            runs = merged_runs(runs, self.gap)
-        self._keep(runs)
+            runs = merged_runs(runs + bursts(*(frame[c].to_numpy() for c in ("us", "a", "b")), self.gap), self.gap)
+        self._store(runs, held, wake)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        watermark, runs, ready = timerValues.getCurrentWatermarkInMs(), self._runs(), []
-        start, n, a, b = tuple(self.held.get()) if self.held.exists() else (None, 0, False, False)
-        while runs and runs[0][1] + self.gap <= 1000 * watermark:
-            first, last, more, has_a, has_b = runs.pop(0)
+        watermark, ready = timerValues.getCurrentWatermarkInMs(), []
+        runs, (start, n, a, b), wake = self._load()
+        closed = 0
+        while closed < len(runs) and runs[closed][1] + self.gap <= 1000 * watermark:
+            first, last, more, has_a, has_b = runs[closed]
+            closed += 1
             start, n, a, b = first if start is None else start, n + more, a or has_a, b or has_b
             if a and b:
                 ready.append((key[0], start, last, n))
                 start, n, a, b = None, 0, False, False
-        if start is not None:
-            self.held.update((start, n, a, b))
-        elif self.held.exists():
-            self.held.clear()
-        self._keep(runs)
+        self._store(runs[closed:], (start, n, a, b), wake)
         if not ready:
             return iter(())
         frame = pd.DataFrame(ready, columns=["group_key", "first_file", "last_change", "n_files"])
         for c in ("first_file", "last_change"):
-            frame[c] = pd.to_datetime(frame[c], unit="us")
+            frame[c] = frame[c].to_numpy().astype("datetime64[us]")
         return iter([frame])
 
     def close(self) -> None:
